@@ -10,13 +10,32 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from netaudit.functions.net import ip_to_number, number_to_ip
 from netaudit.functions.text import config_value, remove_first, trim_blanks
-from netaudit.operators.scan import ordered_scan
+from netaudit.operators.scan import lines_since, ordered_scan
+from netaudit.session import checkpointed
 from netaudit.sources.lines import place
 
 DHCP_START = "config system dhcp server"
 SET_INTERFACE = "set interface "
 
 
+# Words of the lines that the parsers of this module look at.
+RELEVANT = [
+    DHCP_START, SET_INTERFACE, "config reserved-address", "end", "set mac ", "set action block", "set description ",
+    "set start-ip ", "set end-ip ", "edit ", "next", "set subnet", "set fqdn",
+]
+
+
+def relevant_lines(lines: DataFrame) -> DataFrame:
+    """Lines that can matter, and the last line of each file, written out once.
+
+    State between lines takes several passes; they then read these lines, not the files.
+    """
+    finals = lines.groupBy("file").agg(F.max_by("line", place()).alias("line"), F.max(place()).alias("at"))
+    wanted = lines.filter(F.col("line").rlike("|".join(RELEVANT)))
+    others = finals.filter(~F.col("line").rlike("|".join(RELEVANT))).select("file", "at.chunk", "at.pos", "line")
+    return checkpointed(wanted.select("file", "chunk", "pos", "line").unionByName(others))
+
+
 def section_bounds(lines: DataFrame, start: Column, end: Column) -> DataFrame:
     """Per file the last start line before the first end line that follows any start."""
     marks = lines.filter(start | end).select("file", "chunk", "pos", F.when(start, place()).alias("at"), end.alias("ends"))
@@ -105,10 +124,10 @@ def dhcp_ranges(lines: DataFrame, all_ranges: bool = False) -> DataFrame:
     A range is complete when both a start and an end address are known, in either order;
     then both are forgotten. Only the last range of an interface is kept unless ``all_ranges``.
 
-    In runs of equal line kinds, a range can only complete at the first line of a run: when
-    an address of the other kind is still waiting. It waits unless the run before completed
-    a range with its single line. So completions alternate along single-line runs, and a run
-    of two or more lines makes the next one complete.
+    Lines of one kind in a row form a run, and only the first line of a run can complete a
+    range: if an address of the other kind still waits. After a run of two or more lines one
+    does. After a run of a single line one does unless that line completed a range itself. So
+    completions alternate along the runs since the last line that continued a run.
     """
     dhcp = section(
         lines,
@@ -118,21 +137,17 @@ def dhcp_ranges(lines: DataFrame, all_ranges: bool = False) -> DataFrame:
     )
     kind = F.when(_has("set start-ip "), F.lit("start")).when(_has("set end-ip "), F.lit("end"))
     address = F.coalesce(_setting("set start-ip ", "set start-ip "), _setting("set end-ip ", "set end-ip "))
-    named = ordered_scan(
-        dhcp, ["file"], ["chunk"], "pos", carry={"interface": _setting(SET_INTERFACE, SET_INTERFACE)}
-    )
-    ends = named.withColumn("kind", kind).withColumn("address", address).filter("kind is not null")
     ends = ordered_scan(
-        ends, ["file"], ["chunk"], "pos",
-        carry_before={"previous": F.struct("kind", "address")},
-        ahead={"next_kind": F.col("kind")},
-    )
-    runs = ends.filter("previous is null or previous.kind <> kind").withColumn("long", F.expr("next_kind <=> kind"))
-    runs = ordered_scan(runs, ["file"], ["chunk"], "pos", total={"run": F.lit(1)})
+        dhcp, ["file"], ["chunk"], "pos",
+        carry={"interface": _setting(SET_INTERFACE, SET_INTERFACE)},
+        carry_before={"previous": F.when(kind.isNotNull(), F.struct(kind.alias("kind"), address.alias("address")))},
+    ).withColumn("address", address).withColumn("continues", F.col("previous.kind").eqNullSafe(kind)).filter(kind.isNotNull())
     runs = ordered_scan(
-        runs, ["file"], ["chunk"], "pos", carry_before={"long_run": F.when(F.col("long"), F.col("run"))}
+        ends, ["file"], ["chunk"], "pos",
+        since={"runs": lines_since(F.col("continues"))},
+        total_before={"continued": F.col("continues").cast("int")},
     )
-    completes = (F.col("run") - F.coalesce("long_run", F.lit(0)) - F.when(F.col("long_run").isNull(), 0).otherwise(1)) % 2 == 0
+    completes = ~F.col("continues") & ((F.col("runs") % 2 == 0) == (F.col("continued") > 0))
     one, other = ip_to_number(F.col("previous.address")), ip_to_number(F.col("address"))
     found = (
         runs.filter(completes & F.col("interface").isNotNull())

@@ -104,7 +104,11 @@ def identity_relation(
         addresses.join(named, "ip", "left")
         .withColumn("nameless", F.coalesce("nameless_entry", F.lit(True)))
         .join(range_counts(addresses, ranges), "ip", "left")
-        .join(first_network_match(addresses, networks, "seq", "User", span=span), "ip", "left")
+        .join(
+            first_network_match(addresses, networks, "seq", "User", span=span).withColumnRenamed("User", "network"),
+            "ip",
+            "left",
+        )
     )
     rows = facts.join(entries, "ip", "left")
     released = F.col("nameless") & F.col("ranges").isNotNull()
@@ -114,7 +118,7 @@ def identity_relation(
     user = F.when(F.col("released"), label).otherwise(
         unregistered_user(F.col("hostName"), F.col("macAddress"), F.col("user"))
     )
-    network = F.when(~F.col("released") & F.col("nameless"), F.col("User"))
+    network = F.when(~F.col("released") & F.col("nameless"), F.col("network"))
     copies = F.when(F.col("released"), F.sequence(F.lit(1).cast("bigint"), F.col("ranges"))).otherwise(
         F.array(F.lit(1).cast("bigint"))
     )

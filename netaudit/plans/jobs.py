@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from netaudit.functions.dates import shift_period
 from netaudit.functions.net import mac_search_key
 from netaudit.functions.text import trim_blanks
-from netaudit.operators.blocks import blocked_macs, deny_list, dhcp_ranges
+from netaudit.operators.blocks import blocked_macs, deny_list, dhcp_ranges, relevant_lines
 from netaudit.operators.matchjoin import mac_search
 from netaudit.plans.identity import identity_relation, report_keys
 from netaudit.plans.reports import enrich, shape
@@ -27,6 +27,7 @@ def _folder(root: str, name: str) -> str:
 
 def config_registers(lines: DataFrame, out: str) -> None:
     """Deny list, its export form, blocked MACs and DHCP ranges of a configuration."""
+    lines = relevant_lines(lines)
     denied = deny_list(lines).drop("file")
     write_register(denied, _folder(out, "deny_list"))
     write_register(denied_export(denied), _folder(out, "deny_list_export"))

@@ -79,27 +79,32 @@ def left_join_identity(rows: DataFrame, key: Column, identities: DataFrame, colu
     return rows.withColumn("_key", F.coalesce(key, spread)).join(found, F.col("_key") == F.col("_ip"), "left").drop("_key", "_ip")
 
 
-def table_has_cell(rows: DataFrame, name: str) -> DataFrame:
-    """Per report table whether any row has the cell: ``report, table, has_cell``."""
-    return rows.groupBy("report", "table").agg(F.bool_or(F.map_contains_key("cells", name)).alias("has_cell"))
+DEVICE = next(spec for spec in KEY_COLUMNS if spec.column == "Device2")
+
+
+def plain_device_table(rows: DataFrame) -> DataFrame:
+    """The device table (``report, table``) if any of its rows has a plain ``Device`` cell: at most one row."""
+    with_device = rows.filter(in_table(DEVICE.report, DEVICE.table) & F.map_contains_key("cells", "Device"))
+    return with_device.select("report", "table").distinct().withColumn("plain_device", F.lit(True))
 
 
 def key_cells(rows: DataFrame) -> DataFrame:
-    """Add ``key``, the address to look up, and write extracted addresses into an ``ip`` cell."""
+    """Add ``key``, the address to look up, and write extracted addresses into an ``ip`` cell.
+
+    The device table is read by its plain column where it has one. That is one fact, so it
+    is broadcast.
+    """
+    keyed = rows.join(F.broadcast(plain_device_table(rows)), ["report", "table"], "left")
     key, extracted = F.lit(None).cast("string"), F.lit(False)
-    device_tables = rows.filter(F.col("report") == C.CLIENT_REPUTATION)
-    flags = table_has_cell(device_tables, "Device")
-    keyed = rows.join(flags, ["report", "table"], "left")
     for spec in KEY_COLUMNS:
         value = cell(spec.column)
-        if spec.column == "Device2":
-            # The table is read by its plain column where it has one.
-            value = F.when(F.col("has_cell"), cell("Device")).otherwise(value)
+        if spec == DEVICE:
+            value = F.when(F.col("plain_device"), cell("Device")).otherwise(value)
         if spec.extract:
             value = extract_ip(value, anywhere=True)
             extracted = extracted | in_table(spec.report, spec.table)
         key = F.when(in_table(spec.report, spec.table), value).otherwise(key)
-    keyed = keyed.drop("has_cell").withColumn("key", key)
+    keyed = keyed.withColumn("key", key).drop("plain_device")
     return keyed.withColumn("cells", F.when(extracted, add_cells({"ip": F.col("key")})).otherwise(F.col("cells")))
 
 

@@ -18,9 +18,9 @@ from netaudit.constants import (
     XML_SINCE,
 )
 from netaudit.functions.dates import trend_periods
-from netaudit.functions.text import clean_csv_line, mb_to_gb, size_to_mb
+from netaudit.functions.text import mb_to_gb, size_to_mb, token
 from netaudit.operators.shaping import size_cell
-from netaudit.sources.lines import number_lines, section_of_numbered
+from netaudit.sources.lines import csv_sections
 
 # Rows of the two sections of the sectioned CSV report, and the total's rank.
 STATISTICS_ROWS, APPLICATION_ROWS = 8, 30
@@ -32,21 +32,22 @@ def _trend_row(application: Column, size: Column) -> list[Column]:
 
 
 def trend_of_csv(lines: DataFrame, period: Column) -> DataFrame:
-    """Trend rows of sectioned CSV reports; ``period`` is the month of a line's file."""
-    numbered = number_lines(lines.withColumn("line", clean_csv_line(F.col("line"))))
-    months = lines.select("file", period.alias("yyyymm")).distinct()
-    statistics = section_of_numbered(
-        numbered, f"###{TRAFFIC_STATISTICS}###", STATISTICS_ROWS, ["ID", "Summary", "Statistics"]
-    )
-    first = F.min_by("Statistics", F.when(F.col("Summary") == TOTAL_TITLE, F.col("row_no")))
-    totals = statistics.groupBy("file").agg(first.alias("size"))
-    top = section_of_numbered(
-        numbered, f"###{TOP_APPLICATIONS}###", APPLICATION_ROWS, ["ID", "application", "size", "sessions"]
-    )
-    rows = top.select("file", "application", "size").unionByName(
-        totals.select("file", F.lit(TOTAL_TITLE).alias("application"), "size")
+    """Trend rows of sectioned CSV reports; ``period`` gives the month of a ``file``.
+
+    A report without total has a total row without size.
+    """
+    cells = csv_sections(lines, {
+        "total": (f"###{TRAFFIC_STATISTICS}###", STATISTICS_ROWS),
+        "top": (f"###{TOP_APPLICATIONS}###", APPLICATION_ROWS),
+    })
+    is_total = F.col("section") == "total"
+    second, third = token(F.col("cells"), 2), token(F.col("cells"), 3)
+    counts = ~is_total | (second == TOTAL_TITLE)
+    rows = cells.groupBy("file", "section", F.when(~is_total, F.col("row_no")).alias("row")).agg(
+        F.min_by(F.struct(second.alias("application"), third.alias("size")), F.when(counts, F.col("row_no"))).alias("r")
     )
-    return rows.join(months, "file").select(*_trend_row(F.col("application"), F.col("size")))
+    application = F.when(is_total, F.lit(TOTAL_TITLE)).otherwise(F.col("r.application"))
+    return rows.withColumn("yyyymm", period).select(*_trend_row(application, F.col("r.size")))
 
 
 def trend_of_xml(rows: DataFrame) -> DataFrame:

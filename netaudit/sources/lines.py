@@ -6,12 +6,12 @@ input split, so no chunk outgrows ``spark.sql.files.maxPartitionBytes``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from netaudit.functions.text import clean_csv_line
-from netaudit.operators.scan import ordered_scan
+from netaudit.operators.scan import lines_since, ordered_scan
 
 
 
@@ -105,31 +105,31 @@ def number_lines(lines: DataFrame) -> DataFrame:
     return ordered_scan(lines, ["file"], ["chunk"], "pos", total={"line_no": F.lit(1)})
 
 
-def csv_section(lines: DataFrame, title: str, rows: int, names: Sequence[str]) -> DataFrame:
-    """Rows of one titled section of a sectioned CSV report.
+def csv_sections(lines: DataFrame, titles: Mapping[str, tuple[str, int]]) -> DataFrame:
+    """Cells of titled sections of sectioned CSV reports: ``file, section, row_no, cells``.
 
-    After the first line holding ``title`` one header line is skipped and the next ``rows``
-    lines are split at commas and named by position. Gives ``file``, ``row_no`` and the names.
+    ``titles`` gives each section its title text and number of rows. After the first line
+    that holds the title one header line is skipped, and the next lines are split at commas.
+    All sections are found in one scan; a section ends early where its title comes again.
     """
-    numbered = number_lines(lines.withColumn("line", clean_csv_line(F.col("line"))))
-    return section_of_numbered(numbered, title, rows, names)
+    cleaned = lines.withColumn("line", clean_csv_line(F.col("line")))
+    marks = {section: F.contains("line", F.lit(title)) for section, (title, _) in titles.items()}
+    scanned = ordered_scan(
+        cleaned, ["file"], ["chunk"], "pos",
+        since={f"after_{section}": lines_since(mark) for section, mark in marks.items()},
+        total_before={f"seen_{section}": mark.cast("int") for section, mark in marks.items()},
+    )
+    section, row_no = F.lit(None).cast("string"), F.lit(None).cast("int")
+    for name, (_, rows) in titles.items():
+        inside = (F.col(f"seen_{name}") == 1) & F.col(f"after_{name}").between(1, rows) & ~marks[name]
+        section = F.when(inside, F.lit(name)).otherwise(section)
+        row_no = F.when(inside, F.col(f"after_{name}").cast("int")).otherwise(row_no)
+    rows = scanned.select("file", section.alias("section"), row_no.alias("row_no"), F.split("line", ",", -1).alias("cells"))
+    return rows.filter(F.col("section").isNotNull())
 
 
-def section_of_numbered(numbered: DataFrame, title: str, rows: int, names: Sequence[str]) -> DataFrame:
-    """Like :func:`csv_section`, for cleaned lines that carry ``line_no``."""
-    titles = (
-        numbered.filter(F.col("line").rlike(title))
-        .groupBy("file")
-        .agg(F.min("line_no").alias("title_no"))
-    )
-    offset = F.col("line_no") - F.col("title_no")
-    cells = F.split("line", ",", -1)
-    return (
-        numbered.join(titles, "file")
-        .filter(offset.between(2, rows + 1))
-        .select(
-            "file",
-            (offset - 1).cast("int").alias("row_no"),
-            *[F.try_element_at(cells, F.lit(i)).alias(name) for i, name in enumerate(names, 1)],
-        )
+def csv_section(lines: DataFrame, title: str, rows: int, names: Sequence[str]) -> DataFrame:
+    """One section with its cells named by position: ``file, row_no`` and the names."""
+    return csv_sections(lines, {"section": (title, rows)}).select(
+        "file", "row_no", *[F.try_element_at("cells", F.lit(i)).alias(name) for i, name in enumerate(names, 1)]
     )

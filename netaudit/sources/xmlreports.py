@@ -153,39 +153,62 @@ def _read(spark: SparkSession, path, row_tag: str, schema: StructType | None) ->
     return rows.select(
         file.alias("file"),
         report_name(file).alias("report"),
-        F.struct(file.alias("file"), F.monotonically_increasing_id().alias("n"), F.lit(0).alias("t")).alias("at"),
+        F.struct(file.alias("file"), F.monotonically_increasing_id().alias("n")).alias("at"),
         F.struct(*[F.col(f"`{name}`") for name in rows.columns]).alias("element"),
     )
 
 
+def rows_of_sections(sections: DataFrame, dtype: StructType) -> DataFrame:
+    """Rows of per-user section elements, under the tables' common names.
+
+    ``sections`` has the element as struct ``element`` of type ``dtype``, ``at`` and any other
+    columns, which are kept.
+    """
+    kept = [c for c in sections.columns if c not in ("element", "at")]
+    tables, inner = _elements(F.col("element.table"), dtype["table"].dataType)
+    listed = sections.select(
+        *kept, F.col(f"element.`{ATTRIBUTE}name`").alias("section"), "at", F.posexplode(tables).alias("t", "table")
+    ).select(*kept, "section", F.struct("at", "t").alias("at"), F.col("table").alias("element"))
+    return user_sections(rows_of_tables(listed, inner))
+
+
 def read_reports(
-    spark: SparkSession, path, user_path=None, schema: StructType | None = None, user_schema: StructType | None = None
+    spark: SparkSession, path, schema: StructType | None = None, user_schema: StructType | None = None
 ) -> DataFrame:
-    """Long table of plain reports at ``path`` and per-user section reports at ``user_path``.
+    """Long table of all reports of a folder.
 
     Give the schemas where they are known: inferring them reads the files once more.
     """
     tables = _read(spark, path, "table", schema).filter(F.col("report") != USER_REPORT)
     rows = rows_of_tables(tables, tables.schema["element"].dataType)
-    if user_path is None:
-        return rows
-    sections = _read(spark, user_path, USER_SECTION, user_schema).filter(F.col("report") == USER_REPORT)
-    dtype = sections.schema["element"].dataType["table"].dataType
-    element = F.col("element.table")
-    if not isinstance(dtype, ArrayType):
-        element, dtype = F.array(element), ArrayType(dtype)
-    listed = sections.select(
-        "file", "report", F.col(f"element.`{ATTRIBUTE}name`").alias("section"), F.col("at").alias("of"),
-        F.posexplode(element).alias("t", "element"),
-    ).select("file", "report", "section", F.struct("of.file", "of.n", "t").alias("at"), "element")
-    return rows.unionByName(user_sections(rows_of_tables(listed, dtype.elementType)))
+    sections = _read(spark, path, USER_SECTION, user_schema).filter(F.col("report") == USER_REPORT)
+    dtype = sections.schema["element"].dataType
+    if "table" not in dtype.names:
+        return rows.withColumn("place", _flat_place("place.at", "place.row"))
+    of_sections = rows_of_sections(sections, dtype)
+    return rows.withColumn("place", _flat_place("place.at", "place.row")).unionByName(
+        of_sections.withColumn("place", _flat_place("place.at.at", "place.row", "place.at.t"))
+    )
+
+
+def _flat_place(at: str, row: str, table: str | None = None) -> Column:
+    within = F.col(table) if table else F.lit(0)
+    return F.struct(F.col(f"{at}.file"), F.col(f"{at}.n"), within.alias("t"), F.col(row).alias("row"))
+
+
+def rows_of_xml_column(df: DataFrame, xml: str, schema: StructType, at: str, row_tag: str = "table") -> DataFrame:
+    """Rows of XML elements held as text in a column: tables or per-user sections.
+
+    ``at`` orders the elements; the other columns are kept.
+    """
+    parsed = df.withColumn("element", F.from_xml(xml, schema, XML_OPTIONS | {"rowTag": row_tag}))
+    elements = parsed.drop(xml).withColumnRenamed(at, "at")
+    return rows_of_tables(elements, schema) if row_tag == "table" else rows_of_sections(elements, schema)
 
 
-def rows_of_xml_column(df: DataFrame, xml: str, schema: StructType, at: str) -> DataFrame:
-    """Rows of ``table`` elements held as XML text in a column; other columns are kept."""
-    options = XML_OPTIONS | {"rowTag": "table"}
-    parsed = df.withColumn("element", F.from_xml(xml, schema, options))
-    return rows_of_tables(parsed.drop(xml).withColumnRenamed(at, "at"), schema)
+def section_schema(table: StructType) -> StructType:
+    """Schema of a per-user section of ``table`` elements."""
+    return StructType().add(f"{ATTRIBUTE}name", StringType()).add("table", ArrayType(table))
 
 
 def table_schema(columns: dict[str, bool], own: list[str] = ()) -> StructType:
