@@ -7,11 +7,9 @@ before the shuffle. No step compares all pairs, and no step depends on a side be
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from netaudit.functions.net import first_octet, ipv4_number, network_bits, network_low
+from netaudit.functions.net import ipv4_number, network_bits, network_low
 
 ADDRESS_BITS = 32
 
@@ -95,11 +93,14 @@ def first_suffix_match(
     return reached.join(entries, "key").groupBy(probe).agg(F.min_by("match", "order").alias("match"))
 
 
-def block_keys(number: Column, host_bits: Iterable[int] = range(ADDRESS_BITS + 1)) -> Column:
-    """The aligned power-of-two blocks that hold an address, as ``(bits, block)`` structs."""
-    return F.array(*[
-        F.struct(F.lit(bits).alias("bits"), F.shiftright(number, bits).alias("block")) for bits in host_bits
-    ])
+def probe_blocks(ips: DataFrame, ip: str, largest: int = ADDRESS_BITS) -> DataFrame:
+    """Each address with the aligned power-of-two blocks that hold it, as ``bits, block``.
+
+    Only well-formed addresses give any. ``ips`` should be distinct.
+    """
+    numbered = ips.select(ip, ipv4_number(F.col(ip)).alias("number")).filter(F.col("number").isNotNull())
+    blocks = F.array(*[F.shiftright("number", bits) for bits in range(largest + 1)])
+    return numbered.select(ip, F.posexplode(blocks).alias("bits", "block"))
 
 
 def range_blocks(low: Column, high: Column) -> Column:
@@ -120,20 +121,37 @@ def range_blocks(low: Column, high: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(ADDRESS_BITS)), at))
 
 
-def range_hits(ips: DataFrame, ranges: DataFrame, payload: list[str], ip: str = "ip") -> DataFrame:
-    """All pairs of an address and a ``(lo, hi)`` range that holds it: ``(ip, *payload)``.
+def blocks_of_ranges(ranges: DataFrame, payload: list[str]) -> DataFrame:
+    """``(lo, hi)`` ranges as blocks: ``bits, block, *payload``."""
+    blocks = ranges.select(*payload, F.explode(range_blocks(F.col("lo"), F.col("hi"))).alias("at"))
+    return blocks.select("at.bits", "at.block", *payload)
+
 
-    ``ips`` should be distinct. Only well-formed addresses match.
+def blocks_of_networks(networks: DataFrame, order: str, name: str, span: bool) -> DataFrame:
+    """Networks with a ``cidr`` text as blocks: ``bits, block, order, name``, the first of each block.
+
+    Malformed networks and those with host bits set are left out. A network shorter than /8
+    counts for its first octet only unless ``span``.
     """
-    blocks = ranges.select(*payload, F.explode(range_blocks(F.col("lo"), F.col("hi"))).alias("at"))
-    blocks = blocks.select(*payload, "at.bits", "at.block")
-    probes = ips.select(ip, F.explode(block_keys(ipv4_number(F.col(ip)))).alias("at"))
-    return probes.select(ip, "at.bits", "at.block").join(blocks, ["bits", "block"]).select(ip, *payload)
+    bits = network_bits(F.col("cidr"))
+    size = F.lit(ADDRESS_BITS) - (bits if span else F.greatest(bits, F.lit(8)))
+    low = network_low(F.col("cidr"))
+    return (
+        networks.filter(low.isNotNull())
+        .select(
+            size.alias("bits"),
+            F.call_function("shiftright", low, size).alias("block"),
+            F.col(name).alias("_name"),
+            F.col(order).alias("_order"),
+        )
+        .groupBy("bits", "block")
+        .agg(F.min_by("_name", "_order").alias(name), F.min("_order").alias("order"))
+    )
 
 
-def range_counts(ips: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
-    """Number of ranges holding each address that is in any: ``(ip, ranges)``."""
-    return range_hits(ips, ranges, [], ip).groupBy(ip).agg(F.count("*").alias("ranges"))
+def range_hits(ips: DataFrame, ranges: DataFrame, payload: list[str], ip: str = "ip") -> DataFrame:
+    """All pairs of a distinct address and a ``(lo, hi)`` range that holds it: ``(ip, *payload)``."""
+    return probe_blocks(ips, ip).join(blocks_of_ranges(ranges, payload), ["bits", "block"]).select(ip, *payload)
 
 
 def first_network_match(
@@ -141,30 +159,31 @@ def first_network_match(
 ) -> DataFrame:
     """First network in ``order`` that holds each distinct address: ``(ip, name)``.
 
-    ``networks`` has a ``cidr`` text. Malformed networks and those with host bits set match
-    nothing. A network shorter than /8 is found only inside its first octet unless ``span``.
+    For which networks count see :func:`blocks_of_networks`.
     """
-    bits = network_bits(F.col("cidr"))
-    size = F.lit(ADDRESS_BITS) - (bits if span else F.greatest(bits, F.lit(8)))
-    entries = (
-        networks.select(
-            F.col(name),
-            F.col(order).alias("order"),
-            size.alias("bits"),
-            F.call_function("shiftright", network_low(F.col("cidr")), size).alias("block"),
-        )
-        .filter(F.col("block").isNotNull())
-        .groupBy("bits", "block")
-        .agg(F.min_by(name, "order").alias(name), F.min("order").alias("order"))
-    )
-    host_bits = range(ADDRESS_BITS + 1) if span else range(ADDRESS_BITS - 8 + 1)
-    probes = ips.select(ip).distinct().select(
-        ip, F.explode(block_keys(ipv4_number(F.col(ip)), host_bits)).alias("at")
-    )
-    matches = probes.select(ip, "at.bits", "at.block").join(entries, ["bits", "block"])
+    probes = probe_blocks(ips.select(ip).distinct(), ip, ADDRESS_BITS if span else ADDRESS_BITS - 8)
+    matches = probes.join(blocks_of_networks(networks, order, name, span), ["bits", "block"])
     return matches.groupBy(ip).agg(F.min_by(name, "order").alias(name))
 
 
+def range_and_network(
+    ips: DataFrame, ranges: DataFrame, networks: DataFrame, order: str, name: str, ip: str = "ip", span: bool = False
+) -> DataFrame:
+    """Both lookups in one: ``(ip, ranges, name)`` of the distinct addresses found in any.
+
+    ``ranges`` is the number of ranges that hold the address, zero if none.
+    """
+    in_ranges = blocks_of_ranges(ranges, []).groupBy("bits", "block").agg(F.count("*").alias("ranges"))
+    in_networks = blocks_of_networks(networks, order, name, span)
+    blocks = in_ranges.unionByName(in_networks, allowMissingColumns=True)
+    return (
+        probe_blocks(ips, ip)
+        .join(blocks, ["bits", "block"])
+        .groupBy(ip)
+        .agg(F.coalesce(F.sum("ranges"), F.lit(0)).alias("ranges"), F.min_by(name, "order").alias(name))
+    )
+
+
 def invalid_networks(networks: DataFrame) -> DataFrame:
     """Networks that :func:`first_network_match` leaves out."""
     return networks.filter(network_low(F.col("cidr")).isNull())

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from netaudit.constants import BLANK_HOST, RELEASED, UNREGISTERED
 from netaudit.functions.net import extract_domain, extract_ip, is_ip
-from netaudit.operators.matchjoin import first_network_match, first_suffix_match, range_counts, range_hits
+from netaudit.operators.matchjoin import first_network_match, first_suffix_match, range_and_network, range_hits
+from netaudit.session import checkpointed
 from netaudit.sources.registers import DEVICE_COLUMNS
 
 REST = [name for name in DEVICE_COLUMNS if name != "ip"]
@@ -95,23 +96,22 @@ def identity_relation(
 
     Whether an address is released or takes a network's name depends on the address alone:
     on whether it has a nameless row, on the ranges that hold it and on the networks. So
-    these are joined per key, and no step reads the result of an earlier one twice.
+    these are joined per key, and no step reads the result of an earlier one twice. Keys and
+    register are read several times; they are written out first, so that the reports and
+    the sources of the register are read once.
     """
+    keys, register = checkpointed(keys), checkpointed(register)
     addresses = keys.filter(is_ip(F.col("ip"))).select("ip")
     entries = register.filter(is_ip(F.col("ip"))).select(*DEVICE_COLUMNS)
     named = entries.groupBy("ip").agg(F.bool_or(F.col("hostName").isNull()).alias("nameless_entry"))
+    found = range_and_network(addresses, ranges, networks, "seq", "User", span=span).withColumnRenamed("User", "network")
     facts = (
         addresses.join(named, "ip", "left")
         .withColumn("nameless", F.coalesce("nameless_entry", F.lit(True)))
-        .join(range_counts(addresses, ranges), "ip", "left")
-        .join(
-            first_network_match(addresses, networks, "seq", "User", span=span).withColumnRenamed("User", "network"),
-            "ip",
-            "left",
-        )
+        .join(found, "ip", "left")
     )
     rows = facts.join(entries, "ip", "left")
-    released = F.col("nameless") & F.col("ranges").isNotNull()
+    released = F.col("nameless") & (F.coalesce("ranges", F.lit(0)) > 0)
     kept = rows.withColumn("released", released).filter(~F.col("released") | F.col("hostName").isNull())
     label = released_label(F.col("macAddress"))
     host = F.when(F.col("released"), label).otherwise(F.col("hostName"))

@@ -274,12 +274,13 @@ def size_to_mb(spark, sf):
 
 def trend_rows(spark, sf, wanted: Column) -> DataFrame:
     """Trend rows of the wanted months, by the reader each month takes."""
-    monthly = inputs.monthly_applications(spark, sf).filter(wanted)
+    monthly = jobs.checkpointed(inputs.monthly_applications(spark, sf).filter(wanted))
     old = monthly.filter(trend.reader_of(F.col("yyyymm"), XML_SINCE) == "csv")
     new = monthly.filter(trend.reader_of(F.col("yyyymm"), XML_SINCE) == "xml")
     schema = xmlreports.table_schema({n: False for n in ["Summary", "Statistics", "Application", "Bytes", "Sessions"]})
     xml = xmlreports.rows_of_xml_column(inputs.xml_report_column(new), "xml", schema, "at")
-    return trend.trend_of_csv(inputs.csv_report_lines(old), F.col("file")).unionByName(trend.trend_of_xml(xml))
+    rows = trend.trend_of_csv(inputs.csv_report_lines(old), F.col("file")).unionByName(trend.trend_of_xml(xml))
+    return jobs.checkpointed(rows)
 
 
 def bandwidth_trend(spark, sf):
