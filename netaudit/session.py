@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,18 +23,27 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     )
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """Shared folder for intermediate tables.
+
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session that names none
+    gets a temporary folder of its own.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="run-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and read it back, so that later steps start there.
+    """Write ``df`` as a table in the scratch folder and read it back.
 
-    The cluster names the shared folder in ``spark.checkpoint.dir``. Only a local session
-    that names none gets a temporary folder of its own.
+    Later steps start from the table: it survives lost executors, its size is known to the
+    planner, and several readers share one run of what made it.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="run-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{scratch_folder(df.sparkSession).rstrip('/')}/netaudit-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
