@@ -3,26 +3,54 @@
 from __future__ import annotations
 
 from datetime import date
-from pathlib import PurePosixPath
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from netaudit.functions.dates import shift_period
+from netaudit.constants import BANDWIDTH_REPORT, XML_SINCE
+from netaudit.functions.dates import shift_period, trend_periods
 from netaudit.functions.net import mac_search_key
 from netaudit.functions.text import trim_blanks
 from netaudit.operators.blocks import blocked_macs, deny_list, dhcp_ranges, relevant_lines
 from netaudit.operators.matchjoin import mac_search
+from netaudit.plans.devices import device_register
 from netaudit.plans.identity import identity_relation, report_keys
 from netaudit.plans.reports import enrich, shape
+from netaudit.plans.review import (
+    missing_periods,
+    of_fiscal_year,
+    produced_periods,
+    read_calendar,
+    review_records,
+)
+from netaudit.plans.trend import chart_series, trend_of_csv, trend_of_xml, with_ranks
 from netaudit.plans.vpn import vpn_local_ips, vpn_sessions
 from netaudit.session import checkpointed
-from netaudit.sinks.tables import write_register
+from netaudit.sinks.tables import write_register, write_reports, write_review_records, write_trend
 from netaudit.sources.lines import base_name, read_lines, read_vpn_lines
-from netaudit.sources.registers import valid_on
+from netaudit.sources.registers import (
+    ALLOW_SCHEMA,
+    ASSET_SCHEMA,
+    DENY_SCHEMA,
+    RANGE_SCHEMA,
+    STATIC_SCHEMA,
+    VPN_LOCAL_SCHEMA,
+    VPN_SCHEMA,
+    WHOIS_SCHEMA,
+    allowed_domains,
+    assets_in_use,
+    network_register,
+    read_leases,
+    read_parameters,
+    read_register,
+    static_devices,
+    valid_on,
+)
+from netaudit.sources.xmlreports import bandwidth_file, check_complete, list_reports, read_reports, read_tables
 
 
 def _folder(root: str, name: str) -> str:
-    return str(PurePosixPath(root) / name) if "://" not in root else f"{root.rstrip('/')}/{name}"
+    return f"{root.rstrip('/')}/{name}"
 
 
 def config_registers(lines: DataFrame, out: str) -> None:
@@ -65,6 +93,71 @@ def audit_reports(
     return identities, shape(enrich(rows, identities))
 
 
+def monthly_audit(spark: SparkSession, reports: str, ext: str, yyyymm: str, own_label: str, out: str) -> None:
+    """Annotate the reports of a folder and write them under ``out``.
+
+    ``ext`` holds the snapshots of :func:`config_registers`, :func:`vpn_registers` and
+    :func:`refresh_registers`, the lease files (``dhcp``) and the parameter register
+    (``parameters``).
+    """
+    def register(name: str, schema: str) -> DataFrame:
+        return read_register(spark, _folder(ext, name), schema)
+
+    check_complete(list_reports(spark, reports))
+    devices = device_register(
+        static_devices(register("static", STATIC_SCHEMA)),
+        read_leases(spark, _folder(ext, "dhcp")),
+        register("deny_list", DENY_SCHEMA),
+        allowed_domains(register("allow_list", ALLOW_SCHEMA)),
+        assets_in_use(register("assets", ASSET_SCHEMA)),
+        register("vpn", VPN_SCHEMA).drop("seq"),
+        register("vpn_local", VPN_LOCAL_SCHEMA).drop("seq"),
+    )
+    networks = network_register(
+        register("whois", WHOIS_SCHEMA), read_parameters(spark, _folder(ext, "parameters")), own_label
+    )
+    ranges = register("dhcp_ranges", RANGE_SCHEMA).drop("seq")
+    rows = checkpointed(read_reports(spark, reports).select("report", "table", "place", "cells"))
+    _, shaped = audit_reports(rows, devices, ranges, networks)
+    write_reports(shaped, yyyymm, _folder(out, "reports"))
+
+
+# Fixed value: folder of a month's reports below the common root.
+MONTH_FOLDER = "UTM Logs {}/input"
+
+
+def bandwidth_report(spark: SparkSession, root: str, yyyymm: str, out: str, xml_since: str = XML_SINCE) -> None:
+    """Write the thirteen-month trend of the bandwidth reports and its chart series."""
+    periods = trend_periods(yyyymm)
+    period = F.regexp_extract("file", MONTH_FOLDER.format("([0-9]{6})"), 1)
+    glob = f"{BANDWIDTH_REPORT}-*"
+    parts = []
+    for reader, months in (
+        ("csv", [p for p in periods if p < xml_since]),
+        ("xml", [p for p in periods if p >= xml_since]),
+    ):
+        folders = [_folder(root, MONTH_FOLDER.format(p)) for p in months]
+        if folders and reader == "csv":
+            lines = read_lines(spark, folders, glob)
+            parts.append(trend_of_csv(lines.filter(bandwidth_file(F.col("file"), BANDWIDTH_REPORT)), period))
+        elif folders:
+            rows = read_tables(spark, folders, glob=glob)
+            rows = rows.filter(bandwidth_file(F.col("file"), BANDWIDTH_REPORT)).withColumn("yyyymm", period)
+            parts.append(trend_of_xml(rows))
+    trend = checkpointed(reduce(DataFrame.unionByName, parts))
+    write_trend(with_ranks(trend), chart_series(trend), yyyymm, out)
+
+
+def missing_reviews(
+    spark: SparkSession, calendar: str, records: str, header: str, today: date,
+    creator: str, approver: str, participants: str, out: str,
+) -> None:
+    """Write a review record for every period of the fiscal year that has none."""
+    due = of_fiscal_year(read_calendar(spark, calendar), today)
+    missing = missing_periods(due, produced_periods(spark, records, header))
+    write_review_records(review_records(missing, creator, approver, participants), out)
+
+
 def mac_matches(spark: SparkSession, mac_list: str, tables: str) -> DataFrame:
     """Lines of the switch tables that hold a listed MAC: ``mac, file, line``."""
     macs = spark.read.text(mac_list).select(mac_search_key(trim_blanks(F.col("value"))).alias("mac"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from netaudit.constants import BLANK_HOST, DHCP_MARKERS
 from netaudit.functions.net import has_mac, is_ip
 from netaudit.functions.text import token, trim_blanks
-from netaudit.sources.lines import read_lines
+from netaudit.sources.lines import decoded_name, read_lines
 
 # Column names of the registers.
 STATIC_SCHEMA = "`IPアドレス` string, `ホスト名` string, `設置場所` string, `管理者` string, `用途` string"
@@ -22,6 +22,7 @@ ALLOW_SCHEMA = "domain string, Description1 string"
 DENY_SCHEMA = "ip string, hostName string, macAddress string"
 WHOIS_SCHEMA = "User string, ip string"
 VPN_SCHEMA = "ip string, user string"
+VPN_LOCAL_SCHEMA = "ip string"
 RANGE_SCHEMA = "interface string, lo long, hi long"
 DELETED_ON = "削除日"
 
@@ -166,37 +167,42 @@ def leases_of_cells(cells: DataFrame, rank: int = 0) -> DataFrame:
     return rows.filter(is_ip(F.col("ip")))
 
 
-def read_leases(spark: SparkSession, path: str, encoding: str | None = None, columns: int = 16, rank: int = 0) -> DataFrame:
-    """DHCP leases from tab-separated files without header.
+def read_leases(spark: SparkSession, path: str, columns: int = 16, rank: int = 0) -> DataFrame:
+    """DHCP leases from tab-separated files without header, each in UTF-8 or UTF-16.
 
-    UTF-8 files are split freely. UTF-16 files cannot be, so give ``encoding="UTF-16"`` for
-    folders of them; without an encoding the byte order mark of the files decides.
+    The byte order mark of a file tells which. UTF-8 files are split freely, UTF-16 ones
+    cannot be. ``columns`` is the number of cells read from a UTF-16 line.
     """
-    if encoding is None:
-        encoding = "UTF-16" if _has_utf16_mark(spark, path) else "UTF-8"
-    if encoding.upper().startswith("UTF-16"):
-        names = [f"c{i}" for i in range(columns)]
-        rows = (
-            spark.read.schema(", ".join(f"{name} string" for name in names))
-            .option("sep", "\t").option("encoding", encoding).option("multiLine", True).option("emptyValue", "")
-            .csv(path)
-        )
-        cells = rows.select(
-            F.col("_metadata.file_path").alias("file"),
-            F.lit(0).cast("bigint").alias("chunk"),
-            F.monotonically_increasing_id().alias("pos"),
-            # Nulls, not blanks, are what the source makes of empty cells.
-            F.array(*[F.coalesce(F.col(name), F.lit("")) for name in names]).alias("cells"),
-        )
-    else:
-        cells = read_lines(spark, path).select(
-            "file", "chunk", "pos",
-            F.split(F.translate("line", '"\r', ""), "\t", -1).alias("cells"),
-        )
+    marked = utf16_files(spark, path)
+    lines = read_lines(spark, path)
+    if marked:
+        lines = lines.filter(~F.col("file").isin(marked))
+    cells = lines.select("file", "chunk", "pos", F.split(F.translate("line", '"\r', ""), "\t", -1).alias("cells"))
+    if marked:
+        cells = cells.unionByName(_utf16_cells(spark, marked, columns))
     return leases_of_cells(cells, rank)
 
 
-def _has_utf16_mark(spark: SparkSession, path: str) -> bool:
+def utf16_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files that start with a UTF-16 byte order mark."""
     mark = F.hex(F.substring(F.col("value").cast("binary"), 1, 2))
-    lines = spark.read.text(path).filter(F.col("_metadata.file_block_start") == 0)
-    return not lines.filter(mark.isin("FFFE", "FEFF")).isEmpty()
+    file = decoded_name(F.col("_metadata.file_path"))
+    starts = spark.read.text(path).filter((F.col("_metadata.file_block_start") == 0) & mark.isin("FFFE", "FEFF"))
+    return [row.file for row in starts.select(file.alias("file")).distinct().collect()]
+
+
+def _utf16_cells(spark: SparkSession, files: list[str], columns: int) -> DataFrame:
+    names = [f"c{i}" for i in range(columns)]
+    rows = (
+        spark.read.schema(", ".join(f"{name} string" for name in names))
+        .options(sep="\t", encoding="UTF-16", multiLine=True, emptyValue="")
+        .csv(files)
+    )
+    # The source makes nulls of empty cells.
+    cells = F.array(*[F.coalesce(F.col(name), F.lit("")) for name in names])
+    return rows.select(
+        decoded_name(F.col("_metadata.file_path")).alias("file"),
+        F.lit(0).cast("bigint").alias("chunk"),
+        F.monotonically_increasing_id().alias("pos"),
+        cells.alias("cells"),
+    )

@@ -144,8 +144,8 @@ def user_sections(rows: DataFrame) -> DataFrame:
     )
 
 
-def _read(spark: SparkSession, path, row_tag: str, schema: StructType | None) -> DataFrame:
-    reader = spark.read.format("xml").options(**XML_OPTIONS).option("rowTag", row_tag).option("pathGlobFilter", "*.xml")
+def _read(spark: SparkSession, path, row_tag: str, schema: StructType | None, glob: str = "*.xml") -> DataFrame:
+    reader = spark.read.format("xml").options(**XML_OPTIONS).option("rowTag", row_tag).option("pathGlobFilter", glob)
     if schema is not None:
         reader = reader.schema(schema)
     rows = reader.load(path)
@@ -172,23 +172,28 @@ def rows_of_sections(sections: DataFrame, dtype: StructType) -> DataFrame:
     return user_sections(rows_of_tables(listed, inner))
 
 
+def read_tables(spark: SparkSession, path, schema: StructType | None = None, glob: str = "*.xml") -> DataFrame:
+    """Long table of the ``table`` elements of the files, without per-user sections."""
+    tables = _read(spark, path, "table", schema, glob).filter(F.col("report") != USER_REPORT)
+    rows = rows_of_tables(tables, tables.schema["element"].dataType)
+    return rows.withColumn("place", _flat_place("place.at", "place.row"))
+
+
 def read_reports(
     spark: SparkSession, path, schema: StructType | None = None, user_schema: StructType | None = None
 ) -> DataFrame:
     """Long table of all reports of a folder.
 
-    Give the schemas where they are known: inferring them reads the files once more.
+    Give the schemas where they are known: inferring them reads the files once more. A table
+    is one record of the XML source; the reports are exports of the top rows, so it is small.
     """
-    tables = _read(spark, path, "table", schema).filter(F.col("report") != USER_REPORT)
-    rows = rows_of_tables(tables, tables.schema["element"].dataType)
+    rows = read_tables(spark, path, schema)
     sections = _read(spark, path, USER_SECTION, user_schema).filter(F.col("report") == USER_REPORT)
     dtype = sections.schema["element"].dataType
     if "table" not in dtype.names:
-        return rows.withColumn("place", _flat_place("place.at", "place.row"))
+        return rows
     of_sections = rows_of_sections(sections, dtype)
-    return rows.withColumn("place", _flat_place("place.at", "place.row")).unionByName(
-        of_sections.withColumn("place", _flat_place("place.at.at", "place.row", "place.at.t"))
-    )
+    return rows.unionByName(of_sections.withColumn("place", _flat_place("place.at.at", "place.row", "place.at.t")))
 
 
 def _flat_place(at: str, row: str, table: str | None = None) -> Column:

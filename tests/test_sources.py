@@ -94,12 +94,16 @@ def test_leases(spark, tmp_path):
 
 def test_leases_in_utf16(spark, tmp_path):
     write(tmp_path, "one.txt", LAYOUT_ONE, "utf-16")
-    write(tmp_path, "two.txt", LAYOUT_TWO.replace("pc 一号", "《端末》 一号"), "utf-16")
+    write(tmp_path, "two b.txt", LAYOUT_TWO.replace("pc 一号", "《端末》 一号"), "utf-16")
+    write(tmp_path, "three.txt", LAYOUT_TWO.replace("10.0.1", "10.0.3"))
+    assert sorted(f.split("/")[-1] for f in registers.utf16_files(spark, str(tmp_path))) == ["one.txt", "two b.txt"]
     assert leases(registers.read_leases(spark, str(tmp_path))) == [
         ("10.0.0.1", "00:11:22:33:44:55", "pc-1"),
         ("10.0.0.2", "00-11-22-33-44-66", C.BLANK_HOST),
         ("10.0.1.1", "0011.2233.4455", "《端末》"),
         ("10.0.1.2", "0011.2233.4466", None),
+        ("10.0.3.1", "0011.2233.4455", "pc"),
+        ("10.0.3.2", "0011.2233.4466", None),
     ]
 
 
