@@ -76,34 +76,39 @@ def blocked_macs(lines: DataFrame, per_entry: bool = False) -> DataFrame:
     opens, closes = _has("config reserved-address"), _has("end")
     if per_entry:
         opens, closes = F.col("line").rlike(r"^\s*edit "), F.trim("line") == "next"
-    settings = _has("set mac ") | _has("set action block") | _has("set description ")
+    sets = _has("set mac ") | _has("set action block") | _has("set description ")
     dhcp = section(
         lines,
         F.col("line") == DHCP_START,
         F.col("line") == "end",
-        keep=opens | closes | settings | _has(SET_INTERFACE),
-    )
+        keep=opens | closes | sets | _has(SET_INTERFACE),
+    )
+    settings = checkpointed(dhcp.select(
+        "file", "chunk", "pos", opens.alias("opens"), closes.alias("closes"),
+        _setting(SET_INTERFACE, SET_INTERFACE).alias("set_interface"),
+        _setting("set mac ", "set mac ").alias("macAddress"),
+        _setting("set action block", "set action ").alias("action"),
+        _setting("set description ", "set description ").alias("description"),
+    ))
     state = ordered_scan(
-        dhcp, ["file"], ["chunk"], "pos",
-        carry={"interFace": _setting(SET_INTERFACE, SET_INTERFACE)},
-        carry_before={"was_open": F.when(closes, False).when(opens, True)},
-    )
-    is_open = opens | F.coalesce("was_open", F.lit(False))
-    state = state.withColumn("open", is_open).withColumn("closing", is_open & closes)
-    blocks = ordered_scan(
-        state.filter("open"), ["file"], ["chunk"], "pos", total_before={"block": F.col("closing").cast("int")}
+        settings, ["file"], ["chunk"], "pos",
+        carry={"interFace": F.col("set_interface")},
+        carry_before={"was_open": F.when(F.col("closes"), False).when(F.col("opens"), True)},
     )
+    is_open = F.col("opens") | F.coalesce("was_open", F.lit(False))
+    state = state.filter(is_open).withColumn("closing", F.col("closes"))
+    blocks = ordered_scan(state, ["file"], ["chunk"], "pos", total_before={"block": F.col("closing").cast("int")})
 
-    def last_of(value: Column) -> Column:
-        return F.max_by(value, F.when(value.isNotNull() & ~F.col("closing"), place()))
+    def last_of(name: str) -> Column:
+        return F.max_by(name, F.when(F.col(name).isNotNull() & ~F.col("closing"), place())).alias(name)
 
     records = (
         blocks.groupBy("file", "block")
         .agg(
             F.max("closing").alias("closed"),
-            last_of(_setting("set mac ", "set mac ")).alias("macAddress"),
-            last_of(_setting("set action block", "set action ")).alias("action"),
-            last_of(_setting("set description ", "set description ")).alias("description"),
+            last_of("macAddress"),
+            last_of("action"),
+            last_of("description"),
             F.max_by("interFace", F.when(F.col("closing"), place())).alias("interFace"),
         )
         .filter("closed and macAddress is not null")
@@ -137,11 +142,15 @@ def dhcp_ranges(lines: DataFrame, all_ranges: bool = False) -> DataFrame:
     )
     kind = F.when(_has("set start-ip "), F.lit("start")).when(_has("set end-ip "), F.lit("end"))
     address = F.coalesce(_setting("set start-ip ", "set start-ip "), _setting("set end-ip ", "set end-ip "))
+    settings = checkpointed(dhcp.select(
+        "file", "chunk", "pos", kind.alias("kind"), address.alias("address"),
+        _setting(SET_INTERFACE, SET_INTERFACE).alias("set_interface"),
+    ))
     ends = ordered_scan(
-        dhcp, ["file"], ["chunk"], "pos",
-        carry={"interface": _setting(SET_INTERFACE, SET_INTERFACE)},
-        carry_before={"previous": F.when(kind.isNotNull(), F.struct(kind.alias("kind"), address.alias("address")))},
-    ).withColumn("address", address).withColumn("continues", F.col("previous.kind").eqNullSafe(kind)).filter(kind.isNotNull())
+        settings, ["file"], ["chunk"], "pos",
+        carry={"interface": F.col("set_interface")},
+        carry_before={"previous": F.when(F.col("kind").isNotNull(), F.struct("kind", "address"))},
+    ).filter("kind is not null").withColumn("continues", F.expr("previous.kind <=> kind"))
     runs = ordered_scan(
         ends, ["file"], ["chunk"], "pos",
         since={"runs": lines_since(F.col("continues"))},

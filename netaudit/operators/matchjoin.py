@@ -12,12 +12,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 from netaudit.functions.net import ipv4_number, network_bits, network_low
 
 ADDRESS_BITS = 32
+# Blocks of addresses are at most this large, so that one block holds a bounded number of them.
+LARGEST_BLOCK = 16
 
 
-def text_prefixes(text: Column, shortest: int = 1) -> Column:
-    """All prefixes of a text from ``shortest`` characters on."""
-    lengths = F.when(F.length(text) >= shortest, F.sequence(F.lit(shortest), F.length(text)))
-    return F.transform(lengths, lambda n: F.substring(text, 1, n))
+def with_prefixes(texts: DataFrame, text: str, keys: DataFrame, key: str, name: str) -> DataFrame:
+    """One row per text and prefix of a length that some key has, the prefix in column ``name``.
+
+    The lengths are at most as many as the longest key has characters, so they are broadcast.
+    """
+    lengths = keys.select(F.length(key).alias("_length")).distinct()
+    all_lengths = F.sequence(F.lit(0), F.length(text))
+    spread = texts.filter(F.col(text).isNotNull()).withColumn("_length", F.explode(all_lengths))
+    kept = spread.join(F.broadcast(lengths), "_length", "left_semi")
+    return kept.withColumn(name, F.substring(F.col(text), F.lit(1), F.col("_length"))).drop("_length")
 
 
 def dot_places(pattern: Column) -> Column:
@@ -34,7 +42,7 @@ def with_dots(text: Column, length: Column, dots: Column) -> Column:
     ))
 
 
-def prefix_keys(texts: DataFrame, text: str, patterns: DataFrame, pattern: str, literal: bool, shortest: int = 1) -> DataFrame:
+def prefix_keys(texts: DataFrame, text: str, patterns: DataFrame, pattern: str, literal: bool) -> DataFrame:
     """Texts with one row per pattern text (column ``key``) that begins them.
 
     A dot in a pattern matches any character unless ``literal``. Patterns without dots meet
@@ -42,23 +50,24 @@ def prefix_keys(texts: DataFrame, text: str, patterns: DataFrame, pattern: str,
     before the first dot, length, dot places); a text takes the shapes whose leading text
     begins it, and writing the dots into it gives the key to compare whole.
     """
-    prefixes = texts.withColumn("key", F.explode(text_prefixes(F.col(text), shortest)))
     if literal:
-        return prefixes
-    dotted = patterns.filter(F.contains(pattern, F.lit("."))).select(
+        return with_prefixes(texts, text, patterns, pattern, "key")
+    has_dot = F.contains(pattern, F.lit("."))
+    shapes = patterns.filter(has_dot).select(
         F.split_part(pattern, F.lit("."), F.lit(1)).alias("head"),
         F.length(pattern).alias("shape_length"),
         dot_places(F.col(pattern)).alias("shape_dots"),
     ).distinct()
     shaped = (
-        texts.withColumn("head", F.explode(text_prefixes(F.col(text), 0)))
-        .join(dotted, "head")
+        with_prefixes(texts, text, shapes, "head", "head")
+        .join(shapes, "head")
         .filter(F.length(text) >= F.col("shape_length"))
         .withColumn("key", with_dots(F.col(text), F.col("shape_length"), F.col("shape_dots")))
         .drop("head", "shape_length", "shape_dots")
     )
+    plain = with_prefixes(texts, text, patterns.filter(~has_dot), pattern, "key")
     # A plain prefix that itself holds a dot is found through the shapes.
-    return prefixes.filter(~F.contains("key", F.lit("."))).unionByName(shaped)
+    return plain.filter(~F.contains("key", F.lit("."))).unionByName(shaped)
 
 
 def first_prefix_match(
@@ -71,7 +80,7 @@ def first_prefix_match(
     """
     keys = probes.select(F.col(probe).alias("key")).filter(F.length("key") > 0).distinct()
     searched = register.select(text, F.col(order).alias("order"), F.struct(*payload).alias("match"))
-    reached = prefix_keys(searched.filter(F.col(text).isNotNull()), text, keys, "key", literal)
+    reached = prefix_keys(searched, text, keys, "key", literal)
     firsts = reached.groupBy("key").agg(F.min_by("match", "order").alias("match"))
     return keys.join(firsts, "key").select(F.col("key").alias(probe), "match")
 
@@ -89,36 +98,48 @@ def first_suffix_match(
         .agg(F.min_by(F.struct(*payload), order).alias("match"), F.min(order).alias("order"))
     )
     texts = probes.filter(F.col(probe).isNotNull()).select(probe).distinct().withColumn("reversed", F.reverse(probe))
-    reached = prefix_keys(texts, "reversed", entries, "key", literal, shortest=0)
+    reached = prefix_keys(texts, "reversed", entries, "key", literal)
     return reached.join(entries, "key").groupBy(probe).agg(F.min_by("match", "order").alias("match"))
 
 
-def probe_blocks(ips: DataFrame, ip: str, largest: int = ADDRESS_BITS) -> DataFrame:
+def with_blocks(ips: DataFrame, ip: str, blocks: DataFrame) -> DataFrame:
     """Each address with the aligned power-of-two blocks that hold it, as ``bits, block``.
 
-    Only well-formed addresses give any. ``ips`` should be distinct.
+    Only block sizes that occur in ``blocks`` are made; there are at most 17, so they are
+    broadcast. Only well-formed addresses give any. ``ips`` must be distinct: then no block
+    gathers more than 65,536 of them, however popular its network is.
     """
+    sizes = blocks.select("bits").distinct()
     numbered = ips.select(ip, ipv4_number(F.col(ip)).alias("number")).filter(F.col("number").isNotNull())
-    blocks = F.array(*[F.shiftright("number", bits) for bits in range(largest + 1)])
-    return numbered.select(ip, F.posexplode(blocks).alias("bits", "block"))
+    spread = numbered.withColumn("bits", F.explode(F.sequence(F.lit(0), F.lit(LARGEST_BLOCK))))
+    kept = spread.join(F.broadcast(sizes), "bits", "left_semi")
+    return kept.select(ip, "bits", F.call_function("shiftright", "number", "bits").alias("block"))
 
 
 def range_blocks(low: Column, high: Column) -> Column:
-    """The least set of aligned blocks that covers ``low..high``: at most two per size.
+    """Aligned blocks that cover ``low..high`` exactly: two per size at most, but any number of the largest.
 
     At each size the range is cut to whole blocks; an odd first block and an odd end cannot
     be part of a larger block of the cover, so they are taken at this size.
     """
-    def at(bits: Column) -> Column:
+    def whole(bits: Column) -> tuple[Column, Column]:
         size = F.call_function("shiftleft", F.lit(1).cast("bigint"), bits)
-        first = F.call_function("shiftright", low + size - 1, bits)
-        end = F.call_function("shiftright", high + 1, bits)
+        return F.call_function("shiftright", low + size - 1, bits), F.call_function("shiftright", high + 1, bits)
+
+    def placed(bits: Column, blocks: Column) -> Column:
+        return F.transform(blocks, lambda block: F.struct(bits.alias("bits"), block.alias("block")))
+
+    def edges(bits: Column) -> Column:
+        first, end = whole(bits)
         left = F.when((first < end) & (first % 2 == 1), first)
         right = F.when((first < end) & (end % 2 == 1), end - 1)
-        blocks = F.array_compact(F.array(left, right))
-        return F.transform(blocks, lambda block: F.struct(bits.alias("bits"), block.alias("block")))
+        return placed(bits, F.array_compact(F.array(left, right)))
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(ADDRESS_BITS)), at))
+    largest = F.lit(LARGEST_BLOCK)
+    first, end = whole(largest)
+    rest = F.when(first < end, F.sequence(first, end - 1)).otherwise(F.array().cast("array<bigint>"))
+    smaller = F.flatten(F.transform(F.sequence(F.lit(0), largest - 1), edges))
+    return F.concat(smaller, placed(largest, rest))
 
 
 def blocks_of_ranges(ranges: DataFrame, payload: list[str]) -> DataFrame:
@@ -133,25 +154,23 @@ def blocks_of_networks(networks: DataFrame, order: str, name: str, span: bool) -
     Malformed networks and those with host bits set are left out. A network shorter than /8
     counts for its first octet only unless ``span``.
     """
-    bits = network_bits(F.col("cidr"))
-    size = F.lit(ADDRESS_BITS) - (bits if span else F.greatest(bits, F.lit(8)))
-    low = network_low(F.col("cidr"))
+    cidr = F.col("cidr")
+    size = F.lit(ADDRESS_BITS) - (network_bits(cidr) if span else F.greatest(network_bits(cidr), F.lit(8)))
+    low = network_low(cidr)
+    high = low + F.call_function("shiftleft", F.lit(1).cast("bigint"), size) - 1
+    found = networks.filter(low.isNotNull()).select(
+        F.col(name).alias("_name"), F.col(order).alias("_order"), F.explode(range_blocks(low, high)).alias("at")
+    )
     return (
-        networks.filter(low.isNotNull())
-        .select(
-            size.alias("bits"),
-            F.call_function("shiftright", low, size).alias("block"),
-            F.col(name).alias("_name"),
-            F.col(order).alias("_order"),
-        )
-        .groupBy("bits", "block")
+        found.groupBy("at.bits", "at.block")
         .agg(F.min_by("_name", "_order").alias(name), F.min("_order").alias("order"))
     )
 
 
 def range_hits(ips: DataFrame, ranges: DataFrame, payload: list[str], ip: str = "ip") -> DataFrame:
     """All pairs of a distinct address and a ``(lo, hi)`` range that holds it: ``(ip, *payload)``."""
-    return probe_blocks(ips, ip).join(blocks_of_ranges(ranges, payload), ["bits", "block"]).select(ip, *payload)
+    blocks = blocks_of_ranges(ranges, payload)
+    return with_blocks(ips, ip, blocks).join(blocks, ["bits", "block"]).select(ip, *payload)
 
 
 def first_network_match(
@@ -161,8 +180,8 @@ def first_network_match(
 
     For which networks count see :func:`blocks_of_networks`.
     """
-    probes = probe_blocks(ips.select(ip).distinct(), ip, ADDRESS_BITS if span else ADDRESS_BITS - 8)
-    matches = probes.join(blocks_of_networks(networks, order, name, span), ["bits", "block"])
+    blocks = blocks_of_networks(networks, order, name, span)
+    matches = with_blocks(ips.select(ip).distinct(), ip, blocks).join(blocks, ["bits", "block"])
     return matches.groupBy(ip).agg(F.min_by(name, "order").alias(name))
 
 
@@ -177,7 +196,7 @@ def range_and_network(
     in_networks = blocks_of_networks(networks, order, name, span)
     blocks = in_ranges.unionByName(in_networks, allowMissingColumns=True)
     return (
-        probe_blocks(ips, ip)
+        with_blocks(ips, ip, blocks)
         .join(blocks, ["bits", "block"])
         .groupBy(ip)
         .agg(F.coalesce(F.sum("ranges"), F.lit(0)).alias("ranges"), F.min_by(name, "order").alias(name))
@@ -199,7 +218,17 @@ def mac_tokens(line: Column) -> Column:
     return F.array_distinct(F.filter(around, lambda t: t.rlike("^[0-9A-Za-z]{6}-[0-9A-Za-z]{6}$")))
 
 
+SALTS = 16
+
+
 def mac_search(lines: DataFrame, macs: DataFrame, key: str = "mac") -> DataFrame:
-    """All lines holding a listed search key: ``(mac, file, line)``, one row per line and key."""
-    tokens = lines.withColumn(key, F.explode(mac_tokens(F.col("line"))))
-    return tokens.join(macs.select(key).distinct(), key).select(key, "file", "line")
+    """All lines holding a listed search key: ``(mac, file, line)``, one row per line and key.
+
+    A key may be in a large share of the lines, so these are spread over salts; the list,
+    small beside the lines, is repeated for each.
+    """
+    salt = F.pmod(F.xxhash64("file", "pos"), F.lit(SALTS)).cast("int")
+    tokens = lines.select("file", "line", F.explode(mac_tokens(F.col("line"))).alias(key), salt.alias("salt"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    listed = macs.select(key).distinct().withColumn("salt", salts)
+    return tokens.join(listed, [key, "salt"]).select(key, "file", "line")

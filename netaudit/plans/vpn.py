@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from netaudit.functions.dates import month_number
+from netaudit.constants import MONTH_ABBREVIATIONS
 from netaudit.functions.net import strip_closing_paren
 from netaudit.functions.text import token
 from netaudit.operators.scan import ordered_scan
+from netaudit.session import checkpointed
 
 # Texts that mark the log lines of interest.
 SESSION_MARKS = ["connected from", "Call detected from user"]
@@ -21,10 +23,14 @@ def x(position: int) -> Column:
 
 
 def month_lines(lines: DataFrame, marks: Sequence[str], month: int) -> DataFrame:
-    """Lines with any of the marks, split at blanks, of one month (the year is not in the log)."""
-    marked = lines.filter(F.col("line").rlike("|".join(marks)))
-    words = marked.select("file", "chunk", "pos", F.split("line", r"\s+", -1).alias("words"))
-    return words.withColumn("month", month_number(x(1))).filter(F.col("month") == month)
+    """Lines with any of the marks, split at blanks, of one month (the year is not in the log).
+
+    The month is the first word, so both tests come before the split.
+    """
+    line = F.col("line")
+    marked = reduce(Column.__or__, [line.contains(mark) for mark in marks])
+    of_month = line.rlike(rf"^{MONTH_ABBREVIATIONS[month - 1]}\s")
+    return lines.filter(marked & of_month).select("file", "chunk", "pos", F.split("line", r"\s+", -1).alias("words"))
 
 
 def vpn_sessions(lines: DataFrame, month: int, chronological: bool = False) -> DataFrame:
@@ -32,27 +38,26 @@ def vpn_sessions(lines: DataFrame, month: int, chronological: bool = False) -> D
 
     A line without user takes that of the next line, one step only. Lines follow each other
     by day as text (2 after 10) and then file order; ``chronological`` takes the day as a
-    number, then the time of day.
+    number, then the time of day. The words of the lines are written out once, so that the
+    logs are read and split once.
     """
     words = month_lines(lines, SESSION_MARKS, month).select(
-        "month", "file", "chunk", "pos",
-        x(2).alias("day"), x(3).alias("time"), x(7).alias("action"), x(9).alias("ip"), x(10).alias("user"),
+        F.lit(month).alias("month"), "file", "chunk", "pos",
+        x(2).alias("day"), x(3).alias("time"), (x(7) == "connected").alias("connects"), x(9).alias("ip"), x(10).alias("user"),
     )
     if chronological:
         words = words.select(
-            "month", "action", "ip", "user",
+            "month", "connects", "ip", "user",
             F.coalesce(F.col("day").try_cast("int"), F.lit(0)).alias("day"),
             F.coalesce(F.substring("time", 1, 5), F.lit("")).alias("minute"),
             F.struct("time", "file", "chunk", "pos").alias("place"),
         )
-        ordered = ordered_scan(words, ["month"], ["day", "minute"], "place", ahead={"next_user": F.col("user")})
+        levels, order = ["day", "minute"], "place"
     else:
-        ordered = ordered_scan(words, ["month"], ["day", "file", "chunk"], "pos", ahead={"next_user": F.col("user")})
-    return (
-        ordered.filter(F.col("action") == "connected")
-        .select("ip", F.coalesce("user", "next_user").alias("user"))
-        .distinct()
-    )
+        levels, order = ["day", "file", "chunk"], "pos"
+        words = words.drop("time")
+    ordered = ordered_scan(checkpointed(words), ["month"], levels, order, ahead={"next_user": F.col("user")})
+    return ordered.filter("connects").select("ip", F.coalesce("user", "next_user").alias("user")).distinct()
 
 
 def vpn_local_ips(lines: DataFrame, month: int) -> DataFrame:

@@ -99,7 +99,7 @@ def test_range_cover_is_exact_and_small(spark):
         spans = sorted((b.block << b.bits, ((b.block + 1) << b.bits) - 1) for b in row.blocks)
         assert spans[0][0] == row.lo and spans[-1][1] == row.hi
         assert all(a[1] + 1 == b[0] for a, b in zip(spans, spans[1:]))
-        assert len(spans) <= 64
+        assert sum(b.bits < matchjoin.LARGEST_BLOCK for b in row.blocks) <= 2 * matchjoin.LARGEST_BLOCK
 
 
 NETWORKS = [
