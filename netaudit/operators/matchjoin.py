@@ -13,7 +13,21 @@ from netaudit.functions.net import ipv4_number, network_bits, network_low
 
 ADDRESS_BITS = 32
 # Blocks of addresses are at most this large, so that one block holds a bounded number of them.
-LARGEST_BLOCK = 16
+LARGEST_BLOCK = 20
+
+
+SALTS = 16
+
+
+def salted_join(rows: DataFrame, lookup: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
+    """Inner join with a lookup of few rows per key, where a key may be in a large share of the rows.
+
+    The rows of a key are spread over salts by a hash of ``spread_by``; the lookup, small
+    beside the rows, is repeated for each salt.
+    """
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", salt).join(repeated, [key, "_salt"]).drop("_salt")
 
 
 def with_prefixes(texts: DataFrame, text: str, keys: DataFrame, key: str, name: str) -> DataFrame:
@@ -59,8 +73,7 @@ def prefix_keys(texts: DataFrame, text: str, patterns: DataFrame, pattern: str,
         dot_places(F.col(pattern)).alias("shape_dots"),
     ).distinct()
     shaped = (
-        with_prefixes(texts, text, shapes, "head", "head")
-        .join(shapes, "head")
+        salted_join(with_prefixes(texts, text, shapes, "head", "head"), shapes, "head", [text])
         .filter(F.length(text) >= F.col("shape_length"))
         .withColumn("key", with_dots(F.col(text), F.col("shape_length"), F.col("shape_dots")))
         .drop("head", "shape_length", "shape_dots")
@@ -99,15 +112,15 @@ def first_suffix_match(
     )
     texts = probes.filter(F.col(probe).isNotNull()).select(probe).distinct().withColumn("reversed", F.reverse(probe))
     reached = prefix_keys(texts, "reversed", entries, "key", literal)
-    return reached.join(entries, "key").groupBy(probe).agg(F.min_by("match", "order").alias("match"))
+    return salted_join(reached, entries, "key", [probe]).groupBy(probe).agg(F.min_by("match", "order").alias("match"))
 
 
 def with_blocks(ips: DataFrame, ip: str, blocks: DataFrame) -> DataFrame:
     """Each address with the aligned power-of-two blocks that hold it, as ``bits, block``.
 
-    Only block sizes that occur in ``blocks`` are made; there are at most 17, so they are
+    Only block sizes that occur in ``blocks`` are made; there are at most 21, so they are
     broadcast. Only well-formed addresses give any. ``ips`` must be distinct: then no block
-    gathers more than 65,536 of them, however popular its network is.
+    gathers more than 1,048,576 of them, however popular its network is.
     """
     sizes = blocks.select("bits").distinct()
     numbered = ips.select(ip, ipv4_number(F.col(ip)).alias("number")).filter(F.col("number").isNotNull())
@@ -156,10 +169,12 @@ def blocks_of_networks(networks: DataFrame, order: str, name: str, span: bool) -
     """
     cidr = F.col("cidr")
     size = F.lit(ADDRESS_BITS) - (network_bits(cidr) if span else F.greatest(network_bits(cidr), F.lit(8)))
-    low = network_low(cidr)
-    high = low + F.call_function("shiftleft", F.lit(1).cast("bigint"), size) - 1
-    found = networks.filter(low.isNotNull()).select(
-        F.col(name).alias("_name"), F.col(order).alias("_order"), F.explode(range_blocks(low, high)).alias("at")
+    bounded = networks.select(
+        F.col(name).alias("_name"), F.col(order).alias("_order"), network_low(cidr).alias("lo"), size.alias("size")
+    ).filter("lo is not null")
+    high = F.col("lo") + F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("size")) - 1
+    found = bounded.withColumn("hi", high).select(
+        "_name", "_order", F.explode(range_blocks(F.col("lo"), F.col("hi"))).alias("at")
     )
     return (
         found.groupBy("at.bits", "at.block")
@@ -218,17 +233,7 @@ def mac_tokens(line: Column) -> Column:
     return F.array_distinct(F.filter(around, lambda t: t.rlike("^[0-9A-Za-z]{6}-[0-9A-Za-z]{6}$")))
 
 
-SALTS = 16
-
-
 def mac_search(lines: DataFrame, macs: DataFrame, key: str = "mac") -> DataFrame:
-    """All lines holding a listed search key: ``(mac, file, line)``, one row per line and key.
-
-    A key may be in a large share of the lines, so these are spread over salts; the list,
-    small beside the lines, is repeated for each.
-    """
-    salt = F.pmod(F.xxhash64("file", "pos"), F.lit(SALTS)).cast("int")
-    tokens = lines.select("file", "line", F.explode(mac_tokens(F.col("line"))).alias(key), salt.alias("salt"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    listed = macs.select(key).distinct().withColumn("salt", salts)
-    return tokens.join(listed, [key, "salt"]).select(key, "file", "line")
+    """All lines holding a listed search key: ``(mac, file, line)``, one row per line and key."""
+    tokens = lines.withColumn(key, F.explode(mac_tokens(F.col("line"))))
+    return salted_join(tokens, macs.select(key).distinct(), key, ["file", "pos"]).select(key, "file", "line")

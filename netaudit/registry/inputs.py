@@ -6,6 +6,8 @@ Each function takes the session and the folder of the tables. The shapes are tho
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from netaudit import constants as C
@@ -18,8 +20,16 @@ from netaudit.sources.xmlreports import TOP10_DESTINATIONS
 TEN = 10 << (ADDRESS_BITS - 8)
 
 
+_tables: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table; its files are listed once per session."""
+    path = f"{sf}/{name}.parquet"
+    known = _tables.setdefault(spark, {})
+    if path not in known:
+        known[path] = spark.read.parquet(path)
+    return known[path]
 
 
 def ip10(number: Column) -> Column:

@@ -80,8 +80,7 @@ def range_lookup(spark, sf):
 
 
 def cidr_first_match(spark, sf):
-    texts = table(spark, sf, "documents").select("text")
-    ips = identity.keys_of_text(texts, "text", anywhere=True).filter(net.is_ip(F.col("ip")))
+    ips = table(spark, sf, "documents").select(net.extract_ip(F.col("text"), anywhere=True).alias("ip")).distinct()
     found = matchjoin.first_network_match(ips, inputs.network_entries(spark, sf), "seq", "User")
     return found.withColumnRenamed("User", "hostName")
 
