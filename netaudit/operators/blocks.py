@@ -25,15 +25,21 @@ RELEVANT = [
 ]
 
 
+def last_places(lines: DataFrame) -> DataFrame:
+    """Place of the last line of each file: ``file, final``."""
+    of_chunks = lines.groupBy("file", "chunk").agg(F.max("pos").alias("pos"))
+    return of_chunks.groupBy("file").agg(F.max(place()).alias("final"))
+
+
 def relevant_lines(lines: DataFrame) -> DataFrame:
-    """Lines that can matter, and the last line of each file, written out once.
+    """Lines that can matter, written out once, with a blank one at the end of each file.
 
-    State between lines takes several passes; they then read these lines, not the files.
+    State between lines takes several passes; they then read these lines, not the files. The
+    blank line keeps the place of a file's last line.
     """
-    finals = lines.groupBy("file").agg(F.max_by("line", place()).alias("line"), F.max(place()).alias("at"))
-    wanted = lines.filter(F.col("line").rlike("|".join(RELEVANT)))
-    others = finals.filter(~F.col("line").rlike("|".join(RELEVANT))).select("file", "at.chunk", "at.pos", "line")
-    return checkpointed(wanted.select("file", "chunk", "pos", "line").unionByName(others))
+    wanted = lines.filter(F.col("line").rlike("|".join(RELEVANT))).select("file", "chunk", "pos", "line")
+    finals = last_places(lines).select("file", "final.chunk", "final.pos", F.lit("").alias("line"))
+    return checkpointed(wanted.unionByName(finals))
 
 
 def section_bounds(lines: DataFrame, start: Column, end: Column) -> DataFrame:
@@ -190,8 +196,7 @@ def deny_list(lines: DataFrame) -> DataFrame:
     )
     value = F.when(_has("set fqdn"), config_value(F.col("line"), "set fqdn ")).when(_has("set subnet"), subnet)
 
-    finals = lines.groupBy("file").agg(F.max(place()).alias("final"))
-    kept = lines.filter(entry | closes | _has("set subnet") | _has("set fqdn")).join(finals, "file")
+    kept = lines.filter(entry | closes | _has("set subnet") | _has("set fqdn")).join(last_places(lines), "file")
     spans = ordered_scan(
         kept, ["file"], ["chunk"], "pos",
         total={"spans_through": closes.cast("int")}, total_before={"spans_before": closes.cast("int")},

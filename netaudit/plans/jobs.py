@@ -117,7 +117,8 @@ def monthly_audit(spark: SparkSession, reports: str, ext: str, yyyymm: str, own_
         register("whois", WHOIS_SCHEMA), read_parameters(spark, _folder(ext, "parameters")), own_label
     )
     ranges = register("dhcp_ranges", RANGE_SCHEMA).drop("seq")
-    rows = checkpointed(read_reports(spark, reports).select("report", "table", "place", "cells"))
+    rows = read_reports(spark, reports).select("report", "table", "place", "cells")
+    rows = checkpointed(rows, by=["report", "table"])
     _, shaped = audit_reports(rows, devices, ranges, networks)
     write_reports(shaped, yyyymm, _folder(out, "reports"))
 

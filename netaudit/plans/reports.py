@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -51,7 +52,7 @@ def cell(name: str) -> Column:
 
 
 def in_table(report: str, table: str) -> Column:
-    return (F.col("report") == report) & (F.col("table") == table)
+    return F.col("report").eqNullSafe(report) & F.col("table").eqNullSafe(table)
 
 
 def add_cells(values: dict[str, Column]) -> Column:
@@ -120,16 +121,14 @@ def enrich(rows: DataFrame, identities: DataFrame) -> DataFrame:
     only the host is kept, and the address in the section name.
     """
     kept = ["report", "table", "place", "cells"]
+    rows = rows.select(*kept)
     destination = in_table(C.USER_REPORT, TOP10_DESTINATIONS)
-    others = key_cells(rows.select(*kept).filter(~destination))
-    others = left_join_identity(others, F.col("key"), identities, IDENTITY)
-    has_key = F.lit(False)
-    for spec in KEY_COLUMNS:
-        has_key = has_key | in_table(spec.report, spec.table)
-    others = others.withColumn("cells", F.when(has_key, add_cells(_named(IDENTITY))).otherwise(F.col("cells")))
+    has_key = reduce(Column.__or__, [in_table(spec.report, spec.table) for spec in KEY_COLUMNS])
+    keyed = left_join_identity(key_cells(rows.filter(has_key)), F.col("key"), identities, IDENTITY)
+    keyed = keyed.withColumn("cells", add_cells(_named(IDENTITY)))
 
     section = cell("rank")
-    visits = left_join_identity(rows.select(*kept).filter(destination), cell("Destination"), identities, ["hostName"])
+    visits = left_join_identity(rows.filter(destination), cell("Destination"), identities, ["hostName"])
     visits = visits.withColumn("cells", add_cells({
         "destinationHost": F.col("_hostName"),
         "ip": extract_ip(section, anywhere=True),
@@ -138,7 +137,8 @@ def enrich(rows: DataFrame, identities: DataFrame) -> DataFrame:
     })).drop("_hostName")
     visits = left_join_identity(visits, cell("ip"), identities, IDENTITY)
     visits = visits.withColumn("cells", add_cells(_named(IDENTITY)))
-    return others.select(*kept).unionByName(visits.select(*kept))
+    others = rows.filter(~(has_key | destination))
+    return others.unionByName(keyed.select(*kept)).unionByName(visits.select(*kept))
 
 
 def distinct_rows(rows: DataFrame) -> DataFrame:
@@ -152,7 +152,7 @@ def shape(rows: DataFrame) -> DataFrame:
     """Output form of enriched rows: null cells gone, fixed columns of the per-user
     destinations, filter rows on the source address gone, terminal lists without repeats."""
     rows = rows.withColumn("cells", F.map_filter("cells", lambda _, value: value.isNotNull()))
-    terminal = F.col("report").isin(TERMINAL_REPORTS) & (F.col("table") == C.TERMINAL_TABLE)
+    terminal = reduce(Column.__or__, [in_table(report, C.TERMINAL_TABLE) for report in TERMINAL_REPORTS])
     filters = in_table(C.CLIENT_REPUTATION, C.REPORT_FILTERS)
     rest = rows.filter(~terminal).filter(~filters | F.coalesce(cell("Filter_name") != "srcip", F.lit(False)))
     fixed = F.map_filter("cells", lambda key, _: key.isin(DESTINATION_COLUMNS))

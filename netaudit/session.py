@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,12 +39,13 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as a table in the scratch folder and read it back.
 
     Later steps start from the table: it survives lost executors, its size is known to the
-    planner, and several readers share one run of what made it.
+    planner, and several readers share one run of what made it. Filters on the columns ``by``
+    then read only their part.
     """
     path = f"{scratch_folder(df.sparkSession).rstrip('/')}/netaudit-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

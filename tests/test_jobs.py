@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from netaudit import constants as C
 from netaudit.functions import dates, net, text
 from netaudit.plans import jobs, review, trend, vpn
+from netaudit.session import checkpointed
 from netaudit.sinks import tables
 from netaudit.sources.lines import lines_of_table
 
@@ -298,3 +299,11 @@ def test_missing_reviews(spark, tmp_path):
     put(tmp_path / "done", "記録 202505.md", "x")
     jobs.missing_reviews(spark, calendar_file(tmp_path), str(tmp_path / "done"), "記録", datetime.date(2025, 6, 1), "Sato", "山田 太郎", "Ito", str(tmp_path / "out"))
     assert [r.yyyymm for r in spark.read.text(str(tmp_path / "out"), wholetext=True).collect()] == [202504]
+
+
+def test_stored_parts_keep_their_names(spark):
+    names = [" 直近2期間にスコアが増加した上位ユーザー", "Report Filters(Logic: All)", "a/b=c", "0123", "x "]
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "table string, i int")
+    got = checkpointed(df, by=["table"])
+    assert {(r.table, r.i) for r in got.collect()} == {(n, i) for i, n in enumerate(names)}
+    assert [r.i for r in got.filter(F.col("table") == names[0]).collect()] == [0]
