@@ -17,7 +17,6 @@ from netaudit.sources.lines import place
 DHCP_START = "config system dhcp server"
 SET_INTERFACE = "set interface "
 
-
 # Words of the lines that the parsers of this module look at.
 RELEVANT = [
     DHCP_START, SET_INTERFACE, "config reserved-address", "end", "set mac ", "set action block", "set description ",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from netaudit.constants import BLANK_HOST, VPN_HOST, VPN_LOCAL_HOST
 from netaudit.operators.matchjoin import first_prefix_match
+from netaudit.session import checkpointed
 from netaudit.sources.registers import DEVICE_COLUMNS, sequence
 
 LOCALHOST_RANK = 4
@@ -93,8 +94,13 @@ def device_register(
     vpn_local: DataFrame | None = None,
     literal: bool = False,
 ) -> DataFrame:
-    """The whole register. VPN users and VPN-local addresses are added to it, not deduplicated."""
-    register = with_owners(first_per_ip(union_registers(static, leases, denied, allowed)), assets, literal)
+    """The whole register. VPN users and VPN-local addresses are added to it, not deduplicated.
+
+    Hosts are looked up by distinct name and joined back, so the deduplicated rows are written
+    out first.
+    """
+    firsts = checkpointed(first_per_ip(union_registers(static, leases, denied, allowed)))
+    register = with_owners(firsts, assets, literal)
     if vpn is not None:
         register = register.unionByName(with_device_columns(vpn.withColumn("hostName", F.lit(VPN_HOST))))
     if vpn_local is not None:

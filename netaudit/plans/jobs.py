@@ -46,7 +46,7 @@ from netaudit.sources.registers import (
     static_devices,
     valid_on,
 )
-from netaudit.sources.xmlreports import bandwidth_file, check_complete, list_reports, read_reports, read_tables
+from netaudit.sources.xmlreports import check_complete, dated_export, list_reports, read_reports, read_tables
 
 
 def _folder(root: str, name: str) -> str:
@@ -139,12 +139,11 @@ def bandwidth_report(spark: SparkSession, root: str, yyyymm: str, out: str, xml_
     ):
         folders = [_folder(root, MONTH_FOLDER.format(p)) for p in months]
         if folders and reader == "csv":
-            lines = read_lines(spark, folders, glob)
-            parts.append(trend_of_csv(lines.filter(bandwidth_file(F.col("file"), BANDWIDTH_REPORT)), period))
+            parts.append(trend_of_csv(read_lines(spark, folders, glob, dated_export(BANDWIDTH_REPORT)), period))
         elif folders:
             rows = read_tables(spark, folders, glob=glob)
-            rows = rows.filter(bandwidth_file(F.col("file"), BANDWIDTH_REPORT)).withColumn("yyyymm", period)
-            parts.append(trend_of_xml(rows))
+            rows = rows.filter(F.col("file").rlike(dated_export(BANDWIDTH_REPORT)))
+            parts.append(trend_of_xml(rows.withColumn("yyyymm", period)))
     trend = checkpointed(reduce(DataFrame.unionByName, parts))
     write_trend(with_ranks(trend), chart_series(trend), yyyymm, out)
 

@@ -9,8 +9,8 @@ import re
 
 from netaudit import constants as C
 from netaudit.plans.reports import DESTINATION_COLUMNS
-from netaudit.registry.inputs import SECTION_END, TABLE_OF_REST, TEN
-from netaudit.registry.queries import APPROVER, CREATOR, PARTICIPANTS, TODAY, TREND_PERIOD, XML_SINCE
+from netaudit.registry.inputs import TABLE_OF_REST, TEN
+from netaudit.registry.queries import APPROVER, CREATOR, PARTICIPANTS, TODAY, TREND_PERIOD
 from netaudit.functions.dates import trend_periods
 
 IP = "[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}"

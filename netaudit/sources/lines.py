@@ -14,7 +14,6 @@ from netaudit.functions.text import clean_csv_line
 from netaudit.operators.scan import lines_since, ordered_scan
 
 
-
 def place() -> Column:
     """Position of a line in its file, comparable across chunks."""
     return F.struct("chunk", "pos")
@@ -25,9 +24,18 @@ def decoded_name(name: Column) -> Column:
     return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
+def read_lines(
+    spark: SparkSession, paths: str | Sequence[str], glob: str | None = None, named: str | None = None
+) -> DataFrame:
+    """Lines of the files whose base name fits ``glob`` and whose path matches ``named``.
+
+    The path is tested before lines are numbered, so that other files are not opened.
+    """
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    return reader.text(paths if isinstance(paths, str) else list(paths)).select(
+    text = reader.text(paths if isinstance(paths, str) else list(paths))
+    if named:
+        text = text.filter(decoded_name(F.col("_metadata.file_path")).rlike(named))
+    return text.select(
         decoded_name(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("chunk"),
         F.monotonically_increasing_id().alias("pos"),
@@ -51,18 +59,17 @@ def lines_of_table(df: DataFrame, file: Column, pos: Column, line: Column, chunk
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:
     """Firewall configuration lines. The folder must hold exactly one configuration file."""
-    lines = read_lines(spark, path, glob="*.conf")
-    lines = lines.filter(base_name(F.col("file")).rlike(r"[A-Z]{6}[0-9]{2}_[0-9\-_]+\.conf"))
-    found = lines.select("file").distinct().limit(2).count()
+    name = r"[A-Z]{6}[0-9]{2}_[0-9\-_]+\.conf"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.conf").load(path)
+    found = files.filter(base_name(decoded_name(F.col("path"))).rlike(name)).select("path").count()
     if found != 1:
         raise ValueError("config file is missing" if found == 0 else "only one config file may be stored")
-    return lines
+    return read_lines(spark, path, "*.conf", rf"{name}[^/]*$")
 
 
 def read_vpn_lines(spark: SparkSession, path: str, periods: Sequence[str]) -> DataFrame:
     """VPN log lines from files whose path names one of the periods, or is an ``access.log``."""
-    wanted = "|".join([*periods, "access.log$"])
-    return read_lines(spark, path).filter(F.col("file").rlike(wanted))
+    return read_lines(spark, path, named="|".join([*periods, "access.log$"]))
 
 
 def read_room_log(spark: SparkSession, path: str, columns: int = 64) -> DataFrame:

@@ -48,9 +48,9 @@ def check_complete(files: DataFrame) -> None:
         raise ValueError(f"input files are missing or not expected: {sorted(names)}")
 
 
-def bandwidth_file(file: Column, report: str) -> Column:
-    """Whether a file is a dated export of the given report."""
-    return base_name(file).rlike(rf"{report}-[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}-[0-9]{{4}}")
+def dated_export(report: str) -> str:
+    """Pattern of the path of a dated export of a report."""
+    return rf"{report}-[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}-[0-9]{{4}}[^/]*$"
 
 
 def _text(value: Column, dtype: DataType) -> Column:
@@ -145,16 +145,20 @@ def user_sections(rows: DataFrame) -> DataFrame:
 
 
 def _read(spark: SparkSession, path, row_tag: str, schema: StructType | None, glob: str = "*.xml") -> DataFrame:
+    """Elements of the user report or, for tables, of all other reports."""
     reader = spark.read.format("xml").options(**XML_OPTIONS).option("rowTag", row_tag).option("pathGlobFilter", glob)
     if schema is not None:
         reader = reader.schema(schema)
-    rows = reader.load(path)
+    elements = reader.load(path)
     file = decoded_name(F.col("_metadata.file_path"))
-    return rows.select(
+    of_users = report_name(file) == USER_REPORT
+    # Tested before elements are numbered, so that other files are not opened.
+    wanted = elements.filter(of_users if row_tag == USER_SECTION else ~of_users)
+    return wanted.select(
         file.alias("file"),
         report_name(file).alias("report"),
         F.struct(file.alias("file"), F.monotonically_increasing_id().alias("n")).alias("at"),
-        F.struct(*[F.col(f"`{name}`") for name in rows.columns]).alias("element"),
+        F.struct(*[F.col(f"`{name}`") for name in elements.columns]).alias("element"),
     )
 
 
@@ -174,7 +178,7 @@ def rows_of_sections(sections: DataFrame, dtype: StructType) -> DataFrame:
 
 def read_tables(spark: SparkSession, path, schema: StructType | None = None, glob: str = "*.xml") -> DataFrame:
     """Long table of the ``table`` elements of the files, without per-user sections."""
-    tables = _read(spark, path, "table", schema, glob).filter(F.col("report") != USER_REPORT)
+    tables = _read(spark, path, "table", schema, glob)
     rows = rows_of_tables(tables, tables.schema["element"].dataType)
     return rows.withColumn("place", _flat_place("place.at", "place.row"))
 
@@ -188,7 +192,7 @@ def read_reports(
     is one record of the XML source; the reports are exports of the top rows, so it is small.
     """
     rows = read_tables(spark, path, schema)
-    sections = _read(spark, path, USER_SECTION, user_schema).filter(F.col("report") == USER_REPORT)
+    sections = _read(spark, path, USER_SECTION, user_schema, f"{USER_REPORT}-*.xml")
     dtype = sections.schema["element"].dataType
     if "table" not in dtype.names:
         return rows

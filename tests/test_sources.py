@@ -182,8 +182,8 @@ def test_report_files(spark, tmp_path):
         xmlreports.check_complete(files.filter(F.col("report") != C.USER_REPORT))
     with pytest.raises(ValueError, match=C.USER_REPORT):
         xmlreports.check_complete(files.unionByName(files.filter(F.col("report") == C.USER_REPORT)))
-    found = files.filter(xmlreports.bandwidth_file(F.col("file"), C.BANDWIDTH_REPORT)).count()
+    found = files.filter(F.col("file").rlike(xmlreports.dated_export(C.BANDWIDTH_REPORT))).count()
     assert found == 0
     write(tmp_path, f"{C.BANDWIDTH_REPORT}-2024-01-05-1234_5.xml", "<r/>")
     files = xmlreports.list_reports(spark, str(tmp_path))
-    assert files.filter(xmlreports.bandwidth_file(F.col("file"), C.BANDWIDTH_REPORT)).count() == 1
+    assert files.filter(F.col("file").rlike(xmlreports.dated_export(C.BANDWIDTH_REPORT))).count() == 1
