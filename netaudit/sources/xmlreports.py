@@ -192,11 +192,10 @@ def read_reports(
     is one record of the XML source; the reports are exports of the top rows, so it is small.
     """
     rows = read_tables(spark, path, schema)
-    sections = _read(spark, path, USER_SECTION, user_schema, f"{USER_REPORT}-*.xml")
-    dtype = sections.schema["element"].dataType
-    if "table" not in dtype.names:
+    if list_reports(spark, path).filter(F.col("report") == USER_REPORT).isEmpty():
         return rows
-    of_sections = rows_of_sections(sections, dtype)
+    sections = _read(spark, path, USER_SECTION, user_schema, f"{USER_REPORT}-*.xml")
+    of_sections = rows_of_sections(sections, sections.schema["element"].dataType)
     return rows.unionByName(of_sections.withColumn("place", _flat_place("place.at.at", "place.row", "place.at.t")))
 
 
