@@ -6,6 +6,7 @@ from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from netaudit.constants import BANDWIDTH_REPORT, XML_SINCE
 from netaudit.functions.dates import shift_period, trend_periods
@@ -24,7 +25,7 @@ from netaudit.plans.review import (
     review_records,
 )
 from netaudit.plans.trend import chart_series, trend_of_csv, trend_of_xml, with_ranks
-from netaudit.plans.vpn import vpn_local_ips, vpn_sessions
+from netaudit.plans.vpn import marked_lines, vpn_local_ips, vpn_sessions
 from netaudit.session import checkpointed
 from netaudit.sinks.tables import write_register, write_reports, write_review_records, write_trend
 from netaudit.sources.lines import base_name, read_lines, read_vpn_lines
@@ -70,7 +71,7 @@ def denied_export(denied: DataFrame) -> DataFrame:
 def vpn_registers(spark: SparkSession, logs: str, yyyymm: str, out: str) -> None:
     """VPN sessions and VPN-local addresses of a month; its neighbours' files are read too."""
     periods = [yyyymm, shift_period(yyyymm, -1), shift_period(yyyymm, 1)]
-    lines = read_vpn_lines(spark, logs, periods)
+    lines = marked_lines(read_vpn_lines(spark, logs, periods))
     month = int(yyyymm[4:])
     write_register(vpn_sessions(lines, month), _folder(out, "vpn"))
     write_register(vpn_local_ips(lines, month), _folder(out, "vpn_local"))
@@ -93,9 +94,14 @@ def audit_reports(
     return identities, shape(enrich(rows, identities))
 
 
-def monthly_audit(spark: SparkSession, reports: str, ext: str, yyyymm: str, own_label: str, out: str) -> None:
+def monthly_audit(
+    spark: SparkSession, reports: str, ext: str, yyyymm: str, own_label: str, out: str,
+    schema: StructType | None = None, user_schema: StructType | None = None,
+) -> None:
     """Annotate the reports of a folder and write them under ``out``.
 
+    With the schemas of the reports their files are read once, else once more to infer them.
+
     ``ext`` holds the snapshots of :func:`config_registers`, :func:`vpn_registers` and
     :func:`refresh_registers`, the lease files (``dhcp``) and the parameter register
     (``parameters``).
@@ -117,7 +123,7 @@ def monthly_audit(spark: SparkSession, reports: str, ext: str, yyyymm: str, own_
         register("whois", WHOIS_SCHEMA), read_parameters(spark, _folder(ext, "parameters")), own_label
     )
     ranges = register("dhcp_ranges", RANGE_SCHEMA).drop("seq")
-    rows = read_reports(spark, reports).select("report", "table", "place", "cells")
+    rows = read_reports(spark, reports, schema, user_schema).select("report", "table", "place", "cells")
     rows = checkpointed(rows, by=["report", "table"])
     _, shaped = audit_reports(rows, devices, ranges, networks)
     write_reports(shaped, yyyymm, _folder(out, "reports"))

@@ -22,15 +22,23 @@ def x(position: int) -> Column:
     return token(F.col("words"), position)
 
 
+def with_any(line: Column, marks: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [line.contains(mark) for mark in marks])
+
+
+def marked_lines(lines: DataFrame) -> DataFrame:
+    """Lines that either job below looks at, written out once for both."""
+    return checkpointed(lines.filter(with_any(F.col("line"), [*SESSION_MARKS, *LOCAL_MARKS])))
+
+
 def month_lines(lines: DataFrame, marks: Sequence[str], month: int) -> DataFrame:
     """Lines with any of the marks, split at blanks, of one month (the year is not in the log).
 
     The month is the first word, so both tests come before the split.
     """
     line = F.col("line")
-    marked = reduce(Column.__or__, [line.contains(mark) for mark in marks])
     of_month = line.rlike(rf"^{MONTH_ABBREVIATIONS[month - 1]}\s")
-    return lines.filter(marked & of_month).select("file", "chunk", "pos", F.split("line", r"\s+", -1).alias("words"))
+    return lines.filter(with_any(line, marks) & of_month).select("file", "chunk", "pos", F.split("line", r"\s+", -1).alias("words"))
 
 
 def vpn_sessions(lines: DataFrame, month: int, chronological: bool = False) -> DataFrame:
