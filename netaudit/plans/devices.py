@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from netaudit.constants import BLANK_HOST, VPN_HOST, VPN_LOCAL_HOST
-from netaudit.operators.matchjoin import first_prefix_match
+from netaudit.operators.matchjoin import SALTS, first_prefix_match
 from netaudit.session import checkpointed
 from netaudit.sources.registers import DEVICE_COLUMNS, sequence
 
@@ -49,11 +49,15 @@ def host_owners(hosts: DataFrame, assets: DataFrame, literal: bool = False) -> D
     still without user take the first asset whose name begins with the host's.
     """
     keys = hosts.select("hostName").distinct().withColumn("key", F.lower("hostName"))
-    exact = keys.join(
-        assets.select(F.col("key").alias("asset_key"), "user", "description"),
-        F.col("key").eqNullSafe(F.col("asset_key")),
-        "left",
-    )
+    # Any share of the assets may be nameless: they are spread over salts, and the one
+    # nameless host is repeated for each.
+    salts = F.when(F.col("key").isNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.when(F.col("key").isNull(), F.pmod(F.xxhash64("seq"), F.lit(SALTS)).cast("int")).otherwise(0)
+    named = assets.select(F.col("key").alias("asset_key"), salt.alias("asset_salt"), "user", "description")
+    same_name = F.col("key").eqNullSafe(F.col("asset_key"))
+    found = keys.withColumn("salt", F.explode(salts)).join(named, same_name & (F.col("salt") == F.col("asset_salt")))
+    alone = keys.join(named.select("asset_key").distinct(), same_name, "left_anti")
+    exact = found.select("hostName", "key", "user", "description").unionByName(alone, allowMissingColumns=True)
     prefixed = first_prefix_match(
         keys, "key", assets.withColumnRenamed("key", "text"), "text", "seq", ["user", "description"], literal
     )
