@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folder of each local application that names none, and the tables of the jobs now running.
+_local_folders: dict[str, str] = {}
+_jobs: list[list[str]] = []
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "netaudit") -> SparkSession:
+
+def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "netaudit", checkpoint_dir: str | None = None) -> SparkSession:
     """Session for tests and the bench. On a cluster the caller brings its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -20,6 +25,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="run-"))
         .getOrCreate()
     )
 
@@ -28,24 +34,40 @@ def scratch_folder(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session that names none
-    gets a temporary folder of its own.
+    gets a temporary folder, one per application.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        application = spark.sparkContext.applicationId
+        folder = _local_folders.setdefault(application, "") or tempfile.mkdtemp(prefix="run-")
+        _local_folders[application] = folder
     return folder
 
 
+@contextmanager
+def job_tables(spark: SparkSession) -> Iterator[None]:
+    """Own the intermediate tables made inside and remove them at the end, when the job's output is written."""
+    _jobs.append([])
+    try:
+        yield
+    finally:
+        for path in _jobs.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def checkpointed(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as a table in the scratch folder and read it back.
 
     Later steps start from the table: it survives lost executors, its size is known to the
     planner, and several readers share one run of what made it. Filters on the columns ``by``
-    then read only their part.
+    then read only their part. Inside ``job_tables`` the table goes with its job; otherwise it
+    stays until the folder is emptied.
     """
     path = f"{scratch_folder(df.sparkSession).rstrip('/')}/netaudit-{uuid.uuid4().hex}"
+    if _jobs:
+        _jobs[-1].append(path)
     df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -20,7 +20,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(entry_point.QUERIES))
 def test_no_cross_join_python_or_single_task(large_sides, name):
     text = plan(entry_point.queries()[name](large_sides, SF_DIR))
     assert not re.findall("CartesianProduct|BroadcastNestedLoopJoin|Exchange SinglePartition|EvalPython|InPandas|MapInArrow", text)
