@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from netaudit.llm import jaccard
+import public_tokenizers
+
+from netaudit.llm import bpe, jaccard, passages
 from netaudit.llm.common import table
 
 
@@ -10,5 +12,13 @@ def op5_ngram_jaccard_join(spark, sf_dir):
     return jaccard.shingle_components(table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES = {"op5_ngram_jaccard_join": op5_ngram_jaccard_join}
+def op2_substring_dedup(spark, sf_dir):
+    return passages.passage_digests(table(spark, sf_dir, "documents"))
+
+
+def op9_bpe_roundtrip(spark, sf_dir):
+    return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+LLM_QUERIES = {f.__name__: f for f in (op2_substring_dedup, op5_ngram_jaccard_join, op9_bpe_roundtrip)}
 LLM_ORACLE = {}
