@@ -4,21 +4,33 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from netaudit.llm import bpe, jaccard, passages
+from netaudit.llm import bpe, jaccard, passages, pii, quality, toxicity
 from netaudit.llm.common import table
 
 
+def op3_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_ngram_jaccard_join(spark, sf_dir):
     return jaccard.shingle_components(table(spark, sf_dir, "documents"))
 
 
+def op1_pii(spark, sf_dir):
+    return pii.pii_digests(table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark, sf_dir):
     return passages.passage_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_bpe_roundtrip(spark, sf_dir):
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op2_substring_dedup, op5_ngram_jaccard_join, op9_bpe_roundtrip)}
+LLM_QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_toxicity, op5_ngram_jaccard_join, op6_quality_classifier, op9_bpe_roundtrip)}
 LLM_ORACLE = {}
