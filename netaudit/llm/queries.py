@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from netaudit.llm import bpe, jaccard, passages, pii, quality, toxicity
+from netaudit.llm import bpe, decontaminate, jaccard, passages, pii, quality, toxicity
 from netaudit.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op3_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_ngram_jaccard_join(spark, sf_dir):
     return jaccard.shingle_components(table(spark, sf_dir, "documents"))
 
@@ -32,5 +36,5 @@ def op9_bpe_roundtrip(spark, sf_dir):
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_toxicity, op5_ngram_jaccard_join, op6_quality_classifier, op9_bpe_roundtrip)}
+LLM_QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_toxicity, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_quality_classifier, op9_bpe_roundtrip)}
 LLM_ORACLE = {}
