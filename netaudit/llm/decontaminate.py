@@ -3,8 +3,8 @@
 A text becomes a template: punctuation goes, letters are folded, numbers, names and units after
 numbers become placeholders that keep what they stand for as a slot. Windows of five template
 tokens of documents and items meet in a hash join. An item is in a text when the text has enough
-of its windows, and the slots agree: within one occurrence an item's value always stands against
-the same value of the text. Equal slots make a verbatim copy, others a re-parameterised one.
+of its windows in occurrences whose slots agree: an item's value always stands against the same
+value of the text. Equal slots make a verbatim copy, others a re-parameterised one.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from netaudit.llm.common import checkpointed
-from netaudit.llm.words import SPACE, byte_codes, hash_spans, mix, powers, split_words, text_pieces, window_hashes
+from netaudit.llm.words import SPACE, hash_spans, mix, split_words, text_pieces, window_hashes
 
 WINDOW, LEAST_LITERALS, LEAST_SHARE = 5, 3, 0.8
 #: Bits of the table that documents' windows are first looked up in, whatever the benchmark's size: 1 MB.
@@ -59,6 +59,10 @@ def templates(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
         place = np.zeros(len(raw) + 1, dtype=np.int64)
         np.cumsum(keep, out=place[1:])
         data, limits = raw[keep], place[bounds]
+        # Capitals of two bytes, those of the Latin alphabets of western Europe, are folded as well.
+        wide = np.zeros(len(data) + 1, dtype=bool)
+        wide[1:-1] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        data = data + 0x20 * wide[:-1].astype(np.uint8)
         digit, letter = _DIGIT[data], _LETTER[data]
         apart = np.zeros(len(data), dtype=bool)
         apart[1:] = letter[1:] & digit[:-1]  # "5kg" is a number and a unit
@@ -75,8 +79,9 @@ def templates(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
             at = np.minimum(np.searchsorted(UNIT_HASHES, hashes), len(UNIT_HASHES) - 1)
             kinds[(UNIT_HASHES[at] == hashes) & after_number & (kinds == 0)] = 3
             # A name begins with a capital, goes on in small letters and does not begin a sentence.
-            second = data[np.minimum(starts + 1, len(data) - 1)]
-            capital = _UPPER[data[starts]] & (ends - starts > 1) & _LETTER[second] & ~_UPPER[second]
+            size = 1 + wide[starts + 1]
+            second = np.minimum(starts + size, len(data) - 1)
+            capital = (_UPPER[data[starts]] | wide[starts + 1]) & (ends - starts > size) & _LETTER[data[second]] & ~_UPPER[data[second]] & ~wide[second + 1]
             where = np.flatnonzero(keep)
             stops = np.zeros(len(raw) + 1, dtype=np.int64)
             np.cumsum(_STOP[raw], out=stops[1:])
@@ -160,23 +165,17 @@ def item_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, least_
     seen = texts.mapInArrow(_windows(window, table), "h long, g long, place int, name long, slots array<long>")
     met = seen.join(asked.select("item_id", "name", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")), "name")
     met = checkpointed(met.select("h", "g", "item_id", "name", (F.col("place") - F.col("item_place")).alias("shift"), "slots", "item_slots").distinct())
-    shares = met.groupBy("h", "g", "item_id").agg(F.countDistinct("name").alias("hits")).join(sizes, "item_id")
-    held = shares.withColumn("share", F.col("hits") / F.col("size")).filter(F.col("share") >= least_share)
-
-    # Inside one occurrence the shift between text and item stays the same.
-    pairs = met.join(held.select("h", "g", "item_id"), ["h", "g", "item_id"]).select(
-        "h", "g", "item_id", "shift", F.explode(F.arrays_zip("item_slots", "slots")).alias("p")
-    ).select("h", "g", "item_id", "shift", "p.item_slots", "p.slots").distinct()
-    values = pairs.groupBy("h", "g", "item_id", "shift", "item_slots").agg(
-        F.count("*").alias("against"), F.max((F.col("slots") == F.col("item_slots")).cast("int")).alias("same")
-    )
-    agree = values.groupBy("h", "g", "item_id").agg(
-        F.avg((F.col("against") == 1).cast("double")).alias("steady"), F.min(F.when(F.col("against") == 1, F.col("same")).otherwise(0)).alias("same")
+    # Inside one occurrence the shift between text and item stays the same, and so must what a value stands against.
+    pairs = met.select("h", "g", "item_id", "shift", F.explode(F.arrays_zip("item_slots", "slots")).alias("p"))
+    values = pairs.groupBy("h", "g", "item_id", "shift", "p.item_slots").agg(
+        F.min("p.slots").alias("least"), F.max("p.slots").alias("most"), F.min((F.col("p.slots") == F.col("p.item_slots")).cast("int")).alias("same")
     )
+    occurrences = values.groupBy("h", "g", "item_id", "shift").agg(F.bool_and(F.col("least") == F.col("most")).alias("steady"), F.min("same").alias("same"))
+    steady = met.join(occurrences, ["h", "g", "item_id", "shift"], "left").filter(F.coalesce("steady", F.lit(True)))
+    shares = steady.groupBy("h", "g", "item_id").agg(F.countDistinct("name").alias("hits"), F.min(F.coalesce("same", F.lit(1))).alias("same"))
     return (
-        held.join(agree, ["h", "g", "item_id"], "left")
-        .filter(F.coalesce("steady", F.lit(1.0)) >= least_share)
-        .select("h", "g", "item_id", "share", F.when(F.coalesce("same", F.lit(1)) == 1, "verbatim").otherwise("re-parameterised").alias("kind"))
+        shares.join(sizes, "item_id").withColumn("share", F.col("hits") / F.col("size")).filter(F.col("share") >= least_share)
+        .select("h", "g", "item_id", "share", F.when(F.col("same") == 1, "verbatim").otherwise("re-parameterised").alias("kind"))
     )
 
 
