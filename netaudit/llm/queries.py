@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from netaudit.llm import bpe, decontaminate, jaccard, passages, pii, quality, toxicity
+from netaudit.llm import bpe, decontaminate, jaccard, mainhtml, passages, pii, quality, toxicity
 from netaudit.llm.common import table
 
 
@@ -36,5 +36,9 @@ def op9_bpe_roundtrip(spark, sf_dir):
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_toxicity, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_quality_classifier, op9_bpe_roundtrip)}
+def op10_html_extraction(spark, sf_dir):
+    return mainhtml.extracted(table(spark, sf_dir, "pages"))
+
+
+LLM_QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_toxicity, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_quality_classifier, op9_bpe_roundtrip, op10_html_extraction)}
 LLM_ORACLE = {}
