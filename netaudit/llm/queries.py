@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from netaudit.llm import bpe, decontaminate, jaccard, mainhtml, passages, pii, quality, toxicity
+from netaudit.llm import bpe, decontaminate, jaccard, mainhtml, passages, pii, quality, toolchat, toxicity, vectors
 from netaudit.llm.common import table
 
 
@@ -32,6 +33,36 @@ def op6_quality_classifier(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: The tool that the turns of a user stand for, with the bounds of a question's length in words.
+ASK = [("ask", "question", "string", True, None, None), ("ask", "turn", "integer", True, 0.0, None), ("ask", "words", "integer", True, 1.0, 40.0)]
+
+
+def op7_chat_formatting(spark, sf_dir):
+    """Turns of users as calls of a tool, turns of assistants as results of the turn before.
+
+    A call needs the one two turns before; in every seventh conversation the one two turns later.
+    """
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+
+    def call_id(turn):
+        return F.concat(F.lit("call-"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
+
+    words = F.size(F.filter(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")).cast("long")
+    calls = turns.filter("role = 'user'").select(
+        "conv_id", call_id(F.col("turn")).alias("call_id"), "turn", F.lit("ask").alias("name"),
+        F.to_json(F.struct(words.alias("words"), F.col("text").alias("question"), F.col("turn").alias("turn"))).alias("arguments"),
+    )
+    results = turns.filter("role = 'assistant'").select("conv_id", call_id(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    needed = F.col("turn") + F.when(F.col("conv_id") % 7 == 0, 2).otherwise(-2)
+    needs = calls.select("conv_id", "call_id", call_id(needed).alias("needed"))
+    schemas = spark.createDataFrame(ASK, "name string, field string, kind string, required boolean, least double, most double")
+    return toolchat.linked(calls, results, schemas, needs)
+
+
+def op8_embedding_near_dedup(spark, sf_dir):
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_bpe_roundtrip(spark, sf_dir):
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -40,5 +71,5 @@ def op10_html_extraction(spark, sf_dir):
     return mainhtml.extracted(table(spark, sf_dir, "pages"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_toxicity, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_quality_classifier, op9_bpe_roundtrip, op10_html_extraction)}
+LLM_QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_toxicity, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_quality_classifier, op7_chat_formatting, op8_embedding_near_dedup, op9_bpe_roundtrip, op10_html_extraction)}
 LLM_ORACLE = {}
