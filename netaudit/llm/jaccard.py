@@ -15,7 +15,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from netaudit.llm.common import checkpointed, components, only_ids
 from netaudit.llm.words import mix, shingle_sets, words_of
@@ -24,6 +24,8 @@ from netaudit.llm.words import mix, shingle_sets, words_of
 CELL_BITS = 17
 #: Sets above this size are always heavy; bounds the subsets of one set.
 LARGEST_LIGHT = 16
+#: Bits of the signatures that pairs are compared by before their texts are: in the lists, and pair by pair.
+MARK_BITS, SIGNATURE_BITS = 1024, 4096
 #: Cost of one entry of an inverted list against one subset: it is shuffled twice, and hits are compared as texts.
 LIST_COST = 8
 
@@ -61,6 +63,28 @@ def set_key(shingles: np.ndarray) -> int:
     return int(mix(np.array([digest], dtype=np.uint64)).view(np.int64)[0])
 
 
+def signature(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """Parity of the shingles per bit: two signatures differ in no more bits than their sets in shingles."""
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _signatures(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [s for w in words_of(batch.column(1), fold=True) for s in shingle_sets(w, k)]
+            made = [pa.array([signature(s, bits) for s in sets], pa.list_(pa.int64())) for bits in (MARK_BITS, SIGNATURE_BITS)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int32()), *made], ["key", "n", "mark", "signature"])
+
+    return run
+
+
+def _may_link(a: Column, b: Column, n: Column, m: Column, bits: int, percent: int) -> Column:
+    """Sizes and signatures allow the link; exact, as it never refuses one."""
+    apart = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(bits // 64)), F.lit(0))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (apart * (100 + percent) <= (n + m) * (100 - percent))
+
+
 def _classes(k: int):
     """Size and key of each document, and at the task's end its counts of shingles by cell."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,8 +106,7 @@ def _classes(k: int):
                 counts += np.bincount(cells, minlength=len(counts))
             yield rows(batch.column(0), sizes, keys, [None] * len(sizes), [None] * len(sizes))
         used = np.flatnonzero(counts)
-        none = pa.nulls(len(used))
-        yield rows(pa.nulls(len(used), pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), used, counts[used])
+        yield rows(pa.nulls(len(used), pa.int64()), [None] * len(used), [None] * len(used), used, counts[used])
 
     return run
 
@@ -182,52 +205,54 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
     for row in both.filter("cell is not null").groupBy("cell").agg(F.sum("amount").alias("amount")).collect():  # bounded by the cells
         counts[row.cell] = row.amount
     cells = spark.sparkContext.broadcast(np.minimum(counts, 2**32 - 1))
-    keys = classes.filter("n > 0").groupBy("key").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
+    keys = both.filter("n > 0").groupBy("key").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
     bound = 100 * LARGEST_LIGHT // percent + 1
     sizes = {r.n: r["count"] for r in keys.filter(F.col("n") <= bound).groupBy("n").count().collect()}  # bounded by the sizes
     light = light_boundary(sizes, percent)
 
     entries = docs.select("text").mapInArrow(_entries(k, percent, light, cells), "name long, key long, n int, low boolean, high boolean, listed boolean")
     lists = entries.groupBy("name", "listed").agg(
-        F.min(F.struct("key", "n")).alias("lead"), F.max("key").alias("last"),
+        F.min("key").alias("lead"), F.max("key").alias("last"),
         F.min(F.when(F.col("low"), F.col("key"))).alias("least_low"), F.min(F.when(F.col("high"), F.col("key"))).alias("least_high"),
-    ).filter("lead.key != last")
+    ).filter("lead != last").drop("last")
     met = checkpointed(entries.join(lists, ["name", "listed"]))
 
     # All pairs of a low and a high class under one subset link; one partner for each connects them.
     sure = met.filter("not listed").select("key", F.explode(F.array(F.when(F.col("low"), F.col("least_high")), F.when(F.col("high"), F.col("least_low")))).alias("partner"))
     sure = sure.filter("key != partner").select(F.greatest("key", "partner").alias("a"), F.least("key", "partner").alias("b")).distinct()
 
-    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
     listed = met.filter("listed").select("name", "key", "n", "lead")
-    to_lead = (
-        listed.select(F.col("key").alias("a"), F.col("lead.key").alias("b"), "n", F.col("lead.n").alias("m"))
-        .filter("a != b").filter(fits).select("a", "b").distinct()
-    )
-    to_lead = checkpointed(to_lead)
-    needed = listed.select("key").distinct().join(keys, "key").select("key", F.col("doc_id").alias("rep"))
-    needed = checkpointed(needed)
+    needed = checkpointed(listed.select("key").distinct().join(keys.select("key", F.col("doc_id").alias("rep")), "key"))
     texts = only_ids(docs, "doc_id", needed.select("rep")).join(needed, F.col("doc_id") == F.col("rep"))
     texts = checkpointed(texts.groupBy("key").agg(F.first("text").alias("text")))
+    signatures = checkpointed(texts.mapInArrow(_signatures(k), "key long, n int, mark array<long>, signature array<long>"))
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        a = signatures.select(F.col("key").alias("a"), "n", F.col("signature").alias("sign_a"))
+        b = signatures.select(F.col("key").alias("b"), F.col("n").alias("m"), F.col("signature").alias("sign_b"))
+        return pairs.join(a, "a").join(b, "b").filter(_may_link(F.col("sign_a"), F.col("sign_b"), F.col("n"), F.col("m"), SIGNATURE_BITS, percent)).select("a", "b")
+
+    to_lead = checkpointed(likely(listed.filter("key != lead").select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct()))
     near = checkpointed(_compared(to_lead, texts, k, percent).unionByName(sure))
 
     # What is connected by now needs no more comparisons; the rest of each list is compared whole.
     known = components(near)
     placed = checkpointed(
-        listed.join(known, listed.key == known.node, "left").select("name", "key", "n", F.coalesce("component", "key").alias("part")).distinct()
+        listed.join(known, listed.key == known.node, "left").select("name", "key", F.coalesce("component", "key").alias("part")).distinct()
     )
     parts = placed.groupBy("name", "part").agg(F.count("*").alias("members")).groupBy("name").agg(
         F.max_by("part", F.struct("members", "part")).alias("top"), F.count("*").alias("parts")
     ).filter("parts > 1").drop("parts")
-    mixed = placed.join(parts, "name")
-    left = mixed.filter("part != top").select("name", F.col("key").alias("a"), "n", F.col("part").alias("part_a"))
-    right = mixed.select("name", F.col("key").alias("b"), F.col("n").alias("m"), F.col("part").alias("part_b"), "top")
+    mixed = placed.join(parts, "name").join(signatures.select("key", "n", "mark"), "key")
+    left = mixed.filter("part != top").select("name", F.col("key").alias("a"), "n", F.col("mark").alias("mark_a"), F.col("part").alias("part_a"))
+    right = mixed.select("name", F.col("key").alias("b"), F.col("n").alias("m"), F.col("mark").alias("mark_b"), F.col("part").alias("part_b"), "top")
+    fits = _may_link(F.col("mark_a"), F.col("mark_b"), F.col("n"), F.col("m"), MARK_BITS, percent)
     rest = (
-        left.join(right, "name").filter("part_a != part_b and (part_b = top or a < b)").filter(fits)
+        left.join(right, (left.name == right.name) & F.expr("part_a != part_b and (part_b = top or a < b)") & fits)
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         .join(to_lead, ["a", "b"], "left_anti")
     )
-    far = checkpointed(_compared(rest, texts, k, percent))
+    far = checkpointed(_compared(likely(rest), texts, k, percent))
     return classes, near.unionByName(far)
 
 
