@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
@@ -235,11 +236,16 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     Null and empty texts have no tokens; ids may be null or repeated, rows are kept as they are.
     ``path`` names the vocabulary file, which every executor can open.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.string()), ("n_tokens", pa.int64())])
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _each(path, "text", ["ids", "n_tokens"], schema, Encoder.encode), "doc_id long, ids string, n_tokens long"
-    )
-    return rows.select("doc_id", "n_tokens", F.when(F.col("ids") == "", F.array().cast("array<int>")).otherwise(F.split("ids", " ").cast("array<int>")).alias("ids"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(path)
+        for batch in batches:
+            made = [own.encode(value.as_py()) for value in batch.column(1)]
+            counts = [n for _, n in made]
+            ids = np.fromstring(" ".join(text for text, _ in made if text), dtype=np.int32, sep=" ")
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts, dtype=np.int64)].astype(np.int32)), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), lists], ["doc_id", "n_tokens", "ids"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 
 
 def decoded(tokens: DataFrame, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -72,4 +73,5 @@ def op10_html_extraction(spark, sf_dir):
 
 
 LLM_QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_toxicity, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_quality_classifier, op7_chat_formatting, op8_embedding_near_dedup, op9_bpe_roundtrip, op10_html_extraction)}
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
 LLM_ORACLE = {}
