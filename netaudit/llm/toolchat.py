@@ -55,7 +55,8 @@ def ordered(calls: DataFrame, needs: DataFrame) -> DataFrame:
         moved = late
     if not count:
         return state.withColumn("cyclic", F.lit(False))
-    # Calls that have moved and need no other such call are on no cycle; what is left in the end is on or behind one.
+    # Calls that have moved and need no other such call are on no cycle; what is left in the end is on or behind one,
+    # and so is what needs that, whether it has moved or not.
     stuck = checkpointed(state.filter("step > 0").select(*KEY).unionByName(late.select(*KEY)).distinct())
     size = stuck.count()
     while size:
@@ -65,6 +66,11 @@ def ordered(calls: DataFrame, needs: DataFrame) -> DataFrame:
         stuck, done, size = fewer, after == size, after
         if done:
             break
+    fresh = stuck
+    while fresh.count():
+        held = fresh.select("conv_id", F.col("call_id").alias("needed"))
+        fresh = checkpointed(edges.join(held, ["conv_id", "needed"], "left_semi").select(*KEY).distinct().join(stuck, KEY, "left_anti"))
+        stuck = checkpointed(stuck.unionByName(fresh))
     marked = state.join(stuck.withColumn("cyclic", F.lit(True)), KEY, "left").join(calls.select(*KEY, "turn"), KEY)
     cyclic = F.coalesce("cyclic", F.lit(False))
     return marked.select(*KEY, F.when(cyclic, F.col("turn")).otherwise(F.col("place")).alias("place"), F.when(cyclic, 0).otherwise(F.col("step")).cast("long").alias("step"), cyclic.alias("cyclic"))

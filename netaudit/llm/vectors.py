@@ -40,6 +40,11 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(n)
 
 
+def padded_width(dim: int) -> int:
+    """Power of two that vectors are filled up to with zeros, with room for the corners kept."""
+    return max(8, 1 << (dim - 1).bit_length())
+
+
 def rotations_for(count: int, width: int) -> int:
     """Rotations per table, so that there are at least as many buckets as vectors."""
     return max(2, ceil(log(max(count, 2)) / log(2 * width)))
@@ -48,7 +53,7 @@ def rotations_for(count: int, width: int) -> int:
 def bucket_codes(x: np.ndarray, rotations: int, tables: int, probes: int) -> tuple[np.ndarray, np.ndarray]:
     """Own bucket of each row in each table, and its probed buckets; rows have unit length."""
     n, dim = x.shape
-    width = 1 << max(1, (dim - 1).bit_length())
+    width = padded_width(dim)
     padded = np.zeros((n, width))
     padded[:, :dim] = x
     own, probed = np.zeros((n, tables), dtype=np.uint64), np.zeros((n, tables, probes), dtype=np.uint64)
@@ -135,8 +140,7 @@ def near_links(rows: DataFrame, least_cosine: float = LEAST_COSINE, probes: int
     if not count:
         none = rows.select("key", F.col("key").alias("ball"), F.lit(0).cast("long").alias("n_links"))
         return none, rows.select(F.col("key").alias("a"), F.col("key").alias("b"))
-    width = 1 << max(1, (widest - 1).bit_length())
-    rotations = rotations_for(count, width)
+    rotations = rotations_for(count, padded_width(widest))
     tables *= 2 ** max(0, rotations - 3)
     border = acos(least_cosine)
     coded = checkpointed(rows.select("key", "v").mapInArrow(_coded(rotations, tables, probes), "key long, own array<long>, probed array<long>"))
