@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,55 +39,60 @@ REPORTING = frozenset(
 
 
 class LexiconTrie:
-    """Terms as a trie, searched by the automaton of all words within some edits of a given one."""
+    """Terms that allow one number of edits, as a trie, met by the Levenshtein automaton of a word."""
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], edits: int):
         self.root: dict = {}
-        self.heads: set[str] = set()
-        self.tails: set[str] = set()
+        self.edits = edits
+        #: Parts of terms by place and length: with ``edits`` edits one of ``edits + 1`` parts stays whole.
+        self.parts: dict[tuple[int, int, bool], set[str]] = {}
         for term in terms:
             node = self.root
             for letter in term:
                 node = node.setdefault(letter, {})
             node[""] = term
-            for part in range(parts := self.edits(term) + 1):  # one of the parts stays whole
-                cut = [len(term) * i // parts for i in range(parts + 1)]
-                if part == 0:
-                    self.heads.add(term[: cut[1]])
-                elif part == parts - 1:
-                    self.tails.add(term[cut[part] :])
-                else:
-                    self.heads.add("")  # a whole middle says nothing about either end
-        self.head_sizes = sorted({len(h) for h in self.heads})
-        self.tail_sizes = sorted({len(t) for t in self.tails})
-
-    @staticmethod
-    def edits(term: str) -> int:
-        return 2 if len(term) >= LONG else 1 if len(term) >= FUZZY else 0
+            cuts = [len(term) * i // (edits + 1) for i in range(edits + 2)]
+            for first, last in zip(cuts, cuts[1:], strict=False):
+                at_end = last == len(term)
+                self.parts.setdefault((last - first if at_end else first, last - first, at_end), set()).add(term[first:last])
+        self.lengths = range(min(map(len, terms), default=1) - edits, max(map(len, terms), default=0) + edits + 1)
 
     def may(self, word: str) -> bool:
-        return any(word[:n] in self.heads for n in self.head_sizes) or any(word[-n:] in self.tails for n in self.tail_sizes if n)
+        """Whether some part of a term stands where it could; false only if no term is near."""
+        if len(word) not in self.lengths:
+            return False
+        for (place, size, at_end), parts in self.parts.items():
+            if at_end:
+                if word[len(word) - size :] in parts:
+                    return True
+            elif place == 0:
+                if word[:size] in parts:
+                    return True
+            elif any(word[i : i + size] in parts for i in range(max(0, place - self.edits), place + self.edits + 1)):
+                return True
+        return False
 
     def nearest(self, word: str) -> str | None:
-        """The closest term within its own number of edits, the first in order of letters among equals."""
-        if len(word) < FUZZY - 1 or not self.may(word):
+        """The closest term within the edits, the first in order of letters among equals."""
+        if not self.may(word):
             return None
-        found: tuple[int, str] | None = None
-        width, most = len(word), 2
-        stack = [(self.root, tuple(range(width + 1)))]
+        n, found = len(word), None
+        # States of the automaton are (letters of the word read, edits made); each walks the trie.
+        stack = [(self.root, 0, 0)]
         while stack:
-            node, row = stack.pop()
-            for letter, child in node.items():
-                if letter == "":
-                    if row[width] <= self.edits(child) and (found is None or (row[width], child) < found):
-                        found = (row[width], child)
-                    continue
-                # The automaton's next state: edits needed so far for each length of the word read.
-                state = [row[0] + 1]
-                for i in range(1, width + 1):
-                    state.append(min(state[-1] + 1, row[i] + 1, row[i - 1] + (word[i - 1] != letter)))
-                if min(state) <= most:
-                    stack.append((child, tuple(state)))
+            node, i, made = stack.pop()
+            for letter, child in node.items() if made < self.edits else ():
+                if letter:
+                    stack.append((child, i, made + 1))
+                    if i < n and letter != word[i]:
+                        stack.append((child, i + 1, made + 1))
+            if i < n:
+                if made < self.edits:
+                    stack.append((node, i + 1, made + 1))
+                if (child := node.get(word[i])) is not None:
+                    stack.append((child, i + 1, made))
+            elif "" in node and (found is None or (made, node[""]) < found):
+                found = (made, node[""])
         return found[1] if found else None
 
 
@@ -108,7 +112,8 @@ class Scorer:
     names = ("plain", "quoted", "stem", "fuzzy", "odds", "best", "share", "kinds")
 
     def __init__(self, lexicon: Lexicon):
-        self.lexicon, self.trie = lexicon, LexiconTrie([t for t in lexicon.terms if len(t) >= FUZZY])
+        self.lexicon = lexicon
+        self.tries = [LexiconTrie([t for t in lexicon.terms if FUZZY <= len(t) < LONG], 1), LexiconTrie([t for t in lexicon.terms if len(t) >= LONG], 2)]
         self.seen: set[str] = set()
         self.hits: dict[str, tuple[str, float, str]] = {}
 
@@ -120,8 +125,10 @@ class Scorer:
             odds = self.lexicon.stems.get(word[:n]) if len(word) >= n else None
             if odds is not None:
                 return "stem", odds, word[:n]
-        if word not in self.lexicon.innocent and (term := self.trie.nearest(word)) is not None:
-            return "fuzzy", self.lexicon.terms[term], term
+        if word not in self.lexicon.innocent:
+            for trie in self.tries:
+                if (term := trie.nearest(word)) is not None:
+                    return "fuzzy", self.lexicon.terms[term], term
         return None
 
     def count(self, text: str | None) -> tuple[list[float], list[str]]:
@@ -164,15 +171,30 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _contexts(terms: set[str] | None):
-    """Distinct words and the word before each, per text; with ``terms`` only of those and of stems among them."""
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct words and the word before each, per text."""
+    for batch in batches:
+        pairs: set = set()
+        for value in batch.column(0):
+            words = WORD.findall((value.as_py() or "").lower())
+            pairs.update(zip(words, ["", *words], strict=False))
+        yield pa.RecordBatch.from_pydict({"word": [w for w, _ in pairs], "before": [p for _, p in pairs]}, schema=pa.schema([("word", pa.string()), ("before", pa.string())]))
+
+
+def _frequencies(words: set[str], stems: set[str]):
+    """Toxic and other texts of the task that have each candidate."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict = {}
         for batch in batches:
-            pairs: Counter = Counter()
-            for value in batch.column(0):
-                words = WORD.findall((value.as_py() or "").lower())
-                pairs.update({(w, p) for w, p in zip(words, ["", *words], strict=False) if terms is None or w in terms or any(w[:n] in terms for n in STEM_LENGTHS)})
-            yield pa.RecordBatch.from_pydict({"word": [w for w, _ in pairs], "before": [p for _, p in pairs]}, schema=pa.schema([("word", pa.string()), ("before", pa.string())]))
+            for value, toxic in zip(batch.column(0), batch.column(1), strict=True):
+                own = set(WORD.findall((value.as_py() or "").lower()))
+                found = {(w, False) for w in own & words} | {(w[:n], True) for w in own for n in STEM_LENGTHS if w[:n] in stems and len(w) >= n}
+                for key in found:
+                    counts.setdefault(key, [0, 0])[toxic.as_py() != 1] += 1
+        yield pa.RecordBatch.from_pydict(
+            {"term": [t for t, _ in counts], "stem": [x for _, x in counts], "toxic": [n for n, _ in counts.values()], "other": [n for _, n in counts.values()]},
+            schema=pa.schema([("term", pa.string()), ("stem", pa.bool_()), ("toxic", pa.int64()), ("other", pa.int64())]),
+        )
 
     return run
 
@@ -196,34 +218,32 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = checkpointed(known.orderBy(F.xxhash64("id"), "id").limit(sample_rows))
     rows = checkpointed(only_ids(docs, "doc_id", known.select("id")).dropDuplicates(["doc_id"]).join(known, F.col("doc_id") == F.col("id")).select("text", "toxic"))
-    toxic, other = rows.filter("toxic = 1").select("text"), rows.filter("toxic <> 1").select("text")
-    schema = "word string, before string"
-    first = _by_term(toxic.mapInArrow(_contexts(None), schema)).filter(F.col("contexts") >= LEAST_CONTEXTS)
-    first = first.orderBy(F.desc("contexts"), "term", "stem").limit(MOST_CANDIDATES).collect()  # bounded
-    candidates = {(r.term, r.stem): r.contexts for r in first}
-    second = _by_term(other.mapInArrow(_contexts({t for t, _ in candidates}), schema))
-    wanted = rows.sparkSession.createDataFrame([(t, s) for t, s in candidates], "term string, stem boolean")
-    against = {(r.term, r.stem): r.contexts for r in second.join(F.broadcast(wanted), ["term", "stem"]).collect()}  # bounded
+    pairs = rows.filter("toxic = 1").select("text").mapInArrow(_contexts, "word string, before string")
+    first = _by_term(pairs).filter(F.col("contexts") >= LEAST_CONTEXTS).orderBy(F.desc("contexts"), "term", "stem").limit(MOST_CANDIDATES).collect()  # bounded
+    contexts = {(r.term, r.stem): r.contexts for r in first}
+    counted = rows.select("text", "toxic").mapInArrow(_frequencies({t for t, stem in contexts if not stem}, {t for t, stem in contexts if stem}), "term string, stem boolean, toxic long, other long")
+    found = counted.groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).collect()  # bounded by the candidates
     sizes = {r.toxic: r["count"] for r in rows.groupBy(F.col("toxic") == 1).count().toDF("toxic", "count").collect()}
-    odds = {
-        key: math.log((n + 0.5) / (sizes.get(True, 0) + 1)) - math.log((against.get(key, 0) + 0.5) / (sizes.get(False, 0) + 1))
-        for key, n in candidates.items()
-    }
+    odds, against = {}, {}
+    for r in found:
+        key = (r.term, r.stem)
+        against[key] = r.other / max(1, min(r.toxic, contexts[key]))
+        odds[key] = math.log((min(r.toxic, contexts[key]) + 0.5) / (sizes.get(True, 0) + 1)) - math.log((r.other + 0.5) / (sizes.get(False, 0) + 1))
     # A stem stands for many words, so it must hardly ever be innocent.
-    best = sorted((-o, key) for key, o in odds.items() if o >= LEAST_ODDS and (not key[1] or against.get(key, 0) <= STEM_NOISE * candidates[key]))[:MOST_TERMS]
+    best = sorted((-o, key) for key, o in odds.items() if o >= LEAST_ODDS and (not key[1] or against[key] <= STEM_NOISE))[:MOST_TERMS]
     lexicon = Lexicon({t: -o for o, (t, stem) in best if not stem}, {t: -o for o, (t, stem) in best if stem})
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(lexicon)
         for batch in batches:
             made = [scorer.count(v.as_py()) for v in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([m[0] for m in made], pa.list_(pa.float64())), pa.array([m[1] for m in made], pa.list_(pa.string()))], ["toxic", "x", "misspelt"])
 
-    seen = checkpointed(rows.mapInArrow(counted, "toxic int, x array<double>, misspelt array<string>"))
+    seen = checkpointed(rows.mapInArrow(features, "toxic int, x array<double>, misspelt array<string>"))
     often = seen.filter("toxic <> 1").select(F.explode(F.array_distinct("misspelt")).alias("word")).groupBy("word").count().filter("count >= 2")
     lexicon.innocent = {r.word for r in often.orderBy(F.desc("count"), "word").limit(MOST_CANDIDATES).collect()}  # bounded
     if lexicon.innocent:
-        seen = checkpointed(rows.mapInArrow(counted, "toxic int, x array<double>, misspelt array<string>"))
+        seen = checkpointed(rows.mapInArrow(features, "toxic int, x array<double>, misspelt array<string>"))
     sample = seen.select("x", "toxic").collect()  # at most sample_rows
     x = np.array([r.x for r in sample], dtype=float).reshape(-1, len(Scorer.names))
     lexicon.weights = fit_logistic(x, np.array([r.toxic == 1 for r in sample], dtype=float)).tolist()
