@@ -63,4 +63,4 @@ def japanese_weekday(year: Column, month: Column, day: Column) -> Column:
     """One-character weekday; blank when month or day is missing, null for no such date."""
     when = F.try_to_date(F.concat_ws("-", year, month, day), "y-M-d")
     names = F.array(*map(F.lit, WEEKDAYS))
-    return F.when(month.isNull() | day.isNull(), "").otherwise(F.element_at(names, F.weekday(when) + 1))
+    return F.when(month.isNull() | day.isNull(), "").otherwise(F.get(names, F.weekday(when)))

@@ -39,6 +39,7 @@ def mb_to_gb(mb: Column) -> Column:
 
 def clean_csv_line(line: Column) -> Column:
     """Drop thousands commas, then quotes: quoted fields keep their separating comma."""
+    # Fixed value: a comma between digits.
     return F.translate(F.regexp_replace(line, "(?<=[0-9]),(?=[0-9])", ""), '"', "")
 
 

@@ -14,6 +14,7 @@ from netaudit.operators.scan import lines_since, ordered_scan
 from netaudit.session import checkpointed
 from netaudit.sources.lines import place
 
+# Words of the DHCP section.
 DHCP_START = "config system dhcp server"
 SET_INTERFACE = "set interface "
 

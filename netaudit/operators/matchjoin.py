@@ -94,7 +94,7 @@ def first_prefix_match(
     keys = probes.select(F.col(probe).alias("key")).filter(F.length("key") > 0).distinct()
     searched = register.select(text, F.col(order).alias("order"), F.struct(*payload).alias("match"))
     reached = prefix_keys(searched, text, keys, "key", literal)
-    firsts = reached.groupBy("key").agg(F.min_by("match", "order").alias("match"))
+    firsts = reached.groupBy("key").agg(F.min_by("match", F.struct("order", "match")).alias("match"))
     return keys.join(firsts, "key").select(F.col("key").alias(probe), "match")
 
 
@@ -108,11 +108,11 @@ def first_suffix_match(
     entries = (
         register.filter(F.col(pattern).isNotNull())
         .groupBy(F.reverse(pattern).alias("key"))
-        .agg(F.min_by(F.struct(*payload), order).alias("match"), F.min(order).alias("order"))
+        .agg(F.min_by(F.struct(*payload), F.struct(order, *payload)).alias("match"), F.min(order).alias("order"))
     )
     texts = probes.filter(F.col(probe).isNotNull()).select(probe).distinct().withColumn("reversed", F.reverse(probe))
     reached = prefix_keys(texts, "reversed", entries, "key", literal)
-    return salted_join(reached, entries, "key", [probe]).groupBy(probe).agg(F.min_by("match", "order").alias("match"))
+    return salted_join(reached, entries, "key", [probe]).groupBy(probe).agg(F.min_by("match", F.struct("order", "match")).alias("match"))
 
 
 def with_blocks(ips: DataFrame, ip: str, blocks: DataFrame) -> DataFrame:

@@ -43,21 +43,14 @@ def first_per_ip(devices: DataFrame) -> DataFrame:
 
 
 def host_owners(hosts: DataFrame, assets: DataFrame, literal: bool = False) -> DataFrame:
-    """Owners of each distinct host name: ``hostName, user, description``.
+    """Owners of each distinct host name that is not null: ``hostName, user, description``.
 
-    A host takes every asset of its lower-case name, null names meeting null names. Hosts
-    still without user take the first asset whose name begins with the host's.
+    A host takes every asset of its lower-case name. Hosts still without user take the first
+    asset whose name begins with the host's.
     """
-    keys = hosts.select("hostName").distinct().withColumn("key", F.lower("hostName"))
-    # Any share of the assets may be nameless: they are spread over salts, and the one
-    # nameless host is repeated for each.
-    salts = F.when(F.col("key").isNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salt = F.when(F.col("key").isNull(), F.pmod(F.xxhash64("seq"), F.lit(SALTS)).cast("int")).otherwise(0)
-    named = assets.select(F.col("key").alias("asset_key"), salt.alias("asset_salt"), "user", "description")
-    same_name = F.col("key").eqNullSafe(F.col("asset_key"))
-    found = keys.withColumn("salt", F.explode(salts)).join(named, same_name & (F.col("salt") == F.col("asset_salt")))
-    alone = keys.join(named.select("asset_key").distinct(), same_name, "left_anti")
-    exact = found.select("hostName", "key", "user", "description").unionByName(alone, allowMissingColumns=True)
+    keys = hosts.filter(F.col("hostName").isNotNull()).select("hostName").distinct().withColumn("key", F.lower("hostName"))
+    named = assets.filter(F.col("key").isNotNull()).select(F.col("key").alias("asset_key"), "user", "description")
+    exact = keys.join(named, F.col("key") == F.col("asset_key"), "left").drop("asset_key")
     prefixed = first_prefix_match(
         keys, "key", assets.withColumnRenamed("key", "text"), "text", "seq", ["user", "description"], literal
     )
@@ -70,21 +63,35 @@ def host_owners(hosts: DataFrame, assets: DataFrame, literal: bool = False) -> D
     )
 
 
+def nameless_pairs(nameless: DataFrame, assets: DataFrame) -> DataFrame:
+    """Every device without host name with every asset without name: rows grow with the product of both.
+
+    Without such an asset a device keeps one row. Both sides are spread over salts.
+    """
+    owners = assets.filter(F.col("key").isNull()).select("description", F.pmod(F.xxhash64("seq"), F.lit(SALTS)).cast("int").alias("salt"))
+    salted = nameless.drop("user", "description").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    some = owners.limit(1).select(F.lit(True).alias("some"))
+    alone = nameless.join(F.broadcast(some), F.lit(True), "left_anti")
+    return salted.join(owners, "salt").withColumn("user", F.lit(None).cast("string")).select(*DEVICE_COLUMNS).unionByName(alone.select(*DEVICE_COLUMNS))
+
+
 def blank_host_user(host: Column, user: Column) -> Column:
     """The blank-host message as user; a missing host name also removes the user."""
     return F.when(host == BLANK_HOST, F.lit(BLANK_HOST)).when(host.isNotNull(), user)
 
 
-def with_owners(devices: DataFrame, assets: DataFrame, literal: bool = False) -> DataFrame:
+def with_owners(devices: DataFrame, assets: DataFrame, literal: bool = False, pair_nameless: bool = False) -> DataFrame:
     """Devices with a MAC take their host's owners; the others keep user and description.
 
-    A popular host name is one row on the owner side, so AQE can split its devices.
+    A popular host name is one row on the owner side, so AQE can split its devices. A device
+    without host name has no owner and keeps one row. With ``pair_nameless`` it meets every
+    asset without name instead, which multiplies the two and serves only small registers.
     """
     private = devices.filter(F.col("macAddress").isNotNull()).select("ip", "hostName", "macAddress")
-    owners = host_owners(private, assets, literal).withColumnRenamed("hostName", "owned")
-    owned = private.join(owners, F.col("hostName").eqNullSafe(F.col("owned")))
+    owned = private.join(host_owners(private, assets, literal), "hostName").select(*DEVICE_COLUMNS)
+    nameless = with_device_columns(private.filter(F.col("hostName").isNull()))
     public = devices.filter(F.col("macAddress").isNull())
-    both = owned.select(*DEVICE_COLUMNS).unionByName(public.select(*DEVICE_COLUMNS))
+    both = owned.unionByName(nameless_pairs(nameless, assets) if pair_nameless else nameless).unionByName(public.select(*DEVICE_COLUMNS))
     return both.withColumn("user", blank_host_user(F.col("hostName"), F.col("user")))
 
 

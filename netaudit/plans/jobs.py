@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -12,11 +12,11 @@ from netaudit.constants import BANDWIDTH_REPORT, XML_SINCE
 from netaudit.functions.dates import shift_period, trend_periods
 from netaudit.functions.net import mac_search_key
 from netaudit.functions.text import trim_blanks
-from netaudit.operators.blocks import blocked_macs, deny_list, dhcp_ranges, relevant_lines
+from netaudit.operators.blocks import DHCP_START, blocked_macs, deny_list, dhcp_ranges, relevant_lines
 from netaudit.operators.matchjoin import mac_search
 from netaudit.plans.devices import device_register
 from netaudit.plans.identity import identity_relation, report_keys
-from netaudit.plans.reports import enrich, shape
+from netaudit.plans.reports import check_destinations, enrich, shape
 from netaudit.plans.review import (
     missing_periods,
     of_fiscal_year,
@@ -26,8 +26,15 @@ from netaudit.plans.review import (
 )
 from netaudit.plans.trend import chart_series, trend_of_csv, trend_of_xml, with_ranks
 from netaudit.plans.vpn import marked_lines, vpn_local_ips, vpn_sessions
-from netaudit.session import checkpointed
-from netaudit.sinks.tables import write_register, write_reports, write_review_records, write_trend
+from netaudit.session import checkpointed, job_tables
+from netaudit.sinks.tables import (
+    export_unless_empty,
+    write_mac_matches,
+    write_register,
+    write_reports,
+    write_review_records,
+    write_trend,
+)
 from netaudit.sources.lines import base_name, read_lines, read_vpn_lines
 from netaudit.sources.registers import (
     ALLOW_SCHEMA,
@@ -54,20 +61,38 @@ def _folder(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def owns_tables(job):
+    """Remove the intermediate tables of a job whose first argument is the session, once its output is written."""
+    @wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        with job_tables(spark):
+            return job(spark, *args, **kwargs)
+
+    return run
+
+
 def config_registers(lines: DataFrame, out: str) -> None:
-    """Deny list, its export form, blocked MACs and DHCP ranges of a configuration."""
-    lines = relevant_lines(lines)
-    denied = deny_list(lines).drop("file")
-    write_register(denied, _folder(out, "deny_list"))
-    write_register(denied_export(denied), _folder(out, "deny_list_export"))
-    write_register(blocked_macs(lines).drop("file"), _folder(out, "blocked_macs"))
-    write_register(dhcp_ranges(lines).drop("file"), _folder(out, "dhcp_ranges"))
+    """Deny list, its export form, blocked MACs and DHCP ranges of a configuration.
+
+    A configuration without DHCP section is an error; the snapshots then stay as they are.
+    Blocked MACs are exported only if there are any.
+    """
+    with job_tables(lines.sparkSession):
+        if lines.filter(F.contains("line", F.lit(DHCP_START))).isEmpty():
+            raise ValueError(f"the configuration has no section '{DHCP_START}'")
+        lines = relevant_lines(lines)
+        denied = deny_list(lines).drop("file")
+        write_register(denied, _folder(out, "deny_list"))
+        write_register(denied_export(denied), _folder(out, "deny_list_export"))
+        export_unless_empty(blocked_macs(lines).drop("file"), _folder(out, "blocked_macs"))
+        write_register(dhcp_ranges(lines).drop("file"), _folder(out, "dhcp_ranges"))
 
 
 def denied_export(denied: DataFrame) -> DataFrame:
     return denied.select(F.col("ip").alias("IP"), F.col("hostName").alias("Description"))
 
 
+@owns_tables
 def vpn_registers(spark: SparkSession, logs: str, yyyymm: str, out: str) -> None:
     """VPN sessions and VPN-local addresses of a month; its neighbours' files are read too."""
     periods = [yyyymm, shift_period(yyyymm, -1), shift_period(yyyymm, 1)]
@@ -94,13 +119,15 @@ def audit_reports(
     return identities, shape(enrich(rows, identities))
 
 
+@owns_tables
 def monthly_audit(
     spark: SparkSession, reports: str, ext: str, yyyymm: str, own_label: str, out: str,
     schema: StructType | None = None, user_schema: StructType | None = None,
 ) -> None:
     """Annotate the reports of a folder and write them under ``out``.
 
-    With the schemas of the reports their files are read once, else once more to infer them.
+    Files that are none of the seven reports are left out. Destinations that lack a required
+    column or a size are an error. With the schemas of the reports their files are read once, else once more to infer them.
 
     ``ext`` holds the snapshots of :func:`config_registers`, :func:`vpn_registers` and
     :func:`refresh_registers`, the lease files (``dhcp``) and the parameter register
@@ -126,6 +153,7 @@ def monthly_audit(
     rows = read_reports(spark, reports, schema, user_schema).select("report", "table", "place", "cells")
     rows = checkpointed(rows, by=["report", "table"])
     _, shaped = audit_reports(rows, devices, ranges, networks)
+    check_destinations(shaped)
     write_reports(shaped, yyyymm, _folder(out, "reports"))
 
 
@@ -133,6 +161,7 @@ def monthly_audit(
 MONTH_FOLDER = "UTM Logs {}/input"
 
 
+@owns_tables
 def bandwidth_report(spark: SparkSession, root: str, yyyymm: str, out: str, xml_since: str = XML_SINCE) -> None:
     """Write the thirteen-month trend of the bandwidth reports and its chart series."""
     periods = trend_periods(yyyymm)
@@ -154,6 +183,7 @@ def bandwidth_report(spark: SparkSession, root: str, yyyymm: str, out: str, xml_
     write_trend(with_ranks(trend), chart_series(trend), yyyymm, out)
 
 
+@owns_tables
 def missing_reviews(
     spark: SparkSession, calendar: str, records: str, header: str, today: date,
     creator: str, approver: str, participants: str, out: str,
@@ -164,6 +194,12 @@ def missing_reviews(
     write_review_records(review_records(missing, creator, approver, participants), out)
 
 
+@owns_tables
+def write_mac_search(spark: SparkSession, mac_list: str, tables: str, out: str) -> None:
+    """Write the lines of the switch tables that hold a listed MAC, one folder per MAC."""
+    write_mac_matches(mac_matches(spark, mac_list, tables), out)
+
+
 def mac_matches(spark: SparkSession, mac_list: str, tables: str) -> DataFrame:
     """Lines of the switch tables that hold a listed MAC: ``mac, file, line``."""
     macs = spark.read.text(mac_list).select(mac_search_key(trim_blanks(F.col("value"))).alias("mac"))

@@ -40,11 +40,11 @@ KEY_COLUMNS = [
 ]
 TERMINAL_REPORTS = [C.TERMINALS_DATACENTER, C.TERMINALS_CENTER, C.TERMINALS_VPN]
 
-# Columns of the per-user destinations in the output.
-DESTINATION_COLUMNS = [
-    "rank", "usage", "ip", "hostName", "user", "description", "macAddress", "Destination", "destinationHost",
-    *SIZE_COLUMNS, "Application",
+# Columns of the per-user destinations in the output, and one of the size columns.
+REQUIRED_COLUMNS = [
+    "rank", "usage", "ip", "hostName", "user", "description", "macAddress", "Destination", "destinationHost", "Application",
 ]
+DESTINATION_COLUMNS = [*REQUIRED_COLUMNS, *SIZE_COLUMNS]
 
 
 def cell(name: str) -> Column:
@@ -69,8 +69,8 @@ def section_rank(section: Column) -> Column:
 
 def section_usage(section: Column) -> Column:
     """Amount after ``Usage: `` in a section name, else null."""
-    found = F.regexp_substr(section, F.lit("Usage: [0-9.]+ [A-Za-z]+"))
-    return F.substring(found, len("Usage: ") + 1, 1_000_000)
+    # Fixed value: how a section name gives its usage.
+    return F.nullif(F.regexp_extract(section, "Usage: ([0-9.]+ [A-Za-z]+)", 1), F.lit(""))
 
 
 def left_join_identity(rows: DataFrame, key: Column, identities: DataFrame, columns: list[str]) -> DataFrame:
@@ -148,6 +148,33 @@ def distinct_rows(rows: DataFrame) -> DataFrame:
     return firsts.select("report", "table", "place", F.map_from_entries("entries").alias("cells"))
 
 
+def with_one_size(rows: DataFrame) -> DataFrame:
+    """Only the fixed columns of the per-user destinations, with the first size column that any of them has.
+
+    Which one is a single fact about the table, so it is broadcast.
+    """
+    destination = in_table(C.USER_REPORT, TOP10_DESTINATIONS)
+    first, second = SIZE_COLUMNS
+    sized = rows.filter(destination & F.map_contains_key("cells", first)).select("report", "table").distinct().withColumn("sized", F.lit(True))
+    marked = rows.join(F.broadcast(sized), ["report", "table"], "left")
+    fixed = F.map_filter("cells", lambda key, _: key.isin([*REQUIRED_COLUMNS, first]) | ((key == second) & F.col("sized").isNull()))
+    return marked.withColumn("cells", F.when(destination, fixed).otherwise(F.col("cells"))).drop("sized")
+
+
+def check_destinations(rows: DataFrame) -> None:
+    """Raise if the per-user destinations of shaped rows lack a required column or a size.
+
+    A column without any value counts as missing. Without rows there is nothing to check.
+    """
+    cells = rows.filter(in_table(C.USER_REPORT, TOP10_DESTINATIONS)).select(F.explode("cells").alias("name", "value"))
+    found = {r.name for r in cells.filter("value is not null").filter(F.col("name").isin(DESTINATION_COLUMNS)).select("name").distinct().collect()}
+    missing = [name for name in REQUIRED_COLUMNS if name not in found]
+    if not found.intersection(SIZE_COLUMNS):
+        missing.append(" or ".join(SIZE_COLUMNS))
+    if found and missing:
+        raise ValueError(f"per-user destinations lack {missing}")
+
+
 def shape(rows: DataFrame) -> DataFrame:
     """Output form of enriched rows: null cells gone, fixed columns of the per-user
     destinations, filter rows on the source address gone, terminal lists without repeats."""
@@ -155,13 +182,5 @@ def shape(rows: DataFrame) -> DataFrame:
     terminal = reduce(Column.__or__, [in_table(report, C.TERMINAL_TABLE) for report in TERMINAL_REPORTS])
     filters = in_table(C.CLIENT_REPUTATION, C.REPORT_FILTERS)
     rest = rows.filter(~terminal).filter(~filters | F.coalesce(cell("Filter_name") != "srcip", F.lit(False)))
-    fixed = F.map_filter("cells", lambda key, _: key.isin(DESTINATION_COLUMNS))
-    rest = rest.withColumn(
-        "cells", F.when(in_table(C.USER_REPORT, TOP10_DESTINATIONS), fixed).otherwise(F.col("cells"))
-    )
-    return rest.unionByName(distinct_rows(rows.filter(terminal)))
-
-
-def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
-    """Only these columns; a missing one is an error."""
-    return df.select(*names)
+    kept = ["report", "table", "place", "cells"]
+    return with_one_size(rest).select(*kept).unionByName(distinct_rows(rows.filter(terminal)).select(*kept))

@@ -35,9 +35,17 @@ def of_fiscal_year(calendar: DataFrame, today: date) -> DataFrame:
 
 
 def produced_periods(spark: SparkSession, path: str, header: str, extension: str = ".md") -> DataFrame:
-    """Periods of files named ``<header> yyyymm<extension>``, listed without reading them."""
-    files = spark.read.format("binaryFile").load(path).select(base_name(decoded_name(F.col("path"))).alias("name"))
-    period = F.regexp_extract("name", rf"\Q{header}\E (\d{{6}})\Q{extension}\E", 1)
+    """Periods that have a record: files ``<header> yyyymm<extension>``, or folders ``yyyymm=…`` of this library.
+
+    Files are listed without reading them. A folder that does not exist yet has no records.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], "yyyymm string")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(decoded_name(F.col("path")).alias("name"))
+    named = F.regexp_extract(base_name(F.col("name")), rf"\Q{header}\E (\d{{6}})\Q{extension}\E", 1)
+    written = F.regexp_extract("name", r"/yyyymm=(\d{6})/part-[^/]*$", 1)
+    period = F.when(named != "", named).otherwise(written)
     return files.select(period.alias("yyyymm")).filter(F.col("yyyymm") != "").distinct()
 
 
@@ -71,7 +79,7 @@ def review_text(creator: str, approver: str, participants: str) -> Column:
     """Text of one review record from the columns of :func:`with_event`."""
     last_name = name_part(F.lit(approver), 1)
     year, month, day = F.col("year"), F.col("eventMonth"), F.col("eventDay")
-    weekday = japanese_weekday(year, month, day)
+    weekday = F.coalesce(japanese_weekday(year, month, day), F.lit(""))
     # Headings and sentences of the record, line by line.
     return F.concat_ws(
         "\n",
@@ -85,7 +93,7 @@ def review_text(creator: str, approver: str, participants: str) -> Column:
         F.lit("## 参加者"),
         F.lit(f"{approver}、{participants}"),
         F.lit("## 対象期間"),
-        F.format_string("%s年%s月", F.substring("yyyymm", 1, 4), F.substring("yyyymm", 5, 10)),
+        F.format_string("%s年%s月", F.substring("yyyymm", 1, 4), F.col("yyyymm").substr(F.lit(5), F.length("yyyymm"))),
         F.lit("## 問題点"),
         F.lit("定型の手順に沿って確認、対応を実施した。特記すべき問題点は存在しなかった。"),
         F.lit("## 改善点・対応策"),

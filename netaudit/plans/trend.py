@@ -76,10 +76,14 @@ def in_window(yyyymm: Column, period: str) -> Column:
 
 
 def with_ranks(trend: DataFrame) -> DataFrame:
-    """Add ``applicationsRank``, the number of rows of the application; the total has a fixed one."""
-    ranks = trend.groupBy("application").agg(F.count("*").alias("rows"))
+    """Add ``applicationsRank``, the number of rows of the application; the total has a fixed one.
+
+    Rows without application are counted together and kept.
+    """
+    ranks = trend.groupBy(F.col("application").alias("counted")).agg(F.count("*").alias("rows"))
     rank = F.when(F.col("application") == TOTAL_TITLE, TOTAL_RANK).otherwise(F.col("rows")).cast("int")
-    return trend.join(ranks, "application").withColumn("applicationsRank", rank).drop("rows")
+    same = F.col("application").eqNullSafe(F.col("counted"))
+    return trend.join(ranks, same).withColumn("applicationsRank", rank).drop("rows", "counted")
 
 
 def sorted_trend(ranked: DataFrame) -> DataFrame:
@@ -89,10 +93,10 @@ def sorted_trend(ranked: DataFrame) -> DataFrame:
 def chart_series(trend: DataFrame, applications: Sequence[str] = CHART_APPLICATIONS) -> DataFrame:
     """Gigabytes per month and application: the total, the listed ones and the sum of the others.
 
-    A month's sum of the others is null if any of them is null.
+    Rows without application are among the others. A month's sum of them is null if any size is null.
     """
     gigabytes = trend.select("application", "yyyymm", mb_to_gb(F.col("bandwidth")).alias("bandwidth"))
-    listed = F.col("application").isin([TOTAL_TITLE, *applications])
+    listed = F.coalesce(F.col("application").isin([TOTAL_TITLE, *applications]), F.lit(False))
     complete = F.count("*") == F.count("bandwidth")
     others = (
         gigabytes.filter(~listed)

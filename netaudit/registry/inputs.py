@@ -49,7 +49,7 @@ def text(*parts) -> Column:
 def host_of(key: Column) -> Column:
     return (
         F.when(key % 7 == 0, "")
-        .when(key % 11 == 0, None)
+        .when(key % 3 == 1, None)
         .when(key % 13 == 0, text("pc.", key % 50))
         .otherwise(text("pc-", key))
     )
@@ -89,7 +89,7 @@ def assets_register(spark, sf) -> DataFrame:
     name = text("PC-", number, F.when(number % 2 == 1, "-NB").otherwise(""))
     return table(spark, sf, "supplier").select(
         F.when(key % 17 != 5, F.col("s_name")).alias("使用者名"),
-        F.when(key != 13, name).alias("コンピュータ名"),
+        F.when(key % 3 != 1, name).alias("コンピュータ名"),
         text("NATION_", F.col("s_nationkey")).alias("部署名"),
         F.when(key % 10 == 0, "2020-01-01").alias("廃棄日"),
         at(key),
@@ -123,7 +123,7 @@ def allow_register(spark, sf) -> DataFrame:
     """Two domains per page: one that ends it, dashes as dots, and one that starts inside a label."""
     domain = page_domain()
     parent = F.translate(F.regexp_replace(domain, "^[a-z]+[.]", ""), "-", ".")
-    entries = F.posexplode(F.array(parent, F.substring(domain, 4, 1000))).alias("which", "domain")
+    entries = F.posexplode(F.array(parent, domain.substr(F.lit(4), F.length(domain)))).alias("which", "domain")
     return table(spark, sf, "pages").select("page_id", entries).select(
         "domain",
         text("allow-", F.col("page_id")).alias("Description1"),
@@ -297,6 +297,7 @@ def report_rows(spark, sf) -> DataFrame:
         Source=ip10(page * 7),
         rank=text(page % 5 + 1, ": ", ip10(page * 7), " user Usage: ", page % 900, " MB"),
         Bandwidth=text(page % 900, " MB"),
+        Bytes=F.when(page % 3 == 0, text(page, " KB")),
         Application=F.lit("HTTPS"),
     )
     return people.unionByName(hosts).unionByName(visits)
@@ -381,13 +382,14 @@ def csv_report_lines(monthly: DataFrame) -> DataFrame:
 
 
 def xml_report_column(monthly: DataFrame) -> DataFrame:
-    """The same reports as ``table`` elements, one per row of the month."""
+    """The same reports as ``table`` elements, one per row of the month; every tenth has no application."""
+    named = F.when(F.col("rank") % 10 != 9, text("<Application>", F.col("application"), "</Application>")).otherwise("")
     total = text(
         f'<table name="{C.TRAFFIC_STATISTICS}"><id><Summary>', F.col("application"), "</Summary><Statistics>",
         F.col("size"), "</Statistics></id></table>",
     )
     top = text(
-        f'<table name="{C.TOP_APPLICATIONS}"><id><Application>', F.col("application"), "</Application><Bytes>",
+        f'<table name="{C.TOP_APPLICATIONS}"><id>', named, "<Bytes>",
         F.col("size"), "</Bytes><Sessions>", F.col("sessions"), "</Sessions></id></table>",
     )
     return monthly.select("yyyymm", F.col("rank").alias("at"), F.when(F.col("rank") == 0, total).otherwise(top).alias("xml"))
@@ -400,7 +402,9 @@ def calendar(spark, sf) -> DataFrame:
     return months.select(
         text(year, "年", month, "月").alias("targetYm"),
         text("reviewer ", month).alias("name"),
-        F.when(month % 5 != 0, text(F.pmod(month, F.lit(12)) + 1, "/", month + 7)).alias("eventDate"),
+        # The last months of a year have days that are none: 2/30, 13/1 and a word.
+        F.when(month == 12, F.when(year.cast("int") % 3 == 0, "2/30").when(year.cast("int") % 3 == 1, "13/1").otherwise("2/x"))
+        .when(month % 5 != 0, text(F.pmod(month, F.lit(12)) + 1, "/", month + 7)).alias("eventDate"),
     )
 
 

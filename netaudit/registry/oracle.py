@@ -10,8 +10,7 @@ import re
 from netaudit import constants as C
 from netaudit.plans.reports import DESTINATION_COLUMNS
 from netaudit.registry.inputs import TABLE_OF_REST, TEN
-from netaudit.registry.queries import APPROVER, CREATOR, PARTICIPANTS, TODAY, TREND_PERIOD
-from netaudit.functions.dates import trend_periods
+from netaudit.registry.queries import APPROVER, CREATOR, PARTICIPANTS, TODAY, TREND_PERIOD, XML_SINCE
 
 IP = "[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}"
 DOMAIN = "[a-z0-9.-]+[.][a-z]{2,}"
@@ -43,7 +42,7 @@ def is_ip(ip: str) -> str:
     return f"regexp_matches({ip}, '{IP}$')"
 
 
-HOST = """CASE WHEN c_custkey % 7 = 0 THEN '' WHEN c_custkey % 11 = 0 THEN NULL
+HOST = """CASE WHEN c_custkey % 7 = 0 THEN '' WHEN c_custkey % 3 = 1 THEN NULL
  WHEN c_custkey % 13 = 0 THEN 'pc.' || (c_custkey % 50) ELSE 'pc-' || c_custkey END"""
 CONFIG_ADDRESS = "'198.51.' || (c_custkey // 256) % 256 || '.' || c_custkey % 256"
 LINE_START = "strftime(ts, '%b ') || day(ts) || strftime(ts, ' %H:%M:%S') || ' gw vpn[1]: '"
@@ -61,7 +60,7 @@ PARTS = {
         CASE WHEN ({HOST}) = '' THEN '{C.BLANK_HOST}' ELSE {HOST} END AS hostName FROM customer""",
     "assets": f"""SELECT s_suppkey AS pos, CASE WHEN s_suppkey % 17 <> 5 THEN s_name END AS "user",
         'NATION_' || s_nationkey AS description,
-        CASE WHEN s_suppkey <> 13 THEN 'pc-' || n || CASE WHEN n % 2 = 1 THEN '-nb' ELSE '' END END AS key
+        CASE WHEN s_suppkey % 3 <> 1 THEN 'pc-' || n || CASE WHEN n % 2 = 1 THEN '-nb' ELSE '' END END AS key
         FROM (SELECT *, CASE WHEN s_suppkey % 4 = 3 THEN s_suppkey - 1 ELSE s_suppkey END AS n FROM supplier)
         WHERE s_suppkey % 10 <> 0""",
     "static_devices": f"""SELECT s_suppkey AS pos, {ip10('s_suppkey * 3')} AS ip, 'srv-' || s_suppkey AS hostName,
@@ -92,7 +91,7 @@ PARTS = {
         ON starts_with(a.key, k.key) GROUP BY k.key""",
     "owners": """SELECT h.hostName, CASE WHEN a."user" IS NULL AND p.m IS NOT NULL THEN p.m.u ELSE a."user" END AS "user",
         CASE WHEN a."user" IS NULL AND p.m IS NOT NULL THEN p.m.d ELSE a.description END AS description
-        FROM host_keys h LEFT JOIN assets a ON h.key IS NOT DISTINCT FROM a.key LEFT JOIN prefix_matches p ON h.key = p.key""",
+        FROM host_keys h LEFT JOIN assets a ON h.key = a.key LEFT JOIN prefix_matches p ON h.key = p.key""",
     "all_devices": f"""SELECT 0 AS grp, pos, ip, hostName, "user", description, {NULLS} AS macAddress FROM static_devices
         UNION ALL SELECT 1, pos, ip, hostName, NULL, NULL, macAddress FROM leases
         UNION ALL SELECT 2, pos, ip, hostName, NULL, NULL, NULL FROM denied
@@ -176,7 +175,9 @@ PARTS = {
     "in_mb": """SELECT *, split_part(size, ' ', 1)::DOUBLE * CASE split_part(size, ' ', 2) WHEN 'MB' THEN 1.0 WHEN 'GB' THEN 1024.0
         WHEN 'TB' THEN 1048576.0 END AS mb FROM sized""",
     "calendar": """SELECT yyyymm, y || '年' || m || '月' AS targetYm, 'reviewer ' || m AS name,
-        CASE WHEN m % 5 <> 0 THEN (m % 12 + 1) || '/' || (m + 7) END AS eventDate, y, m FROM months""",
+        CASE WHEN m = 12 THEN CASE y::INT % 3 WHEN 0 THEN '2/30' WHEN 1 THEN '13/1' ELSE '2/x' END
+        WHEN m % 5 <> 0 THEN (m % 12 + 1) || '/' || (m + 7) END AS eventDate, y, m FROM months""",
+    "trend_mb": f"""SELECT CASE WHEN yyyymm >= '{XML_SINCE}' AND rank % 10 = 9 THEN NULL ELSE application END AS application, yyyymm, size, mb FROM in_mb""",
     "missing": """SELECT yyyymm, targetYm, name, eventDate, y::VARCHAR AS year, nullif(split_part(eventDate, '/', 1), '') AS eventMonth,
         nullif(split_part(eventDate, '/', 2), '') AS eventDay FROM calendar WHERE m % 3 = 0""",
     "enriched_people": f"""SELECT p.report, p.table_name, p.place, p.kind, p.cell, p.c_name, i.ip IS NOT NULL AS hit,
@@ -226,7 +227,7 @@ VISIT_CELLS = {
 }
 assert set(VISIT_CELLS) <= set(DESTINATION_COLUMNS)
 WEEKDAY = "CASE isodow({}) " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(C.WEEKDAYS, 1)) + " END"
-EVENT = "make_date(year::INT, eventMonth::INT, eventDay::INT)"
+EVENT = "try_cast(year || '-' || lpad(eventMonth, 2, '0') || '-' || lpad(eventDay, 2, '0') AS DATE)"
 LAST_NAME = APPROVER.split(" ")[0]
 
 DAY = f"coalesce(eventMonth, ' ') || '月' || coalesce(eventDay, ' ')"
@@ -252,7 +253,11 @@ def suffix_sql(test: str) -> str:
 
 
 TREND = f"""SELECT application, size, mb AS bandwidth, yyyymm, (CASE WHEN application = '{C.TOTAL_TITLE}' THEN 99
-    ELSE count(*) OVER (PARTITION BY application) END)::INTEGER AS "applicationsRank" FROM in_mb"""
+    ELSE count(*) OVER (PARTITION BY application) END)::INTEGER AS "applicationsRank" FROM trend_mb"""
+# The thirteen months up to TREND_PERIOD, written out.
+TREND_MONTHS = (
+    "'199807', '199808', '199809', '199810', '199811', '199812', '199901', '199902', '199903', '199904', '199905', '199906', '199907'"
+)
 LISTED = ", ".join(f"'{a}'" for a in [C.TOTAL_TITLE, *C.CHART_APPLICATIONS])
 
 SQL = {
@@ -344,10 +349,10 @@ SQL = {
         FROM sized WHERE rank > 0""",
     "size_to_mb": """SELECT yyyymm, application, CASE WHEN application = 'SSH' THEN translate(size, 'MGT', 'KKK') ELSE size END AS size,
         CASE WHEN application <> 'SSH' THEN mb END AS mb FROM in_mb""",
-    "bandwidth_trend": f"SELECT * FROM ({TREND} WHERE yyyymm IN ({', '.join(repr(p) for p in trend_periods(TREND_PERIOD))}))",
+    "bandwidth_trend": f"SELECT * FROM ({TREND} WHERE yyyymm IN ({TREND_MONTHS}))",
     "bandwidth_trend_all": TREND,
-    "chart_series": f"""SELECT application, yyyymm, round(mb / 1024, 6) AS bandwidth FROM in_mb WHERE application IN ({LISTED})
-        UNION ALL SELECT 'others', yyyymm, round(sum(mb / 1024), 6) FROM in_mb WHERE application NOT IN ({LISTED}) GROUP BY yyyymm""",
+    "chart_series": f"""SELECT application, yyyymm, round(mb / 1024, 6) AS bandwidth FROM trend_mb WHERE application IN ({LISTED})
+        UNION ALL SELECT 'others', yyyymm, round(sum(mb / 1024), 6) FROM trend_mb WHERE coalesce(application NOT IN ({LISTED}), true) GROUP BY yyyymm""",
     "fiscal_year": """SELECT (year(o_orderdate) - CASE WHEN month(o_orderdate) < 4 THEN 1 ELSE 0 END)::INTEGER AS fiscal_year,
         count(*) AS orders FROM orders GROUP BY 1""",
     "review_calendar_of_year": f"""SELECT targetYm AS "targetYm", name, eventDate AS "eventDate", {TODAY.year}::INTEGER AS "fiscalYear" FROM calendar
@@ -358,7 +363,8 @@ SQL = {
         strftime(d + INTERVAL 1 MONTH, '%Y%m') AS next, d BETWEEN DATE '{TREND_PERIOD[:4]}-{TREND_PERIOD[4:]}-01' - INTERVAL 12 MONTH
         AND DATE '{TREND_PERIOD[:4]}-{TREND_PERIOD[4:]}-01' AS in_window
         FROM (SELECT date_trunc('month', o_orderdate) AS d, count(*) AS orders FROM orders GROUP BY 1)""",
-    "weekdays": f"SELECT {WEEKDAY.format('o_orderdate')} AS weekday, count(*) AS orders FROM orders GROUP BY 1",
+    "weekdays": f"""SELECT {WEEKDAY.format("try_cast(year(o_orderdate) || '-' || lpad(month(o_orderdate)::VARCHAR, 2, '0') || '-' || (day(o_orderdate) + o_orderkey % 2) AS DATE)")}
+        AS weekday, count(*) AS orders FROM orders GROUP BY 1""",
     "month_numbers": "SELECT month(o_orderdate)::INTEGER AS month, count(*) AS orders FROM orders GROUP BY 1",
     "valid_registrations": f"""SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'O'
         OR o_orderdate::DATE >= DATE '{TODAY}'""",

@@ -326,8 +326,10 @@ def month_arithmetic(spark, sf):
 
 
 def weekdays(spark, sf):
+    """Weekdays of the order dates, of every second one a day later by number, which some months do not have."""
     day = F.col("o_orderdate")
-    name = dates.japanese_weekday(*[f(day).cast("string") for f in (F.year, F.month, F.dayofmonth)])
+    number = F.dayofmonth(day) + F.col("o_orderkey") % 2
+    name = dates.japanese_weekday(F.year(day).cast("string"), F.month(day).cast("string"), number.cast("string"))
     return table(spark, sf, "orders").select(name.alias("weekday")).groupBy("weekday").agg(F.count("*").alias("orders"))
 
 

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
 from netaudit.functions.text import clean_csv_line
 from netaudit.operators.scan import lines_since, ordered_scan
@@ -59,6 +61,7 @@ def lines_of_table(df: DataFrame, file: Column, pos: Column, line: Column, chunk
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:
     """Firewall configuration lines. The folder must hold exactly one configuration file."""
+    # Fixed value: how a configuration file is named.
     name = r"[A-Z]{6}[0-9]{2}_[0-9\-_]+\.conf"
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.conf").load(path)
     found = files.filter(base_name(decoded_name(F.col("path"))).rlike(name)).select("path").count()
@@ -72,17 +75,35 @@ def read_vpn_lines(spark: SparkSession, path: str, periods: Sequence[str]) -> Da
     return read_lines(spark, path, named="|".join([*periods, "access.log$"]))
 
 
-def read_room_log(spark: SparkSession, path: str, columns: int = 64) -> DataFrame:
+def csv_cells(line: Column) -> Column:
+    """Cells of one CSV line, as many as it has; empty cells are null, doubled quotes inside quotes are one."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+
+    def cell(text: Column) -> Column:
+        quoted = F.startswith(text, F.lit('"')) & F.endswith(text, F.lit('"')) & (F.length(text) > 1)
+        inner = F.replace(text.substr(F.lit(2), F.length(text) - 2), F.lit('""'), F.lit('"'))
+        return F.nullif(F.when(quoted, inner).otherwise(text), F.lit(""))
+
+    return F.transform(raw, cell)
+
+
+@F.pandas_udf(StringType())
+def _from_cp932(lines: pd.Series) -> pd.Series:
+    # Spark decodes CP932 only with a legacy setting for the whole session.
+    return lines.str.encode("iso-8859-1").str.decode("cp932", errors="replace")
+
+
+def read_room_log(spark: SparkSession, path: str) -> DataFrame:
     """Room-entry CSV files in CP932: per file three leading lines, then a header line.
 
-    Files may differ in their columns, so a row is a map from header name to cell. Spark
-    knows CP932 only with the setting made here.
+    Files may differ in their columns, so a row is a map from header name to cell; cells
+    without a name are left out, and a short row has nulls. No byte of a CP932 character is a
+    line break, so lines are read byte by byte and then decoded.
     """
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     raw = (
         spark.read.schema("line string")
         .option("pathGlobFilter", "*.csv")
-        .option("encoding", "windows-31j")
+        .option("encoding", "ISO-8859-1")
         .option("sep", "\u0001")
         .option("quote", "")
         .csv(path)
@@ -93,17 +114,11 @@ def read_room_log(spark: SparkSession, path: str, columns: int = 64) -> DataFram
         F.monotonically_increasing_id().alias("pos"),
         "line",
     )
-    parsed = F.from_csv("line", F.lit(", ".join(f"c{i} string" for i in range(columns))))
-    numbered = number_lines(lines).withColumn("row", parsed).withColumn(
-        "cells", F.array(*[F.col(f"row.c{i}") for i in range(columns)])
-    )
-    headers = numbered.filter("line_no = 4").select(
-        "file", F.filter("cells", lambda c: c.isNotNull()).alias("names")
-    )
+    numbered = number_lines(lines).withColumn("cells", csv_cells(_from_cp932("line")))
+    headers = numbered.filter("line_no = 4").select("file", F.col("cells").alias("names"))
+    pairs = F.transform("names", lambda name, i: F.struct(name.alias("key"), F.get("cells", i).alias("value")))
     return numbered.filter("line_no > 4").join(headers, "file").select(
-        "file",
-        "line_no",
-        F.map_from_arrays("names", F.slice("cells", F.lit(1), F.size("names"))).alias("cells"),
+        "file", "line_no", F.map_from_entries(F.filter(pairs, lambda p: p["key"].isNotNull())).alias("cells")
     )
 
 

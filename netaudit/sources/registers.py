@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from netaudit.constants import BLANK_HOST, DHCP_MARKERS
 from netaudit.functions.net import has_mac, is_ip
 from netaudit.functions.text import token, trim_blanks
-from netaudit.sources.lines import decoded_name, read_lines
+from netaudit.sources.lines import decoded_name, number_lines, read_lines
 
 # Column names of the registers.
 STATIC_SCHEMA = "`IPアドレス` string, `ホスト名` string, `設置場所` string, `管理者` string, `用途` string"
@@ -69,6 +69,12 @@ def parameter_items(parameters: DataFrame, key: str) -> DataFrame:
     return parameters.filter(F.col("ID") == key).select(trim_blanks(F.col("Item")).alias("Item"), "seq")
 
 
+def without_leading_rows(register: DataFrame, rows: int = 2) -> DataFrame:
+    """A register without the first rows of each file, which explain its columns."""
+    placed = register.withColumns({name: F.col(f"seq.{name}") for name in ("file", "chunk", "pos")})
+    return number_lines(placed).filter(F.col("line_no") > rows).select(*register.columns)
+
+
 def read_settings(spark: SparkSession, path: str) -> DataFrame:
     """Headerless parameter file ``itemName, data``."""
     return spark.read.schema("itemName string, data string").csv(path)
@@ -167,42 +173,41 @@ def leases_of_cells(cells: DataFrame, rank: int = 0) -> DataFrame:
     return rows.filter(is_ip(F.col("ip")))
 
 
-def read_leases(spark: SparkSession, path: str, columns: int = 16, rank: int = 0) -> DataFrame:
+def lease_cells(line: Column) -> Column:
+    """Cells of a tab-separated lease line, as many as it has; quotes and carriage returns go."""
+    return F.split(F.translate(line, '"\r', ""), "\t", -1)
+
+
+def read_leases(spark: SparkSession, path: str, rank: int = 0) -> DataFrame:
     """DHCP leases from tab-separated files without header, each in UTF-8 or UTF-16.
 
     The byte order mark of a file tells which. UTF-8 files are split freely, UTF-16 ones
-    cannot be. ``columns`` is the number of cells read from a UTF-16 line.
+    cannot be. A folder without any lease is an error.
     """
-    marked = utf16_files(spark, path)
+    starts = utf16_files(spark, path)
+    marked = [row.file for row in starts.collect()]  # names of files, to read them by
     lines = read_lines(spark, path)
     if marked:
-        lines = lines.filter(~F.col("file").isin(marked))
-    cells = lines.select("file", "chunk", "pos", F.split(F.translate("line", '"\r', ""), "\t", -1).alias("cells"))
-    if marked:
-        cells = cells.unionByName(_utf16_cells(spark, marked, columns))
-    return leases_of_cells(cells, rank)
+        lines = lines.join(starts, "file", "left_anti").unionByName(_utf16_lines(spark, marked))
+    leases = leases_of_cells(lines.select("file", "chunk", "pos", lease_cells(F.col("line")).alias("cells")), rank)
+    if leases.isEmpty():
+        raise ValueError(f"no leases in {path}")
+    return leases
 
 
-def utf16_files(spark: SparkSession, path: str) -> list[str]:
-    """Names of the files that start with a UTF-16 byte order mark."""
+def utf16_files(spark: SparkSession, path: str) -> DataFrame:
+    """Names of the files that start with a UTF-16 byte order mark: ``file``."""
     mark = F.hex(F.substring(F.col("value").cast("binary"), 1, 2))
-    file = decoded_name(F.col("_metadata.file_path"))
     starts = spark.read.text(path).filter((F.col("_metadata.file_block_start") == 0) & mark.isin("FFFE", "FEFF"))
-    return [row.file for row in starts.select(file.alias("file")).distinct().collect()]
+    return starts.select(decoded_name(F.col("_metadata.file_path")).alias("file")).distinct()
 
 
-def _utf16_cells(spark: SparkSession, files: list[str], columns: int) -> DataFrame:
-    names = [f"c{i}" for i in range(columns)]
-    rows = (
-        spark.read.schema(", ".join(f"{name} string" for name in names))
-        .options(sep="\t", encoding="UTF-16", multiLine=True, emptyValue="")
-        .csv(files)
-    )
-    # The source makes nulls of empty cells.
-    cells = F.array(*[F.coalesce(F.col(name), F.lit("")) for name in names])
+def _utf16_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    # No character separates or quotes, so that a record is a whole line.
+    rows = spark.read.schema("line string").options(sep="\u0001", quote="", encoding="UTF-16", multiLine=True).csv(files)
     return rows.select(
         decoded_name(F.col("_metadata.file_path")).alias("file"),
         F.lit(0).cast("bigint").alias("chunk"),
         F.monotonically_increasing_id().alias("pos"),
-        cells.alias("cells"),
+        "line",
     )

@@ -24,16 +24,21 @@ TOP10_DESTINATIONS, USER_TRAFFIC = "top10Destinations", "trafficSummary"
 
 def report_name(file: Column) -> Column:
     """Report name of a file: its base name without the time stamp, in either export form."""
+    # The two forms of the time stamp.
     name = F.regexp_replace(base_name(file), r"^(.*?)-[0-9\-]+_[0-9]{4}\.xml", "$1")
     return F.regexp_replace(name, r"^(.*?)-[0-9\-]+\+[0-9]{4}_[0-9]+.xml", "$1")
 
 
+def is_report(file: Column) -> Column:
+    """Whether a file is one of the seven reports, by its base name."""
+    return base_name(file).rlike("|".join(REPORT_NAMES))
+
+
 def list_reports(spark: SparkSession, path: str) -> DataFrame:
     """XML files of a folder, listed without reading them: ``file, report, known``."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(path)
     file = decoded_name(F.col("path"))
-    known = base_name(file).rlike("|".join(REPORT_NAMES))
-    return files.select(file.alias("file"), report_name(file).alias("report"), known.alias("known"))
+    return files.select(file.alias("file"), report_name(file).alias("report"), is_report(file).alias("known"))
 
 
 def check_complete(files: DataFrame) -> None:
@@ -43,20 +48,28 @@ def check_complete(files: DataFrame) -> None:
     wrong = found.join(expected, F.col("report") == F.col("expected"), "full").filter(
         "expected is null or count is null or count <> 1"
     )
-    names = [row.name for row in wrong.select(F.coalesce("expected", "report").alias("name")).take(20)]
-    if names:
-        raise ValueError(f"input files are missing or not expected: {sorted(names)}")
+    names = wrong.select(F.coalesce("expected", "report").alias("name")).orderBy("name")
+    shown = [row.name for row in names.take(20)]
+    if shown:
+        more = names.count() - len(shown)
+        raise ValueError(f"input files are missing or not expected: {shown}" + (f" and {more} more" if more else ""))
 
 
 def dated_export(report: str) -> str:
     """Pattern of the path of a dated export of a report."""
+    # Fixed value: the time stamp of an export.
     return rf"{report}-[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}-[0-9]{{4}}[^/]*$"
 
 
 def _text(value: Column, dtype: DataType) -> Column:
-    if isinstance(dtype, StructType):
-        return value[TEXT] if TEXT in dtype.names else F.lit(None).cast("string")
-    return value.cast("string")
+    """All text of an element, its own first and then that of its children by name."""
+    if isinstance(dtype, ArrayType):
+        return F.array_join(F.transform(value, lambda item: _text(item, dtype.elementType)), "")
+    if not isinstance(dtype, StructType):
+        return value.cast("string")
+    own = [value[TEXT]] if TEXT in dtype.names else []
+    inner = [_text(value[f.name], f.dataType) for f in dtype.fields if f.name != TEXT and not f.name.startswith(ATTRIBUTE)]
+    return F.when(value.isNotNull(), F.concat_ws("", *own, *inner))
 
 
 def _single(name: str, value: Column, dtype: DataType) -> Column:
@@ -152,8 +165,8 @@ def _read(spark: SparkSession, path, row_tag: str, schema: StructType | None, gl
     elements = reader.load(path)
     file = decoded_name(F.col("_metadata.file_path"))
     of_users = report_name(file) == USER_REPORT
-    # Tested before elements are numbered, so that other files are not opened.
-    wanted = elements.filter(of_users if row_tag == USER_SECTION else ~of_users)
+    # Tested before elements are numbered, so that other files are not opened. Files that are no reports are left out.
+    wanted = elements.filter(is_report(file)).filter(of_users if row_tag == USER_SECTION else ~of_users)
     return wanted.select(
         file.alias("file"),
         report_name(file).alias("report"),

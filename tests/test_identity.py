@@ -57,13 +57,18 @@ def test_owners(spark):
         ("2", "pc-2", "bob", "B", MAC),
         ("3", "Pc-3", None, "N", MAC),  # the first asset that begins with it has no user either
         ("4", "pc.2", "bob", "B", MAC),  # the dot matches the dash
-        ("5", None, None, "L", MAC),  # nameless hosts meet nameless assets, but lose the user
+        ("5", None, None, None, MAC),  # a nameless host has no owner
         ("6", C.BLANK_HOST, C.BLANK_HOST, None, MAC),
         ("7", "srv", "keep", "k", None), ("8", None, None, "k", None),
         ("9", "pc-9", None, None, MAC),
     )
     literal = {r.ip: r.user for r in devices.with_owners(found, register, literal=True).collect()}
     assert literal["4"] is None
+    paired = {(r.ip, r.user, r.description) for r in devices.with_owners(found, register, pair_nameless=True).collect()}
+    # Nameless hosts then meet nameless assets, but lose the user.
+    assert ("5", None, "L") in paired and ("5", None, None) not in paired
+    alone = {(r.ip, r.user, r.description) for r in devices.with_owners(found, assets(spark, ("ann", "A", "pc-1")), pair_nameless=True).collect()}
+    assert ("5", None, None) in alone
 
 
 @pytest.fixture(scope="module")
@@ -161,6 +166,24 @@ def test_enrichment(spark, identities):
     ]
 
 
+def test_destinations_have_one_size_and_all_columns(spark, identities):
+    whole = {"rank": "1: 10.0.0.2 u Usage: 1.2 GB", "Destination": "www.example.com", "Application": "HTTPS"}
+    got = enriched(
+        spark, identities, (C.USER_REPORT, "top10Destinations", {**whole, "Bandwidth": "5 MB", "Bytes": "5"}),
+        (C.USER_REPORT, "top10Destinations", {**whole, "Bytes": "6"}),
+    )
+    assert [(c.get("Bandwidth"), c.get("Bytes")) for _, c in got] == [("5 MB", None), (None, None)]
+    shaped = spark.createDataFrame(
+        [(C.USER_REPORT, "top10Destinations", i, {**dict.fromkeys(reports.REQUIRED_COLUMNS, "x"), "Bytes": "5"}) for i in range(3)],
+        "report string, table string, place int, cells map<string,string>",
+    )
+    reports.check_destinations(shaped)
+    reports.check_destinations(shaped.limit(0))
+    for lost in ("macAddress", "Bytes"):
+        with pytest.raises(ValueError, match=lost):
+            reports.check_destinations(shaped.withColumn("cells", F.map_filter("cells", lambda k, _: k != lost)))
+
+
 def test_device_table_is_read_by_its_plain_column_if_it_has_one(spark, identities):
     second = (C.CLIENT_REPUTATION, DEVICE_TABLE, {"Device1": "x", "Device2": "10.0.0.1"})
     plain = (C.CLIENT_REPUTATION, DEVICE_TABLE, {"Device": "10.0.0.2"})
@@ -189,5 +212,3 @@ def test_column_choice(spark):
     assert shaping.size_column(df.withColumn("Bandwidth", F.lit("y"))) == "Bandwidth"
     with pytest.raises(ValueError):
         shaping.size_column(df.drop("Bytes"))
-    with pytest.raises(Exception, match="cannot be resolved"):
-        reports.require_columns(df, ["a", "missing"])

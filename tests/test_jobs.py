@@ -3,13 +3,15 @@
 import datetime
 import random
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from netaudit import constants as C
 from netaudit.functions import dates, net, text
 from netaudit.plans import jobs, review, trend, vpn
-from netaudit.session import checkpointed
+from netaudit.session import checkpointed, job_tables
 from netaudit.sinks import tables
 from netaudit.sources.lines import lines_of_table
 
@@ -243,10 +245,12 @@ def test_monthly_audit(spark, tmp_path):
     body[C.ADMIN_EVENTS] = xml_table("Login Summary", [("Login_Interface", "ssh(10.0.0.2)"), ("Seen", "10.0.0.2")])
     body[C.USER_REPORT] = (
         f'<{C.USER_SECTION} name="1: 10.0.0.1 u Usage: 2 GB">'
-        + xml_table(C.TOP_DESTINATIONS, [("Destination", "www.example.com"), ("Bandwidth", "1 GB")]) + f"</{C.USER_SECTION}>"
+        + xml_table(C.TOP_DESTINATIONS, [("Destination", "www.example.com"), ("Bandwidth", "1 GB"), ("Application", "HTTPS")]) + f"</{C.USER_SECTION}>"
     )
     for name, content in body.items():
         put(reports, f"{name}-2025-01-02_1234.xml", f"<r>{content}</r>")
+    # A file that is no report is not read.
+    put(reports, "Other Thing-2025-01-02_1234.xml", f"<r>{xml_table('T', [('A', '10.9.9.9')])}</r>")
     put(ext / "static", "a.json", "")
     put(ext / "dhcp", "dhcp.txt", "10.0.0.1\t-\t00:11:22:33:44:55\tpc-1\n")
     put(ext / "deny_list", "a.json", '{"ip":"9.9.9.9","hostName":"Black1"}')
@@ -259,6 +263,7 @@ def test_monthly_audit(spark, tmp_path):
     put(ext / "dhcp_ranges", "a.json", '{"interface":"lan","lo":1,"hi":2}')
     jobs.monthly_audit(spark, str(reports), str(ext), "202501", "own", out)
     got = {(r.report, r.table): [] for r in spark.read.parquet(f"{out}/reports").collect()}
+    assert {report for report, _ in got} == set(C.REPORT_NAMES)
     for r in spark.read.parquet(f"{out}/reports").collect():
         got[(r.report, r.table)].append(r.cells)
     pc = {"hostName": "pc-1", "user": "ann", "description": "A", "macAddress": "00:11:22:33:44:55"}
@@ -267,8 +272,12 @@ def test_monthly_audit(spark, tmp_path):
         {"Login_Interface": "ssh(10.0.0.2)", "Seen": "10.0.0.2", "ip": "10.0.0.2", "hostName": "own"}
     ]
     assert got[(C.USER_REPORT, "top10Destinations")] == [{
-        "Destination": "www.example.com", "Bandwidth": "1 GB", "destinationHost": "site", "ip": "10.0.0.1", "rank": "1", "usage": "2 GB", **pc,
+        "Destination": "www.example.com", "Bandwidth": "1 GB", "Application": "HTTPS", "destinationHost": "site", "ip": "10.0.0.1", "rank": "1", "usage": "2 GB", **pc,
     }]
+    users = reports / f"{C.USER_REPORT}-2025-01-02_1234.xml"
+    users.write_text(users.read_text().replace("Application", "App"))
+    with pytest.raises(ValueError, match="Application"):
+        jobs.monthly_audit(spark, str(reports), str(ext), "202501", "own", out)
     (reports / f"{C.TERMINALS_VPN}-2025-01-02_1234.xml").unlink()
     with pytest.raises(ValueError, match="vpn"):
         jobs.monthly_audit(spark, str(reports), str(ext), "202501", "own", out)
@@ -301,6 +310,41 @@ def test_missing_reviews(spark, tmp_path):
     assert [r.yyyymm for r in spark.read.text(str(tmp_path / "out"), wholetext=True).collect()] == [202504]
 
 
+def test_reviews_end(spark, tmp_path):
+    """The first run finds no folder, the second its own records and has nothing to write."""
+    out = str(tmp_path / "records")
+    run = (spark, calendar_file(tmp_path), out, "記録", datetime.date(2025, 6, 1), "Sato", "山田 太郎", "Ito", out)
+    jobs.missing_reviews(*run)
+    first = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "records").rglob("part-*")}
+    assert first
+    jobs.missing_reviews(*run)
+    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "records").rglob("part-*")} == first
+
+
+def test_mac_search_writes_its_files(spark, tmp_path):
+    put(tmp_path / "switch", "a.txt", "vlan 001122-334455 up\nvlan 001122-334466 up\n")
+    put(tmp_path, "macs", "00:11:22:33:44:55\n")
+    jobs.write_mac_search(spark, str(tmp_path / "macs"), str(tmp_path / "switch"), str(tmp_path / "found"))
+    assert [(r.mac, r.value) for r in spark.read.text(str(tmp_path / "found")).collect()] == [("001122-334455", "a.txt:vlan 001122-334455 up")]
+
+
+def test_jobs_remove_their_tables(spark, tmp_path):
+    df = spark.range(3)
+    with job_tables(spark):
+        kept = checkpointed(df)
+        path = kept.inputFiles()[0]
+        assert kept.count() == 3
+    assert not Path(path.removeprefix("file://")).exists()
+    assert checkpointed(df).count() == 3
+
+
+def test_configuration_without_dhcp_section(spark, tmp_path):
+    lines = spark.createDataFrame([("f", 0, 0, "config system global"), ("f", 0, 1, "end")], "file string, chunk long, pos long, line string")
+    with pytest.raises(ValueError, match="dhcp"):
+        jobs.config_registers(lines, str(tmp_path))
+    assert not list(tmp_path.iterdir())
+
+
 def test_stored_parts_keep_their_names(spark):
     names = [" 直近2期間にスコアが増加した上位ユーザー", "Report Filters(Logic: All)", "a/b=c", "0123", "x "]
     df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "table string, i int")

@@ -53,13 +53,18 @@ def test_vpn_files_of_three_months(spark, tmp_path):
 def test_room_log_in_cp932(spark, tmp_path):
     write(tmp_path, "a.csv", 'x\ny\nz\n日付,氏名\n1/2,"山田, 太郎"\n1/3,鈴木\n', "cp932")
     write(tmp_path, "b.csv", "x\ny\nz\n日付,扉\n2/2,東\n", "cp932")
-    try:
-        rows = lines.read_room_log(spark, str(tmp_path)).select(F.element_at("cells", "日付").alias("d"), "cells").orderBy("d").collect()
-    finally:
-        spark.conf.unset("spark.sql.legacy.javaCharsets")
+    rows = lines.read_room_log(spark, str(tmp_path)).select(F.element_at("cells", "日付").alias("d"), "cells").orderBy("d").collect()
+    assert spark.conf.get("spark.sql.legacy.javaCharsets") == "false"
     assert [r.cells for r in rows] == [{"日付": "1/2", "氏名": "山田, 太郎"}, {"日付": "1/3", "氏名": "鈴木"}, {"日付": "2/2", "扉": "東"}]
 
 
+def test_room_log_has_as_many_cells_as_its_lines(spark, tmp_path):
+    names = [f"n{i}" for i in range(100)]
+    write(tmp_path, "a.csv", "x\ny\nz\n" + ",".join(names) + "\n" + ",".join(f'"v ""{i}"", x"' for i in range(100)) + "\nonly\n", "cp932")
+    rows = [r.cells for r in lines.read_room_log(spark, str(tmp_path)).orderBy("line_no").collect()]
+    assert rows == [{n: f'v "{i}", x' for i, n in enumerate(names)}, {n: "only" if n == "n0" else None for n in names}]
+
+
 CSV_REPORT = ["Report", "###Traffic Statistics###", "h"] + [f'{i},S{i},"{i},000"' for i in range(1, 9)] + ["", "###Top###", "h", '1,a,"1,234 MB"', "2,b,2 GB", "tail,x"]
 
 
@@ -96,7 +101,7 @@ def test_leases_in_utf16(spark, tmp_path):
     write(tmp_path, "one.txt", LAYOUT_ONE, "utf-16")
     write(tmp_path, "two b.txt", LAYOUT_TWO.replace("pc 一号", "《端末》 一号"), "utf-16")
     write(tmp_path, "three.txt", LAYOUT_TWO.replace("10.0.1", "10.0.3"))
-    assert sorted(f.split("/")[-1] for f in registers.utf16_files(spark, str(tmp_path))) == ["one.txt", "two b.txt"]
+    assert sorted(f.split("/")[-1] for f in [r.file for r in registers.utf16_files(spark, str(tmp_path)).collect()]) == ["one.txt", "two b.txt"]
     assert leases(registers.read_leases(spark, str(tmp_path))) == [
         ("10.0.0.1", "00:11:22:33:44:55", "pc-1"),
         ("10.0.0.2", "00-11-22-33-44-66", C.BLANK_HOST),
@@ -107,6 +112,25 @@ def test_leases_in_utf16(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("encoding", ["utf-8", "utf-16"])
+def test_lease_layout_does_not_depend_on_cells_or_encoding(spark, tmp_path, encoding):
+    write(tmp_path, "wide.txt", "10.0.0.1\t00:11:22:33:44:55\tpc" + "\tx" * 40 + "\n", encoding)
+    assert leases(registers.read_leases(spark, str(tmp_path))) == [("10.0.0.1", "00:11:22:33:44:55", "pc")]
+
+
+def test_no_leases_is_an_error(spark, tmp_path):
+    write(tmp_path, "none.txt", "10.0.2.1\tx\ty\n")
+    with pytest.raises(ValueError, match="no leases"):
+        registers.read_leases(spark, str(tmp_path))
+
+
+def test_leading_rows_of_each_file(spark, tmp_path):
+    write(tmp_path, "a.csv", "about,x\nmore,y\nu1,1\nu2,2\n")
+    write(tmp_path, "b.csv", "about,x\nmore,y\nu3,3\n")
+    register = registers.read_register(spark, str(tmp_path), "user string, n string", fmt="csv")
+    assert sorted(r.user for r in registers.without_leading_rows(register).collect()) == ["u1", "u2", "u3"]
+
+
 def test_registers(spark, tmp_path):
     path = write(tmp_path, "static.json", '[{"IPアドレス":"10.0.0.1","ホスト名":"a","管理者":"m","用途":"p","設置場所":"x"},'
                  '{"IPアドレス":"10.0.0.2","ホスト名":"DHCP Start"},{"IPアドレス":"10.0.0.3"},{"IPアドレス":"10.0.0.4","ホスト名":"b","用途":"p"}]')
