@@ -315,10 +315,10 @@ def test_reviews_end(spark, tmp_path):
     out = str(tmp_path / "records")
     run = (spark, calendar_file(tmp_path), out, "記録", datetime.date(2025, 6, 1), "Sato", "山田 太郎", "Ito", out)
     jobs.missing_reviews(*run)
-    first = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "records").rglob("part-*")}
-    assert first
+    first = {str(p): p.stat().st_mtime_ns for p in (tmp_path / "records").rglob("part-*")}
+    assert len(first) == 2
     jobs.missing_reviews(*run)
-    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "records").rglob("part-*")} == first
+    assert {str(p): p.stat().st_mtime_ns for p in (tmp_path / "records").rglob("part-*")} == first
 
 
 def test_mac_search_writes_its_files(spark, tmp_path):
