@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from netaudit.session import checkpointed
 
-__all__ = ["checkpointed", "components", "only_ids", "table"]
+__all__ = ["bit_table", "checkpointed", "components", "in_bit_table", "only_ids", "table"]
 
 #: Words of 64 bits in the id filter, whatever the data: 1 MB.
 FILTER_WORDS = 1 << 17
@@ -40,6 +41,23 @@ def only_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     return near.join(wanted.hint("shuffle_merge"), F.col(key) == F.col("_id"), "left_semi")
 
 
+def bit_table(keys: DataFrame, bits: int) -> np.ndarray:
+    """Table of ``2 ** bits`` bits, whatever the data, with those set that the first bits of the one column of hashes name."""
+    cell = F.shiftrightunsigned(keys.columns[0], 64 - bits)
+    bit = cell.bitwiseAND(F.lit(63)).cast("int")
+    words = keys.groupBy(F.shiftrightunsigned(cell, 6).cast("long").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    found = words.toArrow()  # bounded by the table
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
+    out[np.array(found["word"])] = np.array(found["bits"])
+    return out.view(np.uint64)
+
+
+def in_bit_table(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes may be among the table's; never false for one that is."""
+    cell = hashes >> np.uint64(64 - 6 - len(table).bit_length() + 1)
+    return (table[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
+
+
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
     return row.n, row.h

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from netaudit.llm.common import checkpointed
+from netaudit.llm.common import bit_table, checkpointed, in_bit_table
 from netaudit.llm.words import SPACE, hash_spans, mix, split_words, text_pieces, window_hashes
 
 WINDOW, LEAST_LITERALS, LEAST_SHARE = 5, 3, 0.8
@@ -117,8 +117,7 @@ def _windows(k: int, table):
                 np.cumsum(kinds > 0, out=filled[1:])
                 good = filled[at + k] - filled[at] <= k - LEAST_LITERALS
                 if bits is not None:
-                    cell = every[at] >> np.uint64(64 - TABLE_BITS)
-                    good &= (bits[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
+                    good &= in_bit_table(bits, every[at])
                 at, rows = at[good], rows[good]
                 owners.append(rows + first)
                 places.append(at - offsets[:-1][rows])
@@ -151,14 +150,7 @@ def item_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, least_
     own = items.filter("item_id is not null").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     asked = checkpointed(own.mapInArrow(_windows(window, None), "item_id long, place int, name long, slots array<long>"))
     sizes = asked.groupBy("item_id").agg(F.countDistinct("name").alias("size"))
-    cell = F.shiftrightunsigned("name", 64 - TABLE_BITS)
-    words = asked.groupBy(F.shiftrightunsigned(cell, 6).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(F.lit(63)).cast("int"))).alias("bits")
-    )
-    bits = np.zeros(1 << (TABLE_BITS - 6), dtype=np.uint64)
-    for row in words.collect():  # bounded by the table
-        bits[row.word] = np.int64(row.bits).view(np.uint64)
-    table = spark.sparkContext.broadcast(bits)
+    table = spark.sparkContext.broadcast(bit_table(asked.select("name"), TABLE_BITS))
 
     texts = docs.select(F.col("text").cast("string")).filter("text is not null").select(_key(F.col("text")).alias("key"), "text")
     texts = texts.select("key.h", "key.g", "text")

@@ -17,11 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from netaudit.llm.common import checkpointed, components, only_ids
+from netaudit.llm.common import bit_table, checkpointed, components, in_bit_table, only_ids
 from netaudit.llm.words import mix, shingle_sets, words_of
 
 #: Cells that shingle counts are added up in to order shingles, whatever the data: 1 MB.
 CELL_BITS = 17
+#: Bits of the table of lists with more than one class, by which other entries are left out before the shuffle: 4 MB.
+LIST_BITS = 25
 #: Sets above this size are always heavy; bounds the subsets of one set.
 LARGEST_LIGHT = 16
 #: Bits of the signatures that pairs are compared by before their texts are: in the lists, and pair by pair.
@@ -79,6 +81,16 @@ def _signatures(k: int):
     return run
 
 
+def _of_class(k: int):
+    """Rows whose text has the key they are joined with."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [set_key(s) for w in words_of(batch.column(1), fold=True) for s in shingle_sets(w, k)]
+            yield batch.filter(pa.array(np.array(own, dtype=np.int64) == np.array(batch.column(0))))
+
+    return run
+
+
 def _may_link(a: Column, b: Column, n: Column, m: Column, bits: int, percent: int) -> Column:
     """Sizes and signatures allow the link; exact, as it never refuses one."""
     apart = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(bits // 64)), F.lit(0))
@@ -111,8 +123,11 @@ def _classes(k: int):
     return run
 
 
-def _entries(k: int, percent: int, light: int, cells):
-    """Subsets of light sets and list entries of heavy sets; equal sets of one task give theirs once."""
+def _entries(k: int, percent: int, light: int, cells, shared=None):
+    """Subsets of light sets and list entries of heavy sets; equal sets of one task give theirs once.
+
+    With a bit table ``shared`` of names, entries under other names are left out.
+    """
     lowest = -(-percent * (light + 1) // 100)
 
     def subsets(s: np.ndarray, key: int, out: list) -> None:
@@ -129,12 +144,14 @@ def _entries(k: int, percent: int, light: int, cells):
             out.append((named, key, n, n == low, n == high))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = cells.value
+        counts, table = cells.value, None if shared is None else shared.value
         seen = set()
         for batch in batches:
             names, keys, sizes, lows, highs, is_list = [], [], [], [], [], []
 
             def put(named, key, n, low, high, listed):
+                if table is not None:
+                    named = named[in_bit_table(table, named)]
                 names.append(named)
                 for column, value in ((keys, key), (sizes, n), (lows, low), (highs, high), (is_list, listed)):
                     column.append(np.full(len(named), value))
@@ -202,19 +219,23 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
     both = checkpointed(docs.mapInArrow(_classes(k), "doc_id long, n int, key long, cell int, amount long"))
     classes = both.filter("cell is null").select("doc_id", "n", "key")
     counts = np.zeros(1 << CELL_BITS, dtype=np.int64)
-    for row in both.filter("cell is not null").groupBy("cell").agg(F.sum("amount").alias("amount")).collect():  # bounded by the cells
-        counts[row.cell] = row.amount
+    found = both.filter("cell is not null").groupBy("cell").agg(F.sum("amount").alias("amount")).toArrow()  # bounded by the cells
+    counts[np.array(found["cell"])] = np.array(found["amount"])
     cells = spark.sparkContext.broadcast(np.minimum(counts, 2**32 - 1))
     keys = both.filter("n > 0").groupBy("key").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
     bound = 100 * LARGEST_LIGHT // percent + 1
     sizes = {r.n: r["count"] for r in keys.filter(F.col("n") <= bound).groupBy("n").count().collect()}  # bounded by the sizes
     light = light_boundary(sizes, percent)
 
-    entries = docs.select("text").mapInArrow(_entries(k, percent, light, cells), "name long, key long, n int, low boolean, high boolean, listed boolean")
+    kinds = "name long, key long, n int, low boolean, high boolean, listed boolean"
+    entries = docs.select("text").mapInArrow(_entries(k, percent, light, cells), kinds)
     lists = entries.groupBy("name", "listed").agg(
         F.min("key").alias("lead"), F.max("key").alias("last"),
         F.min(F.when(F.col("low"), F.col("key"))).alias("least_low"), F.min(F.when(F.col("high"), F.col("key"))).alias("least_high"),
     ).filter("lead != last").drop("last")
+    lists = checkpointed(lists)
+    shared = spark.sparkContext.broadcast(bit_table(lists.select("name"), LIST_BITS))
+    entries = docs.select("text").mapInArrow(_entries(k, percent, light, cells, shared), kinds)
     met = checkpointed(entries.join(lists, ["name", "listed"]))
 
     # All pairs of a low and a high class under one subset link; one partner for each connects them.
@@ -223,8 +244,9 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
 
     listed = met.filter("listed").select("name", "key", "n", "lead")
     needed = checkpointed(listed.select("key").distinct().join(keys.select("key", F.col("doc_id").alias("rep")), "key"))
+    # Rows that only share the id of a class have another key.
     texts = only_ids(docs, "doc_id", needed.select("rep")).join(needed, F.col("doc_id") == F.col("rep"))
-    texts = checkpointed(texts.groupBy("key").agg(F.first("text").alias("text")))
+    texts = checkpointed(texts.select("doc_id", "key", "text").distinct().select("key", "text").mapInArrow(_of_class(k), "key long, text string"))
     signatures = checkpointed(texts.mapInArrow(_signatures(k), "key long, n int, mark array<long>, signature array<long>"))
 
     def likely(pairs: DataFrame) -> DataFrame:
@@ -245,10 +267,10 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
     ).filter("parts > 1").drop("parts")
     mixed = placed.join(parts, "name").join(signatures.select("key", "n", "mark"), "key")
     left = mixed.filter("part != top").select("name", F.col("key").alias("a"), "n", F.col("mark").alias("mark_a"), F.col("part").alias("part_a"))
-    right = mixed.select("name", F.col("key").alias("b"), F.col("n").alias("m"), F.col("mark").alias("mark_b"), F.col("part").alias("part_b"), "top")
+    right = mixed.select(F.col("name").alias("other"), F.col("key").alias("b"), F.col("n").alias("m"), F.col("mark").alias("mark_b"), F.col("part").alias("part_b"), "top")
     fits = _may_link(F.col("mark_a"), F.col("mark_b"), F.col("n"), F.col("m"), MARK_BITS, percent)
     rest = (
-        left.join(right, (left.name == right.name) & F.expr("part_a != part_b and (part_b = top or a < b)") & fits)
+        left.join(right, (F.col("name") == F.col("other")) & F.expr("part_a != part_b and (part_b = top or a < b)") & fits)
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         .join(to_lead, ["a", "b"], "left_anti")
     )
