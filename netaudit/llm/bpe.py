@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 #: White space as the vocabulary's normaliser takes it. Fixed value: the Unicode property White_Space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Encoded words, and chunks of text, that a task process remembers; only spares repeated work.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 def byte_symbols() -> list[str]:
