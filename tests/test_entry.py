@@ -8,8 +8,9 @@ SCRIPT = """
 import sys
 sys.modules["{name}"] = None
 import __spark_entry__ as entry
+from netaudit.registry.files import FILE_QUERIES
 from netaudit.registry.queries import QUERIES
-assert entry.queries() == QUERIES and set(entry.oracle_sql()) == set(QUERIES)
+assert entry.queries() == QUERIES | FILE_QUERIES and set(entry.oracle_sql()) == set(entry.queries())
 """
 
 
