@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from netaudit.functions.net import ip_to_number, number_to_ip
 from netaudit.functions.text import config_value, remove_first, trim_blanks
+from netaudit.operators.matchjoin import salted_join
 from netaudit.operators.scan import lines_since, ordered_scan
 from netaudit.session import checkpointed
 from netaudit.sources.lines import place
@@ -25,6 +26,10 @@ RELEVANT = [
 ]
 
 
+# Addresses of a part of a range that one row lists.
+RANGE_PART = 1 << 16
+
+
 def last_places(lines: DataFrame) -> DataFrame:
     """Place of the last line of each file: ``file, final``."""
     of_chunks = lines.groupBy("file", "chunk").agg(F.max("pos").alias("pos"))
@@ -57,7 +62,7 @@ def section(lines: DataFrame, start: Column, end: Column, keep: Column | None =
     """Lines of the section found by :func:`section_bounds`; files without one give none."""
     kept = lines if keep is None else lines.filter(keep)
     return (
-        kept.join(section_bounds(lines, start, end), "file")
+        salted_join(kept, section_bounds(lines, start, end), "file", ["chunk", "pos"])
         .filter(place().between(F.col("begin"), F.col("finish")))
         .drop("begin", "finish")
     )
@@ -196,7 +201,8 @@ def deny_list(lines: DataFrame) -> DataFrame:
     )
     value = F.when(_has("set fqdn"), config_value(F.col("line"), "set fqdn ")).when(_has("set subnet"), subnet)
 
-    kept = lines.filter(entry | closes | _has("set subnet") | _has("set fqdn")).join(last_places(lines), "file")
+    marked = lines.filter(entry | closes | _has("set subnet") | _has("set fqdn"))
+    kept = salted_join(marked, last_places(lines), "file", ["chunk", "pos"])
     spans = ordered_scan(
         kept, ["file"], ["chunk"], "pos",
         total={"spans_through": closes.cast("int")}, total_before={"spans_before": closes.cast("int")},
@@ -234,6 +240,12 @@ def deny_networks(denied: DataFrame) -> DataFrame:
 
 
 def range_addresses(ranges: DataFrame) -> DataFrame:
-    """Every address of every range, for export; lookups use the bounds instead."""
-    spread = ranges.select("interface", F.explode(F.sequence("lo", "hi")).alias("n"))
+    """Every address of every range, for export; lookups use the bounds instead.
+
+    A range is cut into parts of bounded size, which are dealt out before they are listed.
+    """
+    step = F.lit(RANGE_PART).cast("bigint")
+    bounds = ranges.select("interface", F.least("lo", "hi").alias("lo"), F.greatest("lo", "hi").alias("hi"))
+    parts = bounds.select("interface", "hi", F.explode(F.sequence("lo", "hi", step)).alias("first")).repartition("interface", "first")
+    spread = parts.select("interface", F.explode(F.sequence("first", F.least("hi", F.col("first") + step - 1))).alias("n"))
     return spread.select("interface", number_to_ip(F.col("n")).alias("ip"))

@@ -16,17 +16,24 @@ ADDRESS_BITS = 32
 LARGEST_BLOCK = 20
 
 
+# Least number of parts that the rows of one key are spread over.
 SALTS = 16
 
 
+def salts_of(df: DataFrame) -> int:
+    """Parts for the rows of one key: an eighth of the shuffle partitions, so that they grow with the cluster."""
+    return max(SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
+
+
 def salted_join(rows: DataFrame, lookup: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
     """Inner join with a lookup of few rows per key, where a key may be in a large share of the rows.
 
     The rows of a key are spread over salts by a hash of ``spread_by``; the lookup, small
     beside the rows, is repeated for each salt.
     """
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salts = salts_of(rows)
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.withColumn("_salt", salt).join(repeated, [key, "_salt"]).drop("_salt")
 
 

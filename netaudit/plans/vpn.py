@@ -57,10 +57,9 @@ def vpn_sessions(lines: DataFrame, month: int, chronological: bool = False) -> D
         words = words.select(
             "month", "connects", "ip", "user",
             F.coalesce(F.col("day").try_cast("int"), F.lit(0)).alias("day"),
-            F.coalesce(F.substring("time", 1, 5), F.lit("")).alias("minute"),
-            F.struct("time", "file", "chunk", "pos").alias("place"),
+            F.coalesce("time", F.lit("")).alias("time"), "file", "chunk", "pos",
         )
-        levels, order = ["day", "minute"], "place"
+        levels, order = ["day", "time", "file", "chunk"], "pos"
     else:
         levels, order = ["day", "file", "chunk"], "pos"
         words = words.drop("time")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
 from netaudit.functions.text import clean_csv_line
+from netaudit.operators.matchjoin import salted_join
 from netaudit.operators.scan import lines_since, ordered_scan
 
 
@@ -117,7 +118,7 @@ def read_room_log(spark: SparkSession, path: str) -> DataFrame:
     numbered = number_lines(lines).withColumn("cells", csv_cells(_from_cp932("line")))
     headers = numbered.filter("line_no = 4").select("file", F.col("cells").alias("names"))
     pairs = F.transform("names", lambda name, i: F.struct(name.alias("key"), F.get("cells", i).alias("value")))
-    return numbered.filter("line_no > 4").join(headers, "file").select(
+    return salted_join(numbered.filter("line_no > 4"), headers, "file", ["chunk", "pos"]).select(
         "file", "line_no", F.map_from_entries(F.filter(pairs, lambda p: p["key"].isNotNull())).alias("cells")
     )
 

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from netaudit import constants as C
-from netaudit.operators import matchjoin
-from netaudit.plans import devices, reports
+from netaudit.operators import blocks, matchjoin
+from netaudit.plans import devices, reports, vpn
 from netaudit.registry.inputs import at, ip10, mac_of
+from netaudit.sources import registers
 
 ROWS = 300_000
 SETTINGS = {
@@ -94,3 +95,24 @@ def test_one_domain_ends_all_others(cluster_like):
     texts = domains.withColumn("reversed", F.reverse("ip"))
     reached = matchjoin.prefix_keys(texts, "reversed", entries, "key", False)
     assert largest_share(matchjoin.salted_join(reached, entries, "key", ["ip"])) < 0.2
+
+
+def test_one_lease_file(cluster_like):
+    cells = cluster_like.range(ROWS).select(
+        F.lit("one").alias("file"), F.floor(key() / 1000).alias("chunk"), key().alias("pos"), F.array(ip10(key()), F.lit("-"), mac_of(key()), F.lit("h")).alias("cells")
+    )
+    assert largest_share(registers.leases_of_cells(cells).select("ip", "macAddress")) < 0.2
+
+
+def test_one_range_of_many_addresses(cluster_like):
+    ranges = cluster_like.range(1).select(F.lit("lan").alias("interface"), F.lit(10 << 24).cast("long").alias("lo"), ((F.lit(10 << 24) + 2**22 - 1).cast("long")).alias("hi"))
+    counts = [r.n for r in blocks.range_addresses(ranges).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(counts) == 2**22 and max(counts) < 2**22 / 4
+
+
+def test_one_minute_of_all_logs(cluster_like):
+    lines = cluster_like.range(ROWS).select(
+        F.lit("a").alias("file"), F.floor(key() / 5000).alias("chunk"), key().alias("pos"),
+        F.concat(F.lit("Jan 2 00:00:01 gw t: peer connected from "), ip10(key()), F.lit(" u")).alias("line"),
+    )
+    assert largest_share(vpn.vpn_sessions(lines, 1, chronological=True)) < 0.2
