@@ -69,5 +69,6 @@ def checkpointed(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     path = f"{scratch_folder(df.sparkSession).rstrip('/')}/netaudit-{uuid.uuid4().hex}"
     if _jobs:
         _jobs[-1].append(path)
-    df.write.partitionBy(*by).option("compression", "zstd").parquet(path)
+    # Rows of one folder are brought together, and large folders split again by size.
+    (df.hint("rebalance", *by) if by else df).write.partitionBy(*by).option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

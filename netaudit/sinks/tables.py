@@ -21,9 +21,10 @@ def export_unless_empty(register: DataFrame, path: str, fmt: str = "json") -> bo
 def write_reports(rows: DataFrame, yyyymm: str, path: str) -> None:
     """Report rows by period, report and table; other periods at ``path`` stay.
 
-    Each task writes the tables it holds. ``place`` gives the row order inside a table.
+    Rows of a table are brought together, and large tables split again by size, so that files
+    are few. ``place`` gives the row order inside a table.
     """
-    named = rows.select(F.lit(yyyymm).alias("yyyymm"), "report", "table", "place", "cells")
+    named = rows.hint("rebalance", "report", "table").select(F.lit(yyyymm).alias("yyyymm"), "report", "table", "place", "cells")
     (
         named.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -51,6 +52,6 @@ def write_review_records(records: DataFrame, path: str) -> None:
 
 
 def write_mac_matches(matches: DataFrame, path: str) -> None:
-    """Match lines (``file:line``) in one folder per MAC."""
-    lines = matches.select("mac", F.concat_ws(":", "file", "line").alias("value"))
+    """Match lines (``file:line``) in one folder per MAC, in few files each."""
+    lines = matches.hint("rebalance", "mac").select("mac", F.concat_ws(":", "file", "line").alias("value"))
     lines.write.mode("overwrite").partitionBy("mac").text(path)
