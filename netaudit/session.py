@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Folder of each local application that names none, and the tables of the jobs now running.
 _local_folders: dict[str, str] = {}
 _jobs: list[list[str]] = []
+_shipped: set[str] = set()
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "netaudit", checkpoint_dir: str | None = None) -> SparkSession:
@@ -46,6 +49,21 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for functions that run in Python there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).parent
+    # Spark copies the file from the driver; executors do not see this folder.
+    archive = Path(tempfile.mkdtemp(prefix="run-"), "netaudit-package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, f"{root.name}/{source.relative_to(root)}")
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 @contextmanager
 def job_tables(spark: SparkSession) -> Iterator[None]:
     """Own the intermediate tables made inside and remove them at the end, when the job's output is written."""

@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType
 from netaudit.functions.text import clean_csv_line
 from netaudit.operators.matchjoin import salted_join
 from netaudit.operators.scan import lines_since, ordered_scan
+from netaudit.session import ship_package
 
 
 def place() -> Column:
@@ -101,6 +102,7 @@ def read_room_log(spark: SparkSession, path: str) -> DataFrame:
     without a name are left out, and a short row has nulls. No byte of a CP932 character is a
     line break, so lines are read byte by byte and then decoded.
     """
+    ship_package(spark)
     raw = (
         spark.read.schema("line string")
         .option("pathGlobFilter", "*.csv")
