@@ -8,32 +8,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from netaudit.llm import bpe, decontaminate, jaccard, pii, quality
-from netaudit.llm.common import checkpointed, table
+from netaudit.llm.common import checkpointed, shipped, table
 
 #: Vocabulary of the last stage; every executor can open it.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+@shipped
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier keeps."""
     return quality.good_rows(docs, table(spark, sf_dir, "labels")).select(*docs.columns)
 
 
+@shipped
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies."""
     return jaccard.one_of_each(docs).select(*docs.columns)
 
 
+@shipped
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
     return decontaminate.clean_rows(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
+@shipped
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind."""
     return pii.masked(docs)
 
 
+@shipped
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` of each document."""
     return bpe.encoded(docs, VOCABULARY)
