@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from netaudit.session import checkpointed
+from netaudit.session import checkpointed, ship_package
 
-__all__ = ["bit_table", "checkpointed", "components", "in_bit_table", "only_ids", "table"]
+__all__ = ["bit_table", "checkpointed", "components", "in_bit_table", "only_ids", "shipped", "table"]
 
 #: Words of 64 bits in the id filter, whatever the data: 1 MB.
 FILTER_WORDS = 1 << 17
@@ -17,6 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shipped(job):
+    """Send the package to the executors before a job, whose first argument is the session, runs Python there."""
+    @wraps(job)
+    def run(spark: SparkSession, *args):
+        ship_package(spark)
+        return job(spark, *args)
+
+    return run
+
+
 def _place(key: Column) -> tuple[Column, Column]:
     h = F.xxhash64(key)
     return F.pmod(F.shiftrightunsigned(h, 8), F.lit(FILTER_WORDS)), F.pmod(h, F.lit(64)).cast("int")
