@@ -27,53 +27,73 @@ def canonical(*fields: tuple[str, Column]) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
+def _walked(keys: DataFrame, parents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Keys of all calls, each behind its parent, and the calls whose parents lead into a cycle.
+
+    ``keys``: conv_id, call_id, place, step; ``parents``: conv_id, call_id, jump. A call's key is
+    the later of its own and its parent's with one step more. Such rules compose to one of the
+    same form, so pointers to ever farther ancestors need as many rounds as the logarithm of the
+    longest chain.
+    """
+    start = keys.join(parents, KEY, "left").select(*KEY, F.struct("place", "step").alias("key"), "jump", F.col("jump").isNotNull().cast("long").alias("steps"))
+    start = checkpointed(start)
+    done, active = start.filter("jump is null"), start.filter("jump is not null")
+    left = active.count()
+    rounds = left.bit_length() + 1
+    while left and rounds:
+        targets = done.unionByName(active).select("conv_id", F.col("call_id").alias("at"), F.col("key").alias("next_key"), F.col("jump").alias("next_jump"), F.col("steps").alias("next_steps"))
+        moved = active.join(targets, (active.conv_id == targets.conv_id) & (F.col("jump") == F.col("at"))).drop(targets.conv_id)
+        behind = F.struct(F.col("next_key.place").alias("place"), (F.col("next_key.step") + F.col("steps")).alias("step"))
+        moved = checkpointed(moved.select(*KEY, F.greatest("key", behind).alias("key"), F.col("next_jump").alias("jump"), (F.col("steps") + F.col("next_steps")).alias("steps")))
+        done, active = done.unionByName(moved.filter("jump is null")), moved.filter("jump is not null")
+        left, rounds = active.count(), rounds - 1
+    return done.unionByName(active).select(*KEY, "key.place", "key.step"), active.select(*KEY)
+
+
 def ordered(calls: DataFrame, needs: DataFrame) -> DataFrame:
     """``conv_id, call_id, place, step, cyclic``: in the order of place, step and id every call follows what it needs.
 
     ``calls``: conv_id, call_id, turn; ``needs``: conv_id, call_id, needed. Needs that name no call
-    are ignored. Only calls placed before something they need are moved, one step at a time, so
-    that rounds follow the longest chain against the turns, not the length of a conversation.
-    Calls on or behind a cycle are ``cyclic`` and their order is that of their turns.
+    are ignored. A call's place is its turn, or that of the latest call it needs, one step later.
+    Each call first follows one of its needs, the latest; where another turns out to be later, it
+    follows that one and the chains are walked again. Calls on or behind a cycle are ``cyclic``,
+    and their order is that of their turns.
     """
-    start = calls.select(*KEY, F.col("turn").alias("place"), F.lit(0).cast("long").alias("step"))
     known = calls.select("conv_id", F.col("call_id").alias("needed"))
-    # Needs that the turns fulfil matter only if what is needed is moved; all of them are kept.
     edges = checkpointed(needs.select(*KEY, "needed").distinct().join(known, ["conv_id", "needed"], "left_semi").join(calls.select(*KEY), KEY, "left_semi"))
-    state, moved, rounds = checkpointed(start), None, 0
+    turns = calls.select(*KEY, F.col("turn").alias("place"), F.lit(0).cast("long").alias("step"))
+    keys, cyclic, open_edges = turns, None, edges
+    several = edges.groupBy(*KEY).count().filter("count > 1").count()
+    tries = 0
     while True:
-        ahead = edges.join(state.select("conv_id", F.col("call_id").alias("needed"), F.struct("place", "step").alias("then")), ["conv_id", "needed"])
-        if moved is not None:  # only what needs a call that has just moved can be wrong now
-            ahead = ahead.join(moved.select("conv_id", F.col("call_id").alias("needed")), ["conv_id", "needed"], "left_semi")
-        latest = ahead.groupBy(*KEY).agg(F.max("then").alias("then"))
-        late = checkpointed(state.join(latest, KEY).filter(F.struct("place", "step") <= F.col("then")).select(*KEY, F.col("then.place").alias("place"), (F.col("then.step") + 1).alias("step")))
-        count = late.count()
-        rounds += 1
-        # Without a cycle there are no more rounds than calls that have moved.
-        if not count or rounds > 1 and rounds > state.filter("step > 0").count() + 1:
-            break
-        state = checkpointed(state.join(late.select(*KEY, F.col("place").alias("p"), F.col("step").alias("s")), KEY, "left").select(*KEY, F.coalesce("p", "place").alias("place"), F.coalesce("s", "step").alias("step")))
-        moved = late
-    if not count:
-        return state.withColumn("cyclic", F.lit(False))
-    # Calls that have moved and need no other such call are on no cycle; what is left in the end is on or behind one,
-    # and so is what needs that, whether it has moved or not.
-    stuck = checkpointed(state.filter("step > 0").select(*KEY).unionByName(late.select(*KEY)).distinct())
-    size = stuck.count()
-    while size:
-        held = stuck.select("conv_id", F.col("call_id").alias("needed"))
-        fewer = checkpointed(stuck.join(edges.join(held, ["conv_id", "needed"], "left_semi"), KEY, "left_semi"))
-        after = fewer.count()
-        stuck, done, size = fewer, after == size, after
-        if done:
-            break
-    fresh = stuck
-    while fresh.count():
-        held = fresh.select("conv_id", F.col("call_id").alias("needed"))
-        fresh = checkpointed(edges.join(held, ["conv_id", "needed"], "left_semi").select(*KEY).distinct().join(stuck, KEY, "left_anti"))
-        stuck = checkpointed(stuck.unionByName(fresh))
-    marked = state.join(stuck.withColumn("cyclic", F.lit(True)), KEY, "left").join(calls.select(*KEY, "turn"), KEY)
-    cyclic = F.coalesce("cyclic", F.lit(False))
-    return marked.select(*KEY, F.when(cyclic, F.col("turn")).otherwise(F.col("place")).alias("place"), F.when(cyclic, 0).otherwise(F.col("step")).cast("long").alias("step"), cyclic.alias("cyclic"))
+        needed = keys.select("conv_id", F.col("call_id").alias("needed"), F.struct("place", "step").alias("then"))
+        latest = open_edges.join(needed, ["conv_id", "needed"]).groupBy(*KEY).agg(F.max_by("needed", F.struct("then", "needed")).alias("jump"))
+        found, stuck = _walked(keys, latest)
+        found = checkpointed(found)
+        placed = found.select("conv_id", F.col("call_id").alias("needed"), F.struct("place", "step").alias("then"))
+        late = open_edges.join(found, KEY).join(placed, ["conv_id", "needed"]).filter(F.struct("place", "step") <= F.col("then")).select(*KEY).distinct()
+        tries += 1
+        # Without a cycle, each try settles a call with several needs for good.
+        if stuck.isEmpty() and tries > several + 1:
+            stuck = late
+        stuck = checkpointed(stuck)
+        if stuck.isEmpty():
+            if late.isEmpty():
+                break
+            keys = found
+            continue
+        fresh = stuck
+        while not fresh.isEmpty():
+            cyclic = checkpointed(fresh if cyclic is None else cyclic.unionByName(fresh).distinct())
+            held = cyclic.select("conv_id", F.col("call_id").alias("needed"))
+            fresh = checkpointed(edges.join(held, ["conv_id", "needed"], "left_semi").select(*KEY).distinct().join(cyclic, KEY, "left_anti"))
+        open_edges = checkpointed(edges.join(cyclic, KEY, "left_anti"))
+        keys, tries = turns, 0
+    if cyclic is None:
+        return found.withColumn("cyclic", F.lit(False))
+    marked = found.join(cyclic.withColumn("on_cycle", F.lit(True)), KEY, "left").join(calls.select(*KEY, "turn"), KEY)
+    bad = F.coalesce("on_cycle", F.lit(False))
+    return marked.select(*KEY, F.when(bad, F.col("turn")).otherwise(F.col("place")).alias("place"), F.when(bad, 0).otherwise(F.col("step")).cast("long").alias("step"), bad.alias("cyclic"))
 
 
 def field_kind(value: Column) -> Column:

@@ -54,6 +54,15 @@ def test_order_of_random_needs(spark):
     assert all(place[a] > place[b] for a, b in edges if a not in left)
 
 
+def test_long_chain_against_the_turns(spark):
+    """One conversation whose calls each need the next one: rounds follow the logarithm of its length."""
+    n = 3000
+    calls = spark.range(n).selectExpr("7L as conv_id", "concat('k', id) as call_id", "id as turn")
+    needs = spark.range(n).selectExpr("7L as conv_id", "concat('k', id) as call_id", "concat('k', id + 1) as needed")
+    rows = ordered(calls, needs).collect()
+    assert {(int(r.call_id[1:]), r.place, r.step) for r in rows} == {(i, n - 1, n - 1 - i) for i in range(n)}
+
+
 def test_empty_tables(spark):
     assert run(spark, []) == {}
     assert len(run(spark, [], [(1, "a", 2, "x")])) == 1
