@@ -154,6 +154,11 @@ class Encoder:
         self.chunk_labels: dict[str, str] = {}
         self.word_ids: dict[str, str] = {}
 
+    def forget(self) -> None:
+        """Drop what a task has learnt; the automaton stays for the next one."""
+        for held in (self.chunk_ids, self.chunk_labels, self.word_ids, self.automaton.arcs):
+            held.clear()
+
     def word(self, piece: str) -> str:
         known = self.word_ids.get(piece)
         if known is None:
@@ -226,6 +231,7 @@ def _each(path: str, column: str, names: list[str], schema: pa.Schema, make: Cal
             rows = [make(own, value.as_py()) for value in batch.column(where)]
             made = [pa.array([r[i] for r in rows], schema.field(n).type) for i, n in enumerate(names)]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(batch.num_columns) if i != where] + made, schema=schema)
+        own.forget()
 
     return run
 
@@ -244,6 +250,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
             ids = np.fromstring(" ".join(text for text, _ in made if text), dtype=np.int32, sep=" ")
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts, dtype=np.int64)].astype(np.int32)), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), lists], ["doc_id", "n_tokens", "ids"])
+        own.forget()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 

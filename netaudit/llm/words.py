@@ -15,6 +15,10 @@ import pyarrow as pa
 
 #: Texts are worked on in pieces of about so many bytes; a longer text is a piece of its own.
 PIECE_BYTES = 1 << 20
+#: Rows whose texts are brought into one buffer at a time.
+PIECE_ROWS = 512
+# Freed buffers go back to the system, as the tasks of an executor share its memory.
+pa.set_memory_pool(pa.system_memory_pool())
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -82,10 +86,12 @@ def text_pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int
     """Rows from, to, their bytes and where each row's bytes begin and end."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string()).fill_null("")
+    for begin in range(0, len(texts), PIECE_ROWS):
+        yield from _buffer_pieces(texts.slice(begin, PIECE_ROWS).cast(pa.large_string()).fill_null(""), begin, limit)
+
+
+def _buffer_pieces(texts: pa.Array, row: int, limit: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     n = len(texts)
-    if not n:
-        return
     _, offset_buffer, data_buffer = texts.buffers()
     offsets = np.frombuffer(offset_buffer, dtype=np.int64)[texts.offset : texts.offset + n + 1]
     data = np.frombuffer(data_buffer, dtype=np.uint8) if data_buffer is not None else np.zeros(0, np.uint8)
@@ -93,7 +99,7 @@ def text_pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int
     while first < n:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1)
         begin = offsets[first]
-        yield first, last, data[begin : offsets[last]], offsets[first : last + 1] - begin
+        yield row + first, row + last, data[begin : offsets[last]], offsets[first : last + 1] - begin
         first = last
 
 
