@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from netaudit import constants as C
 from netaudit.functions.net import extract_domain, extract_ip, number_to_ip
 from netaudit.operators.matchjoin import ADDRESS_BITS
+from netaudit.plans import reports
 from netaudit.sources.lines import lines_of_table
 from netaudit.sources.registers import sequence
 from netaudit.sources.xmlreports import TOP10_DESTINATIONS
@@ -149,6 +150,26 @@ def network_entries(spark, sf) -> DataFrame:
     return sites.unionByName(nations)
 
 
+def short_networks(spark, sf) -> DataFrame:
+    """Networks of four and six bits; the first of two that overlap is the longer one in every second pair."""
+    key = F.col("n_nationkey")
+    bits = F.when(key % 2 == 0, 4).otherwise(6)
+    return table(spark, sf, "nation").select(
+        text("wide-", key).alias("User"), text(F.pmod(F.floor(key / 2), F.lit(13)) * 16, ".0.0.0/", bits).alias("cidr"), at(F.pmod(key * 7, F.lit(25)))
+    )
+
+
+def device_rows(spark, sf) -> DataFrame:
+    """Rows of the device table with its plain column, of risen scores and of destinations."""
+    key = F.col("c_custkey")
+    names = [reports.DEVICE.table, " 直近2期間にスコアが増加した上位ユーザー", "Top 30 Destination by Bandwidth and Sessions"]
+    cell_names = ["Device", "User__or_IP_", "Hostname_or_IP_"]
+    report = F.when(key % 3 == 2, C.BANDWIDTH_REPORT).otherwise(C.CLIENT_REPUTATION)
+    return table(spark, sf, "customer").select(
+        report.alias("report"), by_rest(key, names).alias("table"), key.alias("place"), F.create_map(by_rest(key, cell_names), ip10(key)).alias("cells")
+    )
+
+
 def lan_ranges(spark, sf) -> DataFrame:
     """Two overlapping address ranges per supplier."""
     key = F.col("s_suppkey")

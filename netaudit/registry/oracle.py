@@ -308,6 +308,21 @@ SQL = {
     "config_dhcp_ranges": f"""SELECT 'FW-' || c_nationkey AS file, 'port' || port AS interface, {TEN} + c_custkey * 16 AS lo,
         {TEN} + c_custkey * 16 + 9 AS hi FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey, port ORDER BY c_custkey DESC) AS rn
         FROM interfaces WHERE port IS NOT NULL) WHERE rn = 1""",
+    "config_blocked_macs_per_entry": f"""SELECT 'FW-' || c_nationkey AS file, {mac('c_custkey // 2')} AS "macAddress", 'block' AS action,
+        CASE WHEN c_custkey % 5 = 0 THEN 'vendor ' ELSE 'guest ' END || c_custkey AS description, 'port' || port AS "interFace" FROM (SELECT *,
+        row_number() OVER (PARTITION BY c_nationkey, c_custkey // 2 ORDER BY c_custkey DESC) AS rn FROM interfaces WHERE c_custkey % 3 = 0) WHERE rn = 1""",
+    "config_dhcp_all_ranges": f"""SELECT 'FW-' || c_nationkey AS file, 'port' || port AS interface, {TEN} + c_custkey * 16 AS lo,
+        {TEN} + c_custkey * 16 + 9 AS hi FROM interfaces WHERE port IS NOT NULL""",
+    "network_span": f"""SELECT ip, arg_min("User", pos) AS "User" FROM (SELECT DISTINCT (c_custkey * 104729 * 40503) % 4294967296 AS n,
+          {ip_of('(c_custkey * 104729 * 40503) % 4294967296')} AS ip FROM customer) i
+        JOIN (SELECT 'wide-' || n_nationkey AS "User", ((n_nationkey // 2) % 13) * 16 * 16777216::BIGINT AS lo,
+          CASE n_nationkey % 2 WHEN 0 THEN 268435456 ELSE 67108864 END AS size, (n_nationkey * 7) % 25 AS pos FROM nation) w
+        ON i.n BETWEEN lo AND lo + size - 1 GROUP BY ip""",
+    "plain_device_enrichment": f"""SELECT CASE WHEN c_custkey % 3 = 2 THEN '{C.BANDWIDTH_REPORT}' ELSE '{C.CLIENT_REPUTATION}' END AS report,
+        CASE c_custkey % 3 WHEN 0 THEN 'レピュテーションスコアの大きい上位デバイス' WHEN 1 THEN ' 直近2期間にスコアが増加した上位ユーザー'
+          ELSE 'Top 30 Destination by Bandwidth and Sessions' END AS table_name, c_custkey AS place, column_name, value FROM (
+        SELECT c_custkey, unnest([CASE c_custkey % 3 WHEN 0 THEN 'Device' WHEN 1 THEN 'User__or_IP_' ELSE 'Hostname_or_IP_' END, 'hostName']) AS column_name,
+          unnest([{ip10('c_custkey')}, CASE WHEN c_custkey % 2 = 0 THEN c_name END]) AS value FROM customer) WHERE value IS NOT NULL""",
     "lease_layout": f"""SELECT {ip10('c_custkey')} AS ip, {mac('c_custkey')} AS "macAddress",
         CASE WHEN c_nationkey % 3 = 0 THEN CASE WHEN coalesce({HOST}, '') = '' THEN '{C.BLANK_HOST}' ELSE {HOST} END
         ELSE nullif({HOST}, '') END AS hostName FROM customer WHERE c_custkey % 17 <> 0 AND c_nationkey % 3 < 2""",
@@ -376,4 +391,9 @@ SQL = {
     "deny_export": 'SELECT ip AS "IP", hostName AS "Description" FROM denied',
 }
 
+# Subnets of the deny list as ranges, by their texts.
+SQL["deny_networks"] = f"""SELECT hostName AS "hostName", {number("split_part(ip, ' ', 1)")} AS lo,
+    {number("split_part(ip, ' ', 1)")} + CASE WHEN split_part(ip, ' ', 2) = '' THEN 1 ELSE 4294967296 - {number("split_part(ip, ' ', 2)")} END - 1 AS hi
+    FROM ({SQL["config_deny_list"]}) WHERE regexp_matches(split_part(ip, ' ', 1), '^{IP}$')"""
+
 ORACLE = {name: with_parts(sql) for name, sql in SQL.items()}

@@ -191,6 +191,34 @@ def config_dhcp_ranges(spark, sf):
     return blocks.dhcp_ranges(blocks.relevant_lines(inputs.config_lines(spark, sf)))
 
 
+def config_blocked_macs_per_entry(spark, sf):
+    return blocks.blocked_macs(blocks.relevant_lines(inputs.config_lines(spark, sf)), per_entry=True)
+
+
+def config_dhcp_all_ranges(spark, sf):
+    return blocks.dhcp_ranges(blocks.relevant_lines(inputs.config_lines(spark, sf)), all_ranges=True)
+
+
+def deny_networks(spark, sf):
+    return blocks.deny_networks(config_deny_list(spark, sf))
+
+
+def network_span(spark, sf):
+    """Addresses all over the space in networks shorter than /8, taken whole."""
+    ips = table(spark, sf, "customer").select(net.number_to_ip(F.pmod(F.col("c_custkey") * 104729 * 40503, F.lit(2**32))).alias("ip"))
+    return matchjoin.first_network_match(ips.distinct(), inputs.short_networks(spark, sf), "seq", "User", span=True)
+
+
+def plain_device_enrichment(spark, sf):
+    """The device table and the tables of risen scores and of destinations, read by their own columns."""
+    rows = inputs.device_rows(spark, sf)
+    identities = table(spark, sf, "customer").filter("c_custkey % 2 = 0").select(
+        ip10(F.col("c_custkey")).alias("ip"), F.col("c_name").alias("hostName"), *[F.lit(None).cast("string").alias(c) for c in ("user", "description", "macAddress")]
+    )
+    found = reports.enrich(rows, identities)
+    return long_cells(found.withColumnRenamed("table", "table_name"), "report", "table_name", "place")
+
+
 def lease_layout(spark, sf):
     return registers.leases_of_cells(inputs.lease_cells(spark, sf)).drop("seq")
 
@@ -358,6 +386,7 @@ QUERIES = {
         malformed_networks, range_expand, range_lookup, cidr_first_match, dhcp_released, network_override,
         domain_suffix_first_match, domain_suffix_literal, host_prefix_first_match, host_prefix_literal, host_owner,
         device_priority_dedupe, device_register, config_deny_list, config_blocked_macs, config_dhcp_ranges,
+        config_blocked_macs_per_entry, config_dhcp_all_ranges, deny_networks, network_span, plain_device_enrichment,
         lease_layout, vpn_sessions, vpn_sessions_chronological, vpn_local_ips, xml_tables, xml_user_sections,
         report_enrichment, distinct_terminals, drop_null_columns, section_keys, csv_section, size_to_mb,
         bandwidth_trend, bandwidth_trend_all, chart_series, fiscal_year, review_calendar_of_year, missing_periods,
