@@ -25,8 +25,8 @@ from netaudit.llm.words import row_windows, window_hashes, words_of
 
 #: Words of a window, and of a phrase.
 WINDOW, PHRASE = 50, 25
-#: Phrases of a shard and documents of a task, about; both set the size of a task, not what is found.
-SHARD_PHRASES, TASK_DOCUMENTS = 4000, 2000
+#: Phrases of a shard, and phrases that the documents of a task have, about; both set the size of a task, not what is found.
+SHARD_PHRASES, TASK_PHRASES = 4000, 50_000
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 
@@ -183,8 +183,8 @@ def passage_starts(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE)
     def shard(owner):
         return F.pmod(F.xxhash64(owner), F.lit(shards)).cast("int")
 
-    routes = checkpointed(occurs.join(recurring, "phrase").select("doc_id", shard("owner").alias("shard")).distinct())
-    load = routes.groupBy("shard").agg(F.count("*").alias("docs")).select("shard", F.ceil(F.col("docs") / TASK_DOCUMENTS).cast("int").alias("parts"))
+    routes = checkpointed(occurs.join(recurring, "phrase").groupBy("doc_id", shard("owner").alias("shard")).agg(F.count("*").alias("phrases")))
+    load = routes.groupBy("shard").agg(F.ceil(F.sum("phrases") / TASK_PHRASES).cast("int").alias("parts"))
     load = checkpointed(load)
 
     texts = checkpointed(only_ids(docs, "doc_id", routes.select("doc_id")).distinct())
@@ -193,7 +193,7 @@ def passage_starts(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE)
     compiled = phrases.withColumn("shard", shard("owner")).join(load, "shard").select(
         "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts", F.lit(0).alias("kind"), F.col("owner").alias("doc_id"), "payload"
     )
-    streamed = texts.join(routes, "doc_id").join(load, "shard").select(
+    streamed = texts.join(routes.select("doc_id", "shard"), "doc_id").join(load, "shard").select(
         "shard", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("part"), "parts", F.lit(1).alias("kind"), "doc_id", F.encode("text", "UTF-8").alias("payload")
     )
     dealt = compiled.unionByName(streamed).repartition("shard", "part").sortWithinPartitions("shard", "part", "kind", "doc_id")

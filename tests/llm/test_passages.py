@@ -37,12 +37,12 @@ def random_rows(rng, n):
     return rows + [(n + i, rng.choice(rows)[1]) for i in range(n // 5)]
 
 
-@pytest.mark.parametrize("documents_of_a_task", [2, 1000])
-def test_against_all_windows(spark, monkeypatch, documents_of_a_task):
+@pytest.mark.parametrize("phrases_of_a_task", [5, 100_000])
+def test_against_all_windows(spark, monkeypatch, phrases_of_a_task):
     # Small shards and tasks, so that shards are divided and documents visit several.
     monkeypatch.setattr(passages, "SHARD_PHRASES", 10)
-    monkeypatch.setattr(passages, "TASK_DOCUMENTS", documents_of_a_task)
-    rows = random_rows(random.Random(documents_of_a_task), 150)
+    monkeypatch.setattr(passages, "TASK_PHRASES", phrases_of_a_task)
+    rows = random_rows(random.Random(phrases_of_a_task), 150)
     got = Counter(map(tuple, passages.passage_digests(documents(spark, rows), window=10, phrase=5).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()))
     assert got == by_hand(rows, 10)
 
