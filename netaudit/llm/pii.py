@@ -125,12 +125,14 @@ def url_around(text: str, at: int, least: int) -> tuple[int, int] | None:
     begin = run_left(text, at, SCHEME, least)
     while begin < at and text[begin] not in LETTERS:
         begin += 1
+    if begin == at or at + 3 >= len(text) or not (text[at + 3] in LABEL or text[at + 3] == "["):
+        return None
     end = at + 3
     while end < len(text) and text[end] not in URL_END:
         end += 1
     while end > at + 3 and text[end - 1] in ".,;:!?)]*":
         end -= 1
-    return (begin, end) if begin < at and end > at + 3 and (text[at + 3] in LABEL or text[at + 3] == "[") else None
+    return (begin, end) if end > at + 3 else None
 
 
 def iban_around(text: str, at: int, least: int) -> tuple[int, int] | None:
@@ -153,8 +155,11 @@ def iban_around(text: str, at: int, least: int) -> tuple[int, int] | None:
     return (at - 2, best) if best else None
 
 
-def secret_after(text: str, at: int) -> tuple[int, int] | None:
-    """The value that follows a cue word which ends at ``at``: ``=`` or ``:``, then the value, quoted or bare."""
+def secret_after(text: str, at: int, least: int) -> tuple[int, int, bool] | None:
+    """Begin and end of the value that follows a cue word which ends at ``at``, and whether it is a secret.
+
+    ``=`` or ``:``, then the value, quoted or bare. None where no value begins from ``least`` on.
+    """
     n = len(text)
     if at < n and text[at] in "\"'":
         at += 1
@@ -164,11 +169,12 @@ def secret_after(text: str, at: int) -> tuple[int, int] | None:
     at = run_right(text, at + 1, frozenset(" \t"))
     if at < n and text[at] in "\"'":
         at += 1
+    if at < least:
+        return None
     end = run_right(text, at, VALUE)
     while end > at and text[end - 1] == ".":
         end -= 1
-    value = text[at:end]
-    return (at, end) if end - at >= SECRET_LENGTH and any(c in DIGITS for c in value) else None
+    return at, end, end - at >= SECRET_LENGTH and any(c in DIGITS for c in text[at:end])
 
 
 def spans(text: str) -> list[tuple[str, int, int]]:
@@ -210,8 +216,11 @@ def spans(text: str) -> list[tuple[str, int, int]]:
         elif anchor == ":":
             if at >= done["url"] and (match := url_around(text, at, done["url"])) is not None:
                 put("url", *match)
-        elif (match := secret_after(text, last + 1)) is not None and match[0] >= done["secret"]:
-            put("secret", *match)
+        elif (match := secret_after(text, last + 1, done["secret"])) is not None:
+            # What ends a value that is none also ends the shorter ones inside it.
+            begin, done["secret"], secret = match
+            if secret:
+                put("secret", begin, done["secret"])
     return [(KINDS[kind], begin, end) for begin, kind, end in sorted(found)]
 
 

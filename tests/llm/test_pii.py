@@ -40,6 +40,11 @@ def test_added_kinds():
     assert iban_valid("GB82WEST12345698765432") and not iban_valid("GB83WEST12345698765432")
 
 
+def test_long_runs_of_anchors_take_linear_time():
+    for part in ("://", "a://", "@", "a@b", "+", "+1", "1.", "1 ", "token=", "AB12", "1-"):
+        assert isinstance(spans(part * 200_000), list)
+
+
 def test_mask_joins_overlapping_spans():
     assert mask("a x@y.zz b 10.0.0.1") == "a [EMAIL] b [IP]"
     assert mask("http://u@h.example/p q") == "[URL] q"
