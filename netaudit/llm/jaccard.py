@@ -228,14 +228,15 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
     light = light_boundary(sizes, percent)
 
     kinds = "name long, key long, n int, low boolean, high boolean, listed boolean"
-    entries = docs.select("text").mapInArrow(_entries(k, percent, light, cells), kinds)
+    named = docs.filter("doc_id is not null").select("text")
+    entries = named.mapInArrow(_entries(k, percent, light, cells), kinds)
     lists = entries.groupBy("name", "listed").agg(
         F.min("key").alias("lead"), F.max("key").alias("last"),
         F.min(F.when(F.col("low"), F.col("key"))).alias("least_low"), F.min(F.when(F.col("high"), F.col("key"))).alias("least_high"),
     ).filter("lead != last").drop("last")
     lists = checkpointed(lists)
     shared = spark.sparkContext.broadcast(bit_table(lists.select("name"), LIST_BITS))
-    entries = docs.select("text").mapInArrow(_entries(k, percent, light, cells, shared), kinds)
+    entries = named.mapInArrow(_entries(k, percent, light, cells, shared), kinds)
     met = checkpointed(entries.join(lists, ["name", "listed"]))
 
     # All pairs of a low and a high class under one subset link; one partner for each connects them.
@@ -282,8 +283,8 @@ def shingle_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     """``doc_id, n_shingles, component_id`` for each row of ``docs``.
 
     Null and empty texts have no shingles and link with nothing. Repeated rows and equal texts
-    link. Null ids take part in links and never name a component; a component of null ids alone
-    has the null id. An empty table gives an empty one; other columns of ``docs`` are not read.
+    link. A row without id only joins the component of an equal set; without one its component
+    is null. An empty table gives an empty one; other columns of ``docs`` are not read.
     """
     classes, links = shingle_links(docs, k, percent)
     linked = components(links)
@@ -295,6 +296,12 @@ def shingle_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """Rows of ``docs`` with the smallest id of their component, once each; rows without words stay."""
-    kept = shingle_components(docs, k, percent).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_kept")).drop("_kept").dropDuplicates(["doc_id"])
+    """Rows of ``docs`` with the smallest id of their component, once each; rows without words stay.
+
+    Rows without id stand behind all others, under an id made of their text.
+    """
+    made = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
+    named = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), made))
+    found = shingle_components(named.select(F.col("_id").alias("doc_id"), "text"), k, percent)
+    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    return named.join(kept, F.col("_id") == F.col("_kept")).dropDuplicates(["_id"]).select(*docs.columns)
