@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from netaudit.session import checkpointed, ship_package
 
-__all__ = ["bit_table", "checkpointed", "components", "in_bit_table", "only_ids", "shipped", "table"]
+__all__ = ["bit_table", "checkpointed", "components", "in_bit_table", "only_ids", "shipped", "split_by_ids", "table", "without_ids"]
 
 #: Words of 64 bits in the id filter, whatever the data: 1 MB.
 FILTER_WORDS = 1 << 17
@@ -34,21 +34,37 @@ def _place(key: Column) -> tuple[Column, Column]:
     return F.pmod(F.shiftrightunsigned(h, 8), F.lit(FILTER_WORDS)), F.pmod(h, F.lit(64)).cast("int")
 
 
-def only_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose ``key`` is in the one column of ``ids``, read by one shuffle of few rows.
+def split_by_ids(df: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose ``key`` is surely not in the one column of ``ids``, and those whose key may be.
 
-    A bit table of fixed size goes to every task and leaves out nearly all other rows before
-    the exact semi-join shuffles the rest.
+    A bit table of fixed size goes to every task, so nothing is shuffled.
     """
     word, bit = _place(F.col(ids.columns[0]))
     bits = ids.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    bits = F.broadcast(checkpointed(bits))
     word, bit = _place(F.col(key))
-    near = (
-        df.withColumn("_word", word)
-        .join(F.broadcast(bits), "_word")
-        .filter(F.call_function("shiftrightunsigned", F.col("_bits"), bit).bitwiseAND(F.lit(1)) == 1)
-        .drop("_word", "_bits")
-    )
+    hit = F.call_function("shiftrightunsigned", F.col("_bits"), bit).bitwiseAND(F.lit(1)) == 1
+    marked = df.withColumn("_word", word)
+    sure = marked.join(bits, "_word", "left").filter(~F.coalesce(hit, F.lit(False))).drop("_word", "_bits")
+    return sure, marked.join(bits, "_word").filter(hit).drop("_word", "_bits")
+
+
+def without_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not in the one column of ``ids``; null keys stay.
+
+    Only the rows that may be among the ids are shuffled.
+    """
+    sure, near = split_by_ids(df, key, ids)
+    unwanted = ids.select(F.col(ids.columns[0]).alias("_id")).distinct()
+    return sure.unionByName(near.join(unwanted.hint("shuffle_merge"), F.col(key) == F.col("_id"), "left_anti"))
+
+
+def only_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is in the one column of ``ids``, read by one shuffle of few rows.
+
+    A bit table leaves out nearly all other rows before the exact semi-join shuffles the rest.
+    """
+    _, near = split_by_ids(df, key, ids)
     wanted = ids.select(F.col(ids.columns[0]).alias("_id")).distinct()
     return near.join(wanted.hint("shuffle_merge"), F.col(key) == F.col("_id"), "left_semi")
 

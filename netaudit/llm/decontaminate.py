@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from netaudit.llm.common import bit_table, checkpointed, in_bit_table
+from netaudit.llm.common import bit_table, checkpointed, in_bit_table, split_by_ids
 from netaudit.llm.words import SPACE, hash_spans, mix, split_words, text_pieces, window_hashes
 
 WINDOW, LEAST_LITERALS, LEAST_SHARE = 5, 3, 0.8
@@ -189,6 +189,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, least
 
 def clean_rows(docs: DataFrame, items: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE) -> DataFrame:
     """The rows of ``docs`` that hold no item."""
-    found = item_matches(docs, items, window, least_share).select("h", "g").distinct()
-    marked = docs.withColumn("_key", _key(F.col("text").cast("string")))
-    return marked.join(found, (F.col("_key.h") == F.col("h")) & (F.col("_key.g") == F.col("g")), "left_anti").drop("_key")
+    found = checkpointed(item_matches(docs, items, window, least_share).select("h", "g").distinct())
+    key = _key(F.col("text").cast("string"))
+    marked = docs.withColumns({"_h": key["h"], "_g": key["g"]})
+    sure, near = split_by_ids(marked, "_h", found.select("h"))
+    return sure.unionByName(near.join(found, (F.col("_h") == F.col("h")) & (F.col("_g") == F.col("g")), "left_anti")).select(*docs.columns)

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from netaudit.llm.common import bit_table, checkpointed, components, in_bit_table, only_ids
+from netaudit.llm.common import bit_table, checkpointed, components, in_bit_table, only_ids, split_by_ids
 from netaudit.llm.words import mix, shingle_sets, words_of
 
 #: Cells that shingle counts are added up in to order shingles, whatever the data: 1 MB.
@@ -302,6 +302,10 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """
     made = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
     named = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), made))
-    found = shingle_components(named.select(F.col("_id").alias("doc_id"), "text"), k, percent)
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return named.join(kept, F.col("_id") == F.col("_kept")).dropDuplicates(["_id"]).select(*docs.columns)
+    found = checkpointed(shingle_components(named.select(F.col("_id").alias("doc_id"), "text"), k, percent))
+    dropped = checkpointed(found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.bool_or(F.col("doc_id") == F.col("component_id")).alias("kept")).filter("rows > 1 or not kept"))
+    # Most rows have an id of their own and stay where they are.
+    sure, near = split_by_ids(named, "_id", dropped.select("doc_id"))
+    gone = dropped.filter("not kept").select(F.col("doc_id").alias("_gone"))
+    rest = near.join(gone, F.col("_id") == F.col("_gone"), "left_anti").dropDuplicates(["_id"])
+    return sure.unionByName(rest).select(*docs.columns)

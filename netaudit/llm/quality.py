@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from netaudit.llm.common import checkpointed
+from netaudit.llm.common import checkpointed, without_ids
 from netaudit.llm.logistic import fit_logistic, sigmoid
 from netaudit.llm.words import words_of
 
@@ -217,5 +217,5 @@ def good_rows(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
 
     Of rows with one id all go if one is rejected.
     """
-    bad = quality(docs, labels, sample_rows, pool_rows).filter(~F.col("keep")).select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("_id"), "left_anti")
+    bad = quality(docs, labels, sample_rows, pool_rows).filter(~F.col("keep")).select("doc_id").filter("doc_id is not null").distinct()
+    return without_ids(docs, "doc_id", checkpointed(bad))

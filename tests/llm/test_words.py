@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, strategies as st
 
-from netaudit.llm.common import components, only_ids
+from netaudit.llm.common import components, only_ids, without_ids
 from netaudit.llm.words import row_windows, shingle_sets, window_hashes, words_of
 from tests.llm.support import Union, fold, split
 
@@ -59,3 +59,5 @@ def test_only_ids_keeps_all_rows_of_the_ids(spark):
     rows = spark.range(5000).selectExpr("id % 1000 as doc_id", "id")
     wanted = spark.createDataFrame([(3,), (3,), (999,), (5000,)], "x long")
     assert sorted(r.doc_id for r in only_ids(rows, "doc_id", wanted).collect()) == [3] * 5 + [999] * 5
+    left = without_ids(rows.unionByName(spark.sql("select cast(null as long) doc_id, 1L id")), "doc_id", wanted)
+    assert left.count() == 4991 and left.filter("doc_id in (3, 999)").count() == 0 and left.filter("doc_id is null").count() == 1
