@@ -21,7 +21,7 @@ from netaudit.llm.common import checkpointed, only_ids
 from netaudit.llm.logistic import fit_logistic, sigmoid
 
 #: Labelled rows used, those with the smallest hashes of their ids; terms and stems kept.
-SAMPLE_ROWS, MOST_TERMS, MOST_CANDIDATES = 30_000, 4_000, 20_000
+SAMPLE_ROWS, MOST_TERMS, MOST_CANDIDATES = 20_000, 4_000, 20_000
 #: Different words before a term that are needed in toxic texts, so that copies count once, and the least log-odds.
 LEAST_CONTEXTS, LEAST_ODDS = 5, 2.5
 STEM_LENGTHS, STEM_NOISE = (4, 5, 6, 7), 0.1
