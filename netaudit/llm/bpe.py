@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame, functions as F
 
 #: White space as the vocabulary's normaliser takes it. Fixed value: the Unicode property White_Space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Characters that are neither letters, numbers, white space nor an apostrophe, so that a run of them is one word.
+MARKS = ".,;:!?#$%&*\"()[]"
 #: Encoded words, and chunks of text, that a task process remembers; only spares repeated work.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 
 
 def byte_symbols() -> list[str]:
@@ -152,20 +154,24 @@ class Encoder:
         #: Ids of chunks between white space as they stand in texts, and of words; labels of chunks.
         self.chunk_ids: dict[str, str] = {}
         self.chunk_labels: dict[str, str] = {}
-        self.word_ids: dict[str, str] = {}
+        self.words: dict[str, tuple[str, str]] = {}
 
     def forget(self) -> None:
-        """Drop what a task has learnt; the automaton stays for the next one."""
-        for held in (self.chunk_ids, self.chunk_labels, self.word_ids, self.automaton.arcs):
+        """Drop the words that a task has learnt; the automaton and its table stay for the next one."""
+        for held in (self.chunk_ids, self.chunk_labels, self.words):
             held.clear()
+        if len(self.automaton.arcs) > REMEMBERED:
+            self.automaton.arcs.clear()
 
-    def word(self, piece: str) -> str:
-        known = self.word_ids.get(piece)
+    def word(self, piece: str) -> tuple[str, str]:
+        """Ids and labels of a word."""
+        known = self.words.get(piece)
         if known is None:
-            if len(self.word_ids) >= REMEMBERED:
-                self.word_ids.clear()
+            if len(self.words) >= REMEMBERED:
+                self.words.clear()
                 self.automaton.arcs.clear()
-            known = self.word_ids[piece] = " ".join(map(str, self.automaton.encode(piece)))
+            ids = " ".join(map(str, self.automaton.encode(piece)))
+            known = self.words[piece] = (ids, self.decode(ids))
         return known
 
     def learn(self, chunks: set[str]) -> None:
@@ -175,9 +181,15 @@ class Encoder:
             self.chunk_labels.clear()
         for chunk in chunks:
             # One letter at a time, so that a sigma at a word's end is like any other.
-            plain = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
-            ids = " ".join(map(self.word, self.piece.findall(plain.lower())))
-            self.chunk_ids[chunk], self.chunk_labels[chunk] = ids, self.decode(ids)
+            plain = (chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")).lower()
+            if plain.isalpha():
+                self.chunk_ids[chunk], self.chunk_labels[chunk] = self.word(plain)
+                continue
+            letters = plain.rstrip(MARKS)
+            pieces = [letters, plain[len(letters) :]] if letters.isalpha() else self.piece.findall(plain)
+            found = list(map(self.word, pieces))
+            self.chunk_ids[chunk] = " ".join([ids for ids, _ in found])
+            self.chunk_labels[chunk] = " ".join([labels for _, labels in found])
 
     def chunks(self, text: str) -> Iterator[tuple[bool, list[str]]]:
         """Special tokens as they stand, and between them what white space separates."""
