@@ -157,11 +157,10 @@ class Encoder:
         self.words: dict[str, tuple[str, str]] = {}
 
     def forget(self) -> None:
-        """Drop the words that a task has learnt; the automaton and its table stay for the next one."""
+        """Drop the words that a task has learnt, and the automaton with them, as other tasks need the memory."""
         for held in (self.chunk_ids, self.chunk_labels, self.words):
             held.clear()
-        if len(self.automaton.arcs) > REMEMBERED:
-            self.automaton.arcs.clear()
+        encoder.cache_clear()
 
     def word(self, piece: str) -> tuple[str, str]:
         """Ids and labels of a word."""
@@ -231,7 +230,7 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One per task process."""
+    """One per task."""
     return Encoder(path)
 
 

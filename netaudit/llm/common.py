@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import wraps
 
 import numpy as np
@@ -9,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from netaudit.session import checkpointed, ship_package
 
-__all__ = ["bit_table", "checkpointed", "components", "in_bit_table", "only_ids", "shipped", "split_by_ids", "table", "without_ids"]
+__all__ = ["bit_table", "checkpointed", "components", "in_bit_table", "only_ids", "shipped", "small_batches", "split_by_ids", "table", "without_ids"]
 
 #: Words of 64 bits in the id filter, whatever the data: 1 MB.
 FILTER_WORDS = 1 << 17
@@ -29,6 +31,18 @@ def shipped(job):
     return run
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Hand rows to Python in small batches inside, as each is a whole text or two."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _place(key: Column) -> tuple[Column, Column]:
     h = F.xxhash64(key)
     return F.pmod(F.shiftrightunsigned(h, 8), F.lit(FILTER_WORDS)), F.pmod(h, F.lit(64)).cast("int")

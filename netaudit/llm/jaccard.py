@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from netaudit.llm.common import bit_table, checkpointed, components, in_bit_table, only_ids, split_by_ids
+from netaudit.llm.common import bit_table, checkpointed, components, in_bit_table, only_ids, small_batches, split_by_ids
 from netaudit.llm.words import mix, shingle_sets, words_of
 
 #: Cells that shingle counts are added up in to order shingles, whatever the data: 1 MB.
@@ -286,7 +286,8 @@ def shingle_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     link. A row without id only joins the component of an equal set; without one its component
     is null. An empty table gives an empty one; other columns of ``docs`` are not read.
     """
-    classes, links = shingle_links(docs, k, percent)
+    with small_batches(docs.sparkSession):
+        classes, links = shingle_links(docs, k, percent)
     linked = components(links)
     whole = classes.join(linked, classes.key == linked.node, "left").select("doc_id", "n", F.coalesce("component", "key").alias("part"))
     whole = checkpointed(whole)

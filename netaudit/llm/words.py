@@ -52,7 +52,7 @@ def powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of ``base`` modulo 2^64, and of its inverse."""
     held = _powers.get(base)
     if held is None or len(held[0]) < n:
-        size = max(n, 2 * PIECE_BYTES)
+        size = max(n, PIECE_BYTES + (PIECE_BYTES >> 3))
         held = []
         for b in (base, pow(base, -1, 1 << 64)):
             out = np.ones(size, dtype=np.uint64)
