@@ -4,7 +4,8 @@ A text becomes a template: punctuation goes, letters are folded, numbers, names
 numbers become placeholders that keep what they stand for as a slot. Windows of five template
 tokens of documents and items meet in a hash join. An item is in a text when the text has enough
 of its windows in occurrences whose slots agree: an item's value always stands against the same
-value of the text. Equal slots make a verbatim copy, others a re-parameterised one.
+value of the text. Equal slots make a verbatim copy, others a re-parameterised one. Windows also
+meet as literals, letters folded and nothing replaced, so a copy in other capitals is found.
 """
 
 from __future__ import annotations
@@ -19,6 +20,9 @@ from netaudit.llm.common import bit_table, checkpointed, in_bit_table, split_by_
 from netaudit.llm.words import SPACE, hash_spans, mix, split_words, text_pieces, window_hashes
 
 WINDOW, LEAST_LITERALS, LEAST_SHARE = 5, 3, 0.8
+#: Forms of windows: of a template, literals.
+TEMPLATE, LITERAL = 0, 2
+LITERAL_SALT = 0x8EBC6AF09C88C6E3
 #: Bits of the table that documents' windows are first looked up in, whatever the benchmark's size: 1 MB.
 TABLE_BITS = 23
 # Units, singular and plural, and their signs.
@@ -51,8 +55,8 @@ UNIT_HASHES = np.sort(_word_hashes(UNITS))
 _KIND_HASH = mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB))
 
 
-def templates(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per piece: first row, token hashes, kinds (0 literal, else placeholder), values, and offsets of the rows."""
+def templates(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per piece: first row, token hashes, kinds (0 literal, else placeholder), values, and offsets of the rows; then all as literals, and offsets of these."""
     for first, last, raw, bounds in text_pieces(texts):
         # Sentence starts are read off the text as it stands, tokens off its letters and digits.
         keep = _ALNUM[raw] | SPACE[raw]
@@ -69,6 +73,7 @@ def templates(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
         starts, ends, offsets = split_words(data, limits, apart)
         n = len(starts)
         hashes = hash_spans(data, starts, ends, fold=True)
+        literals, literal_offsets = hashes, offsets
         kinds = np.zeros(n, dtype=np.int64)
         if n:
             rows = np.repeat(np.arange(last - first), np.diff(offsets))
@@ -97,38 +102,67 @@ def templates(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
             offsets = np.r_[0, np.cumsum(np.bincount(rows[~joined], minlength=last - first))]
             kinds, hashes = kinds[~joined], np.where(name[~joined], mix(values), hashes[~joined])
         tokens = np.where(kinds > 0, _KIND_HASH[kinds], hashes)
-        yield first, tokens, kinds, hashes, offsets
+        yield first, tokens, kinds, hashes, offsets, literals, literal_offsets
 
 
-def _windows(k: int, table):
-    """Windows with enough literals, as ``name`` with place and slots; with ``table`` only those it may have."""
+def _named(tokens: np.ndarray, k: int, literal: bool) -> np.ndarray:
+    """Names of the windows of ``k`` tokens, apart from those of templates if ``literal``."""
+    names = window_hashes(tokens, k)
+    return mix(names ^ np.uint64(LITERAL_SALT)) if literal else names
+
+
+def _spans(offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and first token of each window of ``k`` tokens inside a row."""
+    counts = np.maximum(np.diff(offsets) - k + 1, 0)
+    rows = np.repeat(np.arange(len(counts)), counts)
+    return rows, np.arange(counts.sum()) - (np.cumsum(counts) - counts)[rows] + offsets[:-1][rows]
+
+
+def _windows(k: int, table, sizes=None):
+    """Windows as ``name`` with place and slots, by form; of texts, with ``table``, only those it may have.
+
+    Windows of templates need enough literals; those of literals are of ``k`` tokens.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if table is None else table.value
         for batch in batches:
-            owners, places, names, slots = [], [], [], []
-            for first, tokens, kinds, values, offsets in templates(batch.column(batch.num_columns - 1)):
-                if len(tokens) < k:
-                    continue
-                counts = np.maximum(np.diff(offsets) - k + 1, 0)
-                rows = np.repeat(np.arange(len(counts)), counts)
-                at = np.arange(counts.sum()) - (np.cumsum(counts) - counts)[rows] + offsets[:-1][rows]
-                every = window_hashes(tokens, k)
-                filled = np.zeros(len(tokens) + 1, dtype=np.int64)
-                np.cumsum(kinds > 0, out=filled[1:])
-                good = filled[at + k] - filled[at] <= k - LEAST_LITERALS
+            owners, places, names, slots, forms, lengths = [], [], [], [], [], []
+
+            def add(first, offsets, rows, at, every, form, size, kinds=None, values=None):
                 if bits is not None:
-                    good &= in_bit_table(bits, every[at])
-                at, rows = at[good], rows[good]
+                    held = in_bit_table(bits, every[at])
+                    rows, at = rows[held], at[held]
                 owners.append(rows + first)
                 places.append(at - offsets[:-1][rows])
                 names.append(every[at])
-                slots += [values[a : a + k][kinds[a : a + k] > 0].view(np.int64).tolist() for a in at.tolist()]
+                slots.extend([] if kinds is None else values[a : a + size][kinds[a : a + size] > 0].view(np.int64).tolist() for a in at.tolist())
+                forms.append(np.full(len(at), form))
+                lengths.append(np.full(len(at), size))
+
+            for first, tokens, kinds, values, offsets, literals, literal_offsets in templates(batch.column(batch.num_columns - 1)):
+                filled = np.zeros(len(tokens) + 1, dtype=np.int64)
+                np.cumsum(kinds > 0, out=filled[1:])
+                rows, at = _spans(offsets, k)
+                good = filled[at + k] - filled[at] <= k - LEAST_LITERALS
+                add(first, offsets, rows[good], at[good], _named(tokens, k, False), TEMPLATE, k, kinds, values)
+                wanted = [(LITERAL, k, None)]
+                for form, size, chosen in wanted:
+                    source, limits = literals, literal_offsets
+                    rows, at = _spans(limits, size)
+                    if chosen is not None:
+                        own = np.isin(rows, chosen)
+                        rows, at = rows[own], at[own]
+                    add(first, limits, rows, at, _named(source, size, form == LITERAL), form, size)
             if not names:
                 continue
             owner = pa.array(np.concatenate(owners))
+            made = [np.concatenate(places).astype(np.int32), np.concatenate(names).view(np.int64)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i).take(owner) for i in range(batch.num_columns - 1)), pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(names).view(np.int64)), pa.array(slots, pa.list_(pa.int64()))],
-                [*batch.schema.names[:-1], "place", "name", "slots"],
+                [
+                    *(batch.column(i).take(owner) for i in range(batch.num_columns - 1)), *map(pa.array, made), pa.array(slots, pa.list_(pa.int64())),
+                    *(pa.array(np.concatenate(c).astype(np.int32)) for c in (forms, lengths)),
+                ],
+                [*batch.schema.names[:-1], "place", "name", "slots", "form", "length"],
             )
 
     return run
@@ -142,33 +176,37 @@ def _key(text: Column) -> Column:
 def item_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE) -> DataFrame:
     """``key, item_id, share, kind`` for each text (by its key) and item that it holds.
 
-    ``share`` is the part of the item's different windows that the text has. ``kind`` is
-    ``verbatim`` or ``re-parameterised``. Items without id or with fewer tokens than a window have
-    no windows and match nothing; items of one id are one item.
+    ``share`` is the part of the item's different windows that the text has, in the form that it
+    has most of. ``kind`` is ``verbatim`` or ``re-parameterised``, the first where only literals
+    reach the share. Items without id or with fewer tokens than a window match nothing; items of one id are one item.
     """
     spark = docs.sparkSession
+    made = "place int, name long, slots array<long>, form int, length int"
     own = items.filter("item_id is not null").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    asked = checkpointed(own.mapInArrow(_windows(window, None), "item_id long, place int, name long, slots array<long>"))
-    sizes = asked.groupBy("item_id").agg(F.countDistinct("name").alias("size"))
+    asked = checkpointed(own.mapInArrow(_windows(window, None), f"item_id long, {made}"))
+    sizes = asked.groupBy("item_id", "form").agg(F.countDistinct("name", "length").alias("size"))
     table = spark.sparkContext.broadcast(bit_table(asked.select("name"), TABLE_BITS))
+    lengths = sorted((r.form, r.length) for r in asked.filter(F.col("form") != TEMPLATE).select("form", "length").distinct().collect())  # lengths of items
 
     texts = docs.select(F.col("text").cast("string")).filter("text is not null").select(_key(F.col("text")).alias("key"), "text")
     texts = texts.select("key.h", "key.g", "text")
-    seen = texts.mapInArrow(_windows(window, table), "h long, g long, place int, name long, slots array<long>")
-    met = seen.join(asked.select("item_id", "name", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")), "name")
-    met = checkpointed(met.select("h", "g", "item_id", "name", (F.col("place") - F.col("item_place")).alias("shift"), "slots", "item_slots").distinct())
+    seen = texts.mapInArrow(_windows(window, table, lengths), f"h long, g long, {made}")
+    met = seen.join(asked.select("item_id", "name", "form", "length", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")), ["name", "form", "length"])
+    shift = F.when(F.col("form") != LITERAL, F.col("place") - F.col("item_place")).otherwise(0).alias("shift")
+    met = checkpointed(met.select("h", "g", "item_id", "form", "length", "name", shift, "slots", "item_slots").distinct())
     # Inside one occurrence the shift between text and item stays the same, and so must what a value stands against.
-    pairs = met.select("h", "g", "item_id", "shift", F.explode(F.arrays_zip("item_slots", "slots")).alias("p"))
-    values = pairs.groupBy("h", "g", "item_id", "shift", "p.item_slots").agg(
+    occurrence = ["h", "g", "item_id", "form", "shift"]
+    own_pairs = met.withColumn("p", F.explode(F.arrays_zip("item_slots", "slots")))
+    values = own_pairs.groupBy(*occurrence, F.col("p.item_slots").alias("value")).agg(
         F.min("p.slots").alias("least"), F.max("p.slots").alias("most"), F.min((F.col("p.slots") == F.col("p.item_slots")).cast("int")).alias("same")
     )
-    occurrences = values.groupBy("h", "g", "item_id", "shift").agg(F.bool_and(F.col("least") == F.col("most")).alias("steady"), F.min("same").alias("same"))
-    steady = met.join(occurrences, ["h", "g", "item_id", "shift"], "left").filter(F.coalesce("steady", F.lit(True)))
-    shares = steady.groupBy("h", "g", "item_id").agg(F.countDistinct("name").alias("hits"), F.min(F.coalesce("same", F.lit(1))).alias("same"))
-    return (
-        shares.join(sizes, "item_id").withColumn("share", F.col("hits") / F.col("size")).filter(F.col("share") >= least_share)
-        .select("h", "g", "item_id", "share", F.when(F.col("same") == 1, "verbatim").otherwise("re-parameterised").alias("kind"))
-    )
+    states = values.groupBy(*occurrence).agg(F.collect_list(F.when(F.col("least") != F.col("most"), F.col("value"))).alias("torn"), F.min("same").alias("same"))
+    # Only windows with a value that stands against several are left out.
+    steady = met.join(states, occurrence, "left").filter(~F.coalesce(F.arrays_overlap("item_slots", "torn"), F.lit(False)))
+    shares = steady.groupBy("h", "g", "item_id", "form").agg(F.countDistinct("name", "length").alias("hits"), F.min(F.coalesce("same", F.lit(1))).alias("same"))
+    held = shares.join(sizes, ["item_id", "form"]).withColumn("share", F.col("hits") / F.col("size")).filter(F.col("share") >= least_share)
+    best = held.groupBy("h", "g", "item_id").agg(F.max("share").alias("share"), F.min("same").alias("same"))
+    return best.select("h", "g", "item_id", "share", F.when(F.col("same") == 1, "verbatim").otherwise("re-parameterised").alias("kind"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE) -> DataFrame:

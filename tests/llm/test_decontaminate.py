@@ -57,3 +57,13 @@ def test_edge_documents(spark):
     assert sorted(r.doc_id or -1 for r in clean_rows(documents(spark, rows), items).collect()) == [1, 2, 3, 4, 7, 8, 10]
     assert contamination(documents(spark, []), items).count() == 0
     assert contamination(documents(spark, rows), items.limit(0)).filter("contaminated").count() == 0
+
+
+def test_capitals_and_one_changed_value(spark):
+    rng = random.Random(5)
+    words = prose(rng, 80, 5000).lower().split()
+    words[10], words[70] = "41", "41"
+    item, changed = " ".join(words), " ".join(["42" if i == 70 else w for i, w in enumerate(words)])
+    rows = [(1, APPLES.upper()), (2, APPLES.lower()), (3, f"So. {changed} end"), (4, prose(rng, 200))]
+    got = judged(spark, rows, [(1, APPLES), (2, item)])
+    assert got == {1: (1, 1, "verbatim", True), 2: (1, 1, "verbatim", True), 3: (1, 2, "re-parameterised", True), 4: (0, None, None, False)}
