@@ -20,8 +20,10 @@ from netaudit.llm.common import bit_table, checkpointed, in_bit_table, split_by_
 from netaudit.llm.words import SPACE, hash_spans, mix, split_words, text_pieces, window_hashes
 
 WINDOW, LEAST_LITERALS, LEAST_SHARE = 5, 3, 0.8
-#: Forms of windows: of a template, literals.
-TEMPLATE, LITERAL = 0, 2
+#: Literals that a template without a window needs to be one window as a whole.
+LEAST_WHOLE = 2
+#: Forms of windows: of a template, a whole template, literals.
+TEMPLATE, WHOLE, LITERAL = 0, 1, 2
 LITERAL_SALT = 0x8EBC6AF09C88C6E3
 #: Bits of the table that documents' windows are first looked up in, whatever the benchmark's size: 1 MB.
 TABLE_BITS = 23
@@ -121,7 +123,9 @@ def _spans(offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 def _windows(k: int, table, sizes=None):
     """Windows as ``name`` with place and slots, by form; of texts, with ``table``, only those it may have.
 
-    Windows of templates need enough literals; those of literals are of ``k`` tokens.
+    Windows of templates need enough literals. Items without such a window, but with ``k`` tokens
+    and LEAST_WHOLE literals, are one window each; items of fewer than ``k`` literals are one as
+    literals. Texts have windows of the ``sizes`` that occur, as ``(form, size)``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if table is None else table.value
@@ -145,14 +149,22 @@ def _windows(k: int, table, sizes=None):
                 rows, at = _spans(offsets, k)
                 good = filled[at + k] - filled[at] <= k - LEAST_LITERALS
                 add(first, offsets, rows[good], at[good], _named(tokens, k, False), TEMPLATE, k, kinds, values)
-                wanted = [(LITERAL, k, None)]
+                if sizes is None:
+                    count, usable = np.diff(offsets), np.bincount(rows[good], minlength=len(offsets) - 1)
+                    whole = np.flatnonzero((count >= k) & (usable == 0) & (count - np.diff(filled[offsets]) >= LEAST_WHOLE))
+                    wanted = [(WHOLE, size, whole[count[whole] == size]) for size in np.unique(count[whole]).tolist()]
+                    count = np.diff(literal_offsets)
+                    wanted += [(LITERAL, size, np.flatnonzero(count == size)) for size in np.unique(count[(count > 0) & (count < k)]).tolist()]
+                    wanted.append((LITERAL, k, np.flatnonzero(count >= k)))
+                else:
+                    wanted = [(form, size, None) for form, size in sizes]
                 for form, size, chosen in wanted:
-                    source, limits = literals, literal_offsets
+                    source, limits = (tokens, offsets) if form == WHOLE else (literals, literal_offsets)
                     rows, at = _spans(limits, size)
                     if chosen is not None:
                         own = np.isin(rows, chosen)
                         rows, at = rows[own], at[own]
-                    add(first, limits, rows, at, _named(source, size, form == LITERAL), form, size)
+                    add(first, limits, rows, at, _named(source, size, form == LITERAL), form, size, *((kinds, values) if form == WHOLE else ()))
             if not names:
                 continue
             owner = pa.array(np.concatenate(owners))
@@ -178,7 +190,7 @@ def item_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, least_
 
     ``share`` is the part of the item's different windows that the text has, in the form that it
     has most of. ``kind`` is ``verbatim`` or ``re-parameterised``, the first where only literals
-    reach the share. Items without id or with fewer tokens than a window match nothing; items of one id are one item.
+    reach the share. Items without id or without any token match nothing; items of one id are one item.
     """
     spark = docs.sparkSession
     made = "place int, name long, slots array<long>, form int, length int"

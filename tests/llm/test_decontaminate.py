@@ -67,3 +67,15 @@ def test_capitals_and_one_changed_value(spark):
     rows = [(1, APPLES.upper()), (2, APPLES.lower()), (3, f"So. {changed} end"), (4, prose(rng, 200))]
     got = judged(spark, rows, [(1, APPLES), (2, item)])
     assert got == {1: (1, 1, "verbatim", True), 2: (1, 1, "verbatim", True), 3: (1, 2, "re-parameterised", True), 4: (0, None, None, False)}
+
+
+SHORT = ["Solve 3x + 5 = 20", "What is 45 + 12 - 3 * 7?", "Ann Bell, Carla Dorn, Emil Funk, Gerd Hahn", "Capital of Peru?", "8 15 16 23 42 108"]
+
+
+def test_items_without_usable_windows(spark):
+    rows = [(i, f"We ask here. {text} Then we go on.") for i, text in enumerate(SHORT)]
+    rows += [(10, "We ask. Solve 7x + 2 = 16 now"), (11, "So what is 1 + 2 - 9 * 4 then"), (12, "numbers 9 15 16 23 42 108 here"), (13, "the capital of Chile"), (14, "Ann Bell, Carla Dorn, Emil Funk"), (15, "what is 45")]
+    got = judged(spark, rows, list(enumerate(SHORT)))
+    assert {i: got[i] for i in range(len(SHORT))} == {i: (1, i, "verbatim", True) for i in range(len(SHORT))}
+    assert got[10] == (1, 0, "re-parameterised", True) and got[11] == (1, 1, "re-parameterised", True)
+    assert all(got[i] == (0, None, None, False) for i in (12, 13, 14, 15))
