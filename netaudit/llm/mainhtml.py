@@ -2,7 +2,8 @@
 
 A page is cut into tags and runs of words. Words score positive and tags negative, by weights
 from pages that mark their own article: how often words of a sort, and tags of a kind, lie
-inside it. Words of furniture, such as menus, and words beside a marked article score negative.
+inside it. Words of furniture, such as menus, and words beside a marked article score negative;
+furniture inside a marked article scores nothing, so that it does not cut the article.
 One linear scan finds the contiguous region with the highest sum; its blocks are returned
 without the furniture inside it.
 """
@@ -170,6 +171,8 @@ class Weights:
     tags: dict[str, float] = field(default_factory=dict)
 
     def of(self, page: Page, part) -> float:
+        if part.furniture and page.inside(part):
+            return 0.0
         if isinstance(part, Tag):
             return self.tags.get(part.name, TAG)
         sort = page.sort(part)

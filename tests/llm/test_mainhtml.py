@@ -60,3 +60,12 @@ def test_edge_pages(spark):
     got = sorted((r.page_id or -1, r.n_chars) for r in extracted(spark.createDataFrame(rows, "page_id long, url string, html string, kind int")).collect())
     assert got == [(-1, 15), (1, 0), (2, 5), (2, 5), (3, 499_999)]
     assert extracted(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize("furniture", ["<aside>{}</aside>", "<div class=ad>{}</div>", "<form><p>{}</p></form>", "<div id=related><ul><li><a href=x>{}</a></ul></div>", "<section class=comments><article><p>{}</p></article></section>"])
+@pytest.mark.parametrize("parts", [(60, 300), (300, 60), (60, 60)])
+@pytest.mark.parametrize("weights", [Weights(), Weights({"article": 2.0, "outside": -2.0, "furniture": -2.0}, {"aside": -2.0, "form": -2.0})])
+def test_long_furniture_does_not_cut_an_article(furniture, parts, weights):
+    first, last = ("one " * parts[0]).strip(), ("two " * parts[1]).strip()
+    page = f"<body><nav>{'menu ' * 50}</nav><article><p>{first}</p>{furniture.format('buy ' * 500)}<p>{last}</p></article><footer>{'foot ' * 50}</footer></body>"
+    assert main_text(page, weights) == f"{first}\n{last}"
