@@ -30,6 +30,8 @@ WORDS, TAG = {"article": 2.0, "outside": -2.0, "furniture": -1.0, "text": 1.0, "
 SILENT = frozenset("script style noscript template iframe object embed applet svg math canvas audio video map head title select option datalist".split())
 RAW = frozenset("script style noscript template iframe textarea title".split())
 FURNITURE = frozenset("nav header footer aside form dialog menu button fieldset label input textarea select".split())
+#: Elements that may stand in a head; others, and words, end one that is still open.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -104,6 +106,8 @@ def read_page(source: str) -> Page:
     block, at, n, marked, outermost = 0, 0, len(source), None, ("", False, False, False)
 
     def words(piece: str) -> None:
+        if stack and stack[-1][0] == "head" and piece.strip():
+            close(len(stack) - 1)
         if piece and not (stack and stack[-1][2]):
             _, furniture, _, link = stack[-1] if stack else outermost
             page.parts.append(Run(html.unescape(piece), link, furniture, block, len(page.parts)))
@@ -139,6 +143,8 @@ def read_page(source: str) -> Page:
                 if stack[i][0] in ARTICLES and name not in ("body", "html"):
                     break  # an article is not ended by what was never opened in it
             continue
+        if stack and stack[-1][0] == "head" and name not in IN_HEAD:
+            close(len(stack) - 1)
         if name in CLOSES or name in BLOCKS:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p" and name in BLOCKS or stack[i][0] in CLOSES and name in CLOSES[stack[i][0]]:

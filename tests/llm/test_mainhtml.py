@@ -69,3 +69,15 @@ def test_long_furniture_does_not_cut_an_article(furniture, parts, weights):
     first, last = ("one " * parts[0]).strip(), ("two " * parts[1]).strip()
     page = f"<body><nav>{'menu ' * 50}</nav><article><p>{first}</p>{furniture.format('buy ' * 500)}<p>{last}</p></article><footer>{'foot ' * 50}</footer></body>"
     assert main_text(page, weights) == f"{first}\n{last}"
+
+
+@pytest.mark.parametrize("head", [
+    "<html><head><title>t</title><body>", "<head><meta charset=utf-8><style>p {}</style><script>x()</script><body class=a>", "<html><head><title>t</title></head><body>",
+    "<head><title>t</title><link rel=x>", "<HEAD><TITLE>t</TITLE><noscript><p>no</p></noscript><div>",
+])
+def test_head_without_its_end(head):
+    assert main_text(f"{head}<article><p>Words of the story</p></article>", Weights()) == "Words of the story"
+
+
+def test_words_end_a_head():
+    assert main_text("<head><title>t</title> Words of the story", Weights()) == "Words of the story"
