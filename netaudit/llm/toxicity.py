@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from netaudit.llm.common import checkpointed, only_ids
 from netaudit.llm.logistic import fit_logistic, sigmoid
 
-#: Labelled rows used, those with the smallest hashes of their ids; terms and stems kept.
-SAMPLE_ROWS, MOST_TERMS, MOST_CANDIDATES = 20_000, 4_000, 20_000
+#: Labelled rows used, those with the smallest hashes of their ids; terms and stems kept, those with the highest log-odds; innocent words kept.
+SAMPLE_ROWS, MOST_TERMS, MOST_INNOCENT = 20_000, 4_000, 20_000
 #: Different words before a term that are needed in toxic texts, so that copies count once, and the least log-odds.
 LEAST_CONTEXTS, LEAST_ODDS = 5, 2.5
 STEM_LENGTHS, STEM_NOISE = (4, 5, 6, 7), 0.1
@@ -181,23 +181,19 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"word": [w for w, _ in pairs], "before": [p for _, p in pairs]}, schema=pa.schema([("word", pa.string()), ("before", pa.string())]))
 
 
-def _frequencies(words: set[str], stems: set[str]):
-    """Toxic and other texts of the task that have each candidate."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Toxic and other texts of each batch that have each word and stem."""
+    for batch in batches:
         counts: dict = {}
-        for batch in batches:
-            for value, toxic in zip(batch.column(0), batch.column(1), strict=True):
-                own = set(WORD.findall((value.as_py() or "").lower()))
-                found = {(w, False) for w in own & words} | {(w[:n], True) for w in own for n in STEM_LENGTHS if w[:n] in stems and len(w) >= n}
-                for key in found:
-                    counts.setdefault(key, [0, 0])[toxic.as_py() != 1] += 1
+        for value, toxic in zip(batch.column(0), batch.column(1), strict=True):
+            own = set(WORD.findall((value.as_py() or "").lower()))
+            for key in {(w, False) for w in own} | {(w[:n], True) for w in own for n in STEM_LENGTHS if len(w) >= n}:
+                counts.setdefault(key, [0, 0])[toxic.as_py() != 1] += 1
         yield pa.RecordBatch.from_pydict(
             {"term": [t for t, _ in counts], "stem": [x for _, x in counts], "toxic": [n for n, _ in counts.values()], "other": [n for _, n in counts.values()]},
             schema=pa.schema([("term", pa.string()), ("stem", pa.bool_()), ("toxic", pa.int64()), ("other", pa.int64())]),
         )
 
-    return run
-
 
 def _by_term(pairs: DataFrame) -> DataFrame:
     """``term, stem, contexts``: different words before each word, and before words of each stem."""
@@ -219,18 +215,16 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     known = checkpointed(known.orderBy(F.xxhash64("id"), "id").limit(sample_rows))
     rows = checkpointed(only_ids(docs, "doc_id", known.select("id")).dropDuplicates(["doc_id"]).join(known, F.col("doc_id") == F.col("id")).select("text", "toxic"))
     pairs = rows.filter("toxic = 1").select("text").mapInArrow(_contexts, "word string, before string")
-    first = _by_term(pairs).filter(F.col("contexts") >= LEAST_CONTEXTS).orderBy(F.desc("contexts"), "term", "stem").limit(MOST_CANDIDATES).collect()  # bounded
-    contexts = {(r.term, r.stem): r.contexts for r in first}
-    counted = rows.select("text", "toxic").mapInArrow(_frequencies({t for t, stem in contexts if not stem}, {t for t, stem in contexts if stem}), "term string, stem boolean, toxic long, other long")
-    found = counted.groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).collect()  # bounded by the candidates
+    contexts = _by_term(pairs).filter(F.col("contexts") >= LEAST_CONTEXTS)
     sizes = {r.toxic: r["count"] for r in rows.groupBy(F.col("toxic") == 1).count().toDF("toxic", "count").collect()}
-    odds, against = {}, {}
-    for r in found:
-        key = (r.term, r.stem)
-        against[key] = r.other / max(1, min(r.toxic, contexts[key]))
-        odds[key] = math.log((min(r.toxic, contexts[key]) + 0.5) / (sizes.get(True, 0) + 1)) - math.log((r.other + 0.5) / (sizes.get(False, 0) + 1))
+    counted = rows.select("text", "toxic").mapInArrow(_frequencies, "term string, stem boolean, toxic long, other long")
+    found = counted.groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).join(contexts, ["term", "stem"])
+    held = F.least("toxic", "contexts")
+    odds = F.log((held + 0.5) / (sizes.get(True, 0) + 1)) - F.log((F.col("other") + 0.5) / (sizes.get(False, 0) + 1))
     # A stem stands for many words, so it must hardly ever be innocent.
-    best = sorted((-o, key) for key, o in odds.items() if o >= LEAST_ODDS and (not key[1] or against[key] <= STEM_NOISE))[:MOST_TERMS]
+    passed = found.select("term", "stem", odds.alias("odds"), (F.col("other") / F.greatest(F.lit(1), held)).alias("against"))
+    passed = passed.filter((F.col("odds") >= LEAST_ODDS) & (~F.col("stem") | (F.col("against") <= STEM_NOISE)))
+    best = [(-r.odds, (r.term, r.stem)) for r in passed.orderBy(F.desc("odds"), "term", "stem").limit(MOST_TERMS).collect()]  # bounded
     lexicon = Lexicon({t: -o for o, (t, stem) in best if not stem}, {t: -o for o, (t, stem) in best if stem})
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +235,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     seen = checkpointed(rows.mapInArrow(features, "toxic int, x array<double>, misspelt array<string>"))
     often = seen.filter("toxic <> 1").select(F.explode(F.array_distinct("misspelt")).alias("word")).groupBy("word").count().filter("count >= 2")
-    lexicon.innocent = {r.word for r in often.orderBy(F.desc("count"), "word").limit(MOST_CANDIDATES).collect()}  # bounded
+    lexicon.innocent = {r.word for r in often.orderBy(F.desc("count"), "word").limit(MOST_INNOCENT).collect()}  # bounded
     if lexicon.innocent:
         seen = checkpointed(rows.mapInArrow(features, "toxic int, x array<double>, misspelt array<string>"))
     sample = seen.select("x", "toxic").collect()  # at most sample_rows

@@ -72,3 +72,16 @@ def test_edge_documents(spark):
     assert all(r.score is not None and r.predicted == (r.score >= 0.5) and r.held_out is not None for r in got)
     assert toxicity(documents(spark, []), labels.limit(0)).count() == 0
     assert {r.score for r in toxicity(documents(spark, rows), labels.limit(0)).collect()} == {0.5}
+
+
+def test_rare_toxic_terms_among_many_frequent_words(spark):
+    """Over 20,000 innocent words and stems have more contexts than the toxic term."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(6000)]
+    rows = []
+    for i in range(60):
+        rng.shuffle(words)
+        rows.append((i, " ".join([*words, "vilefiend"] if i % 2 and i < 24 else words)))
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    assert len({w[:n] for w in words for n in (5, 6, 7, 8)}) > 20_000
+    assert "vilefiend" in learn(documents(spark, rows), labels).terms
