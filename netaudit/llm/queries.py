@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from netaudit.llm import bpe, decontaminate, jaccard, mainhtml, passages, pii, quality, toolchat, toxicity, vectors
+from netaudit.llm import bpe, decontaminate, infill, jaccard, mainhtml, passages, pii, quality, toolchat, toxicity, vectors
 from netaudit.llm.common import shipped, table
 from netaudit.llm.sql import LLM_ORACLE
 
@@ -73,6 +73,10 @@ def op10_html_extraction(spark, sf_dir):
     return mainhtml.extracted(table(spark, sf_dir, "pages"))
 
 
-LLM_QUERIES = {f.__name__: shipped(f) for f in (op1_pii, op2_substring_dedup, op3_toxicity, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_quality_classifier, op7_chat_formatting, op8_embedding_near_dedup, op9_bpe_roundtrip, op10_html_extraction)}
+def op11_fill_in_middle(spark, sf_dir):
+    return infill.infill_digests(table(spark, sf_dir, "documents"))
+
+
+LLM_QUERIES = {f.__name__: shipped(f) for f in (op1_pii, op2_substring_dedup, op3_toxicity, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_quality_classifier, op7_chat_formatting, op8_embedding_near_dedup, op9_bpe_roundtrip, op10_html_extraction, op11_fill_in_middle)}
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 

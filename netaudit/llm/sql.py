@@ -72,6 +72,27 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(m, vec_id) AS compone
 FROM embeddings LEFT JOIN least ON a = vec_id LEFT JOIN counts ON x = vec_id
 """
 
+OP11 = """
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]', 0, 's') AS u, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+),
+draws AS (SELECT *, len(u)::BIGINT AS n, list_transform(range(4), lambda i: ('0x' || h[8 * i + 1:8 * i + 8])::BIGINT) AS r FROM units),
+cuts AS (
+  SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 90 THEN 'plain' WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM draws
+),
+parts AS (
+  SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS p, coalesce(array_to_string(u[a + 1:b], ''), '') AS m, coalesce(array_to_string(u[b + 1:], ''), '') AS s FROM cuts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
 LLM_ORACLE = {
     "op2_substring_dedup": OP2, "op5_ngram_jaccard_join": OP5, "op7_chat_formatting": OP7, "op8_embedding_near_dedup": OP8,
+    "op11_fill_in_middle": OP11,
 }
