@@ -76,6 +76,14 @@ def job_tables(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def job_folder(spark: SparkSession, name: str = "netaudit") -> str:
+    """A new path in the scratch folder; inside ``job_tables`` what is written there goes with its job."""
+    path = f"{scratch_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _jobs:
+        _jobs[-1].append(path)
+    return path
+
+
 def checkpointed(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as a table in the scratch folder and read it back.
 
@@ -84,9 +92,7 @@ def checkpointed(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     then read only their part. Inside ``job_tables`` the table goes with its job; otherwise it
     stays until the folder is emptied.
     """
-    path = f"{scratch_folder(df.sparkSession).rstrip('/')}/netaudit-{uuid.uuid4().hex}"
-    if _jobs:
-        _jobs[-1].append(path)
+    path = job_folder(df.sparkSession)
     # Rows of one folder are brought together, and large folders split again by size.
     (df.hint("rebalance", *by) if by else df).write.partitionBy(*by).option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
