@@ -6,9 +6,10 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from netaudit.llm import bpe, decontaminate, infill, jaccard, mainhtml, passages, pii, quality, toolchat, toxicity, vectors
+from netaudit.llm import bpe, decontaminate, infill, jaccard, mainhtml, passages, pii, quality, tokenstore, toolchat, toxicity, vectors
 from netaudit.llm.common import shipped, table
 from netaudit.llm.sql import LLM_ORACLE
+from netaudit.session import job_folder
 
 
 def op3_toxicity(spark, sf_dir):
@@ -77,6 +78,12 @@ def op11_fill_in_middle(spark, sf_dir):
     return infill.infill_digests(table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES = {f.__name__: shipped(f) for f in (op1_pii, op2_substring_dedup, op3_toxicity, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_quality_classifier, op7_chat_formatting, op8_embedding_near_dedup, op9_bpe_roundtrip, op10_html_extraction, op11_fill_in_middle)}
+def op12_token_store(spark, sf_dir):
+    path = job_folder(spark, "tokens")
+    tokenstore.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenstore.token_digests(spark, path)
+
+
+LLM_QUERIES = {f.__name__: shipped(f) for f in (op1_pii, op2_substring_dedup, op3_toxicity, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_quality_classifier, op7_chat_formatting, op8_embedding_near_dedup, op9_bpe_roundtrip, op10_html_extraction, op11_fill_in_middle, op12_token_store)}
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 
