@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from netaudit.llm import bpe, decontaminate, infill, jaccard, mainhtml, passages, pii, quality, tokenstore, toolchat, toxicity, vectors
+from netaudit.llm import bpe, decontaminate, infill, jaccard, lexical, mainhtml, passages, pii, quality, tokenstore, toolchat, toxicity, vectors
 from netaudit.llm.common import shipped, table
 from netaudit.llm.sql import LLM_ORACLE
 from netaudit.session import job_folder
@@ -84,6 +84,10 @@ def op12_token_store(spark, sf_dir):
     return tokenstore.token_digests(spark, path)
 
 
-LLM_QUERIES = {f.__name__: shipped(f) for f in (op1_pii, op2_substring_dedup, op3_toxicity, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_quality_classifier, op7_chat_formatting, op8_embedding_near_dedup, op9_bpe_roundtrip, op10_html_extraction, op11_fill_in_middle, op12_token_store)}
+def op13_ranked_search(spark, sf_dir):
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+LLM_QUERIES = {f.__name__: shipped(f) for f in (op1_pii, op2_substring_dedup, op3_toxicity, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_quality_classifier, op7_chat_formatting, op8_embedding_near_dedup, op9_bpe_roundtrip, op10_html_extraction, op11_fill_in_middle, op12_token_store, op13_ranked_search)}
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 

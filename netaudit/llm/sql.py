@@ -92,7 +92,28 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS
 FROM parts
 """
 
+OP13 = fr"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+),
+held AS (SELECT row, doc_id, w, len(w)::BIGINT AS n FROM docs WHERE len(w) > 0),
+sums AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM held),
+counts AS (SELECT row, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT row, doc_id, n, unnest(w) AS term FROM held) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM counts, sums GROUP BY term),
+asked AS (
+  SELECT item, item_id, term, count(*)::BIGINT AS times FROM (
+    SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+  ) GROUP BY ALL
+),
+scores AS (
+  SELECT item, item_id, row, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l))))::BIGINT AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term), sums GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
 LLM_ORACLE = {
     "op2_substring_dedup": OP2, "op5_ngram_jaccard_join": OP5, "op7_chat_formatting": OP7, "op8_embedding_near_dedup": OP8,
-    "op11_fill_in_middle": OP11,
+    "op11_fill_in_middle": OP11, "op13_ranked_search": OP13,
 }

@@ -17,7 +17,7 @@ def test_query_equals_sql(spark, name):
 
 def test_one_query_per_operator():
     assert sorted(LLM_QUERIES, key=lambda n: int(re.sub(r"\D", "", n.split("_")[0]) or 99))[-1] == "pipeline"
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES if n != "pipeline") == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES if n != "pipeline") == list(range(1, 14))
 
 
 def test_native_query_runs_no_python(spark):
