@@ -13,7 +13,9 @@ their names; no documents give no files and no rows.
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -37,49 +39,107 @@ RANGE_BYTES = 1 << 25
 #: Most shards of a range, which number the shards of the next from there.
 SHARDS_OF_RANGE = 1_000_000
 #: Pieces of text whose ids a task remembers, and the longest of them.
-REMEMBERED, LONGEST_REMEMBERED = 1 << 17, 64
-#: Pieces that go to the library together.
-TOGETHER = 4096
-
-# No token spans a character that is surely no white space and a space after it, so texts are cut there.
-# White space that the library and Python may see differently keeps a text from being cut at other places.
-_PIECE = re.compile("[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+REMEMBERED, LONGEST_REMEMBERED = 1 << 20, 64
+#: Pieces that go to the library as one text.
+TOGETHER = 256
+
+# No token spans a character that is surely no white space and a space after it, a letter and a mark
+# after it that is no apostrophe, or a single line end and a letter after it, so texts are cut there.
+# White space that the library and Python may see differently keeps a text from being cut elsewhere
+# than before a blank behind a visible ASCII character.
+_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u017f"
+_PIECE = re.compile(f"\n(?=[{_LETTERS}])|[ \n\r\t]*[{_LETTERS}]+(?=[ \n\r\t!-&(-/:-@\\[-`{{-~]|\\Z)|[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
+# One word of the library's own pattern.
+_WORD = re.compile(f" ?[{_LETTERS}]+")
+_MARKED = re.compile("[^A-Za-z\\s][^\\s]*")
+# The characters that stand for bytes in vocabularies of bytes: printable ones for themselves, the others from 256 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_NAMES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_BLANK = chr(_BYTE_NAMES[0x20])
 _DOUBTFUL = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 _SURE_CUT = re.compile("(?<=[!-~])(?= )")
 
 
 class Encoder:
-    """Ids of texts as the library gives them; pieces between blanks are encoded once."""
+    """Ids of texts as the library gives them; pieces between blanks are encoded once and remembered.
+
+    For vocabularies of bytes with the library's own pattern of words, and added tokens that are not words.
+    """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        steps = json.loads(self.library.to_str())
+        kind = steps["pre_tokenizer"] or {}
+        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        if steps["normalizer"] or kind.get("type") != "ByteLevel" or kind["add_prefix_space"] or not kind["use_regex"] or any(not _MARKED.fullmatch(t) for t in added):
+            raise ValueError(f"not a vocabulary of bytes: {path}")
+        self.model = self.library.model
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.end = np.array([END], dtype=self.dtype).tobytes()
+        # A character of a token stands for a byte; added tokens stand for themselves.
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():
+            self.bytes[i] = len(token)
+        for i, token in self.library.get_added_tokens_decoder().items():
+            self.bytes[i] = len(token.content.encode())
         self.known: dict[str, bytes] = {}
 
-    def _fresh(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
-        for at in range(0, len(pieces), TOGETHER):
-            some = pieces[at : at + TOGETHER]
-            for piece, found in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                yield piece, np.array(found.ids, dtype=self.dtype).tobytes()
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.dtype.char}", *ids)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces; those that no token can leave go to the library as one text."""
+        apart, rest = [], []
+        for piece in pieces:
+            if _WORD.fullmatch(piece):
+                # Only the blank and bytes from 128 have other names.
+                name = piece.replace(" ", _BLANK) if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_NAMES)
+                self.known[piece] = self._packed([t.id for t in self.model.tokenize(name)])
+            else:
+                rest.append(piece)
+        for at in range(0, len(rest), TOGETHER):
+            some = []
+            for piece in rest[at : at + TOGETHER]:
+                closed = piece[0] in " \n\r\t" and ("!" <= piece[-1] <= "~" or piece[-1].isalnum())
+                (some if closed else apart).append(piece)
+            ids = self._ids("".join(some))
+            ends = np.cumsum([len(p.encode()) for p in some])
+            reached = np.cumsum(self.bytes[ids])
+            cuts = np.searchsorted(reached, ends) + 1
+            if not np.array_equal(reached[cuts - 1], ends):
+                raise ValueError("the vocabulary has tokens that span words")
+            content, size = ids.tobytes(), self.dtype.itemsize
+            first = 0
+            for piece, last in zip(some, (cuts * size).tolist(), strict=True):
+                self.known[piece] = content[first:last]
+                first = last
+        for piece in apart:
+            self.known[piece] = self._ids(piece).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text and the end id, as unsigned little-endian numbers."""
         if not text:
             return self.end
-        pieces = (_SURE_CUT.split if _DOUBTFUL.search(text) else _PIECE.findall)(text)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         known = self.known
-        if missing := [p for p in dict.fromkeys(pieces) if p not in known]:
-            long = {}
-            for piece, ids in self._fresh(missing):
-                (known if len(piece) <= LONGEST_REMEMBERED else long)[piece] = ids
-            if long:
-                return b"".join([long[p] if p in long else known[p] for p in pieces]) + self.end
-        return b"".join(map(known.__getitem__, pieces)) + self.end
+        pieces = (_SURE_CUT.split if _DOUBTFUL.search(text) else _PIECE.findall)(text)
+        found = list(map(known.get, pieces))
+        if None in found:
+            if len(known) > REMEMBERED:
+                known.clear()
+            missing = {p for p in pieces if p not in known}
+            self._learn(list(missing))
+            found = list(map(known.__getitem__, pieces))
+            for piece in missing:
+                if len(piece) > LONGEST_REMEMBERED:
+                    del known[piece]
+        found.append(self.end)
+        return b"".join(found)
 
 
 @lru_cache(maxsize=1)
