@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from netaudit.functions.net import ipv4_number, network_bits, network_low
+from netaudit.operators.patternjoin import pattern_pairs, split_keys
 
 ADDRESS_BITS = 32
 # Blocks of addresses are at most this large, so that one block holds a bounded number of them.
@@ -90,17 +91,42 @@ def prefix_keys(texts: DataFrame, text: str, patterns: DataFrame, pattern: str,
     return plain.filter(~F.contains("key", F.lit("."))).unionByName(shaped)
 
 
+# Keys with one of these are read as patterns; a dot alone is met by shapes.
+SPECIAL = r"[\\\[\](){}*+?^$|]"
+
+
+def key_kinds(keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Keys with no pattern character but the dot, keys that are patterns, and others, which are plain text."""
+    special = F.col(key).rlike(SPECIAL)
+    patterns, broken = split_keys(keys.filter(special), key)
+    return keys.filter(~special), patterns, broken
+
+
+def invalid_patterns(keys: DataFrame, key: str) -> DataFrame:
+    """Keys with pattern characters that are no patterns; they match as plain text."""
+    return key_kinds(keys, key)[2]
+
+
 def first_prefix_match(
     probes: DataFrame, probe: str, register: DataFrame, text: str, order: str, payload: list[str], literal: bool = False
 ) -> DataFrame:
-    """For each distinct probe, the payload of the first register row whose text it begins.
+    """For each distinct probe, the payload of the first register row whose text it begins, as a pattern unless ``literal``.
 
     Gives ``(probe, match)`` with ``match`` a struct of the payload; probes without a match
     are left out, and null or empty texts match nothing.
     """
     keys = probes.select(F.col(probe).alias("key")).filter(F.length("key") > 0).distinct()
     searched = register.select(text, F.col(order).alias("order"), F.struct(*payload).alias("match"))
-    reached = prefix_keys(searched, text, keys, "key", literal)
+    if literal:
+        reached = prefix_keys(searched, text, keys, "key", literal=True).select("key", "order", "match")
+    else:
+        plain, patterns, broken = key_kinds(keys, "key")
+        anchored = patterns.select(F.concat(F.lit("^(?:"), F.col("key"), F.lit(")")).alias("key"))
+        pairs = pattern_pairs(searched, text, anchored, "key", salted_join)
+        found = searched.join(pairs, text).withColumn("key", F.expr("substring(pattern, 5, length(pattern) - 5)"))
+        reached = prefix_keys(searched, text, plain, "key", literal=False).select("key", "order", "match").unionByName(
+            prefix_keys(searched, text, broken, "key", literal=True).select("key", "order", "match")
+        ).unionByName(found.select("key", "order", "match"))
     firsts = reached.groupBy("key").agg(F.min_by("match", F.struct("order", "match")).alias("match"))
     return keys.join(firsts, "key").select(F.col("key").alias(probe), "match")
 
@@ -108,18 +134,33 @@ def first_prefix_match(
 def first_suffix_match(
     probes: DataFrame, probe: str, register: DataFrame, pattern: str, order: str, payload: list[str], literal: bool = False
 ) -> DataFrame:
-    """For each distinct probe, the payload of the first register row whose pattern ends it.
+    """For each distinct probe, the payload of the first register row whose pattern, with an end behind it, is in it.
 
-    Same result columns as :func:`first_prefix_match`. Works on reversed texts.
+    Same result columns as :func:`first_prefix_match`. Of alternatives at the top of a pattern
+    only the last one has the end behind it. Plain texts work on reversed texts.
     """
     entries = (
         register.filter(F.col(pattern).isNotNull())
-        .groupBy(F.reverse(pattern).alias("key"))
+        .groupBy(F.col(pattern).alias("entry"))
         .agg(F.min_by(F.struct(*payload), F.struct(order, *payload)).alias("match"), F.min(order).alias("order"))
     )
-    texts = probes.filter(F.col(probe).isNotNull()).select(probe).distinct().withColumn("reversed", F.reverse(probe))
-    reached = prefix_keys(texts, "reversed", entries, "key", literal)
-    return salted_join(reached, entries, "key", [probe]).groupBy(probe).agg(F.min_by("match", F.struct("order", "match")).alias("match"))
+    texts = probes.filter(F.col(probe).isNotNull()).select(probe).distinct()
+    reversed_texts = texts.withColumn("reversed", F.reverse(probe))
+
+    def ends(of: DataFrame, plain: bool) -> DataFrame:
+        keyed = of.withColumn("key", F.reverse("entry")).drop("entry")
+        reached = prefix_keys(reversed_texts, "reversed", keyed, "key", plain)
+        return salted_join(reached, keyed, "key", [probe]).select(probe, "order", "match")
+
+    if literal:
+        reached = ends(entries, plain=True)
+    else:
+        plain, patterns, broken = key_kinds(entries, "entry")
+        ended = patterns.withColumn("pattern", F.concat("entry", F.lit("$")))
+        pairs = pattern_pairs(texts, probe, ended, "pattern", salted_join)
+        found = salted_join(pairs, ended, "pattern", [probe]).select(probe, "order", "match")
+        reached = ends(plain, plain=False).unionByName(ends(broken, plain=True)).unionByName(found)
+    return reached.groupBy(probe).agg(F.min_by("match", F.struct("order", "match")).alias("match"))
 
 
 def with_blocks(ips: DataFrame, ip: str, blocks: DataFrame) -> DataFrame:

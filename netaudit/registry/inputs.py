@@ -446,3 +446,51 @@ def switch_lines(spark, sf) -> DataFrame:
 def user_register(spark, sf) -> DataFrame:
     deleted = F.when(F.col("o_orderstatus") != "O", F.to_date("o_orderdate"))
     return table(spark, sf, "orders").select("o_orderkey", "o_custkey", deleted.alias("削除日"))
+
+
+def pattern_domains(spark, sf) -> DataFrame:
+    """A domain per customer: its key, its nation and one of three ends."""
+    key = F.col("c_custkey")
+    end = F.element_at(F.array(F.lit("com"), F.lit("net"), F.lit("org")), (key % 3 + 1).cast("int"))
+    return table(spark, sf, "customer").select(text("c", key, ".n", F.col("c_nationkey"), ".example.", end).alias("domain"))
+
+
+def domain_patterns(spark, sf) -> DataFrame:
+    """A pattern per supplier, in eight ways to write one; every eighth is none, as its bracket stays open."""
+    key, nation = F.col("s_suppkey"), F.col("s_nationkey")
+    ways = [
+        text("^c[0-9]*", key % 10, "\\.n", nation, "\\.example\\.(com|net)"),
+        text("(n", nation, "|n", key % 25, ")\\.example\\.com"),
+        text("c", key, "[0-9]?\\.n[0-9]+\\.example\\.org"),
+        text("^c(?:", key, "|", key + 1, "){1,2}\\..*"),
+        text("\\bc", key, "\\.n", nation, "|c", key + 2, "\\.n.*net"),
+        text("c", key, "+\\.n\\d+\\.example\\.com"),
+        text("c", key, "(.n"),
+        text("c", key, ".n", nation, ".example.org"),
+    ]
+    return table(spark, sf, "supplier").select(
+        F.element_at(F.array(*ways), (key % 8 + 1).cast("int")).alias("pattern"), F.col("s_name").alias("owner"), at(key)
+    )
+
+
+def pattern_assets(spark, sf) -> DataFrame:
+    """An asset name per customer."""
+    key = F.col("c_custkey")
+    name = text("pc-", key, "-n", F.col("c_nationkey"), F.when(key % 2 == 1, "-nb").otherwise(""))
+    return table(spark, sf, "customer").select(name.alias("key"), F.col("c_name").alias("user"), at(key))
+
+
+def host_patterns(spark, sf) -> DataFrame:
+    """A host name per supplier that is a pattern, in eight ways to write one; one of them is none."""
+    key, nation = F.col("s_suppkey"), F.col("s_nationkey")
+    ways = [
+        text("pc-[0-9]+-n", nation, "-nb"),
+        text("pc-(", key, "|", key * 2, ")-"),
+        text("pc-", key, "?[0-9]-"),
+        text(".*", key % 10, "-n", nation, "$"),
+        text("pc-", key + 3, "-|pc-", key, "-n"),
+        text("(?i)PC-", key, "\\d{1,2}-"),
+        text("pc-", key, "[-"),
+        text("pc.", key, "-"),
+    ]
+    return table(spark, sf, "supplier").select(F.element_at(F.array(*ways), (key % 8 + 1).cast("int")).alias("host"))

@@ -69,6 +69,18 @@ PARTS = {
     "denied": f"""SELECT s_suppkey AS pos, CASE WHEN s_suppkey % 2 = 0 THEN {ip10('s_suppkey * 5 + 1')}
         WHEN s_suppkey % 8 <> 7 THEN 'bad' || s_suppkey || '.example.net' END AS ip, 'Black' || s_suppkey AS hostName
         FROM supplier""",
+    "pattern_domains": """SELECT 'c' || c_custkey || '.n' || c_nationkey || '.example.' || ['com', 'net', 'org'][c_custkey % 3 + 1] AS domain FROM customer""",
+    "domain_patterns": r"""SELECT s_name AS owner, s_suppkey AS pos, s_suppkey % 8 = 6 AS broken, CASE s_suppkey % 8
+        WHEN 0 THEN '^c[0-9]*' || s_suppkey % 10 || '\.n' || s_nationkey || '\.example\.(com|net)'
+        WHEN 1 THEN '(n' || s_nationkey || '|n' || s_suppkey % 25 || ')\.example\.com' WHEN 2 THEN 'c' || s_suppkey || '[0-9]?\.n[0-9]+\.example\.org'
+        WHEN 3 THEN '^c(?:' || s_suppkey || '|' || s_suppkey + 1 || '){1,2}\..*' WHEN 4 THEN '\bc' || s_suppkey || '\.n' || s_nationkey || '|c' || s_suppkey + 2 || '\.n.*net'
+        WHEN 5 THEN 'c' || s_suppkey || '+\.n\d+\.example\.com' WHEN 6 THEN 'c' || s_suppkey || '(.n'
+        ELSE 'c' || s_suppkey || '.n' || s_nationkey || '.example.org' END AS pattern FROM supplier""",
+    "pattern_assets": "SELECT c_custkey AS pos, c_name AS \"user\", 'pc-' || c_custkey || '-n' || c_nationkey || CASE WHEN c_custkey % 2 = 1 THEN '-nb' ELSE '' END AS key FROM customer",
+    "host_patterns": r"""SELECT DISTINCT s_suppkey % 8 = 6 AS broken, CASE s_suppkey % 8 WHEN 0 THEN 'pc-[0-9]+-n' || s_nationkey || '-nb'
+        WHEN 1 THEN 'pc-(' || s_suppkey || '|' || s_suppkey * 2 || ')-' WHEN 2 THEN 'pc-' || s_suppkey || '?[0-9]-'
+        WHEN 3 THEN '.*' || s_suppkey % 10 || '-n' || s_nationkey || '$' WHEN 4 THEN 'pc-' || s_suppkey + 3 || '-|pc-' || s_suppkey || '-n'
+        WHEN 5 THEN '(?i)PC-' || s_suppkey || '\d{1,2}-' WHEN 6 THEN 'pc-' || s_suppkey || '[-' ELSE 'pc.' || s_suppkey || '-' END AS host FROM supplier""",
     "page_domains": f"SELECT page_id, {extract('url', DOMAIN)} AS domain FROM pages",
     "allowed": """SELECT page_id * 2 AS pos, replace(regexp_replace(domain, '^[a-z]+[.]', ''), '-', '.') AS ip,
         'allow-' || page_id AS hostName FROM page_domains UNION ALL
@@ -289,6 +301,11 @@ SQL = {
     "domain_suffix_literal": suffix_sql("ends_with(d.ip, a.ip)"),
     "host_prefix_first_match": 'SELECT key AS host, m.u AS "user", m.d AS description FROM prefix_matches',
     "host_prefix_literal": 'SELECT key AS host, m.u AS "user", m.d AS description FROM prefix_matches_literal',
+    "domain_pattern_first_match": """SELECT domain, arg_min(owner, pos) AS owner FROM (SELECT DISTINCT domain FROM pattern_domains) d JOIN domain_patterns p
+        ON CASE WHEN broken THEN ends_with(domain, pattern) ELSE regexp_matches(domain, CASE WHEN broken THEN '' ELSE pattern || '$' END) END GROUP BY domain""",
+    "host_pattern_first_match": """SELECT host, arg_min("user", pos) AS "user" FROM host_patterns JOIN pattern_assets
+        ON CASE WHEN broken THEN starts_with(key, host) ELSE regexp_matches(key, CASE WHEN broken THEN '' ELSE '^(?:' || host || ')' END) END GROUP BY host""",
+    "invalid_patterns": "SELECT pattern FROM domain_patterns WHERE broken UNION ALL SELECT 'pc-' || s_suppkey || '[-' FROM supplier WHERE s_suppkey % 8 = 6",
     "host_owner": f"""SELECT ip, l.hostName, CASE WHEN l.hostName = '{C.BLANK_HOST}' THEN '{C.BLANK_HOST}'
         WHEN l.hostName IS NOT NULL THEN o."user" END AS "user", o.description, macAddress
         FROM leases l JOIN owners o ON l.hostName IS NOT DISTINCT FROM o.hostName""",

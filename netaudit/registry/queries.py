@@ -140,6 +140,21 @@ def host_prefix_literal(spark, sf):
     return prefix_match(spark, sf, literal=True)
 
 
+def domain_pattern_first_match(spark, sf):
+    register = inputs.domain_patterns(spark, sf)
+    return matchjoin.first_suffix_match(inputs.pattern_domains(spark, sf), "domain", register, "pattern", "seq", ["owner"]).select("domain", "match.owner")
+
+
+def host_pattern_first_match(spark, sf):
+    assets = inputs.pattern_assets(spark, sf)
+    return matchjoin.first_prefix_match(inputs.host_patterns(spark, sf), "host", assets, "key", "seq", ["user"]).select("host", "match.user")
+
+
+def invalid_patterns(spark, sf):
+    keys = inputs.domain_patterns(spark, sf).select("pattern").unionByName(inputs.host_patterns(spark, sf).select(F.col("host").alias("pattern")))
+    return matchjoin.invalid_patterns(keys, "pattern")
+
+
 def host_owner(spark, sf):
     leases = devices.with_device_columns(inputs.leases(spark, sf))
     return devices.with_owners(leases, registers.assets_in_use(inputs.assets_register(spark, sf)))
@@ -385,6 +400,7 @@ QUERIES = {
         extract_ips, extract_domains, report_keys, report_keys_anywhere, ip_number_roundtrip, network_bounds,
         malformed_networks, range_expand, range_lookup, cidr_first_match, dhcp_released, network_override,
         domain_suffix_first_match, domain_suffix_literal, host_prefix_first_match, host_prefix_literal, host_owner,
+        domain_pattern_first_match, host_pattern_first_match, invalid_patterns,
         device_priority_dedupe, device_register, config_deny_list, config_blocked_macs, config_dhcp_ranges,
         config_blocked_macs_per_entry, config_dhcp_all_ranges, deny_networks, network_span, plain_device_enrichment,
         lease_layout, vpn_sessions, vpn_sessions_chronological, vpn_local_ips, xml_tables, xml_user_sections,
