@@ -15,8 +15,8 @@ from __future__ import annotations
 
 import json
 import re
-import struct
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -77,6 +77,7 @@ class Encoder:
             raise ValueError(f"not a vocabulary of bytes: {path}")
         self.model = self.library.model
         vocabulary = self.library.get_vocab(with_added_tokens=True)
+        # The machine's order of bytes is little-endian, as Spark's workers are.
         self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.end = np.array([END], dtype=self.dtype).tobytes()
         # A character of a token stands for a byte; added tokens stand for themselves.
@@ -87,20 +88,17 @@ class Encoder:
             self.bytes[i] = len(token.content.encode())
         self.known: dict[str, bytes] = {}
 
-    def _packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.dtype.char}", *ids)
-
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces; those that no token can leave go to the library as one text."""
-        apart, rest = [], []
+        apart, rest, kind, tokenize = [], [], self.dtype.char, self.model.tokenize
         for piece in pieces:
             if _WORD.fullmatch(piece):
                 # Only the blank and bytes from 128 have other names.
                 name = piece.replace(" ", _BLANK) if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_NAMES)
-                self.known[piece] = self._packed([t.id for t in self.model.tokenize(name)])
+                self.known[piece] = array(kind, [t.id for t in tokenize(name)]).tobytes()
             else:
                 rest.append(piece)
         for at in range(0, len(rest), TOGETHER):
@@ -132,9 +130,11 @@ class Encoder:
         if None in found:
             if len(known) > REMEMBERED:
                 known.clear()
-            missing = {p for p in pieces if p not in known}
+            places = [i for i, ids in enumerate(found) if ids is None]
+            missing = {pieces[i] for i in places}
             self._learn(list(missing))
-            found = list(map(known.__getitem__, pieces))
+            for i in places:
+                found[i] = known[pieces[i]]
             for piece in missing:
                 if len(piece) > LONGEST_REMEMBERED:
                     del known[piece]
