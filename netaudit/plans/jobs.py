@@ -28,13 +28,12 @@ from netaudit.plans.trend import chart_series, trend_of_csv, trend_of_xml, with_
 from netaudit.plans.vpn import marked_lines, vpn_local_ips, vpn_sessions
 from netaudit.session import checkpointed, job_tables
 from netaudit.sinks.tables import (
-    export_unless_empty,
     write_mac_matches,
-    write_register,
     write_reports,
     write_review_records,
     write_trend,
 )
+from netaudit.sinks.versions import versions, write_registers
 from netaudit.sources.lines import base_name, read_lines, read_vpn_lines
 from netaudit.sources.registers import (
     ALLOW_SCHEMA,
@@ -72,20 +71,20 @@ def owns_tables(job):
 
 
 def config_registers(lines: DataFrame, out: str) -> None:
-    """Deny list, its export form, blocked MACs and DHCP ranges of a configuration.
+    """Deny list, its export form, blocked MACs and DHCP ranges of a configuration, published together.
 
     A configuration without DHCP section is an error; the snapshots then stay as they are.
     Blocked MACs are exported only if there are any.
     """
-    with job_tables(lines.sparkSession):
+    spark = lines.sparkSession
+    with job_tables(spark):
         if lines.filter(F.contains("line", F.lit(DHCP_START))).isEmpty():
             raise ValueError(f"the configuration has no section '{DHCP_START}'")
         lines = relevant_lines(lines)
         denied = deny_list(lines).drop("file")
-        write_register(denied, _folder(out, "deny_list"))
-        write_register(denied_export(denied), _folder(out, "deny_list_export"))
-        export_unless_empty(blocked_macs(lines).drop("file"), _folder(out, "blocked_macs"))
-        write_register(dhcp_ranges(lines).drop("file"), _folder(out, "dhcp_ranges"))
+        registers = {"deny_list": denied, "deny_list_export": denied_export(denied), "dhcp_ranges": dhcp_ranges(lines).drop("file")}
+        blocked = checkpointed(blocked_macs(lines).drop("file"))
+        write_registers(spark, out, registers if blocked.isEmpty() else registers | {"blocked_macs": blocked})
 
 
 def denied_export(denied: DataFrame) -> DataFrame:
@@ -98,14 +97,13 @@ def vpn_registers(spark: SparkSession, logs: str, yyyymm: str, out: str) -> None
     periods = [yyyymm, shift_period(yyyymm, -1), shift_period(yyyymm, 1)]
     lines = marked_lines(read_vpn_lines(spark, logs, periods))
     month = int(yyyymm[4:])
-    write_register(vpn_sessions(lines, month), _folder(out, "vpn"))
-    write_register(vpn_local_ips(lines, month), _folder(out, "vpn_local"))
+    write_registers(spark, out, {"vpn": vpn_sessions(lines, month), "vpn_local": vpn_local_ips(lines, month)})
 
 
-def refresh_registers(registers: dict[str, DataFrame], users: str, today: date, out: str) -> None:
-    """Write all registers; of the user register only the rows still valid."""
-    for name, register in registers.items():
-        write_register(valid_on(register, today) if name == users else register, _folder(out, name))
+def refresh_registers(registers: dict[str, DataFrame], users: str, today: date, out: str) -> int:
+    """Write all registers and publish them as one version, whose number is given; of the user register only the rows still valid."""
+    spark = registers[users].sparkSession
+    return write_registers(spark, out, {n: valid_on(r, today) if n == users else r for n, r in registers.items()})
 
 
 def audit_reports(
@@ -122,7 +120,7 @@ def audit_reports(
 @owns_tables
 def monthly_audit(
     spark: SparkSession, reports: str, ext: str, yyyymm: str, own_label: str, out: str,
-    schema: StructType | None = None, user_schema: StructType | None = None,
+    schema: StructType | None = None, user_schema: StructType | None = None, version: int | None = None,
 ) -> None:
     """Annotate the reports of a folder and write them under ``out``.
 
@@ -130,11 +128,14 @@ def monthly_audit(
     column or a size are an error. With the schemas of the reports their files are read once, else once more to infer them.
 
     ``ext`` holds the snapshots of :func:`config_registers`, :func:`vpn_registers` and
-    :func:`refresh_registers`, the lease files (``dhcp``) and the parameter register
-    (``parameters``).
+    :func:`refresh_registers`, all of the one last version or of ``version``, the lease files
+    (``dhcp``) and the parameter register (``parameters``).
     """
+    if version is None:
+        version = next(reversed(versions(spark, ext)), None)
+
     def register(name: str, schema: str) -> DataFrame:
-        return read_register(spark, _folder(ext, name), schema)
+        return read_register(spark, _folder(ext, name), schema, version=version)
 
     check_complete(list_reports(spark, reports))
     devices = device_register(
@@ -147,7 +148,7 @@ def monthly_audit(
         register("vpn_local", VPN_LOCAL_SCHEMA).drop("seq"),
     )
     networks = network_register(
-        register("whois", WHOIS_SCHEMA), read_parameters(spark, _folder(ext, "parameters")), own_label
+        register("whois", WHOIS_SCHEMA), read_parameters(spark, _folder(ext, "parameters"), version), own_label
     )
     ranges = register("dhcp_ranges", RANGE_SCHEMA).drop("seq")
     rows = read_reports(spark, reports, schema, user_schema).select("report", "table", "place", "cells")

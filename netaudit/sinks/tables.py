@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from netaudit.sinks.versions import write_registers
 
-def write_register(register: DataFrame, path: str, fmt: str = "json") -> None:
-    """Register snapshot, replacing the one before. Null fields are left out in JSON."""
-    register.write.mode("overwrite").format(fmt).save(path)
+
+def write_register(register: DataFrame, path: str, fmt: str = "json") -> int:
+    """Register snapshot as a new version of ``path``, the last folder being its name. Null fields are left out in JSON."""
+    root, _, name = path.rstrip("/").rpartition("/")
+    return write_registers(register.sparkSession, root, {name: register}, fmt)
 
 
 def export_unless_empty(register: DataFrame, path: str, fmt: str = "json") -> bool:
-    """Replace the target only if there is anything to write."""
+    """Publish a new version only if there is anything to write."""
     if register.isEmpty():
         return False
     write_register(register, path, fmt)

@@ -14,6 +14,7 @@ from netaudit.constants import BLANK_HOST, DHCP_MARKERS
 from netaudit.functions.net import has_mac, is_ip
 from netaudit.functions.text import token, trim_blanks
 from netaudit.operators.matchjoin import salted_join
+from netaudit.sinks.versions import register_folder
 from netaudit.sources.lines import decoded_name, number_lines, read_lines
 
 # Column names of the registers.
@@ -37,13 +38,15 @@ def sequence(rank: int, file: Column, chunk: Column, pos: Column) -> Column:
     )
 
 
-def read_register(spark: SparkSession, path: str, schema: str, rank: int = 0, fmt: str = "json", **options) -> DataFrame:
-    """Register snapshot with its row order in ``seq``.
+def read_register(
+    spark: SparkSession, path: str, schema: str, rank: int = 0, fmt: str = "json", version: int | None = None, **options
+) -> DataFrame:
+    """Register snapshot with its row order in ``seq``, of the last version or of ``version``.
 
-    JSON snapshots leave null fields out, so the schema is always given. Files that hold one
+    A folder without versions is read as it is. JSON snapshots leave null fields out, so the schema is always given. Files that hold one
     JSON array need ``multiLine=True``; snapshots written here are one object per line.
     """
-    rows = spark.read.schema(schema).options(**options).format(fmt).load(path)
+    rows = spark.read.schema(schema).options(**options).format(fmt).load(register_folder(spark, path, version))
     return rows.select(
         "*",
         sequence(
@@ -57,13 +60,13 @@ def read_register(spark: SparkSession, path: str, schema: str, rank: int = 0, fm
 
 def read_scalars(spark: SparkSession, path: str, name: str = "ip") -> DataFrame:
     """Register snapshot that is one JSON array of texts per file."""
-    arrays = spark.read.text(path, wholetext=True).select(F.from_json("value", "array<string>").alias("items"))
+    arrays = spark.read.text(register_folder(spark, path), wholetext=True).select(F.from_json("value", "array<string>").alias("items"))
     return arrays.select(F.explode("items").alias(name)).filter(F.col(name).isNotNull())
 
 
-def read_parameters(spark: SparkSession, path: str) -> DataFrame:
+def read_parameters(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """Key-value register ``ID, Item``; an ID may have many items."""
-    return read_register(spark, path, "ID string, Item string", fmt="csv", header=True)
+    return read_register(spark, path, "ID string, Item string", fmt="csv", version=version, header=True)
 
 
 def parameter_items(parameters: DataFrame, key: str) -> DataFrame:
