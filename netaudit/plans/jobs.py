@@ -192,12 +192,12 @@ def missing_reviews(
     """Write a review record for every period of the fiscal year that has none."""
     due = of_fiscal_year(read_calendar(spark, calendar), today)
     missing = missing_periods(due, produced_periods(spark, records, header))
-    write_review_records(review_records(missing, creator, approver, participants), out)
+    write_review_records(review_records(missing, creator, approver, participants), header, out)
 
 
 @owns_tables
 def write_mac_search(spark: SparkSession, mac_list: str, tables: str, out: str) -> None:
-    """Write the lines of the switch tables that hold a listed MAC, one folder per MAC."""
+    """Write the lines of the switch tables that hold a listed MAC, with an index of the MACs."""
     write_mac_matches(mac_matches(spark, mac_list, tables), out)
 
 

@@ -35,7 +35,7 @@ def of_fiscal_year(calendar: DataFrame, today: date) -> DataFrame:
 
 
 def produced_periods(spark: SparkSession, path: str, header: str, extension: str = ".md") -> DataFrame:
-    """Periods that have a record: files ``<header> yyyymm<extension>``, or folders ``yyyymm=…`` of this library.
+    """Periods that have a record: files ``<header> yyyymm<extension>``.
 
     Files are listed without reading them. A folder that does not exist yet has no records.
     """
@@ -44,9 +44,7 @@ def produced_periods(spark: SparkSession, path: str, header: str, extension: str
         return spark.createDataFrame([], "yyyymm string")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(decoded_name(F.col("path")).alias("name"))
     named = F.regexp_extract(base_name(F.col("name")), rf"\Q{header}\E (\d{{6}})\Q{extension}\E", 1)
-    written = F.regexp_extract("name", r"/yyyymm=(\d{6})/part-[^/]*$", 1)
-    period = F.when(named != "", named).otherwise(written)
-    return files.select(period.alias("yyyymm")).filter(F.col("yyyymm") != "").distinct()
+    return files.select(named.alias("yyyymm")).filter(F.col("yyyymm") != "").distinct()
 
 
 def with_event(calendar: DataFrame) -> DataFrame:

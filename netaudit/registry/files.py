@@ -14,12 +14,13 @@ from netaudit.plans import jobs, review
 from netaudit.registry import inputs
 from netaudit.registry.inputs import ip10, mac_of, table, text
 from netaudit.session import scratch_folder
-from netaudit.sinks import tables as sinks
+from netaudit.sinks import namedfiles, tables as sinks
 from netaudit.sources import lines, registers, xmlreports
 
 # Fixed values of the registered runs.
 STAMP = "1999-08-01"
 REVIEW_DAY = date(1998, 6, 15)
+APPROVER, CREATOR, PARTICIPANTS = "Yamada Taro", "Suzuki", "Sato、Tanaka"
 HEADER = "UTMレポートレビュー記録"
 
 
@@ -152,24 +153,25 @@ def review_loop(spark, sf):
     body = _lines(calendar, F.lit("calendar.csv"), pos, line)
     titles = [_lines(spark.range(1), F.lit("calendar.csv"), F.lit(i - 3), F.lit("title")) for i in range(3)]
     write_files(body.unionByName(titles[0]).unionByName(titles[1]).unionByName(titles[2]), f"{folder}/calendar")
-    args = (f"{folder}/calendar", f"{folder}/records", HEADER, REVIEW_DAY, "Suzuki", "Yamada Taro", "Sato", f"{folder}/records")
+    args = (f"{folder}/calendar", f"{folder}/records", HEADER, REVIEW_DAY, CREATOR, APPROVER, PARTICIPANTS, f"{folder}/records")
     jobs.missing_reviews(spark, *args)
     due = review.of_fiscal_year(review.read_calendar(spark, args[0]), REVIEW_DAY)
     left = review.missing_periods(due, review.produced_periods(spark, args[1], HEADER)).count()
     jobs.missing_reviews(spark, *args)
-    records = spark.read.text(args[1], wholetext=True)
-    return records.groupBy(F.col("yyyymm").cast("string").alias("yyyymm")).agg(F.count("*").alias("records"), F.lit(left).cast("long").alias("missing"))
+    records = spark.read.text(args[1], wholetext=True).select(lines.base_name(lines.decoded_name(F.col("_metadata.file_path"))).alias("file"), F.col("value").alias("text"))
+    return records.select("file", "text", F.lit(left).cast("long").alias("missing"))
 
 
 def mac_files(spark, sf):
-    """K6: switch tables searched for the customers' MACs, one folder of lines per MAC."""
+    """K6, C14: switch tables searched for the customers' MACs; lines read back by MAC through the index."""
     folder = new_folder(spark)
     switch = inputs.switch_lines(spark, sf)
     write_files(switch.withColumn("file", text(F.col("file"), ".txt")), f"{folder}/switch")
     macs = table(spark, sf, "customer").select(mac_of(F.col("c_custkey")))
     macs.write.text(f"{folder}/macs")
     jobs.write_mac_search(spark, f"{folder}/macs", f"{folder}/switch", f"{folder}/found")
-    return spark.read.text(f"{folder}/found").select("mac", "value")
+    found = macs.select(net.mac_search_key(F.col(macs.columns[0])))
+    return namedfiles.read_keyed_lines(spark, f"{folder}/found", found).select(F.col("key").alias("mac"), F.col("line").alias("value"))
 
 
 def trend_files(spark, sf):

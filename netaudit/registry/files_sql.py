@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from netaudit import constants as C
-from netaudit.registry.files import STAMP
-from netaudit.registry.oracle import HOST, NULLS, SQL, TREND, TREND_MONTHS, ip10, mac, with_parts
+from netaudit.registry.files import HEADER, STAMP
+from netaudit.registry.oracle import HOST, NULLS, REVIEW_LINES, SQL, TREND, TREND_MONTHS, ip10, mac, with_parts
 
 NAMES = [*C.REPORT_NAMES, "Other Thing"]
 REPORT_OF = "CASE c_custkey % 8 " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(NAMES)) + " END"
@@ -12,6 +12,11 @@ OF_USERS = C.REPORT_NAMES.index(C.USER_REPORT)
 TABLE_OF = f"CASE WHEN c_custkey % 8 = {OF_USERS} THEN 'top10Destinations' ELSE '{C.TERMINAL_TABLE}' END"
 VPN_FILE = "CASE user_id % 5 WHEN 0 THEN 'vpn199806.log' WHEN 1 THEN 'vpn199807.log' WHEN 2 THEN 'vpn199809.log' WHEN 3 THEN 'access.log' ELSE 'access.log.1' END"
 
+# The months of the fiscal year, all without record, under the names of their files.
+REVIEW_LOOP = f"""SELECT '{HEADER} ' || yyyymm || '.md' AS file, concat_ws(chr(10), {', '.join(REVIEW_LINES)}) AS text, 0::BIGINT AS missing FROM (
+    SELECT yyyymm, y::VARCHAR AS year, nullif(split_part(eventDate, '/', 1), '') AS eventMonth, nullif(split_part(eventDate, '/', 2), '') AS eventDay
+    FROM calendar WHERE yyyymm BETWEEN '199804' AND '199903')"""
+
 FILE_SQL = {
     "read_report_files": f"""SELECT report, table_name, column_name, value, count(*) AS cells FROM (
         SELECT {REPORT_OF} AS report, {TABLE_OF} AS table_name, unnest(['User_or_IP_', 'Note', 'rank']) AS column_name,
@@ -29,7 +34,7 @@ FILE_SQL = {
     "parameter_files": """SELECT 'parameter' AS kind, '10.' || n_nationkey || '.0.0/16' AS value FROM nation WHERE n_nationkey % 3 = 1
         UNION ALL SELECT 'setting', 'item' || n_nationkey || '=' || n_name FROM nation
         UNION ALL SELECT 'user', 'u' || n_nationkey FROM nation WHERE n_nationkey >= 2""",
-    "review_loop": """SELECT yyyymm, 1::BIGINT AS records, 0::BIGINT AS missing FROM months WHERE yyyymm BETWEEN '199804' AND '199903'""",
+    "review_loop": REVIEW_LOOP,
     "mac_files": "SELECT mac, file || '.txt:' || line AS value FROM (" + SQL["mac_search"] + ")",
     "trend_files": f"""SELECT application, size, bandwidth, yyyymm FROM ({TREND} WHERE yyyymm IN ({TREND_MONTHS}))""",
 }

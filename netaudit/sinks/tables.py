@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from netaudit.sinks.namedfiles import write_documents, write_keyed_lines
 from netaudit.sinks.versions import write_registers
 
 
@@ -43,18 +44,13 @@ def write_trend(ranked: DataFrame, series: DataFrame, yyyymm: str, path: str) ->
     series.write.mode("overwrite").parquet(f"{path}/{yyyymm}/series")
 
 
-def write_review_records(records: DataFrame, path: str) -> None:
-    """One text document per period, in a folder of its own; existing periods stay."""
-    (
-        records.select("yyyymm", "text")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("yyyymm")
-        .text(path)
-    )
+def write_review_records(records: DataFrame, header: str, path: str) -> None:
+    """One text document per period, named ``<header> <yyyymm>.md``; existing ones stay."""
+    name = F.concat(F.lit(f"{header} "), "yyyymm", F.lit(".md"))
+    write_documents(records.select(name.alias("name"), "text"), path)
 
 
 def write_mac_matches(matches: DataFrame, path: str) -> None:
-    """Match lines (``file:line``) in one folder per MAC, in few files each."""
-    lines = matches.hint("rebalance", "mac").select("mac", F.concat_ws(":", "file", "line").alias("value"))
-    lines.write.mode("overwrite").partitionBy("mac").text(path)
+    """Match lines (``file:line``) by MAC, in files of bounded size with an index of the MACs."""
+    lines = matches.select("mac", F.concat_ws(":", "file", "line").alias("value"))
+    write_keyed_lines(lines, "mac", "value", ["value"], path)

@@ -12,7 +12,7 @@ from netaudit import constants as C
 from netaudit.functions import dates, net, text
 from netaudit.plans import jobs, review, trend, vpn
 from netaudit.session import checkpointed, job_tables
-from netaudit.sinks import tables
+from netaudit.sinks import namedfiles, tables
 from netaudit.sources import registers
 from netaudit.sources.lines import lines_of_table
 
@@ -129,10 +129,9 @@ def test_review_records(spark, tmp_path):
     assert [r.yyyymm for r in produced.collect()] == ["202505"]
     records = review.review_records(review.missing_periods(calendar, produced), "Sato", "山田　太郎", "Ito")
     out = str(tmp_path / "out")
-    tables.write_review_records(records, out)
-    written = spark.read.text(out, wholetext=True).collect()
-    assert len(written) == 1 and written[0].yyyymm == 202504
-    lines = written[0].value.split("\n")
+    tables.write_review_records(records, "記録", out)
+    assert [p.name for p in Path(out).iterdir()] == ["記録 202504.md"]
+    lines = Path(out, "記録 202504.md").read_text().split("\n")
     assert lines[6] == "2025年4月8日（火）13:30〜14:00" and lines[2] == "承認:山田<br>" and lines[8] == "山田　太郎、Ito"
     assert lines[10] == "2025年04月" and lines[18] == "2025年4月8日　山田"
     blank = review.review_records(review.with_event(calendar).filter("yyyymm = '202505'"), "Sato", "山田 太郎", "Ito").first().text
@@ -179,7 +178,7 @@ def test_trend_and_mac_sinks(spark, tmp_path):
     (switches / "s1.txt").write_text("1 aabbcc-ddeeff up\n2 none\n")
     found = jobs.mac_matches(spark, str(tmp_path / "macs.txt"), str(switches))
     tables.write_mac_matches(found, str(tmp_path / "found"))
-    assert [(r.mac, r.value) for r in spark.read.text(str(tmp_path / "found")).collect()] == [("aabbcc-ddeeff", "s1.txt:1 aabbcc-ddeeff up")]
+    assert list(map(tuple, namedfiles.read_keyed_lines(spark, str(tmp_path / "found")).collect())) == [("aabbcc-ddeeff", "s1.txt:1 aabbcc-ddeeff up")]
 
 
 CONFIG = """config system dhcp server
@@ -318,17 +317,17 @@ def test_reviews_end(spark, tmp_path):
     out = str(tmp_path / "records")
     run = (spark, calendar_file(tmp_path), out, "記録", datetime.date(2025, 6, 1), "Sato", "山田 太郎", "Ito", out)
     jobs.missing_reviews(*run)
-    first = {str(p): p.stat().st_mtime_ns for p in (tmp_path / "records").rglob("part-*")}
-    assert len(first) == 2
+    first = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "records").iterdir()}
+    assert set(first) == {"記録 202504.md", "記録 202505.md"}
     jobs.missing_reviews(*run)
-    assert {str(p): p.stat().st_mtime_ns for p in (tmp_path / "records").rglob("part-*")} == first
+    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "records").iterdir()} == first
 
 
 def test_mac_search_writes_its_files(spark, tmp_path):
     put(tmp_path / "switch", "a.txt", "vlan 001122-334455 up\nvlan 001122-334466 up\n")
     put(tmp_path, "macs", "00:11:22:33:44:55\n")
     jobs.write_mac_search(spark, str(tmp_path / "macs"), str(tmp_path / "switch"), str(tmp_path / "found"))
-    assert [(r.mac, r.value) for r in spark.read.text(str(tmp_path / "found")).collect()] == [("001122-334455", "a.txt:vlan 001122-334455 up")]
+    assert list(map(tuple, namedfiles.read_keyed_lines(spark, str(tmp_path / "found")).collect())) == [("001122-334455", "a.txt:vlan 001122-334455 up")]
 
 
 def test_jobs_remove_their_tables(spark, tmp_path):
