@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from netaudit.constants import BANDWIDTH_REPORT, XML_SINCE
@@ -33,8 +34,8 @@ from netaudit.sinks.tables import (
     write_review_records,
     write_trend,
 )
-from netaudit.sinks.versions import versions, write_registers
-from netaudit.sources.lines import base_name, read_lines, read_vpn_lines
+from netaudit.sinks.versions import notes_of, publish, registers_of, versions, write_registers
+from netaudit.sources.lines import base_name, decoded_name, read_lines, read_vpn_lines
 from netaudit.sources.registers import (
     ALLOW_SCHEMA,
     ASSET_SCHEMA,
@@ -162,11 +163,27 @@ def monthly_audit(
 MONTH_FOLDER = "UTM Logs {}/input"
 
 
-@owns_tables
-def bandwidth_report(spark: SparkSession, root: str, yyyymm: str, out: str, xml_since: str = XML_SINCE) -> None:
-    """Write the thirteen-month trend of the bandwidth reports and its chart series."""
-    periods = trend_periods(yyyymm)
-    period = F.regexp_extract("file", MONTH_FOLDER.format("([0-9]{6})"), 1)
+TREND_SCHEMA = "application string, size string, bandwidth double, yyyymm string, month string"
+
+
+def _month(file: str = "file") -> Column:
+    return F.regexp_extract(file, MONTH_FOLDER.format("([0-9]{6})"), 1)
+
+
+def month_fingerprints(spark: SparkSession, root: str, periods: list[str], xml_since: str) -> dict[str, str]:
+    """By month what its report files are, from names, sizes and times of change, and which reader takes them. No file is opened."""
+    folders = [_folder(root, MONTH_FOLDER.format(p)) for p in periods]
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"{BANDWIDTH_REPORT}-*").load(folders)
+    file = decoded_name(F.col("path"))
+    listed = files.filter(file.rlike(dated_export(BANDWIDTH_REPORT))).select(file.alias("file"), "length", F.unix_micros("modificationTime").alias("changed"))
+    each = F.array_sort(F.collect_list(F.concat_ws("|", base_name(F.col("file")), "length", "changed")))  # a month's files are few
+    found = listed.groupBy(_month().alias("yyyymm")).agg(F.sha2(F.concat_ws("/", each), 256).alias("files"))
+    prints = {r.yyyymm: r.files for r in found.collect()}
+    return {p: f"{prints.get(p)} {'csv' if p < xml_since else 'xml'}" for p in periods}
+
+
+def trend_rows(spark: SparkSession, root: str, periods: list[str], xml_since: str) -> DataFrame:
+    """Trend rows of the bandwidth reports of some months, each by the reader it takes."""
     glob = f"{BANDWIDTH_REPORT}-*"
     parts = []
     for reader, months in (
@@ -175,13 +192,49 @@ def bandwidth_report(spark: SparkSession, root: str, yyyymm: str, out: str, xml_
     ):
         folders = [_folder(root, MONTH_FOLDER.format(p)) for p in months]
         if folders and reader == "csv":
-            parts.append(trend_of_csv(read_lines(spark, folders, glob, dated_export(BANDWIDTH_REPORT)), period))
+            parts.append(trend_of_csv(read_lines(spark, folders, glob, dated_export(BANDWIDTH_REPORT)), _month()))
         elif folders:
             rows = read_tables(spark, folders, glob=glob)
             rows = rows.filter(F.col("file").rlike(dated_export(BANDWIDTH_REPORT)))
-            parts.append(trend_of_xml(rows.withColumn("yyyymm", period)))
-    trend = checkpointed(reduce(DataFrame.unionByName, parts))
+            parts.append(trend_of_xml(rows.withColumn("yyyymm", _month())))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def update_months(spark: SparkSession, root: str, periods: list[str], state: str, xml_since: str) -> list[str]:
+    """Read the months whose files are not those that the state was made from, publish their rows together, and name them."""
+    prints, known = month_fingerprints(spark, root, periods, xml_since), notes_of(spark, state)
+    changed = [p for p in periods if known.get(p) != prints[p]]
+    if changed:
+        folder = f"v-{uuid.uuid4().hex}"
+        rows = trend_rows(spark, root, changed, xml_since).withColumn("month", F.col("yyyymm"))
+        rows.write.partitionBy("month").parquet(_folder(state, folder))
+        publish(spark, state, dict.fromkeys(changed, folder), {p: prints[p] for p in changed})
+    return changed
+
+
+def stored_months(spark: SparkSession, state: str, periods: list[str]) -> DataFrame:
+    """Trend rows of the months of the state; a month's rows are in the version that read it last."""
+    folders = registers_of(spark, state)
+    parts = []
+    for folder in sorted({folders[p] for p in periods}):
+        own = [p for p in periods if folders[p] == folder]
+        rows = spark.read.schema(TREND_SCHEMA).parquet(_folder(state, folder))
+        parts.append(rows.filter(F.col("month").isin(own)).drop("month"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@owns_tables
+def bandwidth_report(spark: SparkSession, root: str, yyyymm: str, out: str, xml_since: str = XML_SINCE) -> list[str]:
+    """Write the thirteen-month trend of the bandwidth reports and its chart series.
+
+    The rows of each month are kept below ``out``; only months that are new or whose files have
+    changed are read, and named in the result. Counts and series are made from the kept rows.
+    """
+    periods, state = trend_periods(yyyymm), _folder(out, "months")
+    changed = update_months(spark, root, periods, state, xml_since)
+    trend = stored_months(spark, state, periods)
     write_trend(with_ranks(trend), chart_series(trend), yyyymm, out)
+    return changed
 
 
 @owns_tables

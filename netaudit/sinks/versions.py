@@ -75,8 +75,8 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return [int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith(".")]
 
 
-def _manifest(files: _Files, number: int) -> dict[str, str]:
-    return json.loads(files.read(MANIFESTS, f"{number:09d}.json"))["registers"]
+def _manifest(files: _Files, number: int, part: str = "registers") -> dict[str, str]:
+    return json.loads(files.read(MANIFESTS, f"{number:09d}.json"))[part]
 
 
 def registers_of(spark: SparkSession, root: str, version: int | None = None) -> dict[str, str]:
@@ -89,6 +89,12 @@ def registers_of(spark: SparkSession, root: str, version: int | None = None) ->
     return _manifest(_Files(spark, root), known[-1] if version is None else version)
 
 
+def notes_of(spark: SparkSession, root: str) -> dict[str, str]:
+    """What the jobs noted about the registers of the last version, by name."""
+    known = versions(spark, root)
+    return _manifest(_Files(spark, root), known[-1], "notes") if known else {}
+
+
 def register_folder(spark: SparkSession, path: str, version: int | None = None) -> str:
     """Folder that holds the register ``path``; itself where no version names it, as for files put there by hand."""
     root, name = _split(path)
@@ -96,15 +102,20 @@ def register_folder(spark: SparkSession, path: str, version: int | None = None)
     return path if folder is None else f"{root}/{folder}"
 
 
-def publish(spark: SparkSession, root: str, folders: Mapping[str, str]) -> int:
-    """Make ``folders`` the registers of their names, the others staying, and give the version's number."""
+def publish(spark: SparkSession, root: str, folders: Mapping[str, str], notes: Mapping[str, str] | None = None) -> int:
+    """Make ``folders`` the registers of their names, the others staying, and give the version's number.
+
+    ``notes`` by name say something about the registers, such as what they were made from.
+    """
     files = _Files(spark, root)
     files.system.mkdirs(files.path(root, MANIFESTS))
     while True:
         known = versions(spark, root)
         number = known[-1] + 1 if known else 1
         whole = (_manifest(files, known[-1]) if known else {}) | dict(folders)
-        text = json.dumps({"version": number, "changed": sorted(folders), "registers": whole}, ensure_ascii=False, sort_keys=True)
+        noted = (_manifest(files, known[-1], "notes") if known else {}) | dict(notes or {})
+        manifest = {"version": number, "changed": sorted(folders), "registers": whole, "notes": noted}
+        text = json.dumps(manifest, ensure_ascii=False, sort_keys=True)
         if files.create(text, MANIFESTS, f"{number:09d}.json"):
             return number
 
@@ -134,9 +145,9 @@ def remove_old(spark: SparkSession, root: str, keep: int) -> list[str]:
         files.system.delete(files.path(root, MANIFESTS, f"{number:09d}.json"), False)
     removed = []
     for name in files.names(""):
-        for folder in files.names(name) if name != MANIFESTS else ():
-            place = f"{name}/{folder}"
-            if folder.startswith("v-") and place not in used:
+        places = [name] if name.startswith("v-") else [f"{name}/{f}" for f in files.names(name) if f.startswith("v-")] if name != MANIFESTS else []
+        for place in places:
+            if place not in used:
                 files.system.delete(files.path(root, place), True)
                 removed.append(place)
     return removed

@@ -1,6 +1,7 @@
 """Trend, review, VPN and column functions, sinks and whole jobs."""
 
 import datetime
+import os
 import random
 
 from pathlib import Path
@@ -296,7 +297,7 @@ def test_bandwidth_report(spark, tmp_path):
             tables_ += xml_table(C.TOP_APPLICATIONS, [("Application", "other"), ("Bytes", "1,024 MB"), ("Sessions", "1")])
             put(folder, f"{C.BANDWIDTH_REPORT}-{p[:4]}-{p[4:]}-01-1234_9.xml", f"<r>{tables_}</r>")
         put(folder, "Other-2025-01-01_1234.xml", "<r/>")
-    jobs.bandwidth_report(spark, str(tmp_path), "202503", str(tmp_path / "out"))
+    assert jobs.bandwidth_report(spark, str(tmp_path), "202503", str(tmp_path / "out")) == dates.trend_periods("202503")
     rows = spark.read.parquet(str(tmp_path / "out" / "202503" / "trend")).collect()
     assert sorted((r.yyyymm, r.application, r.bandwidth) for r in rows) == sorted(
         [(p, TITLE, 1048576.0) for p in dates.trend_periods("202503")]
@@ -306,10 +307,40 @@ def test_bandwidth_report(spark, tmp_path):
     assert series.filter("application = 'others'").count() == 5
 
 
+def test_only_changed_months_are_read(spark, tmp_path):
+    """The second run reads the new month and one that was exported again; the others could not be read any more."""
+    periods = dates.trend_periods("202503")
+
+    def export(p, size):
+        folder = tmp_path / f"UTM Logs {p}" / "input"
+        lines = [l for _, _, l in csv_report(p, "1,024 GB", [("IKE", f"{size} GB"), (f"a{p}", "1 GB")])]
+        put(folder, f"{C.BANDWIDTH_REPORT}-{p[:4]}-{p[4:]}-01-1234.csv", "\n".join(lines))
+
+    for p in periods[:-1]:
+        export(p, 1)
+    out = str(tmp_path / "out")
+    export("202402", 1)
+    assert jobs.bandwidth_report(spark, str(tmp_path), "202502", out, "999999") == dates.trend_periods("202502")
+    export("202406", 7)
+    export("202503", 9)
+    for p in periods[:-1]:
+        if p != "202406":
+            # Same names, sizes and times, other content.
+            for file in (tmp_path / f"UTM Logs {p}" / "input").iterdir():
+                times = file.stat()
+                file.write_bytes(b"x" * times.st_size)
+                os.utime(file, ns=(times.st_atime_ns, times.st_mtime_ns))
+    assert jobs.bandwidth_report(spark, str(tmp_path), "202503", out, "999999") == ["202406", "202503"]
+    rows = spark.read.parquet(f"{out}/202503/trend").filter("application = 'IKE'").collect()
+    assert sorted((r.yyyymm, r["size"]) for r in rows) == [(p, {"202406": "7 GB", "202503": "9 GB"}.get(p, "1 GB")) for p in periods]
+    assert jobs.bandwidth_report(spark, str(tmp_path), "202503", out, "999999") == []
+    assert spark.read.parquet(f"{out}/202503/trend").count() == 3 * 13
+
+
 def test_missing_reviews(spark, tmp_path):
     put(tmp_path / "done", "記録 202505.md", "x")
     jobs.missing_reviews(spark, calendar_file(tmp_path), str(tmp_path / "done"), "記録", datetime.date(2025, 6, 1), "Sato", "山田 太郎", "Ito", str(tmp_path / "out"))
-    assert [r.yyyymm for r in spark.read.text(str(tmp_path / "out"), wholetext=True).collect()] == [202504]
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["記録 202504.md"]
 
 
 def test_reviews_end(spark, tmp_path):
