@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -34,21 +35,28 @@ def _system(spark: SparkSession, path: str):
 
 
 def write_files(rows: DataFrame, folder: str, encoding: str = "UTF-8") -> str:
-    """Write ``file, chunk, pos, line`` rows as text files with these names, in order; few files, each of any size."""
+    """Write ``file, chunk, pos, line`` rows as text files of these names, in order; a name may hold folders.
+
+    A file is written by one task, which keeps none of it, so that each name is one file of any size.
+    """
     spark = rows.sparkSession
     made = f"{folder}.parts-{uuid.uuid4().hex}"
     ordered = rows.repartition("file").sortWithinPartitions("file", "chunk", "pos").select("file", "line")
     if encoding == "UTF-8":
-        ordered.write.partitionBy("file").text(made)
+        ordered.write.partitionBy("file").option("maxRecordsPerFile", 0).text(made)
     else:
-        ordered.write.partitionBy("file").options(encoding=encoding, sep="\u0001", quote="", quoteAll=False, emptyValue="").csv(made)
+        ordered.write.partitionBy("file").options(encoding=encoding, sep="\u0001", quote="", quoteAll=False, emptyValue="", maxRecordsPerFile=0).csv(made)
     system, path = _system(spark, made), spark._jvm.org.apache.hadoop.fs.Path
-    system.mkdirs(path(folder))
     for status in system.listStatus(path(made)):
         name = status.getPath().getName()
         if name.startswith("file="):
             parts = [s.getPath() for s in system.listStatus(status.getPath()) if s.getPath().getName().startswith("part-")]
-            system.rename(parts[0], path(folder, name.removeprefix("file=")))
+            if len(parts) != 1:
+                raise ValueError(f"{name} has {len(parts)} parts")
+            target = path(folder, unquote(name.removeprefix("file=")))
+            system.mkdirs(target.getParent())
+            system.rename(parts[0], target)
+    system.mkdirs(path(folder))
     system.delete(path(made), True)
     return folder
 
@@ -102,7 +110,7 @@ def read_lease_files(spark, sf):
 
 def read_config_file(spark, sf):
     """The one configuration of a folder, next to a file of another name; its numbered lines."""
-    customers = table(spark, sf, "customer").filter("c_nationkey = 1")
+    customers = table(spark, sf, "customer")
     rows = _lines(customers, F.lit("FIREWL01_1999-08.conf"), F.col("c_custkey"), text("set name ", F.col("c_name")))
     named = rows.unionByName(rows.withColumn("file", F.lit("other.conf")))
     found = lines.number_lines(lines.read_config(spark, write_files(named, new_folder(spark))))
@@ -130,16 +138,15 @@ def register_snapshots(spark, sf):
 
 def parameter_files(spark, sf):
     """S14, S21 and the leading rows of S17: parameters by list, settings, and a register without its first two rows."""
-    key = F.col("n_nationkey")
-    nations = table(spark, sf, "nation")
+    key = F.col("s_suppkey")
+    suppliers = table(spark, sf, "supplier")
     folder = new_folder(spark)
-    head = nations.filter(key == 0)
-    body = _lines(nations, F.lit("parameters.csv"), key, text("list_", key % 3, ",\" 10.", key, ".0.0/16 \""))
-    write_files(body.unionByName(_lines(head, F.lit("parameters.csv"), F.lit(-1), F.lit("ID,Item"))), f"{folder}/parameters")
+    body = _lines(suppliers, F.lit("parameters.csv"), key, text("list_", key % 3, ",\" 10.", key % 256, ".", F.floor(key / 256), ".0/24 \""))
+    write_files(body.unionByName(_lines(spark.range(1), F.lit("parameters.csv"), F.lit(-1), F.lit("ID,Item"))), f"{folder}/parameters")
     found = registers.parameter_items(registers.read_parameters(spark, f"{folder}/parameters"), "list_1").select(F.lit("parameter").alias("kind"), F.col("Item").alias("value"))
-    write_files(_lines(nations, F.lit("settings.csv"), key, text("item", key, ",", F.col("n_name"))), f"{folder}/settings")
+    write_files(_lines(suppliers, F.lit("settings.csv"), key, text("item", key, ",", F.col("s_name"))), f"{folder}/settings")
     settings = registers.read_settings(spark, f"{folder}/settings").select(F.lit("setting").alias("kind"), text(F.col("itemName"), "=", F.col("data")).alias("value"))
-    write_files(_lines(nations, F.lit("users.csv"), key, text("u", key)), f"{folder}/users")
+    write_files(_lines(suppliers, F.lit("users.csv"), key, text("u", key)), f"{folder}/users")
     users = registers.without_leading_rows(registers.read_register(spark, f"{folder}/users", "user string", fmt="csv"))
     return found.unionByName(settings).unionByName(users.select(F.lit("user").alias("kind"), F.col("user").alias("value")))
 
@@ -174,21 +181,25 @@ def mac_files(spark, sf):
     return namedfiles.read_keyed_lines(spark, f"{folder}/found", found).select(F.col("key").alias("mac"), F.col("line").alias("value"))
 
 
-def trend_files(spark, sf):
-    """Thirteen months of report files, CSV and XML, read by the job; its trend table."""
-    folder, period = new_folder(spark), "199907"
+def month_reports(spark, sf) -> DataFrame:
+    """Bandwidth reports of all months, CSV and from 1999 on XML, as ``file, chunk, pos, line``; names hold the folders of the months."""
     monthly = jobs.checkpointed(inputs.monthly_applications(spark, sf))
     csv, xml = monthly.filter("yyyymm < '199901'"), monthly.filter("yyyymm >= '199901'")
     month = F.col("yyyymm")
-    stamp = text(C.BANDWIDTH_REPORT, "-", F.substring("yyyymm", 1, 4), "-", F.substring("yyyymm", 5, 2), "-01-1234")
+    before, behind = jobs.MONTH_FOLDER.split("{}")
+    stamp = text(before, month, f"{behind}/{C.BANDWIDTH_REPORT}-", F.substring(month, 1, 4), "-", F.substring(month, 5, 2), "-01-1234")
     csv_lines = inputs.csv_report_lines(csv).withColumnRenamed("file", "yyyymm").withColumn("file", text(stamp, ".csv"))
-    elements = inputs.xml_report_column(xml).select("yyyymm", text(stamp, "_9.xml").alias("file"), F.lit(0).cast("long").alias("chunk"), F.col("at").cast("long").alias("pos"), F.col("xml").alias("line"))
-    ends = elements.select("yyyymm", "file").distinct()
+    elements = inputs.xml_report_column(xml).select(text(stamp, "_9.xml").alias("file"), F.lit(0).cast("long").alias("chunk"), F.col("at").cast("long").alias("pos"), F.col("xml").alias("line"))
+    ends = elements.select("file").distinct()
     for pos, line in ((-1, "<r>"), (1 << 40, "</r>")):
-        elements = elements.unionByName(ends.select("yyyymm", "file", F.lit(0).cast("long").alias("chunk"), F.lit(pos).cast("long").alias("pos"), F.lit(line).alias("line")))
-    for rows in (csv_lines.select("yyyymm", "file", "chunk", "pos", "line"), elements):
-        for p in sorted(r.yyyymm for r in rows.select(month).distinct().collect()):  # months
-            write_files(rows.filter(month == p).drop("yyyymm"), f"{folder}/{jobs.MONTH_FOLDER.format(p)}")
+        elements = elements.unionByName(_lines(ends, F.col("file"), F.lit(pos), F.lit(line)))
+    return csv_lines.select("file", "chunk", "pos", "line").unionByName(elements)
+
+
+def trend_files(spark, sf):
+    """Thirteen months of report files, CSV and XML, read by the job; its trend table."""
+    folder, period = new_folder(spark), "199907"
+    write_files(month_reports(spark, sf), folder)
     jobs.bandwidth_report(spark, folder, period, f"{folder}/out", xml_since="199901")
     return spark.read.parquet(f"{folder}/out/{period}/trend").select("application", "size", "bandwidth", "yyyymm")
 

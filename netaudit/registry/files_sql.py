@@ -27,13 +27,13 @@ FILE_SQL = {
         CASE WHEN c_nationkey % 3 = 0 THEN CASE WHEN coalesce({HOST}, '') = '' THEN '{C.BLANK_HOST}' ELSE {HOST} END
         ELSE nullif({HOST}, '') END AS "hostName" FROM customer WHERE c_custkey % 17 <> 0 AND c_nationkey % 3 < 2""",
     "read_config_file": """SELECT 'FIREWL01_1999-08.conf' AS file, row_number() OVER (ORDER BY c_custkey) AS line_no, 'set name ' || c_name AS line
-        FROM customer WHERE c_nationkey = 1""",
+        FROM customer""",
     "read_vpn_files": f"""SELECT file, line, count(*) AS lines FROM (SELECT {VPN_FILE} AS file, 'user ' || user_id || ' ' || event_type AS line FROM events)
         WHERE file IN ('vpn199806.log', 'vpn199807.log', 'access.log') GROUP BY ALL""",
     "register_snapshots": f"""SELECT ip, hostName AS "hostName", {NULLS} AS "macAddress", true AS written, false AS replaced FROM denied""",
-    "parameter_files": """SELECT 'parameter' AS kind, '10.' || n_nationkey || '.0.0/16' AS value FROM nation WHERE n_nationkey % 3 = 1
-        UNION ALL SELECT 'setting', 'item' || n_nationkey || '=' || n_name FROM nation
-        UNION ALL SELECT 'user', 'u' || n_nationkey FROM nation WHERE n_nationkey >= 2""",
+    "parameter_files": """SELECT 'parameter' AS kind, '10.' || s_suppkey % 256 || '.' || s_suppkey // 256 || '.0/24' AS value FROM supplier WHERE s_suppkey % 3 = 1
+        UNION ALL SELECT 'setting', 'item' || s_suppkey || '=' || s_name FROM supplier
+        UNION ALL SELECT 'user', 'u' || s_suppkey FROM (SELECT *, row_number() OVER (ORDER BY s_suppkey) AS line FROM supplier) WHERE line > 2""",
     "review_loop": REVIEW_LOOP,
     "mac_files": "SELECT mac, file || '.txt:' || line AS value FROM (" + SQL["mac_search"] + ")",
     "trend_files": f"""SELECT application, size, bandwidth, yyyymm FROM ({TREND} WHERE yyyymm IN ({TREND_MONTHS}))""",

@@ -339,7 +339,7 @@ SQL = {
         CASE c_custkey % 3 WHEN 0 THEN 'レピュテーションスコアの大きい上位デバイス' WHEN 1 THEN ' 直近2期間にスコアが増加した上位ユーザー'
           ELSE 'Top 30 Destination by Bandwidth and Sessions' END AS table_name, c_custkey AS place, column_name, value FROM (
         SELECT c_custkey, unnest([CASE c_custkey % 3 WHEN 0 THEN 'Device' WHEN 1 THEN 'User__or_IP_' ELSE 'Hostname_or_IP_' END, 'hostName']) AS column_name,
-          unnest([{ip10('c_custkey')}, CASE WHEN c_custkey % 2 = 0 THEN c_name END]) AS value FROM customer) WHERE value IS NOT NULL""",
+          unnest([{ip10('c_custkey')}, (SELECT o.c_name FROM customer o WHERE o.c_custkey * 2 = c.c_custkey)]) AS value FROM customer c) WHERE value IS NOT NULL""",
     "lease_layout": f"""SELECT {ip10('c_custkey')} AS ip, {mac('c_custkey')} AS "macAddress",
         CASE WHEN c_nationkey % 3 = 0 THEN CASE WHEN coalesce({HOST}, '') = '' THEN '{C.BLANK_HOST}' ELSE {HOST} END
         ELSE nullif({HOST}, '') END AS hostName FROM customer WHERE c_custkey % 17 <> 0 AND c_nationkey % 3 < 2""",

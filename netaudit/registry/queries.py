@@ -227,8 +227,9 @@ def network_span(spark, sf):
 def plain_device_enrichment(spark, sf):
     """The device table and the tables of risen scores and of destinations, read by their own columns."""
     rows = inputs.device_rows(spark, sf)
-    identities = table(spark, sf, "customer").filter("c_custkey % 2 = 0").select(
-        ip10(F.col("c_custkey")).alias("ip"), F.col("c_name").alias("hostName"), *[F.lit(None).cast("string").alias(c) for c in ("user", "description", "macAddress")]
+    # Every second address has an identity.
+    identities = table(spark, sf, "customer").select(
+        ip10(F.col("c_custkey") * 2).alias("ip"), F.col("c_name").alias("hostName"), *[F.lit(None).cast("string").alias(c) for c in ("user", "description", "macAddress")]
     )
     found = reports.enrich(rows, identities)
     return long_cells(found.withColumnRenamed("table", "table_name"), "report", "table_name", "place")

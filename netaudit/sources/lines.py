@@ -6,16 +6,14 @@ input split, so no chunk outgrows ``spark.sql.files.maxPartitionBytes``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType
 
 from netaudit.functions.text import clean_csv_line
 from netaudit.operators.matchjoin import salted_join
 from netaudit.operators.scan import lines_since, ordered_scan
-from netaudit.session import ship_package
 
 
 def place() -> Column:
@@ -89,10 +87,21 @@ def csv_cells(line: Column) -> Column:
     return F.transform(raw, cell)
 
 
-@F.pandas_udf(StringType())
-def _from_cp932(lines: pd.Series) -> pd.Series:
-    # Spark decodes CP932 only with a legacy setting for the whole session.
-    return lines.str.encode("iso-8859-1").str.decode("cp932", errors="replace")
+@contextmanager
+def java_charsets(spark: SparkSession) -> Iterator[None]:
+    """All of Java's character sets for ``decode`` in DataFrames made inside; wrong bytes become a mark.
+
+    An expression keeps what holds when it is made, so nothing is left of it in the session.
+    """
+    names = ["spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction"]
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name in names:
+        spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def read_room_log(spark: SparkSession, path: str) -> DataFrame:
@@ -102,22 +111,16 @@ def read_room_log(spark: SparkSession, path: str) -> DataFrame:
     without a name are left out, and a short row has nulls. No byte of a CP932 character is a
     line break, so lines are read byte by byte and then decoded.
     """
-    ship_package(spark)
-    raw = (
-        spark.read.schema("line string")
-        .option("pathGlobFilter", "*.csv")
-        .option("encoding", "ISO-8859-1")
-        .option("sep", "\u0001")
-        .option("quote", "")
-        .csv(path)
-    )
-    lines = raw.select(
-        decoded_name(F.col("_metadata.file_path")).alias("file"),
-        F.col("_metadata.file_block_start").alias("chunk"),
-        F.monotonically_increasing_id().alias("pos"),
-        "line",
-    )
-    numbered = number_lines(lines).withColumn("cells", csv_cells(_from_cp932("line")))
+    # The text source leaves the bytes of a line as they are.
+    raw = spark.read.option("pathGlobFilter", "*.csv").text(path)
+    with java_charsets(spark):
+        lines = raw.select(
+            decoded_name(F.col("_metadata.file_path")).alias("file"),
+            F.col("_metadata.file_block_start").alias("chunk"),
+            F.monotonically_increasing_id().alias("pos"),
+            F.decode(F.col("value").cast("binary"), "windows-31j").alias("line"),
+        )
+    numbered = number_lines(lines).withColumn("cells", csv_cells(F.col("line")))
     headers = numbered.filter("line_no = 4").select("file", F.col("cells").alias("names"))
     pairs = F.transform("names", lambda name, i: F.struct(name.alias("key"), F.get("cells", i).alias("value")))
     return salted_join(numbered.filter("line_no > 4"), headers, "file", ["chunk", "pos"]).select(

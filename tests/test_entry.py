@@ -10,7 +10,8 @@ sys.modules["{name}"] = None
 import __spark_entry__ as entry
 from netaudit.registry.files import FILE_QUERIES
 from netaudit.registry.queries import QUERIES
-assert entry.queries() == QUERIES | FILE_QUERIES and set(entry.oracle_sql()) == set(entry.queries())
+from netaudit.registry.runs import RUN_QUERIES
+assert entry.queries() == QUERIES | FILE_QUERIES | RUN_QUERIES and set(entry.oracle_sql()) == set(entry.queries())
 """
 
 

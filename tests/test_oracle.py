@@ -15,7 +15,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted([*entry_point.QUERIES, *entry_point.FILE_QUERIES]))
+@pytest.mark.parametrize("name", sorted([*entry_point.QUERIES, *entry_point.FILE_QUERIES, *entry_point.RUN_QUERIES]))
 def test_query_equals_sql(spark, con, name):
     assert differences(entry_point.queries()[name](spark, SF_DIR), con, entry_point.oracle_sql()[name]) == []
 
