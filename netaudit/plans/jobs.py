@@ -7,7 +7,6 @@ from datetime import date
 from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from netaudit.constants import BANDWIDTH_REPORT, XML_SINCE
 from netaudit.functions.dates import shift_period, trend_periods
@@ -121,12 +120,12 @@ def audit_reports(
 @owns_tables
 def monthly_audit(
     spark: SparkSession, reports: str, ext: str, yyyymm: str, own_label: str, out: str,
-    schema: StructType | None = None, user_schema: StructType | None = None, version: int | None = None,
+    version: int | None = None,
 ) -> None:
     """Annotate the reports of a folder and write them under ``out``.
 
     Files that are none of the seven reports are left out. Destinations that lack a required
-    column or a size are an error. With the schemas of the reports their files are read once, else once more to infer them.
+    column or a size are an error.
 
     ``ext`` holds the snapshots of :func:`config_registers`, :func:`vpn_registers` and
     :func:`refresh_registers`, all of the one last version or of ``version``, the lease files
@@ -152,7 +151,7 @@ def monthly_audit(
         register("whois", WHOIS_SCHEMA), read_parameters(spark, _folder(ext, "parameters"), version), own_label
     )
     ranges = register("dhcp_ranges", RANGE_SCHEMA).drop("seq")
-    rows = read_reports(spark, reports, schema, user_schema).select("report", "table", "place", "cells")
+    rows = read_reports(spark, reports).select("report", "table", "place", "cells")
     rows = checkpointed(rows, by=["report", "table"])
     _, shaped = audit_reports(rows, devices, ranges, networks)
     check_destinations(shaped)

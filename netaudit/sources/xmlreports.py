@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from netaudit.constants import REPORT_NAMES, TOP_DESTINATIONS, TRAFFIC_SUMMARY, USER_REPORT, USER_SECTION
+from netaudit.operators.scan import ordered_scan
 from netaudit.sources.lines import base_name, decoded_name
 
 ATTRIBUTE, TEXT = "@", "#text"
@@ -157,24 +158,6 @@ def user_sections(rows: DataFrame) -> DataFrame:
     )
 
 
-def _read(spark: SparkSession, path, row_tag: str, schema: StructType | None, glob: str = "*.xml") -> DataFrame:
-    """Elements of the user report or, for tables, of all other reports."""
-    reader = spark.read.format("xml").options(**XML_OPTIONS).option("rowTag", row_tag).option("pathGlobFilter", glob)
-    if schema is not None:
-        reader = reader.schema(schema)
-    elements = reader.load(path)
-    file = decoded_name(F.col("_metadata.file_path"))
-    of_users = report_name(file) == USER_REPORT
-    # Tested before elements are numbered, so that other files are not opened. Files that are no reports are left out.
-    wanted = elements.filter(is_report(file)).filter(of_users if row_tag == USER_SECTION else ~of_users)
-    return wanted.select(
-        file.alias("file"),
-        report_name(file).alias("report"),
-        F.struct(file.alias("file"), F.monotonically_increasing_id().alias("n")).alias("at"),
-        F.struct(*[F.col(f"`{name}`") for name in elements.columns]).alias("element"),
-    )
-
-
 def rows_of_sections(sections: DataFrame, dtype: StructType) -> DataFrame:
     """Rows of per-user section elements, under the tables' common names.
 
@@ -189,32 +172,114 @@ def rows_of_sections(sections: DataFrame, dtype: StructType) -> DataFrame:
     return user_sections(rows_of_tables(listed, inner))
 
 
-def read_tables(spark: SparkSession, path, schema: StructType | None = None, glob: str = "*.xml") -> DataFrame:
-    """Long table of the ``table`` elements of the files, without per-user sections."""
-    tables = _read(spark, path, "table", schema, glob)
-    rows = rows_of_tables(tables, tables.schema["element"].dataType)
-    return rows.withColumn("place", _flat_place("place.at", "place.row"))
+# Text of a file between two ends of ``id`` elements. Tags in it, with attributes in quotes that may hold an angle bracket.
+ID_END = "</id>"
+_ATTRIBUTES = r"(?:\s(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)?"
+_TABLE_TAG = rf"<table{_ATTRIBUTES}>|</table\s*>"
+_SECTION_TAG = rf"<{USER_SECTION}{_ATTRIBUTES}>|</{USER_SECTION}\s*>"
+_ID_TAG = rf"<id{_ATTRIBUTES}/?>"
+_CHILD = r"(?s)<([A-Za-z_][\w.:-]*)(?:\s(?:\"[^\"]*\"|'[^']*'|[^>\"'])*?)?(?:/>|>(.*?)</\1\s*>)"
+_SUMMARY = rf"(?s)<table\s[^>]*name\s*=\s*[\"']{TRAFFIC_SUMMARY}[\"'][^>]*>(.*?)(?:</table\s*>|\z)"
+#: State behind the end of a table or section.
+CLOSED = "\x00"
+
 
+def unescaped(text: Column) -> Column:
+    """Text with its references to characters put in."""
+    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit("&#(x?[0-9A-Fa-f]+);"), 1))
 
-def read_reports(
-    spark: SparkSession, path, schema: StructType | None = None, user_schema: StructType | None = None
-) -> DataFrame:
-    """Long table of all reports of a folder.
+    def character(number: Column) -> Column:
+        hexadecimal = F.when(number.startswith("x"), F.substring(number, 2, 8)).otherwise(F.conv(number, 10, 16))
+        return F.decode(F.unhex(F.lpad(hexadecimal, 8, "0")), "UTF-32")
 
-    Give the schemas where they are known: inferring them reads the files once more. A table
-    is one record of the XML source; the reports are exports of the top rows, so it is small.
+    found = F.aggregate(numbers, text, lambda done, n: F.replace(done, F.concat(F.lit("&#"), n, F.lit(";")), character(n)))
+    for name, sign in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
+        found = F.replace(found, F.lit(f"&{name};"), F.lit(sign))
+    return found
+
+
+def child_cells(content: Column) -> Column:
+    """Child tags in the content of an element as a map, like :func:`cells_of`; a child's text is all text in it, in order.
+
+    A child does not hold an element of its own name.
     """
-    rows = read_tables(spark, path, schema)
-    if list_reports(spark, path).filter(F.col("report") == USER_REPORT).isEmpty():
-        return rows
-    sections = _read(spark, path, USER_SECTION, user_schema, f"{USER_REPORT}-*.xml")
-    of_sections = rows_of_sections(sections, sections.schema["element"].dataType)
-    return rows.unionByName(of_sections.withColumn("place", _flat_place("place.at.at", "place.row", "place.at.t")))
+    names = F.regexp_extract_all(content, F.lit(_CHILD), 1)
+    texts = F.transform(F.regexp_extract_all(content, F.lit(_CHILD), 2), lambda t: unescaped(F.regexp_replace(t, "<[^>]*>", "")))
+
+    def key(name: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice(names, 1, i + 1), lambda n: n == name))
+        return F.when(F.size(F.filter(names, lambda n: n == name)) > 1, F.concat(name, before.cast("string"))).otherwise(name)
+
+    entries = F.arrays_zip(F.transform(names, key).alias("key"), texts.alias("value"))
+    first = F.filter(entries, lambda e, i: F.array_position(F.transform(F.slice(entries, 1, i + 1), lambda x: x["key"]), e["key"]) == i + 1)
+    return F.map_from_entries(first)
+
+
+def _state(tag: Column) -> Column:
+    """What a table's or section's tag opens: its name, or that it is closed."""
+    name = F.regexp_extract(tag, r"""\sname\s*=\s*(?:"([^"]*)"|'([^']*)')""", 0)
+    value = unescaped(F.regexp_extract(name, r"""^\sname\s*=\s*["']([\s\S]*)["']$""", 1))
+    return F.when(tag.startswith("</") | tag.endswith("/>"), F.lit(CLOSED)).otherwise(value)
+
+
+def _last(tags: Column, pattern: str) -> Column:
+    return F.try_element_at(F.filter(tags, lambda t: t.rlike(f"^(?:{pattern})$")), F.lit(-1))
+
+
+def read_id_rows(spark: SparkSession, path, glob: str = "*.xml") -> DataFrame:
+    """Rows of the reports' tables, read element by element: ``file, report, section, table, place, cells``.
+
+    A file is cut behind its ``id`` elements, so one table may hold any number of them and its
+    file is read by many tasks. What table and section a row is in follows from the last of
+    their tags before it, which is carried over the cuts and splits. The traffic summary is
+    itself a row. Files that are no reports are left out.
+    """
+    text = spark.read.option("lineSep", ID_END).option("pathGlobFilter", glob).text(path)
+    file = decoded_name(F.col("_metadata.file_path"))
+    pieces = text.filter(is_report(file)).select(
+        file.alias("file"), F.col("_metadata.file_block_start").alias("chunk"), F.monotonically_increasing_id().alias("pos"),
+        F.regexp_replace("value", "(?s)<!--.*?-->", "").alias("value"),
+    )
+    tags = F.regexp_extract_all(F.col("value"), F.lit(f"{_TABLE_TAG}|{_SECTION_TAG}|{_ID_TAG}"), 0)
+    summaries = F.regexp_extract_all(F.col("value"), F.lit(_SUMMARY), 1)
+    content = F.regexp_extract("value", rf"(?s)^.*<id(?:\s[^>]*)?(?<!/)>(.*)$", 1)
+
+    def row(tag: Column, i: Column) -> Column:
+        before = F.slice("tags", 1, i + 1)
+        table, section = _state(_last(before, _TABLE_TAG)), _state(_last(before, _SECTION_TAG))
+        is_id = tag.rlike("^<id")
+        nth = F.size(F.filter(before, lambda t: _state(t) == TRAFFIC_SUMMARY))
+        inside = F.when(is_id & tag.endswith("/>"), "").when(is_id, content).otherwise(F.try_element_at(summaries, nth))
+        return F.when(
+            is_id | (F.col("tags")[i].startswith("<table") & (_state(tag) == TRAFFIC_SUMMARY)),
+            F.struct(i.alias("at"), is_id.alias("is_id"), table.alias("table"), section.alias("section"), child_cells(inside).alias("cells")),
+        )
+
+    found = F.filter(F.transform("tags", row), lambda r: r.isNotNull())
+    held = pieces.withColumn("tags", tags).select("file", "chunk", "pos", "tags", found.alias("rows")).select(
+        "file", "chunk", "pos", "rows", _state(_last(F.col("tags"), _TABLE_TAG)).alias("_table"), _state(_last(F.col("tags"), _SECTION_TAG)).alias("_section"),
+    )
+    carried = ordered_scan(held, ["file"], ["chunk"], "pos", carry_before={"in_table": F.col("_table"), "in_section": F.col("_section")})
+    rows = carried.select("file", "chunk", "pos", "in_table", "in_section", F.explode("rows").alias("r")).select(
+        "file", report_name(F.col("file")).alias("report"), F.nullif(F.coalesce("r.section", "in_section"), F.lit(CLOSED)).alias("section"),
+        F.coalesce("r.table", "in_table").alias("table"),
+        F.struct("file", F.col("chunk").alias("n"), F.col("pos").alias("t"), F.col("r.at").alias("row")).alias("place"), "r.cells", "r.is_id",
+    )
+    return rows.filter((F.col("table") != CLOSED) & ~(F.col("is_id") & (F.col("table") == TRAFFIC_SUMMARY))).drop("is_id")
+
+
+def read_tables(spark: SparkSession, path, glob: str = "*.xml") -> DataFrame:
+    """Long table of the ``table`` elements of the files, without per-user sections."""
+    rows = read_id_rows(spark, path, glob)
+    return rows.filter(F.col("report") != USER_REPORT).drop("section")
 
 
-def _flat_place(at: str, row: str, table: str | None = None) -> Column:
-    within = F.col(table) if table else F.lit(0)
-    return F.struct(F.col(f"{at}.file"), F.col(f"{at}.n"), within.alias("t"), F.col(row).alias("row"))
+def read_reports(spark: SparkSession, path) -> DataFrame:
+    """Long table of all reports of a folder, the files read once."""
+    rows = read_id_rows(spark, path)
+    of_users = user_sections(rows.filter((F.col("report") == USER_REPORT) & F.col("section").isNotNull()))
+    others = rows.filter(F.col("report") != USER_REPORT).drop("section")
+    return others.unionByName(of_users)
 
 
 def rows_of_xml_column(df: DataFrame, xml: str, schema: StructType, at: str, row_tag: str = "table") -> DataFrame:
