@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from netaudit.functions.text import clean_csv_line
 from netaudit.operators.matchjoin import salted_join
 from netaudit.operators.scan import lines_since, ordered_scan
+from netaudit.session import checkpointed
 
 
 def place() -> Column:
@@ -45,6 +46,47 @@ def read_lines(
     )
 
 
+def read_marked_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of files in UTF-8 or, where a byte order mark says so, UTF-16; files of either kind are split freely.
+
+    Files are cut at bytes 0A, which need not be line ends in UTF-16. The mark, the offset of a
+    piece and the byte behind it are carried over the splits; they tell which cuts are line ends,
+    and the pieces of a line are put together and decoded. Wrong bytes become a mark.
+    """
+    text = spark.read.option("lineSep", "\n").text(path)
+    pieces = text.select(
+        decoded_name(F.col("_metadata.file_path")).alias("file"), F.col("_metadata.file_block_start").alias("chunk"),
+        F.monotonically_increasing_id().alias("pos"), F.col("value").cast("binary").alias("bytes"),
+    )
+    size = F.octet_length("bytes").cast("bigint")
+    mark = F.first(F.hex(F.substring("bytes", 1, 2))).over(Window.partitionBy("file", "chunk").orderBy("pos"))
+    placed = ordered_scan(
+        pieces.withColumn("first", mark), ["file"], ["chunk"], "pos",
+        carry={"mark": F.when((F.col("chunk") == 0) & F.col("first").isin("FFFE", "FEFF"), F.col("first"))},
+        total_before={"offset": size + 1}, ahead={"next": F.hex(F.substring("bytes", 1, 1))},
+    )
+    plain = placed.filter("mark is null").select("file", "chunk", "pos", F.col("bytes").cast("string").alias("line"))
+
+    little, at = F.col("mark") == "FFFE", F.col("offset") + size
+    last = F.hex(F.substring("bytes", -1, 1))
+    line_end = F.when(little, (at % 2 == 0) & (F.col("next") == "00")).otherwise((at % 2 == 1) & (last == "00") & F.col("next").isNotNull())
+    wide = checkpointed(placed.filter("mark is not null").withColumn("ends", F.coalesce(line_end, F.lit(False))))
+    numbered = ordered_scan(wide, ["file"], ["chunk"], "pos", total_before={"line": F.col("ends").cast("bigint")})
+    whole = numbered.groupBy("file", "mark", "line").agg(
+        F.array_sort(F.collect_list(F.struct("chunk", "pos", "bytes"))).alias("pieces"), F.max("ends").alias("ended")  # of one line
+    )
+    joined = F.unhex(F.concat_ws("0A", F.transform("pieces", lambda p: F.hex(p["bytes"]))))
+    # The other byte of a line end is in the line behind it, or still in its own; the first line begins with the mark.
+    begin = F.when(F.col("line") == 0, 3).when(little, 2).otherwise(1)
+    end = F.octet_length("joined") - F.when(~little & F.col("ended"), 1).otherwise(0)
+    length = F.greatest(end - begin + 1, F.lit(0))
+    content = F.col("joined").substr(begin, length - length % 2)
+    with java_charsets(spark):
+        decoded = F.when(little, F.decode(content, "UTF-16LE")).otherwise(F.decode(content, "UTF-16BE"))
+        wide_lines = whole.withColumn("joined", joined).select("file", F.col("pieces")[0]["chunk"].alias("chunk"), F.col("pieces")[0]["pos"].alias("pos"), decoded.alias("line"))
+    return plain.unionByName(wide_lines)
+
+
 def base_name(file: Column) -> Column:
     return F.regexp_extract(file, "[^/]*$", 0)
 

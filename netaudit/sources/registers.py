@@ -15,7 +15,7 @@ from netaudit.functions.net import has_mac, is_ip
 from netaudit.functions.text import token, trim_blanks
 from netaudit.operators.matchjoin import salted_join
 from netaudit.sinks.versions import register_folder
-from netaudit.sources.lines import decoded_name, number_lines, read_lines
+from netaudit.sources.lines import number_lines, read_marked_lines
 
 # Column names of the registers.
 STATIC_SCHEMA = "`IPアドレス` string, `ホスト名` string, `設置場所` string, `管理者` string, `用途` string"
@@ -186,33 +186,10 @@ def lease_cells(line: Column) -> Column:
 def read_leases(spark: SparkSession, path: str, rank: int = 0) -> DataFrame:
     """DHCP leases from tab-separated files without header, each in UTF-8 or UTF-16.
 
-    The byte order mark of a file tells which. UTF-8 files are split freely, UTF-16 ones
-    cannot be. A folder without any lease is an error.
+    A folder without any lease is an error.
     """
-    starts = utf16_files(spark, path)
-    marked = [row.file for row in starts.collect()]  # names of files, to read them by
-    lines = read_lines(spark, path)
-    if marked:
-        lines = lines.join(starts, "file", "left_anti").unionByName(_utf16_lines(spark, marked))
+    lines = read_marked_lines(spark, path)
     leases = leases_of_cells(lines.select("file", "chunk", "pos", lease_cells(F.col("line")).alias("cells")), rank)
     if leases.isEmpty():
         raise ValueError(f"no leases in {path}")
     return leases
-
-
-def utf16_files(spark: SparkSession, path: str) -> DataFrame:
-    """Names of the files that start with a UTF-16 byte order mark: ``file``."""
-    mark = F.hex(F.substring(F.col("value").cast("binary"), 1, 2))
-    starts = spark.read.text(path).filter((F.col("_metadata.file_block_start") == 0) & mark.isin("FFFE", "FEFF"))
-    return starts.select(decoded_name(F.col("_metadata.file_path")).alias("file")).distinct()
-
-
-def _utf16_lines(spark: SparkSession, files: list[str]) -> DataFrame:
-    # No character separates or quotes, so that a record is a whole line.
-    rows = spark.read.schema("line string").options(sep="\u0001", quote="", encoding="UTF-16", multiLine=True).csv(files)
-    return rows.select(
-        decoded_name(F.col("_metadata.file_path")).alias("file"),
-        F.lit(0).cast("bigint").alias("chunk"),
-        F.monotonically_increasing_id().alias("pos"),
-        "line",
-    )
