@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from netaudit.constants import BLANK_HOST, VPN_HOST, VPN_LOCAL_HOST
 from netaudit.operators.matchjoin import SALTS, first_prefix_match
+from netaudit.operators.positions import with_positions
 from netaudit.session import checkpointed
 from netaudit.sources.registers import DEVICE_COLUMNS, sequence
 
@@ -120,5 +121,5 @@ def device_register(
 
 
 def sorted_by_ip(register: DataFrame) -> DataFrame:
-    """Text order of the addresses, for export. Joins do not need it."""
-    return register.orderBy("ip")
+    """The register with each row's ``position`` in the text order of the addresses, for export. Joins do not need it."""
+    return with_positions(register, [F.col("ip")])

@@ -19,6 +19,7 @@ from netaudit.constants import (
 )
 from netaudit.functions.dates import trend_periods
 from netaudit.functions.text import mb_to_gb, size_to_mb, token
+from netaudit.operators.positions import with_positions
 from netaudit.operators.shaping import size_cell
 from netaudit.sources.lines import csv_sections
 
@@ -87,7 +88,8 @@ def with_ranks(trend: DataFrame) -> DataFrame:
 
 
 def sorted_trend(ranked: DataFrame) -> DataFrame:
-    return ranked.orderBy(F.desc("applicationsRank"), "application", "yyyymm")
+    """Trend rows with their ``position`` in the output: by the rank of the application, its name and the month."""
+    return with_positions(ranked, [F.desc("applicationsRank"), F.col("application"), F.col("yyyymm")])
 
 
 def chart_series(trend: DataFrame, applications: Sequence[str] = CHART_APPLICATIONS) -> DataFrame:

@@ -7,12 +7,14 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from netaudit import constants as C
-from netaudit.plans import jobs
+from netaudit.operators.positions import with_positions
+from netaudit.plans import devices, jobs, trend, vpn
 from netaudit.registry import inputs
 from netaudit.registry.files import _lines, month_reports, new_folder, write_files
 from netaudit.registry.inputs import table, text
-from netaudit.sinks import versions
-from netaudit.sources import lines, registers
+from netaudit.registry.queries import bandwidth_trend, device_register
+from netaudit.sinks import tables, versions
+from netaudit.sources import lines, registers, xmlreports
 
 # Fixed values of the registered runs.
 FIRST_DAY, SECOND_DAY = date(1995, 1, 1), date(1998, 6, 15)
@@ -192,4 +194,35 @@ def trend_again(spark, sf):
     return series.withColumns({"first_read": F.lit(len(first)), "then_read": F.lit(",".join(second))})
 
 
-RUN_QUERIES = {f.__name__: f for f in [refreshed_registers, config_job, vpn_job, room_log, provider_networks, monthly_audit, trend_again]}
+def sorted_devices(spark, sf):
+    """O1: place of each device in the text order of the addresses."""
+    return devices.sorted_by_ip(device_register(spark, sf)).select("ip", "hostName", "position")
+
+
+def sorted_trend(spark, sf):
+    """The trend table as it is written, with the place of each row."""
+    folder, period = new_folder(spark), "199907"
+    rows = jobs.checkpointed(bandwidth_trend(spark, sf))
+    tables.write_trend(rows, trend.chart_series(rows), period, folder)
+    return spark.read.parquet(f"{folder}/{period}/trend").select("application", "yyyymm", "size", "position")
+
+
+def sorted_sessions(spark, sf):
+    """O3: place of each marked log line in the order that decides a session's user: day as text, then file and line."""
+    lines_ = vpn.month_lines(inputs.vpn_lines(spark, sf), vpn.SESSION_MARKS, 1)
+    found = lines_.select(vpn.x(2).alias("day"), "file", "chunk", "pos", F.array_join("words", " ").alias("line"))
+    return with_positions(found, [F.col(c) for c in ("day", "file", "chunk", "pos")]).select("line", "position")
+
+
+def large_table(spark, sf):
+    """One table of one report file with a row per order, read by many tasks."""
+    orders = table(spark, sf, "orders")
+    name = F.lit(f"{C.TERMINALS_VPN}-1999-08-01_1234.xml")
+    row = text("<id><Key>", F.col("o_orderkey"), "</Key><Who>c &amp; ", F.col("o_custkey"), "</Who><Who>", F.col("o_orderstatus"), "</Who></id>")
+    frame = spark.createDataFrame([(-1, f'<r><table name="{C.TERMINAL_TABLE}">'), (1 << 40, "</table></r>")], "pos long, line string")
+    folder = write_files(_lines(orders, name, F.col("o_orderkey"), row).unionByName(_lines(frame, name, F.col("pos"), F.col("line"))), new_folder(spark))
+    rows = xmlreports.read_reports(spark, folder)
+    return rows.select(F.col("table").alias("table_name"), *[F.try_element_at("cells", F.lit(c)).alias(c.lower()) for c in ("Key", "Who1", "Who2")])
+
+
+RUN_QUERIES = {f.__name__: f for f in [sorted_devices, sorted_trend, sorted_sessions, large_table, refreshed_registers, config_job, vpn_job, room_log, provider_networks, monthly_audit, trend_again]}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from netaudit import constants as C
 from netaudit.registry.oracle import SQL, TREND_MONTHS, with_parts
 from netaudit.registry.runs import FIRST_DAY, SECOND_DAY
 
@@ -11,6 +12,12 @@ def valid(day) -> str:
 
 
 RUN_SQL = {
+    "sorted_devices": f"""SELECT ip, hostName AS "hostName", row_number() OVER (ORDER BY ip NULLS FIRST, hostName NULLS FIRST, "user" NULLS FIRST, description NULLS FIRST, "macAddress" NULLS FIRST) - 1 AS position
+        FROM ({SQL["device_register"]})""",
+    "sorted_trend": f"""SELECT application, yyyymm, size, row_number() OVER (ORDER BY "applicationsRank" DESC, application NULLS FIRST, yyyymm, size) - 1 AS position FROM ({SQL["bandwidth_trend"]})""",
+    "sorted_sessions": """SELECT array_to_string(w, ' ') AS line, row_number() OVER (ORDER BY w[2], f, event_id) - 1 AS position FROM vpn_words WHERE event_type IN ('click', 'view') AND w[1] = 'Jan'""",
+    "large_table": f"""SELECT '{C.TERMINAL_TABLE}' AS table_name, o_orderkey::VARCHAR AS key, 'c & ' || o_custkey AS who1, o_orderstatus AS who2 FROM orders""",
+
     "refreshed_registers": f"""SELECT 'users' AS register, row, 1 AS version FROM ({valid(FIRST_DAY)}) UNION ALL SELECT 'users', row, 2 FROM ({valid(SECOND_DAY)})
         UNION ALL SELECT 'assets', CASE WHEN s_suppkey % 3 <> 1 THEN 'PC-' || n || CASE WHEN n % 2 = 1 THEN '-NB' ELSE '' END ELSE '-' END || '|NATION_' || s_nationkey, 1
         FROM (SELECT *, CASE WHEN s_suppkey % 4 = 3 THEN s_suppkey - 1 ELSE s_suppkey END AS n FROM supplier)""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from netaudit.plans.trend import sorted_trend
 from netaudit.sinks.namedfiles import write_documents, write_keyed_lines
 from netaudit.sinks.versions import write_registers
 
@@ -38,8 +39,8 @@ def write_reports(rows: DataFrame, yyyymm: str, path: str) -> None:
 
 
 def write_trend(ranked: DataFrame, series: DataFrame, yyyymm: str, path: str) -> None:
-    """The trend table without its rank column, in output order, and the chart series."""
-    table = ranked.orderBy(F.desc("applicationsRank"), "application", "yyyymm").drop("applicationsRank")
+    """The trend table without its rank column, in output order with each row's ``position``, and the chart series."""
+    table = sorted_trend(ranked).drop("applicationsRank").orderBy("position")
     table.write.mode("overwrite").parquet(f"{path}/{yyyymm}/trend")
     series.write.mode("overwrite").parquet(f"{path}/{yyyymm}/series")
 
