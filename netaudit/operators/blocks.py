@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from netaudit.functions.net import ip_to_number, number_to_ip
 from netaudit.functions.text import config_value, remove_first, trim_blanks
+from netaudit.operators.dropped import counted
 from netaudit.operators.matchjoin import salted_join
 from netaudit.operators.scan import lines_since, ordered_scan
 from netaudit.session import checkpointed
@@ -122,8 +123,8 @@ def blocked_macs(lines: DataFrame, per_entry: bool = False) -> DataFrame:
             last_of("description"),
             F.max_by("interFace", F.when(F.col("closing"), place())).alias("interFace"),
         )
-        .filter("closed and macAddress is not null")
     )
+    records = counted(records, "blocks without MAC", F.col("closed") & F.col("macAddress").isNull()).filter("closed and macAddress is not null")
     if per_entry:
         records = records.filter("action is not null")
     fields = F.struct("action", "description", "interFace")
@@ -176,8 +177,8 @@ def dhcp_ranges(lines: DataFrame, all_ranges: bool = False) -> DataFrame:
             F.least(one, other).alias("lo"), F.greatest(one, other).alias("hi"),
             (one + other).isNotNull().alias("valid"),
         )
-        .filter("valid")
     )
+    found = counted(found, "ranges without addresses", ~F.col("valid")).filter("valid")
     if all_ranges:
         return found.select("file", "interface", "lo", "hi")
     return (

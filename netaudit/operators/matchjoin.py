@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from netaudit.functions.net import ipv4_number, network_bits, network_low
+from netaudit.operators.dropped import counted
 from netaudit.operators.patternjoin import pattern_pairs, split_keys
 
 ADDRESS_BITS = 32
@@ -216,6 +217,7 @@ def blocks_of_networks(networks: DataFrame, order: str, name: str, span: bool) -
     counts for its first octet only unless ``span``.
     """
     cidr = F.col("cidr")
+    networks = counted(networks, "malformed networks", network_low(cidr).isNull())
     size = F.lit(ADDRESS_BITS) - (network_bits(cidr) if span else F.greatest(network_bits(cidr), F.lit(8)))
     bounded = networks.select(
         F.col(name).alias("_name"), F.col(order).alias("_order"), network_low(cidr).alias("lo"), size.alias("size")

@@ -13,6 +13,7 @@ from netaudit.functions.dates import shift_period, trend_periods
 from netaudit.functions.net import mac_search_key
 from netaudit.functions.text import trim_blanks
 from netaudit.operators.blocks import DHCP_START, blocked_macs, deny_list, dhcp_ranges, relevant_lines
+from netaudit.operators.dropped import counted, counting
 from netaudit.operators.matchjoin import mac_search
 from netaudit.plans.devices import device_register
 from netaudit.plans.identity import identity_relation, report_keys
@@ -29,6 +30,7 @@ from netaudit.plans.vpn import marked_lines, vpn_local_ips, vpn_sessions
 from netaudit.session import checkpointed, job_tables
 from netaudit.sinks.tables import (
     write_mac_matches,
+    write_register,
     write_reports,
     write_review_records,
     write_trend,
@@ -74,17 +76,19 @@ def config_registers(lines: DataFrame, out: str) -> None:
     """Deny list, its export form, blocked MACs and DHCP ranges of a configuration, published together.
 
     A configuration without DHCP section is an error; the snapshots then stay as they are.
-    Blocked MACs are exported only if there are any.
+    Blocked MACs are exported only if there are any. ``config_dropped`` counts what had no result.
     """
     spark = lines.sparkSession
-    with job_tables(spark):
+    with job_tables(spark), counting() as dropped:
         if lines.filter(F.contains("line", F.lit(DHCP_START))).isEmpty():
             raise ValueError(f"the configuration has no section '{DHCP_START}'")
         lines = relevant_lines(lines)
         denied = deny_list(lines).drop("file")
         registers = {"deny_list": denied, "deny_list_export": denied_export(denied), "dhcp_ranges": dhcp_ranges(lines).drop("file")}
         blocked = checkpointed(blocked_macs(lines).drop("file"))
-        write_registers(spark, out, registers if blocked.isEmpty() else registers | {"blocked_macs": blocked})
+        if not blocked.isEmpty():
+            registers["blocked_macs"] = blocked
+        write_registers(spark, out, registers, then=lambda: {"config_dropped": dropped.table(spark)})
 
 
 def denied_export(denied: DataFrame) -> DataFrame:
@@ -153,9 +157,11 @@ def monthly_audit(
     ranges = register("dhcp_ranges", RANGE_SCHEMA).drop("seq")
     rows = read_reports(spark, reports).select("report", "table", "place", "cells")
     rows = checkpointed(rows, by=["report", "table"])
-    _, shaped = audit_reports(rows, devices, ranges, networks)
-    check_destinations(shaped)
-    write_reports(shaped, yyyymm, _folder(out, "reports"))
+    with counting() as dropped:
+        _, shaped = audit_reports(rows, devices, ranges, networks)
+        check_destinations(shaped)
+        write_reports(shaped, yyyymm, _folder(out, "reports"))
+        write_register(dropped.table(spark), _folder(out, f"dropped-{yyyymm}"))
 
 
 # Fixed value: folder of a month's reports below the common root.
@@ -231,8 +237,11 @@ def bandwidth_report(spark: SparkSession, root: str, yyyymm: str, out: str, xml_
     """
     periods, state = trend_periods(yyyymm), _folder(out, "months")
     changed = update_months(spark, root, periods, state, xml_since)
-    trend = stored_months(spark, state, periods)
-    write_trend(with_ranks(trend), chart_series(trend), yyyymm, out)
+    stored = stored_months(spark, state, periods)
+    with counting() as dropped:
+        trend = checkpointed(counted(stored, "sizes in other units", F.col("size").isNotNull() & F.col("bandwidth").isNull()))
+        write_trend(with_ranks(trend), chart_series(trend), yyyymm, out)
+        write_register(dropped.table(spark), _folder(out, f"dropped-{yyyymm}"))
     return changed
 
 

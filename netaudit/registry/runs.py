@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from netaudit import constants as C
+from netaudit.operators import matchjoin
+from netaudit.operators.dropped import counting
 from netaudit.operators.positions import with_positions
 from netaudit.plans import devices, jobs, trend, vpn
 from netaudit.registry import inputs
@@ -225,4 +227,20 @@ def large_table(spark, sf):
     return rows.select(F.col("table").alias("table_name"), *[F.try_element_at("cells", F.lit(c)).alias(c.lower()) for c in ("Key", "Who1", "Who2")])
 
 
-RUN_QUERIES = {f.__name__: f for f in [sorted_devices, sorted_trend, sorted_sessions, large_table, refreshed_registers, config_job, vpn_job, room_log, provider_networks, monthly_audit, trend_again]}
+def dropped_counts(spark, sf):
+    """What jobs leave out: blocks whose MAC line is missing, networks that are none, sizes in other units."""
+    root = new_folder(spark)
+    no_mac = F.contains("line", F.lit("set mac ")) & F.endswith("line", F.lit("0"))
+    jobs.config_registers(inputs.config_lines(spark, sf).filter(~no_mac), f"{root}/ext")
+    reports = month_reports(spark, sf).withColumn("line", F.replace("line", F.lit("7 MB"), F.lit("7 KB")))
+    write_files(reports, root)
+    jobs.bandwidth_report(spark, root, "199907", f"{root}/out", xml_since="199901")
+    with counting() as dropped:
+        ips = table(spark, sf, "customer").select(inputs.ip10(F.col("c_custkey")).alias("ip"))
+        jobs.checkpointed(matchjoin.first_network_match(ips, inputs.network_entries(spark, sf), "seq", "User"))
+        networks = dropped.table(spark)
+    kept = [registers.read_register(spark, f"{root}/{name}", "what string, rows long").drop("seq") for name in ("ext/config_dropped", "out/dropped-199907")]
+    return networks.unionByName(kept[0]).unionByName(kept[1])
+
+
+RUN_QUERIES = {f.__name__: f for f in [dropped_counts, sorted_devices, sorted_trend, sorted_sessions, large_table, refreshed_registers, config_job, vpn_job, room_log, provider_networks, monthly_audit, trend_again]}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from netaudit import constants as C
-from netaudit.registry.oracle import SQL, TREND_MONTHS, with_parts
+from netaudit.registry.oracle import SQL, TREND_MONTHS, mac, with_parts
 from netaudit.registry.runs import FIRST_DAY, SECOND_DAY
 
 
@@ -12,6 +12,10 @@ def valid(day) -> str:
 
 
 RUN_SQL = {
+    "dropped_counts": f"""SELECT 'blocks without MAC' AS what, (SELECT count(*) FROM customer WHERE ends_with({mac('c_custkey // 2')}, '0')) AS rows
+        UNION ALL SELECT 'ranges without addresses', 0 UNION ALL SELECT 'malformed networks', (SELECT count(*) FROM networks WHERE bad)
+        UNION ALL SELECT 'sizes in other units', (SELECT count(*) FROM ({SQL["bandwidth_trend"]}) WHERE ends_with(size, '7 MB'))""",
+
     "sorted_devices": f"""SELECT ip, hostName AS "hostName", row_number() OVER (ORDER BY ip NULLS FIRST, hostName NULLS FIRST, "user" NULLS FIRST, description NULLS FIRST, "macAddress" NULLS FIRST) - 1 AS position
         FROM ({SQL["device_register"]})""",
     "sorted_trend": f"""SELECT application, yyyymm, size, row_number() OVER (ORDER BY "applicationsRank" DESC, application NULLS FIRST, yyyymm, size) - 1 AS position FROM ({SQL["bandwidth_trend"]})""",

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -120,13 +120,17 @@ def publish(spark: SparkSession, root: str, folders: Mapping[str, str], notes: M
             return number
 
 
-def write_registers(spark: SparkSession, root: str, registers: Mapping[str, DataFrame], fmt: str = "json") -> int:
-    """Write registers and publish them together; the version's number."""
+def write_registers(
+    spark: SparkSession, root: str, registers: Mapping[str, DataFrame], fmt: str = "json",
+    then: Callable[[], Mapping[str, DataFrame]] = dict,
+) -> int:
+    """Write registers, then those that ``then`` makes, such as counts of the first, and publish all together; the version's number."""
     root = root.rstrip("/")
     folders = {}
-    for name, register in registers.items():
-        folders[name] = f"{name}/v-{uuid.uuid4().hex}"
-        register.write.format(fmt).save(f"{root}/{folders[name]}")
+    for made in (registers.items, lambda: then().items()):
+        for name, register in made():
+            folders[name] = f"{name}/v-{uuid.uuid4().hex}"
+            register.write.format(fmt).save(f"{root}/{folders[name]}")
     return publish(spark, root, folders)
 
 
