@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import date
 from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from netaudit.constants import BANDWIDTH_REPORT, XML_SINCE
-from netaudit.functions.dates import shift_period, trend_periods
+from netaudit.functions.dates import previous_period, shift_period, trend_periods
 from netaudit.functions.net import mac_search_key
 from netaudit.functions.text import trim_blanks
 from netaudit.operators.blocks import DHCP_START, blocked_macs, deny_list, dhcp_ranges, relevant_lines
@@ -20,7 +21,9 @@ from netaudit.plans.identity import identity_relation, report_keys
 from netaudit.plans.reports import check_destinations, enrich, shape
 from netaudit.plans.review import (
     missing_periods,
+    not_yet_converted,
     of_fiscal_year,
+    produced_names,
     produced_periods,
     read_calendar,
     review_records,
@@ -28,6 +31,7 @@ from netaudit.plans.review import (
 from netaudit.plans.trend import chart_series, trend_of_csv, trend_of_xml, with_ranks
 from netaudit.plans.vpn import marked_lines, vpn_local_ips, vpn_sessions
 from netaudit.session import checkpointed, job_tables
+from netaudit.sinks.namedfiles import write_documents
 from netaudit.sinks.tables import (
     write_mac_matches,
     write_register,
@@ -96,8 +100,9 @@ def denied_export(denied: DataFrame) -> DataFrame:
 
 
 @owns_tables
-def vpn_registers(spark: SparkSession, logs: str, yyyymm: str, out: str) -> None:
-    """VPN sessions and VPN-local addresses of a month; its neighbours' files are read too."""
+def vpn_registers(spark: SparkSession, logs: str, yyyymm: str | None, out: str, today: date | None = None) -> None:
+    """VPN sessions and VPN-local addresses of a month, the last one unless given; its neighbours' files are read too."""
+    yyyymm = yyyymm or previous_period(today or date.today())
     periods = [yyyymm, shift_period(yyyymm, -1), shift_period(yyyymm, 1)]
     lines = marked_lines(read_vpn_lines(spark, logs, periods))
     month = int(yyyymm[4:])
@@ -123,10 +128,10 @@ def audit_reports(
 
 @owns_tables
 def monthly_audit(
-    spark: SparkSession, reports: str, ext: str, yyyymm: str, own_label: str, out: str,
-    version: int | None = None,
+    spark: SparkSession, reports: str, ext: str, yyyymm: str | None, own_label: str, out: str,
+    version: int | None = None, today: date | None = None,
 ) -> None:
-    """Annotate the reports of a folder and write them under ``out``.
+    """Annotate the reports of a folder and write them under ``out``, as those of the last month unless one is given.
 
     Files that are none of the seven reports are left out. Destinations that lack a required
     column or a size are an error.
@@ -135,6 +140,7 @@ def monthly_audit(
     :func:`refresh_registers`, all of the one last version or of ``version``, the lease files
     (``dhcp``) and the parameter register (``parameters``).
     """
+    yyyymm = yyyymm or previous_period(today or date.today())
     if version is None:
         version = next(reversed(versions(spark, ext)), None)
 
@@ -229,12 +235,15 @@ def stored_months(spark: SparkSession, state: str, periods: list[str]) -> DataFr
 
 
 @owns_tables
-def bandwidth_report(spark: SparkSession, root: str, yyyymm: str, out: str, xml_since: str = XML_SINCE) -> list[str]:
-    """Write the thirteen-month trend of the bandwidth reports and its chart series.
+def bandwidth_report(
+    spark: SparkSession, root: str, yyyymm: str | None, out: str, xml_since: str = XML_SINCE, today: date | None = None
+) -> list[str]:
+    """Write the thirteen-month trend of the bandwidth reports and its chart series, up to the last month unless one is given.
 
     The rows of each month are kept below ``out``; only months that are new or whose files have
     changed are read, and named in the result. Counts and series are made from the kept rows.
     """
+    yyyymm = yyyymm or previous_period(today or date.today())
     periods, state = trend_periods(yyyymm), _folder(out, "months")
     changed = update_months(spark, root, periods, state, xml_since)
     stored = stored_months(spark, state, periods)
@@ -256,6 +265,23 @@ def missing_reviews(
     write_review_records(review_records(missing, creator, approver, participants), header, out)
 
 
+@owns_tables
+def convert_records(spark: SparkSession, sources: str, out: str, extension: str, convert: Callable[[Column], Column]) -> int:
+    """Convert the documents of a folder that have no output yet, by a function of their text; how many there were.
+
+    An output has the name of its document with another extension.
+    """
+    named = F.regexp_replace("name", r"\.[^.]*$", "")
+    waiting = not_yet_converted(
+        produced_names(spark, sources).select("name", named.alias("stem")),
+        produced_names(spark, out).filter(F.endswith("name", F.lit(extension))).select(named.alias("stem")), "stem",
+    )
+    texts = spark.read.text(sources, wholetext=True).select(base_name(decoded_name(F.col("_metadata.file_path"))).alias("name"), "value")
+    made = checkpointed(texts.join(waiting, "name").select(F.concat("stem", F.lit(extension)).alias("name"), convert(F.col("value")).alias("text")))
+    write_documents(made, out)
+    return made.count()
+
+
 @owns_tables
 def write_mac_search(spark: SparkSession, mac_list: str, tables: str, out: str) -> None:
     """Write the lines of the switch tables that hold a listed MAC, with an index of the MACs."""

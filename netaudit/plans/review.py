@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,6 +15,7 @@ from netaudit.functions.dates import (
     japanese_weekday,
 )
 from netaudit.functions.text import name_part
+from netaudit.session import checkpointed
 from netaudit.sources.lines import base_name, decoded_name, read_lines, number_lines
 
 
@@ -34,17 +36,61 @@ def of_fiscal_year(calendar: DataFrame, today: date) -> DataFrame:
     return year.filter(F.col("fiscalYear") == fiscal_year_of(today))
 
 
+#: Folder below a folder of documents that keeps the names found, with the time of the folder's last change before.
+PRODUCED = "_produced"
+PRODUCED_SCHEMA = "name string, changed long"
+#: Milliseconds after which a change cannot be one of the same time that is still going on.
+SETTLED = 2000
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _changed(spark: SparkSession, path: str) -> int | None:
+    """When names were last added to or taken from a folder; None if there is no folder."""
+    place, system = _place(spark, path)
+    return system.getFileStatus(place).getModificationTime() if system.exists(place) else None
+
+
+def list_names(spark: SparkSession, path: str) -> DataFrame:
+    """Names of the files of a folder, without reading them: ``name``."""
+    files = spark.read.format("binaryFile").load(path).select(base_name(decoded_name(F.col("path"))).alias("name"))
+    return files.filter(~F.startswith("name", F.lit("_")) & ~F.startswith("name", F.lit(".")))
+
+
+def produced_names(spark: SparkSession, path: str) -> DataFrame:
+    """Names of the documents of a folder, which is listed once for each change of it.
+
+    What a listing finds is added to the folder's list under the time of the last change; while
+    that time stays the list is read instead. A change of the last moments is not trusted, and
+    where a store does not tell when a folder was changed it is listed each time.
+    """
+    if _changed(spark, path) is None:
+        return spark.createDataFrame([], "name string")
+    listed = f"{path.rstrip('/')}/{PRODUCED}"
+    place, system = _place(spark, listed)
+    system.mkdirs(place)
+    changed = _changed(spark, path)
+    known = spark.read.schema(PRODUCED_SCHEMA).json(listed).filter(F.col("changed") == changed)
+    if changed and not known.isEmpty():
+        return known.filter("name is not null").select("name").distinct()
+    found = checkpointed(list_names(spark, path))
+    if changed and time.time() * 1000 - changed > SETTLED:
+        # The row without name tells that the folder was listed, though it may be empty.
+        noted = found.unionByName(spark.createDataFrame([(None,)], "name string")).withColumn("changed", F.lit(changed))
+        noted.write.mode("append").json(listed)
+    return found
+
+
 def produced_periods(spark: SparkSession, path: str, header: str, extension: str = ".md") -> DataFrame:
     """Periods that have a record: files ``<header> yyyymm<extension>``.
 
-    Files are listed without reading them. A folder that does not exist yet has no records.
+    A folder that does not exist yet has no records.
     """
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        return spark.createDataFrame([], "yyyymm string")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(decoded_name(F.col("path")).alias("name"))
-    named = F.regexp_extract(base_name(F.col("name")), rf"\Q{header}\E (\d{{6}})\Q{extension}\E", 1)
-    return files.select(named.alias("yyyymm")).filter(F.col("yyyymm") != "").distinct()
+    named = F.regexp_extract("name", rf"^\Q{header}\E (\d{{6}})\Q{extension}\E", 1)
+    return produced_names(spark, path).select(named.alias("yyyymm")).filter(F.col("yyyymm") != "").distinct()
 
 
 def with_event(calendar: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from netaudit.registry import inputs
 from netaudit.registry.files import _lines, month_reports, new_folder, write_files
 from netaudit.registry.inputs import table, text
 from netaudit.registry.queries import bandwidth_trend, device_register
-from netaudit.sinks import tables, versions
+from netaudit.sinks import namedfiles, tables, versions
 from netaudit.sources import lines, registers, xmlreports
 
 # Fixed values of the registered runs.
@@ -71,7 +71,8 @@ def vpn_job(spark, sf):
     events = inputs.vpn_lines(spark, sf).withColumn("file", F.replace("file", F.lit("vpn-"), F.lit("vpn199901-")))
     old = _lines(table(spark, sf, "events"), F.lit("vpn199803.log"), F.col("event_id"), F.lit("Jan 1 00:00:00 gw vpn[1]: peer connected from 10.0.0.1 none"))
     write_files(events.select("file", "chunk", "pos", "line").unionByName(old), f"{folder}/logs")
-    jobs.vpn_registers(spark, f"{folder}/logs", "199901", f"{folder}/ext")
+    # The month before the day of the run.
+    jobs.vpn_registers(spark, f"{folder}/logs", None, f"{folder}/ext", today=date(1999, 2, 10))
     vpn = register_rows(spark, f"{folder}/ext", "vpn", "ip string, user string")
     return vpn.unionByName(register_rows(spark, f"{folder}/ext", "vpn_local", "ip string"))
 
@@ -243,4 +244,25 @@ def dropped_counts(spark, sf):
     return networks.unionByName(kept[0]).unionByName(kept[1])
 
 
-RUN_QUERIES = {f.__name__: f for f in [dropped_counts, sorted_devices, sorted_trend, sorted_sessions, large_table, refreshed_registers, config_job, vpn_job, room_log, provider_networks, monthly_audit, trend_again]}
+def converted_records(spark, sf):
+    """Documents of the months converted in three runs; the second finds one put by hand, the third nothing."""
+    folder = new_folder(spark)
+    months = inputs.calendar(spark, sf).select(F.col("targetYm").alias("month"), F.col("name").alias("who"))
+    documents = months.select(text("record ", F.col("month"), ".md").alias("name"), text("# ", F.col("month"), "\n", F.col("who")).alias("text"))
+    last = F.col("name") == documents.agg(F.max("name")).first()[0]
+    done = []
+    for wanted in (~last, last, F.lit(False)):
+        namedfiles.write_documents(documents.filter(wanted), f"{folder}/records")
+        done.append(jobs.convert_records(spark, f"{folder}/records", f"{folder}/out", ".txt", lambda t: F.regexp_replace(t, "^# ", "")))
+    made = spark.read.text(f"{folder}/out", wholetext=True).select(lines.base_name(lines.decoded_name(F.col("_metadata.file_path"))).alias("name"), F.col("value").alias("text"))
+    return made.withColumn("runs", F.lit(",".join(str(n) for n in done[1:])))
+
+
+def scalar_registers(spark, sf):
+    """Registers that are one array of texts per file."""
+    names = table(spark, sf, "supplier").groupBy("s_nationkey").agg(F.to_json(F.sort_array(F.collect_list("s_name"))).alias("items"))
+    folder = write_files(_lines(names, text("list-", F.col("s_nationkey"), ".json"), F.lit(0), F.col("items")), f"{new_folder(spark)}/scalars")
+    return registers.read_scalars(spark, folder, "name")
+
+
+RUN_QUERIES = {f.__name__: f for f in [converted_records, scalar_registers, dropped_counts, sorted_devices, sorted_trend, sorted_sessions, large_table, refreshed_registers, config_job, vpn_job, room_log, provider_networks, monthly_audit, trend_again]}

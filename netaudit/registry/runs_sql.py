@@ -12,6 +12,9 @@ def valid(day) -> str:
 
 
 RUN_SQL = {
+    "converted_records": """SELECT 'record ' || targetYm || '.txt' AS name, targetYm || chr(10) || name AS text, '1,0' AS runs FROM calendar""",
+    "scalar_registers": "SELECT s_name AS name FROM supplier",
+
     "dropped_counts": f"""SELECT 'blocks without MAC' AS what, (SELECT count(*) FROM customer WHERE ends_with({mac('c_custkey // 2')}, '0')) AS rows
         UNION ALL SELECT 'ranges without addresses', 0 UNION ALL SELECT 'malformed networks', (SELECT count(*) FROM networks WHERE bad)
         UNION ALL SELECT 'sizes in other units', (SELECT count(*) FROM ({SQL["bandwidth_trend"]}) WHERE ends_with(size, '7 MB'))""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from netaudit.plans.trend import sorted_trend
 from netaudit.sinks.namedfiles import write_documents, write_keyed_lines
@@ -45,10 +45,14 @@ def write_trend(ranked: DataFrame, series: DataFrame, yyyymm: str, path: str) ->
     series.write.mode("overwrite").parquet(f"{path}/{yyyymm}/series")
 
 
+def record_name(header: str) -> Column:
+    """Name of the document of a period."""
+    return F.concat(F.lit(f"{header} "), "yyyymm", F.lit(".md"))
+
+
 def write_review_records(records: DataFrame, header: str, path: str) -> None:
     """One text document per period, named ``<header> <yyyymm>.md``; existing ones stay."""
-    name = F.concat(F.lit(f"{header} "), "yyyymm", F.lit(".md"))
-    write_documents(records.select(name.alias("name"), "text"), path)
+    write_documents(records.select(record_name(header).alias("name"), "text"), path)
 
 
 def write_mac_matches(matches: DataFrame, path: str) -> None:

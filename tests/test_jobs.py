@@ -3,6 +3,7 @@
 import datetime
 import os
 import random
+import time
 
 from pathlib import Path
 
@@ -340,7 +341,7 @@ def test_only_changed_months_are_read(spark, tmp_path):
 def test_missing_reviews(spark, tmp_path):
     put(tmp_path / "done", "記録 202505.md", "x")
     jobs.missing_reviews(spark, calendar_file(tmp_path), str(tmp_path / "done"), "記録", datetime.date(2025, 6, 1), "Sato", "山田 太郎", "Ito", str(tmp_path / "out"))
-    assert [p.name for p in (tmp_path / "out").iterdir()] == ["記録 202504.md"]
+    assert [p.name for p in (tmp_path / "out").iterdir() if p.is_file()] == ["記録 202504.md"]
 
 
 def test_reviews_end(spark, tmp_path):
@@ -348,10 +349,35 @@ def test_reviews_end(spark, tmp_path):
     out = str(tmp_path / "records")
     run = (spark, calendar_file(tmp_path), out, "記録", datetime.date(2025, 6, 1), "Sato", "山田 太郎", "Ito", out)
     jobs.missing_reviews(*run)
-    first = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "records").iterdir()}
+    first = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "records").iterdir() if p.is_file()}
     assert set(first) == {"記録 202504.md", "記録 202505.md"}
     jobs.missing_reviews(*run)
-    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "records").iterdir()} == first
+    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "records").iterdir() if p.is_file()} == first
+
+
+def test_folders_are_listed_once_for_each_change(spark, tmp_path, monkeypatch):
+    walked = []
+    listing = review.list_names
+    monkeypatch.setattr(review, "list_names", lambda s, p: walked.append(p) or listing(s, p))
+    folder = tmp_path / "records"
+    names = lambda: sorted(r.name for r in review.produced_names(spark, str(folder)).collect())
+    assert names() == [] and not walked
+    put(folder, "a.md", "x")
+
+    def settled():
+        os.utime(folder, (time.time() - 60, time.time() - 60))
+
+    assert names() == ["a.md"] == names() and len(walked) == 2  # the change is too young
+    settled()
+    assert names() == ["a.md"] == names() == names() and len(walked) == 3
+    namedfiles.write_documents(spark.createDataFrame([("b.md", "x"), ("c.md", "x")], "name string, text string"), str(folder))
+    (folder / "a.md").unlink()
+    settled()
+    assert names() == ["b.md", "c.md"] == names() and len(walked) == 4
+    for file in folder.glob("*.md"):
+        file.unlink()
+    settled()
+    assert names() == [] == names() and len(walked) == 5
 
 
 def test_mac_search_writes_its_files(spark, tmp_path):
