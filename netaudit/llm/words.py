@@ -1,11 +1,12 @@
 """Words and word shingles of whole columns of text, hashed with numpy inside Arrow tasks.
 
 A column arrives as one buffer of UTF-8 bytes. Words are runs without ASCII white space; each is
-hashed to 64 bits from prefix sums, so no Python string is made. Null texts count as empty.
+hashed to 64 bits eight bytes at a time, so no Python string is made. Null texts count as empty.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -21,8 +22,6 @@ PIECE_ROWS = 512
 pa.set_memory_pool(pa.system_memory_pool())
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_BASE = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -36,30 +35,11 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=2)
-def byte_codes(fold: bool) -> np.ndarray:
-    """A fixed random number per byte; with ``fold`` A-Z have those of a-z."""
-    codes = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
-    if fold:
-        codes[0x41:0x5B] = codes[0x61:0x7B]
-    return codes
-
-
-_powers = {}
-
-
-def powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of ``base`` modulo 2^64, and of its inverse."""
-    held = _powers.get(base)
-    if held is None or len(held[0]) < n:
-        size = max(n, PIECE_BYTES + (PIECE_BYTES >> 3))
-        held = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            out = np.ones(size, dtype=np.uint64)
-            out[1:] = np.uint64(b)
-            held.append(np.cumprod(out, dtype=np.uint64))
-        _powers[base] = held = tuple(held)
-    return held[0][:n], held[1][:n]
+#: Bytes of a word that are hashed eight at a time; longer words are hashed one by one.
+LONG_WORD = 256
+_KEYS = mix(np.arange(1, 4, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[0x41:0x5B] += 0x20
 
 
 @dataclass
@@ -119,10 +99,29 @@ def split_words(data: np.ndarray, bounds: np.ndarray, extra_starts: np.ndarray |
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool) -> np.ndarray:
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(byte_codes(fold)[data] * up[:-1], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts])
+    """64 bits of each span's bytes and length; with ``fold`` A-Z count as a-z.
+
+    Eight bytes at a time go through a one-to-one mix, so that no structure of a word, such as
+    sums that cancel out, makes two alike. Words of one length up to eight bytes never collide.
+    """
+    padded = np.zeros(len(data) + 8, dtype=np.uint8)
+    padded[: len(data)] = _FOLD[data] if fold else data
+    eights = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    lengths = ends - starts
+    out = mix(lengths.astype(np.uint64) * _KEYS[0] + _KEYS[1])
+    active, done = np.flatnonzero(lengths <= LONG_WORD), 0
+    while len(active):
+        rest = lengths[active] - done
+        value = eights[starts[active] + done]
+        last = rest < 8
+        value[last] &= (np.uint64(1) << (8 * rest[last]).astype(np.uint64)) - np.uint64(1)
+        out[active] = mix((out[active] ^ value) * _KEYS[2])
+        done += 8
+        active = active[rest > 8]
+    for i in np.flatnonzero(lengths > LONG_WORD).tolist():
+        digest = hashlib.blake2b(padded[starts[i] : ends[i]], digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
 
 
 def words_of(texts: pa.Array, fold: bool, limit: int = PIECE_BYTES) -> Iterator[Words]:
@@ -137,7 +136,11 @@ def _places(k: int) -> np.ndarray:
 
 
 def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each run of ``k`` consecutive words, across row ends too; the caller leaves those out."""
+    """Hash of each run of ``k`` consecutive words, across row ends too; the caller leaves those out.
+
+    Long runs are put together from runs of one, two, four and so on words, each mixed, so that
+    no arrangement of few different words makes two runs alike.
+    """
     if len(hashes) < k:
         return np.zeros(0, dtype=np.uint64)
     n = len(hashes) - k + 1
@@ -146,10 +149,17 @@ def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
         for j, place in enumerate(_places(k)):
             out += hashes[j : j + n] * place
         return mix(out)
-    up, down = powers(len(hashes) + 1)
-    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
-    np.cumsum(hashes * up[:-1], out=sums[1:])
-    return mix((sums[k:] - sums[:-k]) * down[:n])
+    runs, size, out, done = hashes, 1, None, 0
+    steps = _places(2 * k.bit_length())
+    for level in range(k.bit_length()):
+        left, right = steps[2 * level], steps[2 * level + 1]
+        if k >> level & 1:
+            out = runs if out is None else mix(out[: len(runs) - done] * left + runs[done:] * right)
+            done += size
+        if done < k:
+            runs = mix(runs[:-size] * right + runs[size:] * left)
+            size *= 2
+    return out[:n]
 
 
 def row_windows(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -6,6 +6,7 @@ import pytest
 
 from netaudit.llm import jaccard
 from tests.llm.support import Union, documents, edge_rows, fold, prose, split
+from tests.llm.test_words import thue_morse
 
 
 def shingles(text):
@@ -62,6 +63,15 @@ def test_edge_documents(spark):
     assert jaccard.shingle_components(documents(spark, [])).count() == 0
 
 
+def test_structured_words_do_not_link(spark):
+    """Long words that are complements of each other, and texts of two words arranged so."""
+    one, other = ("".join(x) for x in thue_morse("a", "b", 10))
+    rows = [(1, one), (2, other), (3, f"{one} b c d e f"), (4, f"{other} b c d e f")]
+    rows += [(5 + i, " ".join(x)) for i, x in enumerate(thue_morse("red", "blue", 7))]
+    got = Counter(map(tuple, jaccard.shingle_components(documents(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()))
+    assert got == by_hand(rows)
+
+
 def test_boundary_follows_cost():
     assert jaccard.light_boundary({}, 80) == 0
     assert jaccard.light_boundary({5: 1000, 6: 1000}, 80) >= 6

@@ -6,6 +6,7 @@ import pytest
 
 from netaudit.llm import passages
 from tests.llm.support import documents, edge_rows, prose, split
+from tests.llm.test_words import thue_morse
 
 
 def by_hand(rows, window):
@@ -52,3 +53,14 @@ def test_edge_documents(spark):
     got = Counter(map(tuple, passages.passage_digests(documents(spark, rows)).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()))
     assert got == by_hand(rows, 50)
     assert passages.passage_digests(documents(spark, [])).count() == 0
+
+
+def test_a_word_like_no_other_stays(spark):
+    """Long words whose letters are arranged so that weighted sums agree, in the same passage of 118 words."""
+    one, other = ("".join(x) for x in thue_morse("a", "b", 10))
+    rng = random.Random(3)
+    before, behind = prose(rng, 59), prose(rng, 59)
+    rows = [(1, f"{before} {one} {behind}"), (2, f"{before} {other} {behind}"), (3, f"{before} {one} {behind}")]
+    rows += [(10 + i, " ".join(x)) for i, x in enumerate(thue_morse("red", "blue", 7))]
+    docs = documents(spark, rows)
+    assert Counter(map(tuple, passages.passage_digests(docs).select("doc_id", "n_words", "n_removed", "kept_sha256").collect())) == by_hand(rows, 50)

@@ -38,6 +38,25 @@ def test_windows_are_equal_where_words_are():
         assert len(set(by_words.values())) == len(by_words)
 
 
+def thue_morse(a, b, doublings):
+    """A sequence of two letters and its complement, whose weighted sums agree for any powers of an odd number."""
+    letters = [0]
+    for _ in range(doublings):
+        letters += [1 - x for x in letters]
+    return [(a, b)[x] for x in letters], [(b, a)[x] for x in letters]
+
+
+def test_structured_words_and_runs_are_told_apart():
+    one, other = ("".join(x) for x in thue_morse("a", "b", 12))
+    words = [one, other, one[:1024], other[:1024], one[:250], other[:250], one[:256] + "x", other[:256] + "x", "a" * 300, "a" * 301, "a" * 8, "a" * 9, "a" * 16]
+    w = next(words_of(pa.array([" ".join(words)]), fold=True))
+    assert len(set(w.hashes.tolist())) == len(words)
+    for k in (17, 25, 50, 64, 100, 1024, 2048):
+        one, other = thue_morse("aa", "b", 11)
+        w = next(words_of(pa.array([" ".join(one[:k] + other[:k])]), fold=False))
+        assert window_hashes(w.hashes, k)[0] != window_hashes(w.hashes, k)[k]
+
+
 def test_short_texts_have_one_shingle():
     sets = [s for w in words_of(pa.array(["", None, "a", "a b", "b a", "a b c d e", "a b c d e f"]), fold=True) for s in shingle_sets(w, 5)]
     assert [len(s) for s in sets] == [0, 0, 1, 1, 1, 1, 2]
