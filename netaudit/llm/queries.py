@@ -41,7 +41,7 @@ ASK = [("ask", "question", "string", True, None, None), ("ask", "turn", "integer
 
 
 def op7_chat_formatting(spark, sf_dir):
-    """Turns of users as calls of a tool, turns of assistants as results of the turn before.
+    """Turns of users as calls of a tool, turns of assistants as results of the turn before, all others as messages.
 
     A call needs the one two turns before; in every seventh conversation the one two turns later.
     """
@@ -51,6 +51,9 @@ def op7_chat_formatting(spark, sf_dir):
         return F.concat(F.lit("call-"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
 
     words = F.size(F.filter(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")).cast("long")
+    placed = "conv_id is not null and turn is not null"
+    messages = turns.filter(f"not coalesce(role in ('user', 'assistant') and {placed}, false)").withColumnRenamed("text", "content")
+    turns = turns.filter(placed)
     calls = turns.filter("role = 'user'").select(
         "conv_id", call_id(F.col("turn")).alias("call_id"), "turn", F.lit("ask").alias("name"),
         F.to_json(F.struct(words.alias("words"), F.col("text").alias("question"), F.col("turn").alias("turn"))).alias("arguments"),
@@ -59,7 +62,7 @@ def op7_chat_formatting(spark, sf_dir):
     needed = F.col("turn") + F.when(F.col("conv_id") % 7 == 0, 2).otherwise(-2)
     needs = calls.select("conv_id", "call_id", call_id(needed).alias("needed"))
     schemas = spark.createDataFrame(ASK, "name string, field string, kind string, required boolean, least double, most double")
-    return toolchat.linked(calls, results, schemas, needs)
+    return toolchat.linked(calls, results, schemas, needs, messages)
 
 
 def op8_embedding_near_dedup(spark, sf_dir):

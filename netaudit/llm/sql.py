@@ -51,12 +51,15 @@ rows AS (
   FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
 )
 SELECT conv_id, call_id, coalesce(turn, result_turn) AS turn, coalesce(place, result_turn) AS place, coalesce(step, 0)::BIGINT AS step,
-  turn IS NOT NULL AND result_turn IS NOT NULL AS linked, (result_turn IS NOT NULL)::BIGINT AS n_results,
+  turn IS NOT NULL AND result_turn IS NOT NULL AS linked, (turn IS NOT NULL)::BIGINT AS n_calls, (result_turn IS NOT NULL)::BIGINT AS n_results,
   CASE WHEN turn IS NOT NULL THEN words BETWEEN 1 AND 40 END AS valid, false AS cyclic,
   CASE WHEN turn IS NULL THEN '{{"id":"' || call_id || '","result":' || result || ',"type":"result"}}'
     ELSE '{{"arguments":{{"question":' || to_json(text) || ',"turn":' || turn || ',"words":' || words || '}},"id":"' || call_id || '","name":"ask","result":'
       || coalesce(result, 'null') || ',"turn":' || turn || ',"type":"call"}}' END AS json
 FROM rows LEFT JOIN places USING (conv_id, turn)
+UNION ALL SELECT conv_id, NULL, turn, turn, 0, false, 0, 0, NULL, false,
+  '{{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"role":' || coalesce(to_json(role)::VARCHAR, 'null') || ',"turn":' || coalesce(turn::VARCHAR, 'null') || ',"type":"message"}}'
+FROM conversations WHERE coalesce(role, '') NOT IN ('user', 'assistant')
 """
 
 OP8 = """

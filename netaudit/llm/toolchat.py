@@ -105,6 +105,13 @@ def field_kind(value: Column) -> Column:
     )
 
 
+def finite_numbers(arguments: Column) -> Column:
+    """Whether no number of a JSON text is beyond what a double holds, for which JSON has no text."""
+    outside = F.regexp_replace(arguments, r'"(?:[^"\\]|\\.)*+"', '""')
+    numbers = F.regexp_extract_all(outside, F.lit(r"-?[0-9]+(?:\.[0-9]+)?[eE][+-]?[0-9]+|-?[0-9]{300,}(?:\.[0-9]+)?"), 0)
+    return ~F.exists(numbers, lambda n: F.abs(n.try_cast("double")) == float("inf"))
+
+
 def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     """``conv_id, call_id, valid, arguments`` (canonical JSON, null if it is none).
 
@@ -112,12 +119,11 @@ def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     arguments that are an object with all required fields, no unknown one, each of its kind
     (``number`` takes integers) and in its bounds. Calls of unknown tools are not valid.
     """
-    parsed = calls.select(*KEY, "name", F.try_parse_json("arguments").alias("v"))
+    parsed = calls.select(*KEY, "name", F.when(finite_numbers(F.col("arguments")), F.try_parse_json("arguments")).alias("v"))
     parsed = parsed.withColumn("v", F.when(F.schema_of_variant("v").startswith("OBJECT"), F.col("v")))
-    names = F.expr("from_json(to_json(v), 'map<string,string>')")
-    fields = parsed.filter("v is not null").select(*KEY, "name", "v", F.explode(F.map_keys(names)).alias("field"))
-    path = F.concat(F.lit('$["'), F.col("field"), F.lit('"]'))
-    fields = fields.select(*KEY, "name", "field", F.try_variant_get(F.col("v"), path, "variant").alias("value"))
+    # Fields by exploding: a path would have to quote their names.
+    exploded = parsed.filter("v is not null").lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("v").outer()))
+    fields = exploded.select(*KEY, "name", F.col("key").alias("field"), "value")
     fields = fields.select(*KEY, "name", "field", field_kind(F.col("value")).alias("given"), F.try_variant_get(F.col("value"), "$", "double").alias("amount"))
     rules = schemas.select("name", "field", "kind", "required", F.col("least").cast("double").alias("least"), F.col("most").cast("double").alias("most"))
     number = F.col("kind").isin("integer", "number")
@@ -133,17 +139,18 @@ def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     )
 
 
-def linked(calls: DataFrame, results: DataFrame, schemas: DataFrame, needs: DataFrame) -> DataFrame:
-    """One row per call, and per result without a call, with its place in the conversation and its JSON.
+def linked(calls: DataFrame, results: DataFrame, schemas: DataFrame, needs: DataFrame, messages: DataFrame | None = None) -> DataFrame:
+    """One row per call, per result without a call and per other message, with its place in the conversation and its JSON.
 
     ``calls``: conv_id, call_id, turn, name, arguments (JSON); ``results``: conv_id, call_id, turn,
     content. Rows without conversation or call id are left out, as nothing can be linked to them.
     Of several calls or results with one id the first by turn and then by text counts, and
-    ``n_results`` tells how many there are. Returns ``conv_id, call_id, turn, place, step, linked, n_results,
-    valid, cyclic, json``; for a result alone ``turn`` and ``place`` are its turn, ``valid`` is null.
+    ``n_calls`` and ``n_results`` tell how many there are. ``messages``: conv_id, turn, role, content;
+    each gives a row without call id. Returns ``conv_id, call_id, turn, place, step, linked, n_calls,
+    n_results, valid, cyclic, json``; for a result or message ``turn`` and ``place`` are its turn, ``valid`` is null.
     """
     named = "conv_id is not null and call_id is not null"
-    first = calls.filter(named).groupBy(*KEY).agg(F.min(F.struct("turn", "name", "arguments")).alias("c")).select(*KEY, "c.*")
+    first = calls.filter(named).groupBy(*KEY).agg(F.min(F.struct("turn", "name", "arguments")).alias("c"), F.count("*").alias("n_calls")).select(*KEY, "c.*", "n_calls")
     first = checkpointed(first)
     answers = results.filter(named).groupBy(*KEY).agg(F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results"))
     answers = answers.select(*KEY, F.col("r.turn").alias("result_turn"), "r.content", "n_results")
@@ -156,8 +163,17 @@ def linked(calls: DataFrame, results: DataFrame, schemas: DataFrame, needs: Data
         ("turn", F.col("turn").cast("string")), ("type", F.lit('"call"')),
     )
     alone = canonical(("id", json_text(F.col("call_id"))), ("result", result), ("type", F.lit('"result"')))
-    return met.select(
+    rows = met.select(
         *KEY, F.when(is_call, F.col("turn")).otherwise(F.col("result_turn")).alias("turn"), F.when(is_call, F.col("place")).otherwise(F.col("result_turn")).alias("place"),
-        F.coalesce("step", F.lit(0)).cast("long").alias("step"), (is_call & is_result).alias("linked"), F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"),
+        F.coalesce("step", F.lit(0)).cast("long").alias("step"), (is_call & is_result).alias("linked"),
+        F.coalesce("n_calls", F.lit(0)).cast("long").alias("n_calls"), F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"),
         "valid", F.coalesce("cyclic", F.lit(False)).alias("cyclic"), F.when(is_call, call).otherwise(alone).alias("json"),
     )
+    if messages is None:
+        return rows
+    turn, none = F.col("turn").cast("long"), F.lit(0).cast("long")
+    message = canonical(("content", json_text(F.col("content"))), ("role", json_text(F.col("role"))), ("turn", turn.cast("string")), ("type", F.lit('"message"')))
+    return rows.unionByName(messages.select(
+        F.col("conv_id").cast("long"), F.lit(None).cast("string").alias("call_id"), turn.alias("turn"), turn.alias("place"), none.alias("step"),
+        F.lit(False).alias("linked"), none.alias("n_calls"), none.alias("n_results"), F.lit(None).cast("boolean").alias("valid"), F.lit(False).alias("cyclic"), message.alias("json"),
+    ))

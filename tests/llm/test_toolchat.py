@@ -26,6 +26,35 @@ def test_validation_and_canonical_arguments(spark, arguments, valid, canonical):
     assert row.json == f'{{"arguments":{canonical},"id":"a","name":"t","result":null,"turn":1,"type":"call"}}'
 
 
+@pytest.mark.parametrize(("name", "written"), [
+    ('a"b', '"a\\"b"'), ("a.b", '"a.b"'), ("a[0]", '"a[0]"'), ("", '""'), ("$", '"$"'), ("a'b", '"a\'b"'), ("é\n", '"é\\n"'), ("a]b", '"a]b"'), ("\\", '"\\\\"'), ("*", '"*"'),
+])
+def test_any_field_name(spark, name, written):
+    rules = [("t", name, "integer", True, 0.0, 5.0)]
+    for value, valid in (("1", True), ("9", False), ('"x"', False)):
+        row = run(spark, [(1, "a", 1, "t", json.dumps({name: json.loads(value)}, ensure_ascii=False))], rules=rules)[1, "a"]
+        assert row.valid is valid and row.json.startswith(f'{{"arguments":{{{written}:{value}}},')
+        assert json.loads(row.json)["arguments"] == {name: json.loads(value)}
+
+
+@pytest.mark.parametrize(("arguments", "held"), [
+    ('{"x":1e400}', False), ('{"x":[{"y":-1E+999}]}', False), ('{"x":"1e400"}', True), ('{"x":"a\\"1e400"}', True), ('{"x":1e300}', True), ('{"x":' + "9" * 400 + "}", False), ('{"a":1,"a":2}', False),
+])
+def test_numbers_that_json_cannot_give_back(spark, arguments, held):
+    row = run(spark, [(1, "a", 1, "t", arguments)])[1, "a"]
+    assert row.valid is False and (json.loads(row.json)["arguments"] is not None) is held and "Infinity" not in row.json
+
+
+def test_messages_and_collapsed_calls(spark):
+    frames = [spark.createDataFrame(list(d), s) for d, s in (([(1, "a", 1, "t", "{}"), (1, "a", 1, "t", "{}"), (1, "a", 2, "t", "{}")], CALLS), ([], RESULTS), (SCHEMA, RULES), ([], NEEDS))]
+    messages = spark.createDataFrame([(1, 0, "system", 'be "kind"'), (1, 0, "system", 'be "kind"'), (None, None, None, None)], "conv_id long, turn int, role string, content string")
+    rows = linked(*frames, messages).collect()
+    assert [(r.n_calls, r.turn) for r in rows if r.call_id == "a"] == [(3, 1)]
+    others = [r for r in rows if r.call_id is None]
+    assert sorted((r.conv_id or 0, r.turn, r.linked, r.valid) for r in others if r.conv_id) == [(1, 0, False, None)] * 2
+    assert json.loads(others[0].json)["type"] == "message" and {r.json for r in others if r.conv_id is None} == {'{"content":null,"role":null,"turn":null,"type":"message"}'}
+
+
 def test_links_ties_and_left_overs(spark):
     text = 'q"uo\\te\né\t'
     got = run(
