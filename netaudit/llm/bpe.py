@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Tokenizer
 
 #: White space as the vocabulary's normaliser takes it. Fixed value: the Unicode property White_Space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -146,6 +147,7 @@ class Encoder:
             raise ValueError(f"{path} is no vocabulary of lower-cased words with ends")
         model = spec["model"]
         self.automaton = MergeAutomaton(model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]], model["end_of_word_suffix"])
+        self.path, self.library = path, None
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.labels = {str(i): text for i, text in self.automaton.labels.items()} | {str(i): text for text, i in self.special.items()}
         self.apart = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
@@ -179,6 +181,9 @@ class Encoder:
             self.chunk_ids.clear()
             self.chunk_labels.clear()
         for chunk in chunks:
+            if not chunk.isascii() and any(unicodedata.category(c) == "Cn" for c in chunk):
+                self.remember(chunk, self.newer(chunk))
+                continue
             # One letter at a time, so that a sigma at a word's end is like any other.
             plain = (chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")).lower()
             if plain.isalpha():
@@ -186,9 +191,19 @@ class Encoder:
                 continue
             letters = plain.rstrip(MARKS)
             pieces = [letters, plain[len(letters) :]] if letters.isalpha() else self.piece.findall(plain)
-            found = list(map(self.word, pieces))
-            self.chunk_ids[chunk] = " ".join([ids for ids, _ in found])
-            self.chunk_labels[chunk] = " ".join([labels for _, labels in found])
+            self.remember(chunk, pieces)
+
+    def remember(self, chunk: str, pieces: list[str]) -> None:
+        found = list(map(self.word, pieces))
+        self.chunk_ids[chunk] = " ".join([ids for ids, _ in found])
+        self.chunk_labels[chunk] = " ".join([labels for _, labels in found])
+
+    def newer(self, chunk: str) -> list[str]:
+        """Words of a chunk with characters that Python's tables do not know; the library's tables tell their case and kind."""
+        if self.library is None:
+            self.library = Tokenizer.from_file(self.path)
+        plain = self.library.normalizer.normalize_str(chunk)
+        return [plain[begin:end] for _, (begin, end) in self.library.pre_tokenizer.pre_tokenize_str(plain)]
 
     def chunks(self, text: str) -> Iterator[tuple[bool, list[str]]]:
         """Special tokens as they stand, and between them what white space separates."""

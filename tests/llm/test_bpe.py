@@ -55,3 +55,10 @@ def test_gadgets_of_a_repeated_letter():
     machine = MergeAutomaton(vocab, [["a", "a"], ["aa", "a$"]], "$")
     assert [machine.labels[t] for t in machine.encode("aaaa")] == ["aa", "a", "a$"]
     assert [machine.labels[t] for t in machine.encode("aaaaa")] == ["aa", "aa", "a$"][:1] + ["aaa$"]
+
+
+def test_every_code_point(library):
+    """Each alone, in words and among numbers and marks, also those that Python's tables do not have yet."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 4096):
+        assert same(library, "\n".join(f"a{c}a {c} 1{c}1 .{c}. {c}{c}" for c in points[at : at + 4096]))
