@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from netaudit.session import checkpointed, ship_package
 
-__all__ = ["bit_table", "checkpointed", "components", "in_bit_table", "only_ids", "shipped", "small_batches", "split_by_ids", "table", "without_ids"]
+__all__ = ["bit_table", "checkpointed", "components", "in_bit_table", "only_ids", "shipped", "small_batches", "spare", "split_by_ids", "table", "without_ids"]
 
 #: Words of 64 bits in the id filter, whatever the data: 1 MB.
 FILTER_WORDS = 1 << 17
@@ -43,6 +43,14 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, in any capitals."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _place(key: Column) -> tuple[Column, Column]:
     h = F.xxhash64(key)
     return F.pmod(F.shiftrightunsigned(h, 8), F.lit(FILTER_WORDS)), F.pmod(h, F.lit(64)).cast("int")
@@ -53,14 +61,15 @@ def split_by_ids(df: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, Da
 
     A bit table of fixed size goes to every task, so nothing is shuffled.
     """
+    own_word, own_bits = spare(df, "_word"), spare(df, "_bits")
     word, bit = _place(F.col(ids.columns[0]))
-    bits = ids.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    bits = ids.groupBy(word.alias(own_word)).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias(own_bits))
     bits = F.broadcast(checkpointed(bits))
     word, bit = _place(F.col(key))
-    hit = F.call_function("shiftrightunsigned", F.col("_bits"), bit).bitwiseAND(F.lit(1)) == 1
-    marked = df.withColumn("_word", word)
-    sure = marked.join(bits, "_word", "left").filter(~F.coalesce(hit, F.lit(False))).drop("_word", "_bits")
-    return sure, marked.join(bits, "_word").filter(hit).drop("_word", "_bits")
+    hit = F.call_function("shiftrightunsigned", F.col(own_bits), bit).bitwiseAND(F.lit(1)) == 1
+    marked = df.withColumn(own_word, word)
+    sure = marked.join(bits, own_word, "left").filter(~F.coalesce(hit, F.lit(False))).drop(own_word, own_bits)
+    return sure, marked.join(bits, own_word).filter(hit).drop(own_word, own_bits)
 
 
 def without_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
@@ -69,8 +78,9 @@ def without_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     Only the rows that may be among the ids are shuffled.
     """
     sure, near = split_by_ids(df, key, ids)
-    unwanted = ids.select(F.col(ids.columns[0]).alias("_id")).distinct()
-    return sure.unionByName(near.join(unwanted.hint("shuffle_merge"), F.col(key) == F.col("_id"), "left_anti"))
+    own = spare(df, "_id")
+    unwanted = ids.select(F.col(ids.columns[0]).alias(own)).distinct()
+    return sure.unionByName(near.join(unwanted.hint("shuffle_merge"), F.col(key) == F.col(own), "left_anti"))
 
 
 def only_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
@@ -79,8 +89,9 @@ def only_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     A bit table leaves out nearly all other rows before the exact semi-join shuffles the rest.
     """
     _, near = split_by_ids(df, key, ids)
-    wanted = ids.select(F.col(ids.columns[0]).alias("_id")).distinct()
-    return near.join(wanted.hint("shuffle_merge"), F.col(key) == F.col("_id"), "left_semi")
+    own = spare(df, "_id")
+    wanted = ids.select(F.col(ids.columns[0]).alias(own)).distinct()
+    return near.join(wanted.hint("shuffle_merge"), F.col(key) == F.col(own), "left_semi")
 
 
 def bit_table(keys: DataFrame, bits: int) -> np.ndarray:

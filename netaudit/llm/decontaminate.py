@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from netaudit.llm.common import bit_table, checkpointed, in_bit_table, split_by_ids
+from netaudit.llm.common import bit_table, checkpointed, in_bit_table, spare, split_by_ids
 from netaudit.llm.words import SPACE, hash_spans, mix, split_words, text_pieces, window_hashes
 
 WINDOW, LEAST_LITERALS, LEAST_SHARE = 5, 3, 0.8
@@ -240,7 +240,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, least
 def clean_rows(docs: DataFrame, items: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE) -> DataFrame:
     """The rows of ``docs`` that hold no item."""
     found = checkpointed(item_matches(docs, items, window, least_share).select("h", "g").distinct())
-    key = _key(F.col("text").cast("string"))
-    marked = docs.withColumns({"_h": key["h"], "_g": key["g"]})
-    sure, near = split_by_ids(marked, "_h", found.select("h"))
-    return sure.unionByName(near.join(found, (F.col("_h") == F.col("h")) & (F.col("_g") == F.col("g")), "left_anti")).select(*docs.columns)
+    key, own = _key(F.col("text").cast("string")), [spare(docs, name) for name in ("_h", "_g")]
+    marked = docs.withColumns({own[0]: key["h"], own[1]: key["g"]})
+    there = [spare(marked, name) for name in ("_h_found", "_g_found")]
+    gone = found.toDF(*there)
+    sure, near = split_by_ids(marked, own[0], gone.select(there[0]))
+    return sure.unionByName(near.join(gone, (F.col(own[0]) == F.col(there[0])) & (F.col(own[1]) == F.col(there[1])), "left_anti")).select(*docs.columns)

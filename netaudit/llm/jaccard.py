@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from netaudit.llm.common import bit_table, checkpointed, components, in_bit_table, only_ids, small_batches, split_by_ids
+from netaudit.llm.common import bit_table, checkpointed, components, in_bit_table, only_ids, small_batches, spare, split_by_ids
 from netaudit.llm.words import mix, shingle_sets, words_of
 
 #: Cells that shingle counts are added up in to order shingles, whatever the data: 1 MB.
@@ -299,14 +299,23 @@ def shingle_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Rows of ``docs`` with the smallest id of their component, once each; rows without words stay.
 
-    Rows without id stand behind all others, under an id made of their text.
+    Rows without id, and rows that share an id but not their text, are told apart by an id made of
+    the text, which stands behind all others. Rows alike in id and text count as one.
     """
-    made = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
-    named = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), made))
-    found = checkpointed(shingle_components(named.select(F.col("_id").alias("doc_id"), "text"), k, percent))
+    text, name = F.col("text").cast("string"), spare(docs, "_id")
+    made = F.lit(1 << 62) + F.pmod(F.xxhash64(text, F.col("doc_id").cast("long")), F.lit(1 << 61))
+    ids = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("of")).filter("id is not null")
+    mixed = checkpointed(ids.groupBy("id").agg(F.min("of").alias("least"), F.max("of").alias("most")).filter("least <> most").select("id"))
+    own = docs.withColumn(name, F.col("doc_id").cast("long"))
+    plain, near = split_by_ids(own, name, mixed)
+    flag = spare(own, "_mixed")
+    marked = near.join(mixed.select(F.col("id").alias(flag)), F.col(name) == F.col(flag), "left").withColumn(name, F.when(F.col(flag).isNull(), F.col(name))).drop(flag)
+    named = plain.unionByName(marked).withColumn(name, F.coalesce(name, made))
+
+    found = checkpointed(shingle_components(named.select(F.col(name).alias("doc_id"), text.alias("text")), k, percent))
     dropped = checkpointed(found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.bool_or(F.col("doc_id") == F.col("component_id")).alias("kept")).filter("rows > 1 or not kept"))
     # Most rows have an id of their own and stay where they are.
-    sure, near = split_by_ids(named, "_id", dropped.select("doc_id"))
-    gone = dropped.filter("not kept").select(F.col("doc_id").alias("_gone"))
-    rest = near.join(gone, F.col("_id") == F.col("_gone"), "left_anti").dropDuplicates(["_id"])
+    sure, near = split_by_ids(named, name, dropped.select("doc_id"))
+    gone = dropped.filter("not kept").select(F.col("doc_id").alias(flag))
+    rest = near.join(gone, F.col(name) == F.col(flag), "left_anti").dropDuplicates([name])
     return sure.unionByName(rest).select(*docs.columns)

@@ -13,9 +13,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from netaudit.llm.common import checkpointed, without_ids
+from netaudit.llm.common import checkpointed, spare, without_ids
 from netaudit.llm.logistic import fit_logistic, sigmoid
 from netaudit.llm.words import words_of
 
@@ -77,19 +77,28 @@ def text_features(w) -> np.ndarray:
     return out
 
 
+#: Columns that are read; what a row is scored by is all in them.
+READ = [("doc_id", "long"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "long")]
+
+
+def row_name() -> Column:
+    """A hash of all that is read of a row, so that rows of one name have one score."""
+    return F.xxhash64(*[F.col(name).cast(kind) for name, kind in READ])
+
+
 def features(docs: DataFrame) -> DataFrame:
-    """``doc_id, x`` (text view) and the metadata ``lang, source, n_chars`` of every whole text."""
+    """``doc_id, x`` (text view), the metadata ``lang, source, n_chars`` and the name of every row with its whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [text_features(w) for w in words_of(batch.column(1), fold=False)]
             x = np.concatenate(made) if made else np.zeros((0, len(TEXT_VIEW)))
             ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(TEXT_VIEW))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(ends, pa.array(x.ravel())), *(batch.column(i) for i in (2, 3, 4))], ["doc_id", "x", "lang", "source", "n_chars"]
+                [batch.column(0), pa.ListArray.from_arrays(ends, pa.array(x.ravel())), *(batch.column(i) for i in (2, 3, 4, 5))], ["doc_id", "x", "lang", "source", "n_chars", "row"]
             )
 
-    typed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("n_chars").cast("long"))
-    return typed.mapInArrow(run, "doc_id long, x array<double>, lang string, source string, n_chars long")
+    read = [F.col(name).cast(kind).alias(name) for name, kind in READ]
+    return docs.select(*read, row_name().alias("row")).mapInArrow(run, "doc_id long, x array<double>, lang string, source string, n_chars long, row long")
 
 
 def with_meta(rows: DataFrame) -> DataFrame:
@@ -189,6 +198,11 @@ def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     as good only if it always is. Without labels every score is 0.5, and rows are kept. Null and
     empty texts are scored as texts without words; ids may be null or repeated.
     """
+    return scored(docs, labels, sample_rows, pool_rows).drop("row")
+
+
+def scored(docs: DataFrame, labels: DataFrame, sample_rows: int, pool_rows: int) -> DataFrame:
+    """The columns of :func:`quality` and the name of each row."""
     spark = docs.sparkSession
     rows = checkpointed(with_meta(features(docs)))
     known = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min((F.col("quality") == 1).cast("int")).alias("quality"))
@@ -206,16 +220,14 @@ def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
             x = np.array(batch.column(1).flatten()).reshape(-1, len(TEXT_VIEW))
             m = meta_matrix(*(np.array(batch.column(i)) for i in (2, 3, 4)))
             scores = [own.score(x, m), sigmoid(own.text.calibrated(x)), sigmoid(own.meta.calibrated(m))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, scores)], ["doc_id", "score", "text_score", "meta_score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, scores), batch.column(5)], ["doc_id", "score", "text_score", "meta_score", "row"])
 
-    out = rows.select("doc_id", "x", "lang_cell", "source_cell", "log_chars").mapInArrow(run, "doc_id long, score double, text_score double, meta_score double")
+    out = rows.select("doc_id", "x", "lang_cell", "source_cell", "log_chars", "row").mapInArrow(run, "doc_id long, score double, text_score double, meta_score double, row long")
     return out.withColumn("keep", F.col("score") >= KEEP)
 
 
 def good_rows(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, pool_rows: int = POOL_ROWS) -> DataFrame:
-    """The rows of ``docs`` whose text is kept; rows without id are kept, as they cannot be told apart.
-
-    Of rows with one id all go if one is rejected.
-    """
-    bad = quality(docs, labels, sample_rows, pool_rows).filter(~F.col("keep")).select("doc_id").filter("doc_id is not null").distinct()
-    return without_ids(docs, "doc_id", checkpointed(bad))
+    """The rows of ``docs`` that are kept, each judged by itself, whatever id it has or shares."""
+    bad = scored(docs, labels, sample_rows, pool_rows).filter(~F.col("keep")).select("row").distinct()
+    name = spare(docs, "_row")
+    return without_ids(docs.withColumn(name, row_name()), name, checkpointed(bad)).drop(name)

@@ -63,6 +63,19 @@ def test_edge_documents(spark):
     assert jaccard.shingle_components(documents(spark, [])).count() == 0
 
 
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    """Different texts under one id, one of them in a group with another id, repeated rows; columns named as the helpers'."""
+    rng = random.Random(12)
+    a, b, c, d = (prose(rng, 40, 3000) for _ in range(4))
+    rows = [(1, a), (1, b), (1, b), (2, b + " more"), (3, c), (3, c), (4, c), (5, None), (5, d), (None, d), (None, None), (None, "one two"), (6, "one two")]
+    docs = documents(spark, rows).selectExpr("*", "1L as _id", "2L as _word", "3L as _BITS", "4L as _mixed")
+    kept = jaccard.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert Counter(t for _, t in got.elements()) == Counter([a, b + " more", c, d, None, None, "one two"])
+    assert {(1, a), (2, b + " more"), (3, c), (5, d), (5, None), (None, None), (6, "one two")} == set(got)
+
+
 def test_structured_words_do_not_link(spark):
     """Long words that are complements of each other, and texts of two words arranged so."""
     one, other = ("".join(x) for x in thue_morse("a", "b", 10))

@@ -75,3 +75,15 @@ def test_empty_documents(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = checkpointed(stage(spark, docs, SF))
         assert docs.count() == 0, name
+
+
+def test_clashing_columns_and_odd_rows_in_every_stage(spark):
+    extra = {"_id": "1L", "_h": "'h'", "_g": "2", "_word": "'w'", "_BITS": "3", "_row": "4", "key": "5", "name": "'n'", "h": "6", "g": "7"}
+    odd = spark.createDataFrame([(None, "a text without id"), (3, None), (7, "another text under an id that is taken"), (7, "another text under an id that is taken")], "doc_id long, text string")
+    docs = table(spark, SF, "documents").unionByName(odd, allowMissingColumns=True).selectExpr("*", *[f"{value} as {name}" for name, value in extra.items()])
+    for name, stage in corpus_pipeline.STAGES:
+        made = checkpointed(stage(spark, docs, SF))
+        assert made.count() > 100, name
+        if name != "tokens":
+            assert made.columns == docs.columns and made.select(*extra).distinct().count() == 1, name
+        docs = made

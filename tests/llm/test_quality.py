@@ -56,3 +56,18 @@ def test_null_metadata(spark):
     docs = documents(spark, [(1, "a b"), (2, "c")]).selectExpr("doc_id", "text", "cast(null as string) as lang", "cast(null as string) as source", "cast(null as long) as n_chars")
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
     assert quality(docs, labels).filter("score is null").count() == 0
+
+
+def test_rows_are_dropped_one_by_one(spark):
+    """Rows without id and rows that share one are judged by their own texts; columns named as the helpers'."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"word{rng.randrange(500)}" for _ in range(60))) if i % 2 else (i, "!!! ||| $$$ " * 30) for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    good, bad = rows[1][1], rows[0][1]
+    odd = [(1000, good), (1000, bad), (None, good), (None, bad)]
+    docs = documents(spark, rows + odd).selectExpr("*", "1 as _row", "2 as _word", "3 as _id", "4 as _bits")
+    kept = good_rows(docs, labels)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(t == good for i, t in got if i == 1000 or i is None) == [True, True]
+    assert {i for i, _ in got if i is not None and i < 300} == {i for i in range(300) if i % 2}
