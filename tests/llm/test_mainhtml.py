@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -81,3 +82,37 @@ def test_head_without_its_end(head):
 
 def test_words_end_a_head():
     assert main_text("<head><title>t</title> Words of the story", Weights()) == "Words of the story"
+
+
+STORY = " ".join(f"word{i}" for i in range(200))
+
+
+@pytest.mark.parametrize("wrapper", [
+    '<form id="aspnetForm"><div>{}</div></form>', '<div class="content has-sidebar">{}</div>', '<div id="page" class="site header-fixed">{}</div>',
+    '<div class="post no-comments">{}</div>', '<div class="share">{}</div>', '<div class="with_nav sidebar-right">{}</div>', '<header>{}</header>', '<div class="widget-area">{}</div>',
+])
+@pytest.mark.parametrize("body", ["<p>{}</p>", "<article><p>{}</p></article>", "<div><p>{}</p></div>"])
+def test_wrappers_with_furniture_names_keep_their_article(wrapper, body):
+    menu = "<nav><ul><li><a href=x>Home</a><li><a href=y>News</a></ul></nav><footer>About the site</footer>"
+    assert main_text(f"<html><body>{wrapper.format(menu + body.format(STORY))}</body></html>", Weights()) == STORY
+
+
+def test_long_comments_stay_furniture():
+    comments = f"<div class=comments><p>{'reader ' * 600}</p></div>"
+    for body in ("<article><p>{}</p></article>{}", "<div><p>{}</p></div>{}", "<main><p>{}</p>{}</main>", "<article><p>{}</p></article><section id=comments><article>{}</article></section>"):
+        assert main_text(f"<body>{body.format(STORY, comments)}</body>", Weights()) == STORY
+
+
+def test_all_marked_articles_and_their_titles():
+    page = f"<body><article><header class=entry-header><h1>One</h1></header><p>{STORY}</p></article><div>{'teaser ' * 80}</div><article><h2>Two</h2><p>Short text.</p></article></body>"
+    assert main_text(page, Weights()) == f"One\n{STORY}\nTwo\nShort text."
+
+
+@pytest.mark.parametrize("source", [
+    "<span>" * 100_000 + "</b>" * 100_000, "<p>" + "<span>" * 100_000 + "<div></div>" * 100_000, "<table><tr><td>" + "<i>" * 100_000 + "</td>" * 5 + "<b></p>" * 100_000,
+    "<article>" * 50_000 + "</div>" * 50_000, "<nav>" * 50_000 + "</nav>" * 50_000, "<li>a" * 100_000,
+])
+def test_broken_pages_take_linear_time(source):
+    start = time.perf_counter()
+    main_text(source, Weights())
+    assert time.perf_counter() - start < 6
