@@ -20,6 +20,8 @@ from netaudit.llm.common import bit_table, checkpointed, in_bit_table, spare, sp
 from netaudit.llm.words import SPACE, hash_spans, mix, split_words, text_pieces, window_hashes
 
 WINDOW, LEAST_LITERALS, LEAST_SHARE = 5, 3, 0.8
+#: Shifts between text and item, in tokens, that may belong to one occurrence.
+BAND = 16
 #: Literals that a template without a window needs to be one window as a whole.
 LEAST_WHOLE = 2
 #: Forms of windows: of a template, a whole template, literals.
@@ -181,8 +183,8 @@ def _windows(k: int, table, sizes=None):
 
 
 def _key(text: Column) -> Column:
-    """128 bits that stand for a whole text."""
-    return F.struct(F.xxhash64(text).alias("h"), F.xxhash64(text, F.lit(1)).alias("g"))
+    """128 bits that stand for a whole text; what stands before the text makes the halves differ in all states."""
+    return F.struct(F.xxhash64(F.lit("first"), text).alias("h"), F.xxhash64(F.lit("second"), text).alias("g"))
 
 
 def item_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE) -> DataFrame:
@@ -204,10 +206,13 @@ def item_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, least_
     texts = texts.select("key.h", "key.g", "text")
     seen = texts.mapInArrow(_windows(window, table, lengths), f"h long, g long, {made}")
     met = seen.join(asked.select("item_id", "name", "form", "length", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")), ["name", "form", "length"])
-    shift = F.when(F.col("form") != LITERAL, F.col("place") - F.col("item_place")).otherwise(0).alias("shift")
-    met = checkpointed(met.select("h", "g", "item_id", "form", "length", "name", shift, "slots", "item_slots").distinct())
-    # Inside one occurrence the shift between text and item stays the same, and so must what a value stands against.
-    occurrence = ["h", "g", "item_id", "form", "shift"]
+    # Inside one occurrence the shift between text and item changes by no more than the words put in or left out. Bands
+    # of shifts overlap by half, so an occurrence lies in one whole; windows of different bands do not add up.
+    shift = F.col("place") - F.col("item_place")
+    bands = F.array(2 * F.floor(shift / BAND), 2 * F.floor((shift + BAND // 2) / BAND) + 1)
+    met = met.select("h", "g", "item_id", "form", "length", "name", F.explode(bands).alias("band"), "slots", "item_slots")
+    met = checkpointed(met.distinct())
+    occurrence = ["h", "g", "item_id", "form", "band"]
     own_pairs = met.withColumn("p", F.explode(F.arrays_zip("item_slots", "slots")))
     values = own_pairs.groupBy(*occurrence, F.col("p.item_slots").alias("value")).agg(
         F.min("p.slots").alias("least"), F.max("p.slots").alias("most"), F.min((F.col("p.slots") == F.col("p.item_slots")).cast("int")).alias("same")
@@ -215,7 +220,7 @@ def item_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, least_
     states = values.groupBy(*occurrence).agg(F.collect_list(F.when(F.col("least") != F.col("most"), F.col("value"))).alias("torn"), F.min("same").alias("same"))
     # Only windows with a value that stands against several are left out.
     steady = met.join(states, occurrence, "left").filter(~F.coalesce(F.arrays_overlap("item_slots", "torn"), F.lit(False)))
-    shares = steady.groupBy("h", "g", "item_id", "form").agg(F.countDistinct("name", "length").alias("hits"), F.min(F.coalesce("same", F.lit(1))).alias("same"))
+    shares = steady.groupBy(*occurrence).agg(F.countDistinct("name", "length").alias("hits"), F.min(F.coalesce("same", F.lit(1))).alias("same"))
     held = shares.join(sizes, ["item_id", "form"]).withColumn("share", F.col("hits") / F.col("size")).filter(F.col("share") >= least_share)
     best = held.groupBy("h", "g", "item_id").agg(F.max("share").alias("share"), F.min("same").alias("same"))
     return best.select("h", "g", "item_id", "share", F.when(F.col("same") == 1, "verbatim").otherwise("re-parameterised").alias("kind"))

@@ -1,8 +1,10 @@
 import random
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from netaudit.llm.decontaminate import clean_rows, contamination
+from netaudit.llm.decontaminate import _key, clean_rows, contamination
 from tests.llm.support import documents, edge_rows, prose
 
 TRAIN = "A train travels 60 miles in 2 hours from Boston to Denver; how far does the train go in 5 hours leaving from Boston at last?"
@@ -79,3 +81,54 @@ def test_items_without_usable_windows(spark):
     assert {i: got[i] for i in range(len(SHORT))} == {i: (1, i, "verbatim", True) for i in range(len(SHORT))}
     assert got[10] == (1, 0, "re-parameterised", True) and got[11] == (1, 1, "re-parameterised", True)
     assert all(got[i] == (0, None, None, False) for i in (12, 13, 14, 15))
+
+
+def test_windows_out_of_order_are_no_copy(spark):
+    """All windows of an item, dealt over a text with other words between them, in any order and number of times."""
+    rng = random.Random(9)
+    item = prose(rng, 40, 5000)
+    words = item.split()
+    windows = [" ".join(words[i : i + 5]) for i in range(36)]
+    rows = []
+    for i in range(6):
+        dealt = windows * (1 + i % 2)
+        rng.shuffle(dealt)
+        rows.append((i, " filler ".join(dealt)))
+    for i, inserted in enumerate((0, 1, 3)):
+        copy = list(words)
+        for _ in range(inserted):
+            copy.insert(20, "extra")
+        rows.append((10 + i, f"{prose(rng, 100, 5000)} {' '.join(copy)} {prose(rng, 30, 5000)}"))
+    got = judged(spark, rows, [(1, item)])
+    assert {i: g[3] for i, g in got.items()} == {i: i >= 10 for i, _ in rows}
+
+
+def test_slots_and_templates_against_all_pairs(spark):
+    """Questions with values put in by chance: held are those whose values stand for the item's one to one."""
+    rng = random.Random(14)
+    stem = "a worker paints {} walls on day one and {} walls on day two while a friend paints {} walls so how many walls are painted when both work {} days"
+    patterns = [("1", "2", "3", "4"), ("1", "1", "2", "3"), ("1", "2", "1", "2"), ("1", "1", "1", "1")]
+
+    def filled(pattern):
+        values = {}
+        return tuple(values.setdefault(p, str(rng.randrange(100, 999))) for p in pattern)
+
+    items = [(i, stem.format(*filled(p)) + f" under plan number {i} of this shop") for i, p in enumerate(patterns) if i]
+    rows = [(doc, stem.format(*filled(p)) + f" under plan number {i} of this shop") for doc, (i, p) in enumerate((i, p) for i in range(4) for p in patterns)]
+
+    def stands_for(item, text):
+        """Each value of the item stands against one value of the text."""
+        values = {}
+        for own, other in zip(re.findall("[0-9]+", item), re.findall("[0-9]+", text), strict=True):
+            values.setdefault(own, set()).add(other)
+        return all(len(v) == 1 for v in values.values())
+
+    want = {doc: [i for i, item in items if stands_for(item, text)] for doc, text in rows}
+    got = judged(spark, rows, items)
+    assert {doc: g[3] for doc, g in got.items()} == {doc: bool(held) for doc, held in want.items()}
+    assert {doc: g[0] for doc, g in got.items()} == {doc: len(held) for doc, held in want.items()} and 0 < sum(map(bool, want.values())) < len(want)
+
+
+def test_keys_of_a_text_are_independent(spark):
+    row = spark.sql("select 'a text' as t").select(_key(F.col("t")).alias("k"), F.xxhash64(F.xxhash64("t"), F.lit("second")).alias("chained")).first()
+    assert len({row.k.h, row.k.g, row.chained}) == 3
