@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from netaudit.llm.common import checkpointed, only_ids
 from netaudit.llm.logistic import fit_logistic, sigmoid
 
-#: Labelled rows used, those with the smallest hashes of their ids; terms and stems kept, those with the highest log-odds; innocent words kept.
-SAMPLE_ROWS, MOST_TERMS, MOST_INNOCENT = 20_000, 4_000, 20_000
+#: Labelled rows used, those with the smallest hashes of their ids. They bound the terms, stems and innocent words, of which all are kept.
+SAMPLE_ROWS = 20_000
 #: Different words before a term that are needed in toxic texts, so that copies count once, and the least log-odds.
 LEAST_CONTEXTS, LEAST_ODDS = 5, 2.5
 STEM_LENGTHS, STEM_NOISE = (4, 5, 6, 7), 0.1
@@ -206,14 +206,14 @@ def _by_term(pairs: DataFrame) -> DataFrame:
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
     """Lexicon and model from at most ``sample_rows`` labelled rows outside the held-out fold.
 
-    Rows without id or label are left out; a repeated id counts once, as toxic if it ever is.
+    Rows without id or label are left out; a repeated id counts once, with its first text and as toxic if it ever is.
     Without both labels every score is 0.5's side of the only label seen.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     known = labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = checkpointed(known.orderBy(F.xxhash64("id"), "id").limit(sample_rows))
-    rows = checkpointed(only_ids(docs, "doc_id", known.select("id")).dropDuplicates(["doc_id"]).join(known, F.col("doc_id") == F.col("id")).select("text", "toxic"))
+    rows = checkpointed(only_ids(docs, "doc_id", known.select("id")).groupBy("doc_id").agg(F.min("text").alias("text")).join(known, F.col("doc_id") == F.col("id")).select("text", "toxic"))
     pairs = rows.filter("toxic = 1").select("text").mapInArrow(_contexts, "word string, before string")
     contexts = _by_term(pairs).filter(F.col("contexts") >= LEAST_CONTEXTS)
     sizes = {r.toxic: r["count"] for r in rows.groupBy(F.col("toxic") == 1).count().toDF("toxic", "count").collect()}
@@ -224,7 +224,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     # A stem stands for many words, so it must hardly ever be innocent.
     passed = found.select("term", "stem", odds.alias("odds"), (F.col("other") / F.greatest(F.lit(1), held)).alias("against"))
     passed = passed.filter((F.col("odds") >= LEAST_ODDS) & (~F.col("stem") | (F.col("against") <= STEM_NOISE)))
-    best = [(-r.odds, (r.term, r.stem)) for r in passed.orderBy(F.desc("odds"), "term", "stem").limit(MOST_TERMS).collect()]  # bounded
+    best = [(-r.odds, (r.term, r.stem)) for r in passed.orderBy(F.desc("odds"), "term", "stem").collect()]  # words of the sample
     lexicon = Lexicon({t: -o for o, (t, stem) in best if not stem}, {t: -o for o, (t, stem) in best if stem})
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +235,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     seen = checkpointed(rows.mapInArrow(features, "toxic int, x array<double>, misspelt array<string>"))
     often = seen.filter("toxic <> 1").select(F.explode(F.array_distinct("misspelt")).alias("word")).groupBy("word").count().filter("count >= 2")
-    lexicon.innocent = {r.word for r in often.orderBy(F.desc("count"), "word").limit(MOST_INNOCENT).collect()}  # bounded
+    lexicon.innocent = {r.word for r in often.select("word").collect()}  # words of the sample
     if lexicon.innocent:
         seen = checkpointed(rows.mapInArrow(features, "toxic int, x array<double>, misspelt array<string>"))
     sample = seen.select("x", "toxic").collect()  # at most sample_rows
