@@ -61,11 +61,12 @@ def test_empty_suffix_pattern_matches_all(spark):
     assert got == {"a": "any", "ab": "any"}
 
 
-def test_other_pattern_characters_are_plain_text(spark):
+def test_other_pattern_characters_are_read_unless_literal(spark):
     register = spark.createDataFrame([("pc(1)-nb", 1, "x"), ("pc1-nb", 2, "y")], "t string, seq int, u string")
     hosts = spark.createDataFrame([("pc(1)",)], "h string")
-    got = [r.match.u for r in matchjoin.first_prefix_match(hosts, "h", register, "t", "seq", ["u"]).collect()]
-    assert got == ["x"]
+    for literal, user in ((False, "y"), (True, "x")):
+        got = [r.match.u for r in matchjoin.first_prefix_match(hosts, "h", register, "t", "seq", ["u"], literal).collect()]
+        assert got == [user]
 
 
 @pytest.fixture(scope="module")
