@@ -231,7 +231,7 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
     named = docs.filter("doc_id is not null").select("text")
     entries = named.mapInArrow(_entries(k, percent, light, cells), kinds)
     lists = entries.groupBy("name", "listed").agg(
-        F.min("key").alias("lead"), F.max("key").alias("last"),
+        F.min("key").alias("lead"), F.min_by("n", "key").alias("lead_n"), F.max("key").alias("last"),
         F.min(F.when(F.col("low"), F.col("key"))).alias("least_low"), F.min(F.when(F.col("high"), F.col("key"))).alias("least_high"),
     ).filter("lead != last").drop("last")
     lists = checkpointed(lists)
@@ -243,7 +243,7 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
     sure = met.filter("not listed").select("key", F.explode(F.array(F.when(F.col("low"), F.col("least_high")), F.when(F.col("high"), F.col("least_low")))).alias("partner"))
     sure = sure.filter("key != partner").select(F.greatest("key", "partner").alias("a"), F.least("key", "partner").alias("b")).distinct()
 
-    listed = met.filter("listed").select("name", "key", "n", "lead")
+    listed = met.filter("listed").select("name", "key", "n", "lead", "lead_n")
     needed = checkpointed(listed.select("key").distinct().join(keys.select("key", F.col("doc_id").alias("rep")), "key"))
     # Rows that only share the id of a class have another key.
     texts = only_ids(docs, "doc_id", needed.select("rep")).join(needed, F.col("doc_id") == F.col("rep"))
@@ -255,7 +255,9 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataF
         b = signatures.select(F.col("key").alias("b"), F.col("n").alias("m"), F.col("signature").alias("sign_b"))
         return pairs.join(a, "a").join(b, "b").filter(_may_link(F.col("sign_a"), F.col("sign_b"), F.col("n"), F.col("m"), SIGNATURE_BITS, percent)).select("a", "b")
 
-    to_lead = checkpointed(likely(listed.filter("key != lead").select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct()))
+    # Sets whose sizes are too far apart cannot link, whatever they hold.
+    alike = 100 * F.least("n", "lead_n") >= percent * F.greatest("n", "lead_n")
+    to_lead = checkpointed(likely(listed.filter("key != lead").filter(alike).select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct()))
     near = checkpointed(_compared(to_lead, texts, k, percent).unionByName(sure))
 
     # What is connected by now needs no more comparisons; the rest of each list is compared whole.
