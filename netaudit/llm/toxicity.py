@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from netaudit.llm.common import checkpointed, only_ids
 from netaudit.llm.logistic import fit_logistic, sigmoid
 
-#: Labelled rows used, those with the smallest hashes of their ids. They bound the terms, stems and innocent words, of which all are kept.
-SAMPLE_ROWS = 20_000
+#: Labelled rows used, those with the smallest hashes of their ids; size of the fitted lexicon: terms and stems with the highest
+#: log-odds, innocent words seen most. Each task holds it; without these bounds an executor needs over 3000 MB for 20,000 rows.
+SAMPLE_ROWS, MOST_TERMS, MOST_INNOCENT = 20_000, 4_000, 20_000
 #: Different words before a term that are needed in toxic texts, so that copies count once, and the least log-odds.
 LEAST_CONTEXTS, LEAST_ODDS = 5, 2.5
 STEM_LENGTHS, STEM_NOISE = (4, 5, 6, 7), 0.1
@@ -224,7 +225,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     # A stem stands for many words, so it must hardly ever be innocent.
     passed = found.select("term", "stem", odds.alias("odds"), (F.col("other") / F.greatest(F.lit(1), held)).alias("against"))
     passed = passed.filter((F.col("odds") >= LEAST_ODDS) & (~F.col("stem") | (F.col("against") <= STEM_NOISE)))
-    best = [(-r.odds, (r.term, r.stem)) for r in passed.orderBy(F.desc("odds"), "term", "stem").collect()]  # words of the sample
+    best = [(-r.odds, (r.term, r.stem)) for r in passed.orderBy(F.desc("odds"), "term", "stem").limit(MOST_TERMS).collect()]  # bounded
     lexicon = Lexicon({t: -o for o, (t, stem) in best if not stem}, {t: -o for o, (t, stem) in best if stem})
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +236,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     seen = checkpointed(rows.mapInArrow(features, "toxic int, x array<double>, misspelt array<string>"))
     often = seen.filter("toxic <> 1").select(F.explode(F.array_distinct("misspelt")).alias("word")).groupBy("word").count().filter("count >= 2")
-    lexicon.innocent = {r.word for r in often.select("word").collect()}  # words of the sample
+    lexicon.innocent = {r.word for r in often.orderBy(F.desc("count"), "word").limit(MOST_INNOCENT).collect()}  # bounded
     if lexicon.innocent:
         seen = checkpointed(rows.mapInArrow(features, "toxic int, x array<double>, misspelt array<string>"))
     sample = seen.select("x", "toxic").collect()  # at most sample_rows
