@@ -31,11 +31,12 @@ def salted_join(rows: DataFrame, lookup: DataFrame, key: str, spread_by: list[st
     """Inner join with a lookup of few rows per key, where a key may be in a large share of the rows.
 
     The rows of a key are spread over salts by a hash of ``spread_by``; the lookup, small
-    beside the rows, is repeated for each salt.
+    beside the rows, is repeated for each salt. Spark's size check does not see the repeats,
+    so the hint keeps them from being broadcast through the driver.
     """
     salts = salts_of(rows)
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
     return rows.withColumn("_salt", salt).join(repeated, [key, "_salt"]).drop("_salt")
 
 

@@ -140,3 +140,12 @@ def test_mac_search(spark):
     m = spark.createDataFrame([(x,) for x in macs], "mac string")
     got = sorted((r.mac, r.line) for r in matchjoin.mac_search(df, m).collect())
     assert got == sorted((mac, line) for mac in set(macs) for line in lines if mac in line)
+
+
+def test_repeated_lookups_are_not_broadcast(spark):
+    """Rows that a lookup is repeated to are not seen by Spark's size check, so it must not decide."""
+    lines = spark.range(10).select(F.lit("f").alias("file"), F.col("id").alias("pos"), F.lit("aabbcc-000001").alias("line"))
+    macs = spark.range(10).select(F.concat(F.lit("aabbcc-"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("mac"))
+    found = matchjoin.mac_search(lines, macs)
+    assert len(found.collect()) == 10
+    assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
