@@ -125,7 +125,7 @@ def first_prefix_match(
         plain, patterns, broken = key_kinds(keys, "key")
         anchored = patterns.select(F.concat(F.lit("^(?:"), F.col("key"), F.lit(")")).alias("key"))
         pairs = pattern_pairs(searched, text, anchored, "key", salted_join)
-        found = searched.join(pairs, text).withColumn("key", F.expr("substring(pattern, 5, length(pattern) - 5)"))
+        found = searched.join(pairs.hint("merge"), text).withColumn("key", F.expr("substring(pattern, 5, length(pattern) - 5)"))
         reached = prefix_keys(searched, text, plain, "key", literal=False).select("key", "order", "match").unionByName(
             prefix_keys(searched, text, broken, "key", literal=True).select("key", "order", "match")
         ).unionByName(found.select("key", "order", "match"))

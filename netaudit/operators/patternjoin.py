@@ -2,9 +2,9 @@
 
 A pattern is read into tokens and checked against the grammar below. Its groups are opened where
 that is exact, alternatives become rows of their own, and what is left between tokens that match
-more than one text are literals that every match must hold. Of these a piece of up to three
+more than one text are literals that every match must hold. Of these a piece of up to sixteen
 characters is chosen, the one that the fewest texts hold; texts and patterns meet in an equi-join
-on pieces, and the pattern itself decides. Everything is a Spark expression on distinct patterns.
+on hashes of pieces, and the pattern itself decides. Everything is a Spark expression on distinct patterns.
 
 Grammar: characters, ``.``, classes without nested classes, ``^ $ \\b \\B``, groups (capturing,
 ``?:``, named, atomic, with the flags ``i s m``), lookaheads, alternatives, back references,
@@ -23,8 +23,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 DEPTH = 12
 #: Groups of alternatives that become rows, one after the other, and alternatives of such a group. Others are gaps.
 OPENED, ALTERNATIVES = 3, 8
-#: Longest piece that texts and patterns meet by.
-PIECE = 3
+#: Lengths of the pieces that texts and patterns meet by. Shorter literals than the third are offered only where a pattern has no longer one.
+SIZES = (1, 2, 3, 4, 6, 8, 12, 16)
+PIECE = SIZES[2]
 
 # Characters of the private use area that stand for parts of a pattern. A pattern's own are gaps.
 GAP, BEGIN, END, LOOK = "\ue000", "\ue001", "\ue002", "\ue003"
@@ -95,7 +96,8 @@ _GROUPS = [
     (f"\\({_INSIDE}*\\)\\*", GAP),
     (f"\\(({_PLAIN}*)\\)\\+", f"{GAP}$1{GAP}"),
     (f"\\(({_PLAIN}*)\\)(?![*+])", "$1"),
-    (f"\\({_INSIDE}*\\|{_INSIDE}*\\)\\+", GAP),
+    # One of the alternatives follows at once on what stands before.
+    (f"(\\({_INSIDE}*\\|{_INSIDE}*\\))\\+", f"$1{GAP}"),
 ]
 _CHARACTERS = [(f"[^()|{LOOK}]\\*", GAP), (f"([^()|{LOOK}])\\+", f"$1{GAP}$1")]
 _OPENABLE = f"\\(({_INSIDE}*\\|{_INSIDE}*)\\)(?![*+])"
@@ -116,8 +118,14 @@ def _folded(text: Column) -> Column:
 
 
 def pieces_of(text: Column, size: Column) -> Column:
+    """Hashes of the pieces of one size. Two pieces of one hash make texts and patterns meet that need not, no more."""
     places = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
-    return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, size)))
+    return F.array_distinct(F.transform(places, lambda i: F.xxhash64(F.substring(text, i, size))))
+
+
+def _size_of(literal: Column) -> Column:
+    """Largest size of a piece that is not longer than a literal."""
+    return F.array_max(F.filter(F.array(*map(F.lit, SIZES)), lambda size: size <= F.length(literal)))
 
 
 def split_keys(keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -150,14 +158,19 @@ def literals(patterns: DataFrame, pattern: str) -> DataFrame:
     return ways.select("pattern", texts.alias("literals")).distinct().select("pattern", F.xxhash64("literals").alias("way"), "literals")
 
 
+#: Stands for the piece of a pattern that holds no literal, and is in every text.
+ANY = 0
+
+
 def _text_pieces(texts: DataFrame, text: str, sizes: DataFrame) -> DataFrame:
-    """``text, piece``: the pieces of each text of the sizes that occur; those of size 0 are empty."""
+    """``text, piece``: the pieces of each text of the sizes that occur; that of size 0 is ``ANY``."""
     whole = _folded(F.col(text))
     line_end = "(?:\\r\\n|[\\n\\r\\u0085\\u2028\\u2029])$"
     versions = F.array_distinct(F.array(whole, F.regexp_replace(whole, line_end, "")))
-    spread = texts.select(text, F.explode(F.sequence(F.lit(0), F.lit(PIECE))).alias("size")).join(F.broadcast(sizes), "size", "left_semi")
+    all_sizes = F.array(F.lit(0), *map(F.lit, SIZES))
+    spread = texts.select(text, F.explode(all_sizes).alias("size")).join(F.broadcast(sizes), "size", "left_semi")
     held = F.flatten(F.transform(versions, lambda v: pieces_of(F.concat(F.lit(BEGIN), v, F.lit(END)), F.col("size"))))
-    found = F.when(F.col("size") == 0, F.array(F.lit(""))).otherwise(F.array_distinct(held))
+    found = F.when(F.col("size") == 0, F.array(F.lit(ANY).cast("bigint"))).otherwise(F.array_distinct(held))
     return spread.select(text, F.explode(found).alias("piece"))
 
 
@@ -170,18 +183,17 @@ def pattern_pairs(
     """
     ways = literals(patterns.select(pattern).distinct(), pattern)
     longest = F.coalesce(F.array_max(F.transform("literals", F.length)), F.lit(0))
-    own = F.flatten(F.transform(F.filter("literals", lambda l: F.length(l) >= F.col("size")), lambda l: pieces_of(l, F.col("size"))))
     # A mark alone is in every text.
-    useful = F.filter(F.array_distinct(own), lambda p: ~p.isin(BEGIN, END))
-    sized = ways.withColumn("size", F.least(longest, F.lit(PIECE)))
-    offered = sized.select("pattern", "way", "size", F.explode(F.when(F.col("size") == 0, F.array(F.lit(""))).otherwise(useful)).alias("piece"))
+    own = F.filter("literals", lambda l: (F.length(l) >= F.least(longest, F.lit(PIECE))) & ~l.isin(BEGIN, END))
+    sized = ways.withColumn("literal", F.explode_outer(own)).withColumn("size", F.coalesce(_size_of(F.col("literal")), F.lit(0)))
+    useful = F.when(F.col("size") == 0, F.array(F.lit(ANY).cast("bigint"))).otherwise(pieces_of(F.col("literal"), F.col("size")))
+    offered = sized.select("pattern", "way", "size", F.explode(useful).alias("piece"))
     probes = texts.filter(F.col(text).isNotNull()).select(text).distinct()
-    sizes = offered.select("size").distinct()
-    held = _text_pieces(probes, text, sizes)
-    counts = held.groupBy("piece").agg(F.count("*").alias("texts"))
-    # A way whose piece no text holds matches none.
-    rarest = offered.join(counts, "piece", "left").groupBy("pattern", "way").agg(
-        F.min_by("piece", F.struct(F.coalesce("texts", F.lit(0)), "piece")).alias("piece")
-    )
+    counts = _text_pieces(probes, text, offered.select("size").distinct()).groupBy("piece").agg(F.count("*").alias("texts"))
+    # A way whose piece no text holds matches none. Spark's size check does not see how many pieces a text has.
+    rarest = offered.join(counts.hint("merge"), "piece", "left").groupBy("pattern", "way").agg(
+        F.min_by(F.struct("piece", "size"), F.struct(F.coalesce("texts", F.lit(0)), "piece")).alias("rarest")
+    ).select("pattern", "rarest.piece", "rarest.size")
+    held = _text_pieces(probes, text, rarest.select("size").distinct())
     met = join(held, rarest.select("pattern", "piece").distinct(), "piece", [text])
     return met.filter(F.expr(f"`{text}` rlike `pattern`")).select(text, "pattern").distinct()

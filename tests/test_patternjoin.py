@@ -131,3 +131,22 @@ def test_no_pair_of_all_is_made(spark):
 
     assert patternjoin.pattern_pairs(t, "t", p, "p", counted).count() == 2000
     assert met[0] < 2000 * 2000 // 50
+
+
+def test_a_repeated_group_and_long_numbers_meet_few_texts(spark):
+    """Met pairs grow with the texts, not with texts and patterns: alternatives in a repeated group count, and so do all digits."""
+    n = 3000
+    t = spark.createDataFrame([(f"c{i}.n{i % 25}.example.org",) for i in range(10000, 10000 + n)], "t string")
+    kinds = [r"^c(?:{0}|{1}){{1,2}}\..*", r"c{0}[0-9]?\.n[0-9]+\.example\.org"]
+    p = spark.createDataFrame([(kinds[i % 2].format(i, i + 1),) for i in range(10000, 10000 + n)], "p string")
+    met = []
+
+    def counted(rows, lookup, key, spread_by):
+        joined = matchjoin.salted_join(rows, lookup, key, spread_by)
+        met.append(joined.count())
+        return joined
+
+    assert patternjoin.pattern_pairs(t, "t", p, "p", counted).count() == n // 2 * 3
+    assert met[0] < n * 20
+    ways = {tuple(r.literals) for r in patternjoin.literals(spark.createDataFrame([("x(a|b)+y",)], "p string"), "p").collect()}
+    assert ways == {("xa", "y"), ("xb", "y")}
