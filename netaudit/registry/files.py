@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import date
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -24,6 +25,9 @@ REVIEW_DAY = date(1998, 6, 15)
 APPROVER, CREATOR, PARTICIPANTS = "Yamada Taro", "Suzuki", "Sato、Tanaka"
 HEADER = "UTMレポートレビュー記録"
 
+#: Rows that one task sorts for a file.
+RANGE_ROWS = 1 << 19
+
 
 def new_folder(spark: SparkSession) -> str:
     return f"{scratch_folder(spark).rstrip('/')}/netaudit-files-{uuid.uuid4().hex}"
@@ -37,30 +41,55 @@ def _system(spark: SparkSession, path: str):
 def write_files(rows: DataFrame, folder: str, encoding: str = "UTF-8") -> str:
     """Write ``file, chunk, pos, line`` rows as text files of these names, in order; a name may hold folders.
 
-    A file is written by one task, which keeps none of it, so that each name is one file of any size.
+    Rows are sorted in ranges of bounded size, each by a task of its own, and written out as text. A file in one
+    range is that text; the texts of a larger one are read in order by one task, which keeps none
+    of it, so that each name is one file of any size.
     """
     spark = rows.sparkSession
     made = f"{folder}.parts-{uuid.uuid4().hex}"
-    ordered = rows.repartition("file").sortWithinPartitions("file", "chunk", "pos").select("file", "line")
-    if encoding == "UTF-8":
-        ordered.write.partitionBy("file").option("maxRecordsPerFile", 0).text(made)
-    else:
-        ordered.write.partitionBy("file").options(encoding=encoding, sep="\u0001", quote="", quoteAll=False, emptyValue="", maxRecordsPerFile=0).csv(made)
+    # A number of ranges, as sizes after compression say little of rows that are alike.
+    ranges = 1 + rows.count() // RANGE_ROWS
+    ranged = rows.select("file", "chunk", "pos", "line").repartitionByRange(ranges, "file", "chunk", "pos").withColumn("range", F.spark_partition_id())
+    # Null lines are empty ones.
+    ordered = ranged.sortWithinPartitions("file", "range", "chunk", "pos").select("file", "range", F.coalesce("line", F.lit("")).alias("line"))
+    ordered.write.partitionBy("file", "range").option("maxRecordsPerFile", 0).text(f"{made}/ranges")
     system, path = _system(spark, made), spark._jvm.org.apache.hadoop.fs.Path
-    for status in system.listStatus(path(made)):
+
+    def parts_of(place) -> list:
+        return [s.getPath() for s in system.listStatus(place) if s.getPath().getName().startswith("part-")]
+
+    for status in system.listStatus(path(f"{made}/ranges")):
         name = status.getPath().getName()
-        if name.startswith("file="):
-            parts = [s.getPath() for s in system.listStatus(status.getPath()) if s.getPath().getName().startswith("part-")]
-            if len(parts) != 1:
-                raise ValueError(f"{name} has {len(parts)} parts")
-            target = path(folder, unquote(name.removeprefix("file=")))
-            system.mkdirs(target.getParent())
-            system.rename(parts[0], target)
+        if not name.startswith("file="):
+            continue
+        folders = sorted((s.getPath() for s in system.listStatus(status.getPath())), key=lambda p: int(p.getName().removeprefix("range=")))
+        parts = [parts_of(f) for f in folders]
+        if any(len(p) != 1 for p in parts):
+            raise ValueError(f"{name} has {[len(p) for p in parts]} parts in its ranges")
+        if len(parts) == 1 and encoding == "UTF-8":
+            part = parts[0][0]
+        else:
+            part = _in_one(spark, [p.toString() for [p] in parts], f"{made}/{uuid.uuid4().hex}", encoding, parts_of, path)
+        target = path(folder, unquote(name.removeprefix("file=")))
+        system.mkdirs(target.getParent())
+        system.rename(part, target)
     system.mkdirs(path(folder))
     system.delete(path(made), True)
     return folder
 
 
+def _in_one(spark: SparkSession, parts: list[str], to: str, encoding: str, parts_of: Callable, path: Callable):
+    """One file of the lines of texts, in their order, and its path. A union keeps the order of what it unites."""
+    texts = [spark.read.schema("line string").option("lineSep", "\n").text(part) for part in parts]
+    whole = reduce(DataFrame.union, texts).coalesce(1)
+    if encoding == "UTF-8":
+        whole.write.text(to)
+    else:
+        whole.write.options(encoding=encoding, sep="\u0001", quote="", quoteAll=False, emptyValue="", maxRecordsPerFile=0).csv(to)
+    [part] = parts_of(path(to))
+    return part
+
+
 def _lines(rows: DataFrame, file: Column, pos: Column, line: Column) -> DataFrame:
     return rows.select(file.alias("file"), F.lit(0).cast("long").alias("chunk"), pos.cast("long").alias("pos"), line.alias("line"))
 

@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from netaudit.registry import files
 from netaudit.sinks import namedfiles
 
 
@@ -73,3 +74,22 @@ def test_no_lines(spark, tmp_path):
     path = str(tmp_path / "found")
     namedfiles.write_keyed_lines(df.limit(0), "k", "l", ["i"], path)
     assert namedfiles.read_keyed_lines(spark, path).count() == 0
+
+
+def test_a_large_file_is_sorted_in_ranges(spark, tmp_path, monkeypatch):
+    """No task sorts more than a range; the file holds all lines in order, and small files stand beside it."""
+    merged = []
+    in_one = files._in_one
+    monkeypatch.setattr(files, "RANGE_ROWS", 100)
+    monkeypatch.setattr(files, "_in_one", lambda spark, parts, *rest: merged.append(len(parts)) or in_one(spark, parts, *rest))
+    name = F.when(F.col("id") == 500, "a/b c.txt").otherwise("large.txt")
+    line = F.when(F.col("id") != 7, F.concat(F.lit("lineä\r "), F.col("id")))
+    rows = spark.range(1000).repartition(7).select(name.alias("file"), F.lit(0).cast("long").alias("chunk"), F.col("id").alias("pos"), line.alias("line"))
+    files.write_files(rows, str(tmp_path / "out"))
+    wanted = ["" if i == 7 else f"lineä\r {i}" for i in range(1000) if i != 500]
+    assert (tmp_path / "out" / "large.txt").read_bytes().decode().split("\n") == [*wanted, ""]
+    assert (tmp_path / "out" / "a" / "b c.txt").read_bytes().decode() == "lineä\r 500\n"
+    assert merged and merged[0] >= 8
+    plain = rows.filter("line is not null").withColumn("line", F.replace("line", F.lit("\r")))
+    files.write_files(plain, str(tmp_path / "wide"), "UTF-16")
+    assert (tmp_path / "wide" / "large.txt").read_bytes().decode("UTF-16").split("\n") == [*[w.replace("\r", "") for w in wanted if w], ""]
