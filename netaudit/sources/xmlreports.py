@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from netaudit.constants import REPORT_NAMES, TOP_DESTINATIONS, TRAFFIC_SUMMARY, USER_REPORT, USER_SECTION
 from netaudit.operators.scan import ordered_scan
+from netaudit.session import checkpointed
 from netaudit.sources.lines import base_name, decoded_name
 
 ATTRIBUTE, TEXT = "@", "#text"
@@ -180,6 +181,8 @@ _SECTION_TAG = rf"<{USER_SECTION}{_ATTRIBUTES}>|</{USER_SECTION}\s*>"
 _ID_TAG = rf"<id{_ATTRIBUTES}/?>"
 _CHILD = r"(?s)<([A-Za-z_][\w.:-]*)(?:\s(?:\"[^\"]*\"|'[^']*'|[^>\"'])*?)?(?:/>|>(.*?)</\1\s*>)"
 _SUMMARY = rf"(?s)<table\s[^>]*name\s*=\s*[\"']{TRAFFIC_SUMMARY}[\"'][^>]*>(.*?)(?:</table\s*>|\z)"
+#: Elements of a block, as a power of two.
+BLOCK_BITS = 16
 #: State behind the end of a table or section.
 CLOSED = "\x00"
 
@@ -259,7 +262,9 @@ def read_id_rows(spark: SparkSession, path, glob: str = "*.xml") -> DataFrame:
     held = pieces.withColumn("tags", tags).select("file", "chunk", "pos", "tags", found.alias("rows")).select(
         "file", "chunk", "pos", "rows", _state(_last(F.col("tags"), _TABLE_TAG)).alias("_table"), _state(_last(F.col("tags"), _SECTION_TAG)).alias("_section"),
     )
-    carried = ordered_scan(held, ["file"], ["chunk"], "pos", carry_before={"in_table": F.col("_table"), "in_section": F.col("_section")})
+    # Elements are short, so a split has many; windows run inside blocks of them, over rows written out once.
+    held = checkpointed(held.withColumn("block", F.shiftright("pos", BLOCK_BITS)))
+    carried = ordered_scan(held, ["file"], ["chunk", "block"], "pos", carry_before={"in_table": F.col("_table"), "in_section": F.col("_section")})
     rows = carried.select("file", "chunk", "pos", "in_table", "in_section", F.explode("rows").alias("r")).select(
         "file", report_name(F.col("file")).alias("report"), F.nullif(F.coalesce("r.section", "in_section"), F.lit(CLOSED)).alias("section"),
         F.coalesce("r.table", "in_table").alias("table"),

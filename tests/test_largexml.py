@@ -130,3 +130,16 @@ def test_one_table_of_many_rows_is_read_by_many_tasks(spark, tmp_path):
         assert tuple(found.agg(F.count("*"), F.sum("n"), F.sum("m"), F.countDistinct("table"), F.countDistinct("n")).first()) == (10**6, 10**6 * (10**6 - 1) // 2, 13 * 10**6, 1, 10**6)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_windows_run_inside_blocks_of_a_split(spark, tmp_path, monkeypatch):
+    """The table's name is carried over blocks; no window holds a whole split."""
+    monkeypatch.setattr(xmlreports, "BLOCK_BITS", 4)
+    held = []
+    scan = xmlreports.ordered_scan
+    monkeypatch.setattr(xmlreports, "ordered_scan", lambda df, within, levels, *a, **k: held.append(df.groupBy(*within, *levels).count().agg({"count": "max"}).first()[0]) or scan(df, within, levels, *a, **k))
+    rows = "".join(f"<id><Key>{i}</Key></id>" for i in range(500))
+    (tmp_path / f"{C.TERMINALS_VPN}-1999-08-01_1234.xml").write_text(f'<r><table name="T1">{rows}</table><table name="T2">{rows}</table></r>')
+    found = xmlreports.read_reports(spark, str(tmp_path)).select("table", F.col("cells")["Key"].cast("int").alias("key")).collect()
+    assert sorted(map(tuple, found)) == sorted((t, i) for t in ("T1", "T2") for i in range(500))
+    assert held and held[0] <= 16
