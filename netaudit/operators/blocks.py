@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from netaudit.functions.net import ip_to_number, number_to_ip
 from netaudit.functions.text import config_value, remove_first, trim_blanks
 from netaudit.operators.dropped import counted
-from netaudit.operators.matchjoin import salted_join
+from netaudit.operators.matchjoin import file_join
 from netaudit.operators.scan import lines_since, ordered_scan
 from netaudit.session import checkpointed
 from netaudit.sources.lines import place
@@ -63,7 +63,7 @@ def section(lines: DataFrame, start: Column, end: Column, keep: Column | None =
     """Lines of the section found by :func:`section_bounds`; files without one give none."""
     kept = lines if keep is None else lines.filter(keep)
     return (
-        salted_join(kept, section_bounds(lines, start, end), "file", ["chunk", "pos"])
+        file_join(kept, section_bounds(lines, start, end))
         .filter(place().between(F.col("begin"), F.col("finish")))
         .drop("begin", "finish")
     )
@@ -203,7 +203,7 @@ def deny_list(lines: DataFrame) -> DataFrame:
     value = F.when(_has("set fqdn"), config_value(F.col("line"), "set fqdn ")).when(_has("set subnet"), subnet)
 
     marked = lines.filter(entry | closes | _has("set subnet") | _has("set fqdn"))
-    kept = salted_join(marked, last_places(lines), "file", ["chunk", "pos"])
+    kept = file_join(marked, last_places(lines))
     spans = ordered_scan(
         kept, ["file"], ["chunk"], "pos",
         total={"spans_through": closes.cast("int")}, total_before={"spans_before": closes.cast("int")},

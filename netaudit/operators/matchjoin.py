@@ -40,6 +40,11 @@ def salted_join(rows: DataFrame, lookup: DataFrame, key: str, spread_by: list[st
     return rows.withColumn("_salt", salt).join(repeated, [key, "_salt"]).drop("_salt")
 
 
+def file_join(rows: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Inner join with a lookup of one row per file. The driver lists the files, so that many rows are broadcast."""
+    return rows.join(F.broadcast(lookup), "file")
+
+
 def with_prefixes(texts: DataFrame, text: str, keys: DataFrame, key: str, name: str) -> DataFrame:
     """One row per text and prefix of a length that some key has, the prefix in column ``name``.
 

@@ -12,7 +12,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from netaudit.functions.text import clean_csv_line
-from netaudit.operators.matchjoin import salted_join
+from netaudit.operators.matchjoin import file_join
 from netaudit.operators.scan import lines_since, ordered_scan
 from netaudit.session import checkpointed
 
@@ -165,7 +165,7 @@ def read_room_log(spark: SparkSession, path: str) -> DataFrame:
     numbered = number_lines(lines).withColumn("cells", csv_cells(F.col("line")))
     headers = numbered.filter("line_no = 4").select("file", F.col("cells").alias("names"))
     pairs = F.transform("names", lambda name, i: F.struct(name.alias("key"), F.get("cells", i).alias("value")))
-    return salted_join(numbered.filter("line_no > 4"), headers, "file", ["chunk", "pos"]).select(
+    return file_join(numbered.filter("line_no > 4"), headers).select(
         "file", "line_no", F.map_from_entries(F.filter(pairs, lambda p: p["key"].isNotNull())).alias("cells")
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from netaudit.constants import BLANK_HOST, DHCP_MARKERS
 from netaudit.functions.net import has_mac, is_ip
 from netaudit.functions.text import token, trim_blanks
-from netaudit.operators.matchjoin import salted_join
+from netaudit.operators.matchjoin import file_join
 from netaudit.sinks.versions import register_folder
 from netaudit.sources.lines import number_lines, read_marked_lines
 
@@ -167,7 +167,7 @@ def leases_of_cells(cells: DataFrame, rank: int = 0) -> DataFrame:
     third = F.col("mac_column") == 3
     word = token(F.split(cell(3), r"\s+"), 1)
     layouts = lease_layout(cells).filter("mac_column in (2, 3)")
-    rows = salted_join(cells, layouts, "file", ["chunk", "pos"]).select(
+    rows = file_join(cells, layouts).select(
         trim_blanks(cell(1)).alias("ip"),
         F.when(third, cell(3)).otherwise(cell(2)).alias("macAddress"),
         F.when(third, F.when(F.coalesce(cell(4), F.lit("")) == "", BLANK_HOST).otherwise(cell(4)))
