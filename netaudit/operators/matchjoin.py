@@ -175,7 +175,8 @@ def with_blocks(ips: DataFrame, ip: str, blocks: DataFrame) -> DataFrame:
 
     Only block sizes that occur in ``blocks`` are made; there are at most 21, so they are
     broadcast. Only well-formed addresses give any. ``ips`` must be distinct: then no block
-    gathers more than 1,048,576 of them, however popular its network is.
+    gathers more than 1,048,576 of them, however popular its network is. Spark's size check
+    does not see how many rows an address becomes, so joins with them are merged.
     """
     sizes = blocks.select("bits").distinct()
     numbered = ips.select(ip, ipv4_number(F.col(ip)).alias("number")).filter(F.col("number").isNotNull())
@@ -241,7 +242,7 @@ def blocks_of_networks(networks: DataFrame, order: str, name: str, span: bool) -
 def range_hits(ips: DataFrame, ranges: DataFrame, payload: list[str], ip: str = "ip") -> DataFrame:
     """All pairs of a distinct address and a ``(lo, hi)`` range that holds it: ``(ip, *payload)``."""
     blocks = blocks_of_ranges(ranges, payload)
-    return with_blocks(ips, ip, blocks).join(blocks, ["bits", "block"]).select(ip, *payload)
+    return with_blocks(ips, ip, blocks).join(blocks.hint("merge"), ["bits", "block"]).select(ip, *payload)
 
 
 def first_network_match(
@@ -252,7 +253,7 @@ def first_network_match(
     For which networks count see :func:`blocks_of_networks`.
     """
     blocks = blocks_of_networks(networks, order, name, span)
-    matches = with_blocks(ips.select(ip).distinct(), ip, blocks).join(blocks, ["bits", "block"])
+    matches = with_blocks(ips.select(ip).distinct(), ip, blocks).join(blocks.hint("merge"), ["bits", "block"])
     return matches.groupBy(ip).agg(F.min_by(name, "order").alias(name))
 
 
@@ -268,7 +269,7 @@ def range_and_network(
     blocks = in_ranges.unionByName(in_networks, allowMissingColumns=True)
     return (
         with_blocks(ips, ip, blocks)
-        .join(blocks, ["bits", "block"])
+        .join(blocks.hint("merge"), ["bits", "block"])
         .groupBy(ip)
         .agg(F.coalesce(F.sum("ranges"), F.lit(0)).alias("ranges"), F.min_by(name, "order").alias(name))
     )

@@ -83,7 +83,8 @@ def ordered_scan(
         since={f"{name}__out": (F.col(f"{name}__in"), F.col(f"{name}__reset")) for name in since},
     )
     outs = [f"{name}__out" for name in [*carried, *summed, *ahead, *since]]
-    joined = scanned.join(outer.select(*part, *outs), part)
+    # The rows stand in their chunks already. By the size of a compressed table Spark may take them for few and broadcast them.
+    joined = scanned.join(outer.select(*part, *outs).hint("merge"), part)
     return joined.withColumns(
         {name: F.coalesce(F.col(name), F.col(f"{name}__out")) for name in carried}
         | {name: F.col(name) + F.col(f"{name}__out") for name in summed}

@@ -47,15 +47,16 @@ def host_owners(hosts: DataFrame, assets: DataFrame, literal: bool = False) -> D
     """Owners of each distinct host name that is not null: ``hostName, user, description``.
 
     A host takes every asset of its lower-case name. Hosts still without user take the first
-    asset whose name begins with the host's.
+    asset whose name begins with the host's. The names are read once per kind of pattern, so they
+    are written out first.
     """
-    keys = hosts.filter(F.col("hostName").isNotNull()).select("hostName").distinct().withColumn("key", F.lower("hostName"))
+    keys = checkpointed(hosts.filter(F.col("hostName").isNotNull()).select("hostName").distinct().withColumn("key", F.lower("hostName")))
     named = assets.filter(F.col("key").isNotNull()).select(F.col("key").alias("asset_key"), "user", "description")
     exact = keys.join(named, F.col("key") == F.col("asset_key"), "left").drop("asset_key")
     prefixed = first_prefix_match(
         keys, "key", assets.withColumnRenamed("key", "text"), "text", "seq", ["user", "description"], literal
     )
-    both = exact.join(prefixed, "key", "left")
+    both = exact.join(prefixed.hint("merge"), "key", "left")
     take = F.col("user").isNull() & F.col("match").isNotNull()
     return both.select(
         "hostName",
@@ -89,7 +90,7 @@ def with_owners(devices: DataFrame, assets: DataFrame, literal: bool = False, pa
     asset without name instead, which multiplies the two and serves only small registers.
     """
     private = devices.filter(F.col("macAddress").isNotNull()).select("ip", "hostName", "macAddress")
-    owned = private.join(host_owners(private, assets, literal), "hostName").select(*DEVICE_COLUMNS)
+    owned = private.join(host_owners(private, assets, literal).hint("merge"), "hostName").select(*DEVICE_COLUMNS)
     nameless = with_device_columns(private.filter(F.col("hostName").isNull()))
     public = devices.filter(F.col("macAddress").isNull())
     both = owned.unionByName(nameless_pairs(nameless, assets) if pair_nameless else nameless).unionByName(public.select(*DEVICE_COLUMNS))

@@ -98,19 +98,22 @@ def identity_relation(
     on whether it has a nameless row, on the ranges that hold it and on the networks. So
     these are joined per key, and no step reads the result of an earlier one twice. Keys and
     register are read several times; they are written out first, so that the reports and
-    the sources of the register are read once.
+    the sources of the register are read once. So are the register's domains, which the
+    suffix match reads once per kind of pattern. Joins with the register are merged: it is as
+    large as the data, which the size of a compressed table hides.
     """
     keys, register = checkpointed(keys), checkpointed(register)
+    domains = checkpointed(register.filter(~is_ip(F.col("ip"))))
     addresses = keys.filter(is_ip(F.col("ip"))).select("ip")
     entries = register.filter(is_ip(F.col("ip"))).select(*DEVICE_COLUMNS)
     named = entries.groupBy("ip").agg(F.bool_or(F.col("hostName").isNull()).alias("nameless_entry"))
     found = range_and_network(addresses, ranges, networks, "seq", "User", span=span).withColumnRenamed("User", "network")
     facts = (
-        addresses.join(named, "ip", "left")
+        addresses.join(named.hint("merge"), "ip", "left")
         .withColumn("nameless", F.coalesce("nameless_entry", F.lit(True)))
-        .join(found, "ip", "left")
+        .join(found.hint("merge"), "ip", "left")
     )
-    rows = facts.join(entries, "ip", "left")
+    rows = facts.join(entries.hint("merge"), "ip", "left")
     released = F.col("nameless") & (F.coalesce("ranges", F.lit(0)) > 0)
     kept = rows.withColumn("released", released).filter(~F.col("released") | F.col("hostName").isNull())
     label = released_label(F.col("macAddress"))
@@ -130,5 +133,5 @@ def identity_relation(
         "macAddress",
         F.explode(copies).alias("copy"),
     ).drop("copy")
-    by_domain = with_unregistered(domain_identities(keys, register, literal))
+    by_domain = with_unregistered(domain_identities(keys, domains, literal))
     return by_address.unionByName(by_domain.select(*DEVICE_COLUMNS))

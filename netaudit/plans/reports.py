@@ -74,10 +74,13 @@ def section_usage(section: Column) -> Column:
 
 
 def left_join_identity(rows: DataFrame, key: Column, identities: DataFrame, columns: list[str]) -> DataFrame:
-    """Left join on an address. Rows without one get keys that match nothing, spread over all tasks."""
+    """Left join on an address. Rows without one get keys that match nothing, spread over all tasks.
+
+    Identities are as many as the addresses of the data, so they are merged, not broadcast.
+    """
     spread = F.concat(F.lit("?"), (F.abs(F.xxhash64("place")) % 4096).cast("string"))
     found = identities.select(F.col("ip").alias("_ip"), *[F.col(c).alias(f"_{c}") for c in columns])
-    return rows.withColumn("_key", F.coalesce(key, spread)).join(found, F.col("_key") == F.col("_ip"), "left").drop("_key", "_ip")
+    return rows.withColumn("_key", F.coalesce(key, spread)).join(found.hint("merge"), F.col("_key") == F.col("_ip"), "left").drop("_key", "_ip")
 
 
 DEVICE = next(spec for spec in KEY_COLUMNS if spec.column == "Device2")

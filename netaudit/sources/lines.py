@@ -88,7 +88,7 @@ def read_marked_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def base_name(file: Column) -> Column:
-    return F.regexp_extract(file, "[^/]*$", 0)
+    return F.substring_index(file, "/", -1)
 
 
 def lines_of_table(df: DataFrame, file: Column, pos: Column, line: Column, chunk_lines: int = 100_000) -> DataFrame:

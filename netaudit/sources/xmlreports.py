@@ -6,6 +6,8 @@ Columns ``file, report, table, place, cells``: ``place`` orders the rows of a ta
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
@@ -142,19 +144,24 @@ def rows_of_tables(tables: DataFrame, dtype: StructType) -> DataFrame:
     )
 
 
-def user_sections(rows: DataFrame) -> DataFrame:
+def user_sections(rows: DataFrame, of_users: Column | None = None) -> DataFrame:
     """Tables of the per-user sections under their common names, the section name as ``rank`` cell.
 
-    ``rows`` carries the section name in ``section``.
+    ``rows`` carries the section name in ``section``. Where ``of_users`` is given and does not
+    hold, rows stay as they are; where it does, those outside of sections are left out.
     """
     ranked = F.map_concat(
         F.map_filter("cells", lambda key, _: key != "rank"), F.create_map(F.lit("rank"), F.col("section"))
     )
-    wanted = rows.filter(F.col("table").isin(TRAFFIC_SUMMARY, TOP_DESTINATIONS))
+    wanted = F.col("table").isin(TRAFFIC_SUMMARY, TOP_DESTINATIONS)
     destination = F.col("table") == TOP_DESTINATIONS
-    return wanted.select(
+    name = F.when(destination, TOP10_DESTINATIONS).otherwise(USER_TRAFFIC)
+    if of_users is not None:
+        wanted = ~of_users | (F.col("section").isNotNull() & wanted)
+        destination, name = of_users & destination, F.when(of_users, name).otherwise(F.col("table"))
+    return rows.filter(wanted).select(
         *[c for c in rows.columns if c not in ("table", "cells", "section")],
-        F.when(destination, TOP10_DESTINATIONS).otherwise(USER_TRAFFIC).alias("table"),
+        name.alias("table"),
         F.when(destination, ranked).otherwise(F.col("cells")).alias("cells"),
     )
 
@@ -187,8 +194,17 @@ BLOCK_BITS = 16
 CLOSED = "\x00"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a value. An expression that stands in a function of array elements is run for each of them; this one runs once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def unescaped(text: Column) -> Column:
     """Text with its references to characters put in."""
+    return _once(text, _unescaped)
+
+
+def _unescaped(text: Column) -> Column:
     numbers = F.array_distinct(F.regexp_extract_all(text, F.lit("&#(x?[0-9A-Fa-f]+);"), 1))
 
     def character(number: Column) -> Column:
@@ -206,20 +222,30 @@ def child_cells(content: Column) -> Column:
 
     A child does not hold an element of its own name.
     """
-    names = F.regexp_extract_all(content, F.lit(_CHILD), 1)
-    texts = F.transform(F.regexp_extract_all(content, F.lit(_CHILD), 2), lambda t: unescaped(F.regexp_replace(t, "<[^>]*>", "")))
+    def keys(names: Column) -> Column:
+        def key(name: Column, i: Column) -> Column:
+            before = F.size(F.filter(F.slice(names, 1, i + 1), lambda n: n == name))
+            return F.when(F.size(F.filter(names, lambda n: n == name)) > 1, F.concat(name, before.cast("string"))).otherwise(name)
 
-    def key(name: Column, i: Column) -> Column:
-        before = F.size(F.filter(F.slice(names, 1, i + 1), lambda n: n == name))
-        return F.when(F.size(F.filter(names, lambda n: n == name)) > 1, F.concat(name, before.cast("string"))).otherwise(name)
+        return F.transform(names, key)
 
-    entries = F.arrays_zip(F.transform(names, key).alias("key"), texts.alias("value"))
-    first = F.filter(entries, lambda e, i: F.array_position(F.transform(F.slice(entries, 1, i + 1), lambda x: x["key"]), e["key"]) == i + 1)
-    return F.map_from_entries(first)
+    def first(entries: Column) -> Column:
+        return F.filter(entries, lambda e, i: F.array_position(F.transform(F.slice(entries, 1, i + 1), lambda x: x["key"]), e["key"]) == i + 1)
+
+    def cells(text: Column) -> Column:
+        names = F.regexp_extract_all(text, F.lit(_CHILD), 1)
+        texts = F.transform(F.regexp_extract_all(text, F.lit(_CHILD), 2), lambda t: unescaped(F.regexp_replace(t, "<[^>]*>", "")))
+        return _once(F.arrays_zip(_once(names, keys).alias("key"), texts.alias("value")), first)
+
+    return F.map_from_entries(_once(content, cells))
 
 
 def _state(tag: Column) -> Column:
     """What a table's or section's tag opens: its name, or that it is closed."""
+    return _once(tag, _state_of)
+
+
+def _state_of(tag: Column) -> Column:
     name = F.regexp_extract(tag, r"""\sname\s*=\s*(?:"([^"]*)"|'([^']*)')""", 0)
     value = unescaped(F.regexp_extract(name, r"""^\sname\s*=\s*["']([\s\S]*)["']$""", 1))
     return F.when(tag.startswith("</") | tag.endswith("/>"), F.lit(CLOSED)).otherwise(value)
@@ -260,13 +286,13 @@ def read_id_rows(spark: SparkSession, path, glob: str = "*.xml") -> DataFrame:
 
     found = F.filter(F.transform("tags", row), lambda r: r.isNotNull())
     held = pieces.withColumn("tags", tags).select("file", "chunk", "pos", "tags", found.alias("rows")).select(
-        "file", "chunk", "pos", "rows", _state(_last(F.col("tags"), _TABLE_TAG)).alias("_table"), _state(_last(F.col("tags"), _SECTION_TAG)).alias("_section"),
+        "file", report_name(F.col("file")).alias("report"), "chunk", "pos", "rows", _state(_last(F.col("tags"), _TABLE_TAG)).alias("_table"), _state(_last(F.col("tags"), _SECTION_TAG)).alias("_section"),
     )
     # Elements are short, so a split has many; windows run inside blocks of them, over rows written out once.
     held = checkpointed(held.withColumn("block", F.shiftright("pos", BLOCK_BITS)))
     carried = ordered_scan(held, ["file"], ["chunk", "block"], "pos", carry_before={"in_table": F.col("_table"), "in_section": F.col("_section")})
-    rows = carried.select("file", "chunk", "pos", "in_table", "in_section", F.explode("rows").alias("r")).select(
-        "file", report_name(F.col("file")).alias("report"), F.nullif(F.coalesce("r.section", "in_section"), F.lit(CLOSED)).alias("section"),
+    rows = carried.select("file", "report", "chunk", "pos", "in_table", "in_section", F.explode("rows").alias("r")).select(
+        "file", "report", F.nullif(F.coalesce("r.section", "in_section"), F.lit(CLOSED)).alias("section"),
         F.coalesce("r.table", "in_table").alias("table"),
         F.struct("file", F.col("chunk").alias("n"), F.col("pos").alias("t"), F.col("r.at").alias("row")).alias("place"), "r.cells", "r.is_id",
     )
@@ -280,11 +306,8 @@ def read_tables(spark: SparkSession, path, glob: str = "*.xml") -> DataFrame:
 
 
 def read_reports(spark: SparkSession, path) -> DataFrame:
-    """Long table of all reports of a folder, the files read once."""
-    rows = read_id_rows(spark, path)
-    of_users = user_sections(rows.filter((F.col("report") == USER_REPORT) & F.col("section").isNotNull()))
-    others = rows.filter(F.col("report") != USER_REPORT).drop("section")
-    return others.unionByName(of_users)
+    """Long table of all reports of a folder, the files and their rows read once."""
+    return user_sections(read_id_rows(spark, path), F.col("report") == USER_REPORT)
 
 
 def rows_of_xml_column(df: DataFrame, xml: str, schema: StructType, at: str, row_tag: str = "table") -> DataFrame:

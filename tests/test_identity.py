@@ -212,3 +212,31 @@ def test_column_choice(spark):
     assert shaping.size_column(df.withColumn("Bandwidth", F.lit("y"))) == "Bandwidth"
     with pytest.raises(ValueError):
         shaping.size_column(df.drop("Bytes"))
+
+
+def broadcast_joins(df):
+    plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    return [line for line in plan if "BroadcastHashJoin" in line and "LeftSemi" not in line]
+
+
+def test_what_grows_with_the_data_is_not_broadcast(spark, audit):
+    """Small as these tables are, addresses, their register rows and identities are merged; lengths of keys and sizes of blocks are broadcast."""
+    keys, register, ranges, networks = audit
+    found = identity.identity_relation(keys, register, ranges, networks)
+    assert [line for line in broadcast_joins(found) if "bits" in line or "[ip#" in line.split("BroadcastHashJoin")[1][:8]] == []
+    report_rows = spark.createDataFrame([("r", 1, {"a": "10.0.0.1"})], "report string, place long, cells map<string,string>")
+    assert broadcast_joins(reports.left_join_identity(report_rows, F.col("cells")["a"], found, ["hostName"]).select("_hostName")) == broadcast_joins(found)
+    owned = devices.with_owners(register, assets(spark, ("ann", "A", "pc-1")))
+    assert not any("hostName" in line for line in broadcast_joins(owned))
+
+
+def test_domains_of_the_register_are_read_apart(spark, audit, monkeypatch):
+    """The suffix match reads its register several times; it is given the domains alone, written out."""
+    given = []
+    match = identity.first_suffix_match
+    monkeypatch.setattr(identity, "first_suffix_match", lambda probes, probe, register, *rest: given.append(register) or match(probes, probe, register, *rest))
+    identity.identity_relation(*audit)
+    [entries] = given
+    assert entries.count() == 3 and len(entries.inputFiles()) > 0
+    [read] = [spark.read.parquet(*entries.inputFiles())]
+    assert read.filter("ip like '10.%'").isEmpty()

@@ -143,3 +143,22 @@ def test_windows_run_inside_blocks_of_a_split(spark, tmp_path, monkeypatch):
     found = xmlreports.read_reports(spark, str(tmp_path)).select("table", F.col("cells")["Key"].cast("int").alias("key")).collect()
     assert sorted(map(tuple, found)) == sorted((t, i) for t in ("T1", "T2") for i in range(500))
     assert held and held[0] <= 16
+
+
+def test_rows_of_reports_are_read_in_one_pass(spark, tmp_path):
+    """Reports of users and the others in one reading of the parsed rows, next to that of the chunks' summaries."""
+    rng = random.Random(4)
+    for name in C.REPORT_NAMES:
+        (tmp_path / f"{name}-2025-01-02_1234.xml").write_text(users(rng, 3, 2) if name == C.USER_REPORT else report(rng, 3, 2))
+    plan = xmlreports.read_reports(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    # Levels of summaries read the states of the rows, not the rows.
+    assert sum("Relation [" in line and "rows#" in line for line in plan.split("\n")) <= 3
+    assert "Union" not in plan
+
+
+def test_cells_of_an_element_are_cut_once(spark):
+    """No search for children stands in a function that is run for each of them."""
+    plan = spark.createDataFrame([("<a>1</a><b>x &amp; y</b><a>2</a>",)], "x string").select(xmlreports.child_cells(F.col("x")).alias("cells"))
+    assert plan.first().cells == {"a1": "1", "b": "x & y", "a2": "2"}
+    text = plan._jdf.queryExecution().analyzed().toString()
+    assert text.count("regexp_extract_all(") <= 2 + 1

@@ -39,3 +39,10 @@ def test_plan_has_no_whole_sequence_window(spark):
     plan = ordered_scan(df, ["f"], ["chunk"], "pos", total={"t": F.col("v")})._jdf.queryExecution().toString()
     rows_window = [l for l in plan.split("\n") if "windowspecdefinition" in l and "pos" in l]
     assert rows_window and all("chunk" in l for l in rows_window)
+
+
+def test_rows_are_not_broadcast_to_their_chunks(spark):
+    """A table of a few compressed bytes may hold many rows; only the chunks' summaries move."""
+    df = spark.range(10).selectExpr("'f' f", "id div 3 chunk", "id pos", "id v")
+    plan = ordered_scan(df, ["f"], ["chunk"], "pos", total={"t": F.col("v")})._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
