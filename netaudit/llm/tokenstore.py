@@ -19,9 +19,11 @@ import zlib
 from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
@@ -42,6 +44,8 @@ SHARDS_OF_RANGE = 1_000_000
 REMEMBERED, LONGEST_REMEMBERED = 1 << 20, 64
 #: Pieces that go to the library as one text.
 TOGETHER = 256
+#: Bytes of texts that are cut at once.
+GROUP_BYTES = 1 << 23
 
 # No token spans a character that is surely no white space and a space after it, a letter and a mark
 # after it that is no apostrophe, or a single line end and a letter after it, so texts are cut there.
@@ -55,9 +59,33 @@ _MARKED = re.compile("[^A-Za-z\\s][^\\s]*")
 # The characters that stand for bytes in vocabularies of bytes: printable ones for themselves, the others from 256 on.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_NAMES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
-_BLANK = chr(_BYTE_NAMES[0x20])
+_LINE_END = chr(_BYTE_NAMES[0x0A])
 _DOUBTFUL = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 _SURE_CUT = re.compile("(?<=[!-~])(?= )")
+# One word of the library's own pattern, whatever stands around it in a text without added tokens.
+_ALONE = f" ?([{_LETTERS}]+|[0-9]+|[!-&(-/:-@\\[-`{{-~]+)"
+# Kinds of bytes: white space, letters and digits of ASCII, marks of ASCII without the apostrophe, all others.
+_SPACE, _PLAIN, _MARK, _OTHER = range(4)
+_KIND = np.full(256, _OTHER, dtype=np.uint8)
+_KIND[[*b" \n\r\t"]] = _SPACE
+_KIND[[b for b in range(0x21, 0x7F) if b != 0x27]] = _MARK
+_KIND[[b for b in range(128) if chr(b).isalnum()]] = _PLAIN
+# Pairs of kinds that no token spans.
+_APART = np.zeros(16, dtype=bool)
+_APART[[4 * a + b for a, b in ((_PLAIN, _SPACE), (_MARK, _SPACE), (_OTHER, _SPACE), (_PLAIN, _MARK), (_MARK, _PLAIN))]] = True
+
+
+def _starts_of_pieces(content: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where pieces begin in the bytes of texts that begin at ``starts``; the texts have no added tokens and no doubtful white space."""
+    kinds = _KIND[content]
+    begins = np.ones(len(content), dtype=bool)
+    begins[1:] = _APART[4 * kinds[:-1] + kinds[1:]]
+    begins[starts] = True
+    # A line end alone before a visible character is a token, so what follows it begins a piece too.
+    lines = np.flatnonzero(content[:-1] == 0x0A)
+    lines = lines[begins[lines] & (kinds[lines + 1] != _SPACE)]
+    begins[lines + 1] = True
+    return np.flatnonzero(begins)
 
 
 class Encoder:
@@ -87,20 +115,28 @@ class Encoder:
         for i, token in self.library.get_added_tokens_decoder().items():
             self.bytes[i] = len(token.content.encode())
         self.known: dict[str, bytes] = {}
+        self.odd = "|".join([_DOUBTFUL.pattern, *map(re.escape, added)])
+        # The name of each byte.
+        self.names = np.array([_BYTE_NAMES.get(b, b) for b in range(256)], dtype="<u2")
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
 
+    def _learn_words(self, words: list[str]) -> None:
+        """Encode pieces that are one word each of the library's own pattern."""
+        if words:
+            # Names of the bytes of all words at once; no word has a line end.
+            names = self.names[np.frombuffer("\n".join(words).encode(), dtype=np.uint8)].tobytes().decode("utf-16-le")
+            kind, tokenize = self.dtype.char, self.model.tokenize
+            for piece, name in zip(words, names.split(_LINE_END), strict=True):
+                self.known[piece] = array(kind, [t.id for t in tokenize(name)]).tobytes()
+
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces; those that no token can leave go to the library as one text."""
-        apart, rest, kind, tokenize = [], [], self.dtype.char, self.model.tokenize
+        apart, rest, words = [], [], []
         for piece in pieces:
-            if _WORD.fullmatch(piece):
-                # Only the blank and bytes from 128 have other names.
-                name = piece.replace(" ", _BLANK) if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_NAMES)
-                self.known[piece] = array(kind, [t.id for t in tokenize(name)]).tobytes()
-            else:
-                rest.append(piece)
+            (words if _WORD.fullmatch(piece) else rest).append(piece)
+        self._learn_words(words)
         for at in range(0, len(rest), TOGETHER):
             some = []
             for piece in rest[at : at + TOGETHER]:
@@ -141,6 +177,56 @@ class Encoder:
         found.append(self.end)
         return b"".join(found)
 
+    def _known(self, pieces: pa.Array) -> list[bytes]:
+        """Ids of different pieces; those that hold several words and are new are cut further."""
+        keys = pieces.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, keys))
+        if None in found:
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            known, places = self.known, [i for i, ids in enumerate(found) if ids is None]
+            alone = pc.match_substring_regex(pieces.take(pa.array(places)), f"^{_ALONE}$").to_pylist()
+            self._learn_words([keys[i] for i, one in zip(places, alone, strict=True) if one])
+            mixed = {keys[i]: _PIECE.findall(keys[i]) for i, one in zip(places, alone, strict=True) if not one}
+            self._learn([part for part in set(chain.from_iterable(mixed.values())) if part not in known])
+            for piece, parts in mixed.items():
+                known[piece] = b"".join([known[part] for part in parts])
+            for i in places:
+                found[i] = known[keys[i]]
+            for piece in chain([keys[i] for i in places], *mixed.values()):
+                if len(piece) > LONGEST_REMEMBERED:
+                    known.pop(piece, None)
+        return found
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """``encode`` of each text of a column; a piece is looked up once in a group of texts."""
+        groups = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)) // GROUP_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(texts)]
+        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+            if begin < end:
+                yield from self._encode_group(texts.slice(begin, end - begin).fill_null("").cast(pa.large_string()))
+
+    def _encode_group(self, texts: pa.Array) -> Iterator[bytes]:
+        odd = pc.match_substring_regex(texts, self.odd)
+        alone = odd.to_pylist()
+        plain = pc.if_else(odd, "", texts).cast(pa.large_string()) if any(alone) else texts
+        _, offsets, content = plain.buffers()
+        bounds = np.frombuffer(offsets, dtype=np.int64)[plain.offset : plain.offset + len(plain) + 1]
+        content = np.frombuffer(content or b"", dtype=np.uint8)[bounds[0] : bounds[-1]]
+        starts = bounds - bounds[0]
+        if len(content):
+            begins = _starts_of_pieces(content, starts[:-1][np.diff(starts) > 0])
+            ends = np.r_[begins, len(content)]
+            pieces = pa.Array.from_buffers(pa.large_string(), len(begins), [None, pa.py_buffer(ends), pa.py_buffer(content)]).dictionary_encode()
+            ids = pa.array(self._known(pieces.dictionary), pa.large_binary()).take(pieces.indices)
+            _, places, found = ids.buffers()
+            starts = np.frombuffer(places, dtype=np.int64)[ids.offset + np.searchsorted(ends, starts)]
+        else:
+            found = b""
+        found, starts = memoryview(found), starts.tolist()
+        for i, own in enumerate(alone):
+            yield self.encode(texts[i].as_py()) if own else b"".join([found[starts[i] : starts[i + 1]], self.end])
+
 
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
@@ -164,8 +250,7 @@ def _sharder(vocabulary: str, shard_tokens: int):
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((shard, sum(lengths), content), _FILE, strict=True)], schema=_FILE)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = own.encode(text.as_py())
+            for doc_id, found in zip(batch.column(0).to_pylist(), own.encode_all(batch.column(1)), strict=True):
                 ids += found
                 names.append(doc_id)
                 lengths.append(len(found) // own.dtype.itemsize)

@@ -4,6 +4,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -57,6 +58,49 @@ def test_white_space_that_cuts_a_text_is_white_space_for_the_library(library):
         assert encoded(own, [text])[0][:-1] == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("group_bytes", [1, 3000, 1 << 23])
+def test_columns_equal_library(library, monkeypatch, group_bytes):
+    """Texts of a column, which are cut together, give what each gives."""
+    monkeypatch.setattr(tokenstore, "GROUP_BYTES", group_bytes)
+    rng = random.Random(5)
+    alphabet = ["a", "B", "\xe9", "\xd7", " ", " ", "\n", "\n", "\r", "\t", "'", "'s", "12", "\xb2", ",", "...", "\u2026", "<|endoftext|", "|>", "\x00", "\u65e5"]
+    texts = ["", " ", "\n", "\n\n", "\n", "", None, *("".join(rng.choices(alphabet, k=rng.randrange(12))) for _ in range(3000)), None, *odd_texts(rng, 500), "x" * 5000, prose(rng, 300, 10**6), ""]
+    want = [[*library.encode(text or "", add_special_tokens=False).ids, 0] for text in texts]
+    own = tokenstore.Encoder(VOCABULARY)
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["left out", *texts], kind).slice(1)
+        for _ in range(2):
+            assert [np.frombuffer(ids, own.dtype).tolist() for ids in own.encode_all(column)] == want
+    monkeypatch.setattr(tokenstore, "REMEMBERED", 50)
+    own = tokenstore.Encoder(VOCABULARY)
+    assert [np.frombuffer(ids, own.dtype).tolist() for ids in own.encode_all(pa.array(texts))] == want
+    assert list(own.encode_all(pa.array([], pa.string()))) == []
+
+
+def test_every_code_point_in_a_column(library):
+    """Beside blanks, marks, line ends, letters and digits."""
+    own = tokenstore.Encoder(VOCABULARY)
+    points = [c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000 and not tokenstore._DOUBTFUL.match(c)]
+    texts = ["".join(f"!{c} a{c},{c}\n{c}1{c}'" for c in points[at : at + 2000]) for at in range(0, len(points), 2000)]
+    for text, ids in zip(texts, own.encode_all(pa.array(texts)), strict=True):
+        assert np.frombuffer(ids, own.dtype).tolist()[:-1] == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_piece_is_looked_up_once_in_a_group():
+    """Time grows with the different words of a group, not with all words."""
+    class Counted(dict):
+        looks = 0
+
+        def get(self, key, default=None):
+            Counted.looks += 1
+            return super().get(key, default)
+
+    own = tokenstore.Encoder(VOCABULARY)
+    own.known = Counted()
+    texts = ["some words, and the same words\nagain " * 100] * 50
+    assert len(set(own.encode_all(pa.array(texts)))) == 1 and Counted.looks < 50
+
+
 def rows():
     rng = random.Random(9)
     return [*edge_rows(rng), *((50 + i, t) for i, t in enumerate(odd_texts(rng, 100))), (None, "nameless too"), (-3, "first")]
