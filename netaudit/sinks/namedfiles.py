@@ -16,9 +16,11 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 import pyarrow.parquet
@@ -27,10 +29,11 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from netaudit.session import ship_package
 from netaudit.sinks.versions import publish, register_folder
-from netaudit.sources.lines import base_name, decoded_name
 
 #: Bytes at which a file of lines is closed, and ranges in one file of the index.
 FILE_BYTES, INDEX_ROWS = 1 << 26, 1 << 20
+#: Bytes of a file that are read at once.
+READ_BYTES = 1 << 22
 INDEX_SCHEMA = "key string, file string, first long, bytes long"
 _INDEX = pa.schema([("key", pa.string()), ("file", pa.string()), ("first", pa.int64()), ("bytes", pa.int64())])
 
@@ -55,6 +58,9 @@ class Store:
         with self.system.open_output_stream(self.place(name)) as out:
             out.write(content)
 
+    def open(self, name: str) -> pa.NativeFile:
+        return self.system.open_input_file(self.place(name))
+
     def move(self, name: str, to: str) -> None:
         self.system.create_dir(self.place(to).rpartition("/")[0], recursive=True)
         self.system.move(self.place(name), self.place(to))
@@ -208,17 +214,69 @@ def line_index(spark: SparkSession, path: str, version: int | None = None) -> Da
     return spark.read.schema(INDEX_SCHEMA).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(folder)
 
 
+def _cut(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Lines of ranges ``key, file, first, bytes`` that come in the order of files and places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = Store(folder)
+        for batch in batches:
+            keys, names = batch.column(0), batch.column(1).to_pylist()
+            first = batch.column(2).to_numpy()
+            after = first + batch.column(3).to_numpy()
+            for name, reads in groupby(_reads(names, first, after), lambda own: names[own.start]):
+                with store.open(f"lines/{name}") as file:
+                    for own in reads:
+                        for content, start in _pieces(file, int(first[own.start]), int(after[own.stop - 1])):
+                            texts, ends = _texts(content)
+                            of_line = own.start + np.searchsorted(after[own], start + ends, side="right")
+                            yield pa.RecordBatch.from_arrays([keys.take(pa.array(of_line)), texts], ["key", "line"])
+
+    return run
+
+
+def _reads(names: list[str], first: np.ndarray, after: np.ndarray) -> Iterator[slice]:
+    """Ranges that follow each other without a gap in a file, up to the bytes that are read at once."""
+    begin = 0
+    for i in range(1, len(names) + 1):
+        if i == len(names) or names[i] != names[begin] or first[i] != after[i - 1] or after[i] - first[begin] > READ_BYTES:
+            yield slice(begin, i)
+            begin = i
+
+
+def _pieces(file: pa.NativeFile, first: int, after: int) -> Iterator[tuple[bytes, int]]:
+    """Bytes from ``first`` to before ``after``, behind a line end, in pieces of whole lines, each with its place."""
+    left = b""
+    while first < after:
+        read = file.read_at(min(READ_BYTES, after - first - len(left)), first + len(left))
+        if not read:
+            raise ValueError(f"lines end before byte {after}, which the index names")
+        content = left + read
+        whole = content.rfind(b"\n") + 1
+        left = content[whole:]
+        if whole:
+            yield content[:whole], first
+            first += whole
+
+
+def _texts(content: bytes) -> tuple[pa.StringArray, np.ndarray]:
+    """Lines without their ends, and where these are."""
+    written = np.frombuffer(content, dtype=np.uint8)
+    ends = np.flatnonzero(written == ord("\n"))
+    offsets = np.concatenate(([0], ends - np.arange(len(ends)))).astype(np.int32)
+    return pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(np.delete(written, ends))), ends
+
+
 def read_keyed_lines(spark: SparkSession, path: str, keys: DataFrame | None = None, version: int | None = None) -> DataFrame:
-    """``key, line`` of all keys, or of those in the one column of ``keys``: only the ranges that the index names are cut out."""
+    """``key, line`` of all keys, or of those in the one column of ``keys``: only the ranges that the index names are read.
+
+    The ranges that begin in the same part of a file go to one task, which reads each byte once.
+    """
     index = line_index(spark, path, version)
     if keys is not None:
-        index = index.join(keys.select(F.col(keys.columns[0]).alias("key")).distinct(), "key", "left_semi")
-    wanted = index.groupBy("file").agg(F.collect_list(F.struct("key", "first", "bytes")).alias("ranges"))  # of one file of bounded size
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true")
-    files = reader.load(register_folder(spark, path, version)).select(base_name(decoded_name(F.col("path"))).alias("file"), "content")
-    # The last byte of a range is a line end.
-    cut = F.transform("ranges", lambda r: F.struct(
-        r["key"].alias("key"), F.substring(F.col("content"), r["first"].cast("int") + 1, r["bytes"].cast("int") - 1).cast("string").alias("text")
-    ))
-    texts = files.join(wanted, "file").select(F.explode(cut).alias("r")).select("r.key", "r.text")
-    return texts.select("key", F.explode(F.split("text", "\n", -1)).alias("line"))
+        # By the size of a compressed table Spark may take the keys for few and broadcast them.
+        index = index.join(keys.select(F.col(keys.columns[0]).alias("key")).distinct().hint("merge"), "key", "left_semi")
+    ship_package(spark)
+    # A number of parts, as the size of the index says little of the lines.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = index.repartition(parts, "file", F.floor(F.col("first") / READ_BYTES)).sortWithinPartitions("file", "first")
+    return dealt.select("key", "file", "first", "bytes").mapInArrow(_cut(register_folder(spark, path, version)), "key string, line string")

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from netaudit.registry import files
-from netaudit.sinks import namedfiles
+from netaudit.sinks import namedfiles, versions
 
 
 def keyed(spark, n=3000):
@@ -29,6 +30,59 @@ def test_lines_are_read_back_by_key(spark, tmp_path):
     assert got == Counter({r: n for r, n in want.items() if r[0] in ("hot", "k7", "a/b=c", "")})
 
 
+def test_a_file_of_many_ranges_is_not_copied_for_each(spark, tmp_path):
+    """Cutting each of 30,000 ranges out of a copy of the file of 36 MB takes minutes, reading it once a moment."""
+    path = str(tmp_path / "found")
+    key = F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 6, "0"))
+    rows = spark.range(30000).select(key.alias("k"), F.concat(key, F.repeat(F.lit("x"), 1200)).alias("l"))
+    namedfiles.write_keyed_lines(rows.coalesce(1), "k", "l", ["l"], path, file_bytes=1 << 30)
+    began = time.monotonic()
+    found = namedfiles.read_keyed_lines(spark, path)
+    counts = found.agg(F.count("*"), F.count_if(F.startswith("line", F.col("key")) & (F.length("line") == 1207)), F.count_distinct("key")).first()
+    assert tuple(counts) == (30000,) * 3
+    assert time.monotonic() - began < 20
+
+
+def test_each_named_byte_is_read_once(spark, tmp_path, monkeypatch):
+    rows, df = keyed(spark)
+    path = str(tmp_path / "found")
+    namedfiles.write_keyed_lines(df, "k", "l", ["i"], path, file_bytes=2000)
+    index = namedfiles.line_index(spark, path).filter("key in ('hot', 'k7', 'k8', 'empty', '') or key is null").orderBy("file", "first").toArrow()
+    read, places = [], namedfiles.Store.open
+
+    class Counted:
+        def __init__(self, file):
+            self.file = file
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.file.close()
+
+        def read_at(self, n, at):
+            read.append(n)
+            return self.file.read_at(n, at)
+
+    monkeypatch.setattr(namedfiles, "READ_BYTES", 100)
+    monkeypatch.setattr(namedfiles.Store, "open", lambda store, name: Counted(places(store, name)))
+    cut = namedfiles._cut(versions.register_folder(spark, path))(iter(index.to_batches(max_chunksize=5)))
+    got = Counter((k, l) for b in cut for k, l in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+    assert got == Counter((k, l or "") for k, l, _ in rows if k in ("hot", "k7", "k8", "empty", "", None))
+    assert sum(read) == sum(index["bytes"].to_pylist()) and max(read) <= 100
+
+
+def test_a_file_that_ends_too_early_is_an_error(spark, tmp_path):
+    _, df = keyed(spark)
+    path = str(tmp_path / "found")
+    namedfiles.write_keyed_lines(df, "k", "l", ["i"], path)
+    file = max(tmp_path.rglob("*.txt"), key=lambda p: p.stat().st_size)
+    file.write_bytes(file.read_bytes()[:-30])
+    (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception, match="lines end before byte"):
+        namedfiles.read_keyed_lines(spark, path).collect()
+
+
 def test_files_are_few_and_named_by_content(spark, tmp_path):
     rows, df = keyed(spark)
     path = str(tmp_path / "found")
