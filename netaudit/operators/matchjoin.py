@@ -282,12 +282,8 @@ def invalid_networks(networks: DataFrame) -> DataFrame:
 
 def mac_tokens(line: Column) -> Column:
     """Every ``six-six`` text around a dash, overlapping ones too."""
-    parts = F.split(line, "-", -1)
-    pairs = F.when(F.size(parts) > 1, F.sequence(F.lit(1), F.size(parts) - 1))
-    around = F.transform(pairs, lambda i: F.concat(
-        F.right(F.get(parts, i - 1), F.lit(6)), F.lit("-"), F.left(F.get(parts, i), F.lit(6))
-    ))
-    return F.array_distinct(F.filter(around, lambda t: t.rlike("^[0-9A-Za-z]{6}-[0-9A-Za-z]{6}$")))
+    # Looking ahead takes no characters, so the next search begins one further.
+    return F.array_distinct(F.regexp_extract_all(line, F.lit("(?=([0-9A-Za-z]{6}-[0-9A-Za-z]{6}))"), F.lit(1)))
 
 
 def mac_search(lines: DataFrame, macs: DataFrame, key: str = "mac") -> DataFrame:

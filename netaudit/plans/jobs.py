@@ -285,7 +285,8 @@ def convert_records(spark: SparkSession, sources: str, out: str, extension: str,
 @owns_tables
 def write_mac_search(spark: SparkSession, mac_list: str, tables: str, out: str) -> None:
     """Write the lines of the switch tables that hold a listed MAC, with an index of the MACs."""
-    write_mac_matches(mac_matches(spark, mac_list, tables), out)
+    # Ranges are sampled from the matches before they are written; the join runs once.
+    write_mac_matches(checkpointed(mac_matches(spark, mac_list, tables)), out)
 
 
 def mac_matches(spark: SparkSession, mac_list: str, tables: str) -> DataFrame:

@@ -387,6 +387,18 @@ def test_mac_search_writes_its_files(spark, tmp_path):
     assert list(map(tuple, namedfiles.read_keyed_lines(spark, str(tmp_path / "found")).collect())) == [("001122-334455", "a.txt:vlan 001122-334455 up")]
 
 
+def test_mac_search_joins_once(spark, tmp_path, monkeypatch):
+    """What is written is read twice, to place the ranges and to write them; it is a table, not the join."""
+    put(tmp_path / "switch", "a.txt", "vlan 001122-334455 up\n")
+    put(tmp_path, "macs", "00:11:22:33:44:55\n")
+    plans, write = [], jobs.write_mac_matches
+    monkeypatch.setattr(jobs, "write_mac_matches", lambda found, out: (plans.append(found._jdf.queryExecution().executedPlan().toString()), write(found, out)))
+    jobs.write_mac_search(spark, str(tmp_path / "macs"), str(tmp_path / "switch"), str(tmp_path / "found"))
+    [plan] = plans
+    assert "Join" not in plan and "parquet" in plan
+    assert namedfiles.read_keyed_lines(spark, str(tmp_path / "found")).count() == 1
+
+
 def test_jobs_remove_their_tables(spark, tmp_path):
     df = spark.range(3)
     with job_tables(spark):

@@ -142,6 +142,16 @@ def test_mac_search(spark):
     assert got == sorted((mac, line) for mac in set(macs) for line in lines if mac in line)
 
 
+def test_mac_tokens_of_any_line(spark):
+    rng = random.Random(9)
+    lines = ["".join(rng.choice(["a", "B", "7", "-", "-", " ", "ä", "𝒳", "abcdef", "012345"]) for _ in range(rng.randint(0, 30))) for _ in range(2000)]
+    df = spark.createDataFrame([(x,) for x in [*lines, None]], "line string").coalesce(2)
+    places = {line: [line[i : i + 13] for i in range(len(line)) if re.match("[0-9A-Za-z]{6}-[0-9A-Za-z]{6}", line[i:])] for line in lines}
+    got = {r.line: r.tokens for r in df.select("line", matchjoin.mac_tokens(F.col("line")).alias("tokens")).collect()}
+    assert got == {line: list(dict.fromkeys(found)) for line, found in places.items()} | {None: None}
+    assert sum(map(len, places.values())) > 100
+
+
 def test_repeated_lookups_are_not_broadcast(spark):
     """Rows that a lookup is repeated to are not seen by Spark's size check, so it must not decide."""
     lines = spark.range(10).select(F.lit("f").alias("file"), F.col("id").alias("pos"), F.lit("aabbcc-000001").alias("line"))
