@@ -27,14 +27,15 @@ def salts_of(df: DataFrame) -> int:
     return max(SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
 
 
-def salted_join(rows: DataFrame, lookup: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
+def salted_join(rows: DataFrame, lookup: DataFrame, key: str, spread_by: list[str], salts: int | None = None) -> DataFrame:
     """Inner join with a lookup of few rows per key, where a key may be in a large share of the rows.
 
     The rows of a key are spread over salts by a hash of ``spread_by``; the lookup, small
     beside the rows, is repeated for each salt. Spark's size check does not see the repeats,
-    so the hint keeps them from being broadcast through the driver.
+    so the hint keeps them from being broadcast through the driver. A lookup that grows as the
+    rows do needs a fixed number of ``salts``.
     """
-    salts = salts_of(rows)
+    salts = salts or salts_of(rows)
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
     return rows.withColumn("_salt", salt).join(repeated, [key, "_salt"]).drop("_salt")
@@ -281,12 +282,14 @@ def invalid_networks(networks: DataFrame) -> DataFrame:
 
 
 def mac_tokens(line: Column) -> Column:
-    """Every ``six-six`` text around a dash, overlapping ones too."""
+    """Every ``six-six`` text around a dash, overlapping ones too; null without a dash."""
     # Looking ahead takes no characters, so the next search begins one further.
-    return F.array_distinct(F.regexp_extract_all(line, F.lit("(?=([0-9A-Za-z]{6}-[0-9A-Za-z]{6}))"), F.lit(1)))
+    found = F.regexp_extract_all(line, F.lit("(?=([0-9A-Za-z]{6}-[0-9A-Za-z]{6}))"), F.lit(1))
+    return F.when(F.contains(line, F.lit("-")), F.array_distinct(found))
 
 
 def mac_search(lines: DataFrame, macs: DataFrame, key: str = "mac") -> DataFrame:
     """All lines holding a listed search key: ``(mac, file, line)``, one row per line and key."""
     tokens = lines.withColumn(key, F.explode(mac_tokens(F.col("line"))))
-    return salted_join(tokens, macs.select(key).distinct(), key, ["file", "pos"]).select(key, "file", "line")
+    # MACs grow with the lines, so their repeats must not grow with the partitions too. A key that is too large for these salts is split by AQE.
+    return salted_join(tokens, macs.select(key).distinct(), key, ["file", "pos"], SALTS).select(key, "file", "line")
