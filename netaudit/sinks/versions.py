@@ -2,7 +2,7 @@
 
 A register is written to a folder of its own. What the folder's registers are is said by
 manifests ``_versions/<number>.json``, each a whole map of names to folders. A job writes all it
-has and publishes one manifest last, by a rename that fails if the number is taken; then it takes
+has and publishes one manifest last, by a rename (on a local disk a link) that fails if the number is taken; then it takes
 the next number and keeps what the other job published. So a job that dies leaves the registers
 as they were, readers see all registers of a job or none, and older versions can be read.
 """
@@ -56,6 +56,9 @@ class _Files:
         stream = self.system.create(made, True)
         stream.write(text.encode())
         stream.close()
+        if self._linked(made, wanted):
+            self.system.delete(made, False)
+            return True
         context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(wanted.toUri(), self.configuration)
         no_options = self.gateway.new_array(getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
         try:
@@ -68,6 +71,17 @@ class _Files:
                 return False
             raise
 
+    def _linked(self, made, wanted) -> bool:
+        """Whether a local file got a second name that was free. A local rename looks if it is and then replaces what came meanwhile."""
+        if self.system.getUri().getScheme() != "file":
+            return False
+        places = [self.jvm.java.io.File(self.system.makeQualified(p).toUri().getPath()).toPath() for p in (wanted, made)]
+        try:
+            self.jvm.java.nio.file.Files.createLink(*places)
+            return True
+        except Exception:
+            return False
+
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Numbers of the published versions, ascending."""

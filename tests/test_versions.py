@@ -77,6 +77,25 @@ def test_jobs_that_publish_at_once_keep_each_other(spark, tmp_path):
     assert not [p for p in (tmp_path / versions.MANIFESTS).iterdir() if p.name.startswith(".") and not p.name.endswith(".crc")]
 
 
+def test_one_of_many_gets_a_number(spark, tmp_path):
+    files = versions._Files(spark, str(tmp_path))
+    files.system.mkdirs(files.path(str(tmp_path), versions.MANIFESTS))
+    for number in range(30):
+        start, got = threading.Barrier(8), []
+
+        def create(i):
+            start.wait()
+            got.append((i, files.create(f"{i}", versions.MANIFESTS, f"{number:09d}.json")))
+
+        threads = [threading.Thread(target=create, args=(i,)) for i in range(8)]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+        [first] = [i for i, made in got if made]
+        assert len(got) == 8 and files.read(versions.MANIFESTS, f"{number:09d}.json") == f"{first}"
+
+
 def test_a_number_taken_meanwhile_is_left(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
     versions.publish(spark, root, {"a": "a/v-1"})
